@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, token_counts, token_store, url_filter, warc
+from . import pii, quality_rules, token_counts, token_store, url_filter, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -23,6 +23,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), keep=["doc_id"])
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(_read(spark, sf_dir, "documents"))
+
+
 def op3_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import piece_bpe
 
@@ -47,6 +51,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_pii": op2_pii,
     "op3_piece_bpe": op3_piece_bpe,
     "op5_token_store": op5_token_store,
     "op7_quality_rules": op7_quality_rules,
