@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality_rules, token_counts, token_store, url_filter, warc
+from . import decontaminate, pii, quality_rules, token_counts, token_store, url_filter, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -45,6 +45,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_read(spark, sf_dir, "pages"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_read(spark, sf_dir, "pages")).drop("url")
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_store": op5_token_store,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
+    "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
 }
 
@@ -63,7 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_url_filter": url_filter.oracle(),
-        "op10_warc": """
+        "op9_decontaminate": op9_decontaminate,
+    "op10_warc": """
 SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN octet_length(encode(h)) >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN octet_length(encode(h)) >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
