@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, pii, quality_rules, token_counts, token_store, url_filter, warc
+from . import decontaminate, ngram_join, pii, quality_rules, token_counts, token_store, url_filter, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -33,6 +33,10 @@ def op3_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_texts(_read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), keep=["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_classes(_read(spark, sf_dir, "documents"))
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_tokens(_read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
     "op3_piece_bpe": op3_piece_bpe,
+    "op4_ngram_join": op4_ngram_join,
     "op5_token_store": op5_token_store,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
