@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 21
 
@@ -35,6 +36,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most about `rows` rows of df, whatever its size, by a fixed hash of `key`; all of them if there are fewer.
+
+    A share of the hash range is chosen from the row count, so that no task passes on more than its share.
+    """
+    total = df.select(key).count()
+    if total <= rows:
+        return df
+    share = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 40)) < F.lit(-(-(rows << 40) // total))
+    return df.where(share).limit(2 * rows)
+
+
 def private_name(df: DataFrame, stem: str) -> str:
     """A column name that no column of df has, whatever its case."""
     taken = {c.lower() for c in df.columns}

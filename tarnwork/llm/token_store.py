@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, filesystem, fresh_dir, put_file
+from .common import bounded_sample, cut, filesystem, flat_text, fresh_dir, put_file, text_slices
 
 MAGIC, VERSION = b"TKS1", 1
 HEAD = struct.Struct("<4sB32sQQ")
@@ -40,50 +40,84 @@ NULL_KEY = -(2**63)
 LEVEL = 3
 SHARD_BYTES = 24 << 20
 
-# The pre-tokenizer's published pattern; a fixed value.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Ranges in which all Unicode versions agree on letters, numbers and spaces; other texts go whole to the library.
-_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ȳ‐-‧‰-⁞₠-₵一-龥ぁ-ゖァ-ヺ]*")
+# Ranges in which all Unicode versions agree on letters and numbers, with only ASCII spaces; other texts go whole to the library.
+_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-ȳ‐-‧‰-⁞₠-₵一-龥ぁ-ゖァ-ヺ]*")
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 13, 32]] = True
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """The library's encoder with its results per pre-token kept in a bounded cache."""
+    """The library's encoder with its results per unit (spaces and the word after them) in a bounded cache.
 
-    CACHE_WORDS = 400_000
+    A byte-level pre-token never spans a change from other than space to space, so units end there.
+    Arrow makes the units of a slice distinct; new ones go to the library joined to long texts, and
+    the byte lengths of the tokens tell which ids belong to which unit.
+    """
+
+    CACHE_UNITS = 1_000_000
 
     def __init__(self, path: str):
         import os
 
-        import regex
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.lib = Tokenizer.from_file(path)
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.split = regex.compile(PATTERN).findall
+        alphabet = set(pre_tokenizers.ByteLevel.alphabet())
+        size = self.lib.get_vocab_size()
+        self.bytes_of = np.array([len(t) if set(t := self.lib.id_to_token(i) or "") <= alphabet else 0 for i in range(size)], np.int64)
         self.cache: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _add(self, new: list[bytes]) -> None:
+        lone = [u for u in new if not _BLANK[u[0]] or u.isspace()]
+        for u in lone:
+            self.cache[u] = self._whole(u.decode())
+        skip = set(lone)
+        joined = [u for u in new if u not in skip]
+        for i in range(0, len(joined), 20_000):
+            part = joined[i : i + 20_000]
+            ids = np.array(self.lib.encode_batch_fast([b"".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            at = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(u) for u in part]), "right")
+            raw, start = ids.tobytes(), 0
+            for u, end in zip(part, (at * 4).tolist()):
+                self.cache[u] = raw[start:end]
+                start = end
+
+    def _plain(self, texts: pa.Array) -> list[bytes]:
+        buf, offs = flat_text(texts)
+        if len(buf) == 0:
+            return [b""] * len(texts)
+        blank = _BLANK[buf]
+        begin = np.zeros(len(buf), bool)
+        begin[1:] = blank[1:] & ~blank[:-1]
+        begin[offs[:-1][np.diff(offs) > 0]] = True
+        cuts = np.append(np.flatnonzero(begin), len(buf))
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(buf))]).dictionary_encode()
+        names = units.dictionary.to_pylist()
+        new = [u for u in names if u not in self.cache]
+        if len(self.cache) + len(new) > self.CACHE_UNITS:
+            self.cache = {u: self.cache[u] for u in names if u in self.cache}
+        self._add(new)
+        raws = list(map(self.cache.__getitem__, names))
+        flat, sizes = np.frombuffer(b"".join(raws), "<u4"), np.fromiter(map(len, raws), np.int64, len(raws)) // 4
+        which = units.indices.to_numpy()
+        each = sizes[which]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - each), each) + np.arange(ends[-1])]
+        bound = np.append(0, ends)[np.searchsorted(cuts, offs)]
+        return [ids[i:j].tobytes() for i, j in zip(bound[:-1].tolist(), bound[1:].tolist())]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each whole text as little-endian unsigned 32-bit integers."""
-        words: list[list[str] | None] = []
-        for t in texts:
-            plain = _PLAIN.fullmatch(t) and not any(s in t for s in self.special)
-            words.append(self.split(t) if plain else None)
-        cache = self.cache
-        seen = {w for ws in words if ws for w in ws}
-        new = [w for w in seen if w not in cache]
-        if new:
-            if len(cache) + len(new) > self.CACHE_WORDS:
-                cache = self.cache = {w: cache[w] for w in seen if w in cache}
-            for i in range(0, len(new), 4096):
-                part = new[i : i + 4096]
-                for w, e in zip(part, self.lib.encode_batch_fast(part, add_special_tokens=False)):
-                    ids = e.ids
-                    cache[w] = struct.pack(f"<{len(ids)}I", *ids)
-        get = cache.__getitem__
-        return [b"".join(map(get, ws)) if ws is not None else np.array(self.lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t, ws in zip(texts, words)]
+        values = texts.to_pylist()
+        plain = [_PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in values]
+        fast = iter(self._plain(texts.filter(pa.array(plain, pa.bool_()))))
+        return [next(fast) if p else self._whole(t) for t, p in zip(values, plain)]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -96,12 +130,12 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, key: str
     """A dictionary from the ids of at most DICT_DOCS documents, whatever the size of docs."""
     import zstandard
 
-    rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).orderBy(F.xxhash64("k"), "t").limit(DICT_DOCS)
+    rows = bounded_sample(docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")), "k", DICT_DOCS)
 
     def encode(batches):
         enc = encoder(tokenizer_path)
         for b in batches:
-            got = enc.encode([x or "" for x in b.column(0).to_pylist()])
+            got = enc.encode(b.column(0))
             yield pa.RecordBatch.from_arrays([pa.array([g + struct.pack("<I", end_id) for g in got], pa.binary())], names=["ids"])
 
     samples = [bytes(r[0]) for r in rows.select("t").mapInArrow(encode, "ids binary").collect()]
@@ -196,20 +230,14 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out_dir: str, *, end_id:
             return row
 
         for b in batches:
-            ks, column, i = b.column(0).fill_null(NULL_KEY).to_pylist(), b.column(1), 0
-            while i < len(ks):
-                j, texts, chars = i, [], 0
-                while j < len(ks) and (chars < 1 << 21 or j == i):
-                    texts.append(column[j].as_py())
-                    chars += len(texts[-1])
-                    j += 1
-                for k, ids in zip(ks[i:j], enc.encode(texts)):
+            ks, column = b.column(0).fill_null(NULL_KEY).to_pylist(), b.column(1)
+            for i, j, _, _ in text_slices(column, 4 << 20):
+                for k, ids in zip(ks[i:j], enc.encode(column.slice(i, j - i))):
                     keys.append(k)
                     payloads.append(ids + end)
                     size += len(payloads[-1])
                     if size >= SHARD_BYTES:
                         yield flush()
-                i = j
         if keys:
             yield flush()
 
