@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, pii, quality_rules, token_counts, token_store, url_filter, warc
+from . import decontaminate, ngram_join, pii, quality_model, quality_rules, token_counts, token_store, url_filter, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -41,6 +41,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_tokens(_read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_piece_bpe": op3_piece_bpe,
     "op4_ngram_join": op4_ngram_join,
     "op5_token_store": op5_token_store,
+    "op6_quality_model": op6_quality_model,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
     "op9_decontaminate": op9_decontaminate,
