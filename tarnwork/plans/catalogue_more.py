@@ -1 +1,159 @@
 """Search, text, nested, identity, merge and state queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import exprs as X
+from ..operators import fulltext, identity, merge, search
+from ..operators import views as V
+from ..operators.tables import Tables
+from .catalogue import SEV, on_model, plain
+from .model_map import read
+
+
+def _slug(c: str) -> str:
+    return f"regexp_extract({c}, '^cpe:2\\.3:.:([^:]*):', 1)"
+
+
+BAD = "('', '*', '-', 'n\\/a', 'other')"
+TALLY = f"""tally AS (SELECT a.product_id, slug, CAST(sum(k) AS BIGINT) AS n FROM affected_product a JOIN (SELECT cve_id, {_slug('criteria')} AS slug, count(*) AS k FROM cpe_match WHERE criteria LIKE 'cpe:2.3:_:%' GROUP BY 1, 2) c USING (cve_id)
+  LEFT JOIN (SELECT p.product_id, v.name AS owner FROM product p LEFT JOIN vendor v USING (vendor_id)) o USING (product_id)
+  WHERE slug NOT IN {BAD} AND (a.source IS DISTINCT FROM 'cpe' OR regexp_replace(lower(slug), '[^a-z0-9]', '', 'g') = regexp_replace(lower(coalesce(owner, '')), '[^a-z0-9]', '', 'g')) GROUP BY 1, 2)"""
+INDEX = "SELECT product_id, slug, n FROM (SELECT *, sum(n) OVER (PARTITION BY product_id) AS total, count(*) OVER (PARTITION BY product_id) AS slugs FROM tally) WHERE slugs <= 8 AND n >= 2 AND n / total >= 0.05"
+
+
+def _search() -> None:
+    summary = f"""SELECT b.cve_id, title, published, CAST(NULL AS VARCHAR) AS severity, cvss_max, epss_score, k.cve_id IS NOT NULL AS kev, summary
+      FROM ({{0}} ORDER BY published DESC NULLS LAST, cve_id LIMIT 20) b LEFT JOIN cmax USING (cve_id) LEFT JOIN intel USING (cve_id) LEFT JOIN (SELECT DISTINCT cve_id FROM kev WHERE listed) k USING (cve_id)"""
+    cols = "SELECT cve_id, title, published, substr(summary, 1, 500) AS summary FROM cve"
+    on_model("search_structured", lambda t: search.search_cves(t, cwe="cwe-7", kev_only=True, min_cvss=7.0, min_epss=0.1, year=1995), summary.format(f"{cols} WHERE cve_id IN (SELECT cve_id FROM cve_cwe WHERE cwe_id = 'CWE-7') AND cve_id IN (SELECT cve_id FROM kev WHERE listed) AND cve_id IN (SELECT cve_id FROM cvss WHERE score >= 7) AND cve_id IN (SELECT cve_id FROM intel WHERE epss_score >= 0.1) AND substr(published, 1, 4) = '1995'"))
+    indexed = lambda t: t.replaced(product_cpe_vendor=identity.product_cpe_vendor(t), cve_cpe_vendor=identity.cve_cpe_vendor(t))
+    base = TALLY + f", pcv AS ({INDEX}), ccv AS (SELECT DISTINCT cve_id, {_slug('criteria')} AS slug FROM cpe_match WHERE vulnerable AND criteria LIKE 'cpe:2.3:_:%' AND {_slug('criteria')} NOT IN {BAD})\n"
+    like = "lower({0}) LIKE '%{1}%'"
+    v = "slug_3"
+    pids = f"SELECT p.product_id FROM product p LEFT JOIN vendor v USING (vendor_id) WHERE {like.format('p.name', v)} OR {like.format('v.name', v)} UNION SELECT product_id FROM pcv WHERE {like.format('slug', v)}"
+    on_model("search_vendor_5way", lambda t: search.vendor_product_ids(indexed(t), v, None), f", {base} SELECT e.cve_id FROM cve_vendor e JOIN vendor v USING (vendor_id) WHERE {like.format('v.name', v)} UNION SELECT cve_id FROM affected_product WHERE product_id IN ({pids}) UNION SELECT cve_id FROM ccv WHERE {like.format('slug', v)}")
+    w, q = "000000005", "blue"
+    on_model("search_same_row", lambda t: search.vendor_product_ids(indexed(t), w, q), f""", {base} SELECT DISTINCT a.cve_id FROM affected_product a JOIN product p USING (product_id) LEFT JOIN vendor o ON o.vendor_id = p.vendor_id WHERE {like.format('p.name', q)} AND ({like.format('p.name', w)} OR coalesce({like.format('o.name', w)}, false)
+      OR a.product_id IN (SELECT product_id FROM pcv WHERE {like.format('slug', w)}) OR a.cve_id IN (SELECT e.cve_id FROM cve_vendor e JOIN vendor v USING (vendor_id) WHERE {like.format('v.name', w)}))""")
+    on_model("list_vendors_listagg", lambda t: search.list_vendors(indexed(t)), f""", {base} SELECT v.vendor_id, v.name, coalesce(c.n, 0) AS cve_count, coalesce(p.n, 0) AS product_count, s.slugs AS cpe_vendors FROM vendor v
+      LEFT JOIN (SELECT vendor_id, count(DISTINCT cve_id) AS n FROM cve_vendor GROUP BY 1) c USING (vendor_id) LEFT JOIN (SELECT vendor_id, count(*) AS n FROM product GROUP BY 1) p USING (vendor_id)
+      LEFT JOIN (SELECT vendor_id, string_agg(slug, ',' ORDER BY rn) AS slugs FROM (SELECT vendor_id, slug, row_number() OVER (PARTITION BY vendor_id ORDER BY sum(n) DESC, slug) AS rn FROM pcv JOIN product USING (product_id) GROUP BY 1, 2) WHERE rn <= 5 GROUP BY 1) s USING (vendor_id)
+      WHERE trim(coalesce(v.name, '')) <> '' ORDER BY cve_count DESC, v.name LIMIT 50""")
+    on_model("list_recent_since", lambda t: search.list_kev(t, "1995-01-01"), "SELECT cve_id, CAST(NULL AS VARCHAR) AS vulnerability_name, vendor_project, product_label, required_action, source, nullif(trim(date_added), '') AS date_added, nullif(trim(due_date), '') AS due_date FROM kev WHERE listed AND substr(date_added, 1, 10) >= '1995-01-01' ORDER BY date_added DESC, cve_id LIMIT 50")
+    on_model("max_row_severity", lambda t: search.max_severity(t.replaced(cvss=t["cvss"].withColumn("severity", F.concat_ws("/", "attack_vector", "integrity_impact")))).select("cve_id", "cvss_max"), "SELECT cve_id, cvss_max FROM cmax")
+    on_model("risk_flags", lambda t: V.top(search.risk_flags(t).groupBy("severity", "actively_exploited").agg(F.count("*").alias("n")), 100, "n", "severity", "actively_exploited"), f"SELECT {SEV.format('cvss_max')} AS severity, coalesce(k.l, false) OR coalesce(x.w, false) AS actively_exploited, count(*) AS n FROM cve LEFT JOIN cmax USING (cve_id) LEFT JOIN (SELECT cve_id, bool_or(listed) AS l FROM kev GROUP BY 1) k USING (cve_id) LEFT JOIN (SELECT cve_id, bool_or(in_the_wild) AS w FROM exploit GROUP BY 1) x USING (cve_id) GROUP BY 1, 2")
+    on_model("references_with_tag", lambda t: search.references_for(t.replaced(reference=t["reference"].withColumn("cve_id", F.lit("CVE-1"))), "cve-1", "patch").select("id", "url", F.array_join("tags", ",").alias("tags")), "SELECT r.id, url, g.tags FROM refs r JOIN (SELECT reference_id AS id, string_agg(DISTINCT tag, ',' ORDER BY tag) AS tags FROM reference_tag GROUP BY 1) g USING (id) WHERE r.id IN (SELECT reference_id FROM reference_tag WHERE lower(tag) = 'patch')")
+    counts = ("vendors", "cwes", "cvss", "cpes", "affected", "references", "intel_lists", "artefacts")
+    source = {"vendors": "cve_vendor", "cwes": "cve_cwe", "cvss": "cvss", "cpes": "cpe_match", "affected": "affected_product", "references": "refs", "intel_lists": "intel_string_list", "artefacts": "exploit_artefact"}
+    on_model("hydrate_document", lambda t: search.documents(t).select("cve_id", *[F.coalesce(F.size(c), F.lit(0)).cast("bigint").alias(c) for c in counts]), "SELECT cve_id, " + ", ".join(f'coalesce("{c}_".n, 0) AS "{c}"' for c in counts) + " FROM cve " + " ".join(f'LEFT JOIN (SELECT cve_id, count(*) AS n FROM {source[c]} GROUP BY 1) "{c}_" USING (cve_id)' for c in counts))
+    on_model("pending_antijoin", lambda t: t["cve"].select("cve_id").join(t["intel"].where("epss_score is not null"), "cve_id", "left_anti"), "SELECT cve_id FROM cve WHERE cve_id NOT IN (SELECT cve_id FROM intel WHERE epss_score IS NOT NULL)")
+    on_model("except_only_placeholder", identity.only_placeholder_cves, "SELECT DISTINCT cve_id FROM affected_product EXCEPT SELECT cve_id FROM affected_product JOIN product p USING (product_id) WHERE lower(trim(coalesce(p.name, ''))) NOT IN ('n/a', 'n\\a', 'na', 'unknown', 'none', 'not applicable', '-', '')")
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents")
+
+
+def _index(spark: SparkSession, sf_dir: str, stemmed: bool = False) -> DataFrame:
+    return fulltext.postings(_documents(spark, sf_dir), "doc_id", "text", stemmed=stemmed)
+
+
+FOLD = f"translate(lower(coalesce(text, '')), '{fulltext.ACCENTED}', '{fulltext.BARE}')"
+POSTINGS = f"WITH d AS (SELECT doc_id, regexp_extract_all({FOLD}, '[\\p{{L}}\\p{{N}}]+') AS ws FROM documents), p AS (SELECT doc_id, unnest(ws) AS term, unnest(range(1, len(ws) + 1)) AS pos FROM d)\n"
+
+
+def _text() -> None:
+    at = lambda node: (lambda spark, sf: fulltext._hits(node, _index(spark, sf), "doc_id"))
+    term = lambda w: fulltext.Node("term", (w,))
+    plain("fts_and", at(fulltext.Node("and", (term("hend"), term("the")))), POSTINGS + "SELECT doc_id FROM p WHERE term = 'hend' INTERSECT SELECT doc_id FROM p WHERE term = 'the'")
+    plain("fts_not", at(fulltext.Node("not", (term("the"), term("of")))), POSTINGS + "SELECT doc_id FROM p WHERE term = 'the' EXCEPT SELECT doc_id FROM p WHERE term = 'of'")
+    plain("fts_or", at(fulltext.Node("or", (term("eaux"), term("keit")))), POSTINGS + "SELECT doc_id FROM p WHERE term = 'eaux' UNION SELECT doc_id FROM p WHERE term = 'keit'")
+    plain("fts_prefix", at(fulltext.Node("prefix", ("thnt",))), POSTINGS + "SELECT DISTINCT doc_id FROM p WHERE starts_with(term, 'thnt')")
+    plain("fts_phrase", at(fulltext.Node("phrase", ("of", "the", "and"))), POSTINGS + "SELECT DISTINCT a.doc_id FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 JOIN p c ON a.doc_id = c.doc_id AND c.pos = a.pos + 2 WHERE a.term = 'of' AND b.term = 'the' AND c.term = 'and'")
+    bm25 = """, dl AS (SELECT doc_id, count(*) AS dl FROM p GROUP BY 1), n AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl), tf AS (SELECT doc_id, term, count(*) AS tf FROM p WHERE term IN ('hend', 'eronti') GROUP BY 1, 2), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)
+      SELECT doc_id, round(sum(greatest(1e-6, ln((n - df + 0.5) / (df + 0.5))) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score FROM tf JOIN df USING (term) JOIN dl USING (doc_id) CROSS JOIN n GROUP BY 1"""
+    plain("fts_bm25", lambda spark, sf: fulltext.search(_index(spark, sf), "hend OR eronti", "doc_id", limit=None).withColumn("score", F.round("score", 6)), POSTINGS.rstrip() + bm25)
+    plain("contains_ci", lambda spark, sf: _documents(spark, sf).where(X.contains_ci("text", "TOKEN =")).select("doc_id"), "SELECT doc_id FROM documents WHERE contains(lower(text), 'token =')")
+    plain("extract_ids_regex", lambda spark, sf: _documents(spark, sf).select("doc_id", F.explode(X.extract_all("text", r"[0-9]{3}-[0-9]{4}")).alias("hit")), "SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[0-9]{3}-[0-9]{4}'))) AS hit FROM documents")
+
+
+def _nested() -> None:
+    plain("props_json_extract", lambda spark, sf: read(spark, sf, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k")), "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+    plain("posexplode_first_wins", lambda spark, sf: merge.keep_first(_documents(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")), ["doc_id", "line"], "pos"), "SELECT doc_id, line, CAST(min(pos) - 1 AS INT) AS pos FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos FROM documents) GROUP BY 1, 2")
+
+    def first_lang(spark: SparkSession, sf: str) -> DataFrame:
+        grouped = _documents(spark, sf).groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", "lang", F.col("doc_id").cast("string").alias("value")))).alias("d"))
+        return grouped.select("source", X.first_english(F.col("d")).alias("value"))
+
+    plain("first_lang_match", first_lang, "SELECT source, CAST(coalesce(min(doc_id) FILTER (lower(lang) = 'en'), min(doc_id)) AS VARCHAR) AS value FROM documents GROUP BY 1")
+    plain("url_dedupe", lambda spark, sf: merge.keep_first(read(spark, sf, "pages").select("page_id", F.regexp_replace("url", r"[?#].*$", "").alias("u")), ["u"], "page_id"), "SELECT u, min(page_id) AS page_id FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS u FROM pages) GROUP BY 1")
+
+
+def _identity() -> None:
+    on_model("slug_extract", lambda t: identity.cve_cpe_vendor(t), f"SELECT DISTINCT cve_id, {_slug('criteria')} AS slug FROM cpe_match WHERE vulnerable AND criteria LIKE 'cpe:2.3:_:%' AND {_slug('criteria')} NOT IN {BAD}")
+    on_model("slug_rollup_guarded", identity.product_cpe_vendor, f", {TALLY} {INDEX}")
+    on_model("dominant_slug", lambda t: identity.dominant_slug(_few(t)), f""", {TALLY.replace('FROM cpe_match', 'FROM (SELECT * FROM cpe_match WHERE criteria LIKE ' + "'%slug_1%'" + ')')} SELECT product_id, slug FROM (SELECT *, sum(n) OVER (PARTITION BY product_id) AS total, row_number() OVER (PARTITION BY product_id ORDER BY n DESC, slug) AS rn FROM tally) WHERE rn = 1 AND n / total >= 0.8
+      AND product_id IN (SELECT product_id FROM product JOIN vendor v USING (vendor_id) WHERE trim(coalesce(v.name, '')) = '' AND product.name <> 'n/a')""")
+    on_model("norm_key_match", lambda t: t["vendor"].where(X.not_blank("name")).groupBy(X.norm_key("name").alias("nk")).agg(F.count("*").alias("n"), F.min("vendor_id").alias("id")).where("n = 1"), "SELECT regexp_replace(lower(vendor_name), '[^a-z0-9]', '', 'g') AS nk, count(*) AS n, min(vendor_id) AS id FROM named GROUP BY 1 HAVING n = 1")
+
+    def adjacent(spark: SparkSession, sf: str) -> DataFrame:
+        texts = _documents(spark, sf).select(F.col("doc_id").alias("cve_id"), "text")
+        d = spark.createDataFrame([(1, ["that"], ["the"], "that"), (2, ["of"], ["the", "and"], "of"), (3, ["avec"], ["une"], "avec")], "product_id bigint, v array<string>, p array<string>, first string")
+        return identity.find_candidates(texts, d).select("cve_id", "product_id")
+
+    # tokens are ASCII runs as written, folded to letters and digits; the last may end in digits and dots
+    tok = "WITH d AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[A-Za-z0-9][A-Za-z0-9.+_-]*'), lambda w: regexp_replace(lower(w), '[^a-z0-9]', '', 'g')) AS ws FROM documents), p AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS pos FROM d)\n"
+    two = lambda i, a, b: f"SELECT DISTINCT a.doc_id AS cve_id, CAST({i} AS BIGINT) AS product_id FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WHERE a.w = '{a}' AND regexp_full_match(b.w, '{b}[0-9.]*')"
+    three = "SELECT DISTINCT a.doc_id, CAST(2 AS BIGINT) FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 JOIN p c ON a.doc_id = c.doc_id AND c.pos = a.pos + 2 WHERE a.w = 'of' AND b.w = 'the' AND regexp_full_match(c.w, 'and[0-9.]*')"
+    plain("adjacent_phrase_match", adjacent, tok + two(1, "that", "the") + " UNION ALL " + three + " UNION ALL " + two(3, "avec", "une"))
+
+
+def _few(t: Tables) -> Tables:
+    return t.replaced(cpe_match=t["cpe_match"].where(F.col("criteria").contains("slug_1")))
+
+
+def _merges() -> None:
+    L = lambda spark, sf: read(spark, sf, "lineitem")
+    keys = ["l_orderkey", "l_linenumber"]
+    rest = "l_partkey, l_suppkey, l_quantity, l_extendedprice"
+    plain("dedupe_min_id", lambda spark, sf: merge.keep_first(L(spark, sf).select(*keys, "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"), keys, "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"), f"SELECT l_orderkey, l_linenumber, {rest} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {rest}) AS rn FROM lineitem) WHERE rn = 1")
+    plain("case_fold_keeper", lambda spark, sf: merge.keeper_map(read(spark, sf, "part"), [F.lower(F.trim("p_name")), F.col("p_brand")], "p_partkey"), "SELECT p_partkey AS old, min(p_partkey) OVER (PARTITION BY lower(trim(p_name)), p_brand) AS keeper FROM part")
+    old = lambda spark, sf: read(spark, sf, "orders").where("o_orderkey % 3 <> 0").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 4 == 0, None).otherwise(F.col("o_totalprice")).alias("price"))
+    new = lambda spark, sf: read(spark, sf, "orders").where("o_orderkey % 5 < 2").select("o_orderkey", F.lit("N").alias("o_orderstatus"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice") * 2).alias("price"))
+    cte = "WITH old AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 3 <> 0), new AS (SELECT o_orderkey, 'N' AS o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice * 2 END AS price FROM orders WHERE o_orderkey % 5 < 2)\n"
+    plain("merge_overwrite", lambda s, f: merge.overwrite(old(s, f), new(s, f), ["o_orderkey"]), cte + "SELECT * FROM new UNION ALL SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)")
+    plain("insert_ignore", lambda s, f: merge.insert_ignore(old(s, f), new(s, f), ["o_orderkey"]), cte + "SELECT * FROM old UNION ALL SELECT * FROM new WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old)")
+    plain("merge_coalesce", lambda s, f: merge.coalesce_merge(old(s, f), new(s, f), ["o_orderkey"]), cte + "SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, coalesce(n.o_orderstatus, o.o_orderstatus) AS o_orderstatus, coalesce(n.price, o.price) AS price FROM old o FULL JOIN new n ON o.o_orderkey = n.o_orderkey")
+    plain("guarded_upsert", lambda s, f: merge.guarded_upsert(old(s, f), new(s, f), ["o_orderkey"], F.col("o_orderstatus") == "F"), cte + ", ok AS (SELECT * FROM new WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old WHERE o_orderstatus = 'F')) SELECT * FROM ok UNION ALL SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ok)")
+    plain("keep_newest", lambda s, f: merge.keep_newest(old(s, f).na.fill(0.0), new(s, f).na.fill(0.0), ["o_orderkey"], "price"), cte + "SELECT o_orderkey, o_orderstatus, price FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY price DESC, age DESC) AS rn FROM (SELECT o_orderkey, o_orderstatus, coalesce(price, 0) AS price, 1 AS age FROM old UNION ALL SELECT o_orderkey, o_orderstatus, coalesce(price, 0), 0 FROM new)) WHERE rn = 1")
+    group = lambda s, f: L(s, f).select("l_orderkey", "l_partkey")
+    fresh = lambda s, f: L(s, f).where("l_orderkey % 7 = 0 and l_linenumber = 1").select("l_orderkey", (F.col("l_partkey") + 1000000).alias("l_partkey"))
+    fsql = "SELECT l_orderkey, l_partkey + 1000000 AS l_partkey FROM lineitem WHERE l_orderkey % 7 = 0 AND l_linenumber = 1"
+    plain("replace_group", lambda s, f: merge.replace_group(group(s, f), fresh(s, f), "l_orderkey"), f"SELECT l_orderkey, l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM ({fsql})) UNION ALL {fsql}")
+    on_model("cascade_delete", lambda t: V.table_row_counts(merge.cascade_delete(t, t["cve"].where("cve_id like '%7'"))).where("n_rows > 0"), " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS n_rows FROM {n if n != 'reference' else 'refs'} WHERE cve_id NOT IN (SELECT cve_id FROM cve WHERE cve_id LIKE '%7')" for n in ("cve", "cve_vendor", "affected_product", "cve_cwe", "cvss", "exploit", "kev", "intel", "intel_string_list", "cpe_match", "reference")) + " UNION ALL SELECT 'vendor', count(*) FROM vendor UNION ALL SELECT 'product', count(*) FROM product UNION ALL SELECT 'cwe', count(*) FROM cwe UNION ALL SELECT 'pipeline_run', count(*) FROM pipeline_run UNION ALL SELECT 'version_range', count(*) FROM version_range WHERE affected_product_id NOT IN (SELECT id FROM affected_product WHERE cve_id IN (SELECT cve_id FROM cve WHERE cve_id LIKE '%7')) UNION ALL SELECT 'reference_tag', count(*) FROM reference_tag WHERE reference_id NOT IN (SELECT id FROM refs WHERE cve_id IN (SELECT cve_id FROM cve WHERE cve_id LIKE '%7'))")
+    plain("assign_ids", lambda s, f: merge.assign_ids(read(s, f, "part").select("p_partkey", "p_name"), read(s, f, "supplier"), "s_suppkey", "p_name", "p_partkey").select("p_partkey", F.col("s_suppkey").alias("id")), "SELECT p_partkey, (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY p_name, p_partkey) AS id FROM part")
+    # state
+    on_model("tri_state_writeback", lambda t: identity.write_exploit_flags(_phases(t)).groupBy("public_poc", "metasploit").agg(F.count("*").alias("n")), "SELECT a.cve_id IS NOT NULL AS public_poc, metasploit, count(*) AS n FROM exploit LEFT JOIN (SELECT DISTINCT cve_id FROM exploit_artefact WHERE source IN ('click', 'view')) a USING (cve_id) GROUP BY 1, 2")
+    on_model("null_unscored", lambda t: merge.null_unscored(t["intel"].na.fill(0.0)), "SELECT cve_id, CASE WHEN coalesce(epss_score, 0) = 0 AND coalesce(epss_percentile, 0) = 0 THEN NULL ELSE coalesce(epss_score, 0) END AS epss_score, CASE WHEN coalesce(epss_score, 0) = 0 AND coalesce(epss_percentile, 0) = 0 THEN NULL ELSE coalesce(epss_percentile, 0) END AS epss_percentile FROM intel")
+    plain("incremental_since_watermark", lambda s, f: read(s, f, "events").where(F.col("ts") > F.lit("2024-01-20").cast("timestamp_ntz")).select("event_id"), "SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-20'")
+
+    def windows(s: SparkSession, f: str) -> DataFrame:
+        from ..sources.feeds import date_windows
+
+        return s.createDataFrame([(a[:10], b[:10]) for a, b in date_windows("2023-01-01T00:00:00+00:00", "2024-06-01T00:00:00+00:00")], "low string, high string")
+
+    plain("window_split_119d", windows, "SELECT strftime(d, '%Y-%m-%d') AS low, strftime(least(d + INTERVAL 119 DAY, TIMESTAMP '2024-06-01'), '%Y-%m-%d') AS high FROM (SELECT unnest(generate_series(TIMESTAMP '2023-01-01', TIMESTAMP '2024-05-31', INTERVAL 119 DAY)) AS d)")
+    plain("sample_hash_topk", lambda s, f: V.sample(read(s, f, "orders"), 200, 7, "o_orderkey").select("o_orderkey"), "SELECT o_orderkey FROM orders ORDER BY md5('7|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 200")
+
+
+def _phases(t: Tables) -> Tables:
+    names = F.create_map(F.lit("click"), F.lit("nuclei"), F.lit("view"), F.lit("exploitdb"))
+    runs = t.spark.createDataFrame([("nuclei", "2024-01-01", None), ("exploitdb", "2024-01-01", None)], "phase string, last_completed_at string, last_watermark string")
+    return t.replaced(exploit_artefact=t["exploit_artefact"].withColumn("source", F.coalesce(names[F.col("source")], F.col("source"))), pipeline_run=runs)
+
+
+for build in (_search, _text, _nested, _identity, _merges):
+    build()
