@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from .lineage import cut
 from .merge import assign_ids, dedupe, keep_first
 from .tables import Tables
 
@@ -58,7 +59,7 @@ def dominant_slug(t: Tables) -> DataFrame:
 def repoint_sentinel_products(t: Tables) -> Tables:
     """Products of the blank vendor move to the existing vendor that their slug names; twins there are merged."""
     names = t["vendor"].where(X.not_blank("name")).select("vendor_id", F.lower(F.trim("name")).alias("folded"))
-    slugs = dominant_slug(t)
+    slugs = cut(dominant_slug(t))
     tries = slugs.select("product_id", F.lower("slug").alias("folded"), F.lit(0).alias("rank")).unionAll(slugs.select("product_id", F.lower(F.translate("slug", "_", " ")).alias("folded"), F.lit(1).alias("rank")))
     moves = keep_first(tries.join(names, "folded"), ["product_id"], "rank", "vendor_id").select("product_id", F.col("vendor_id").alias("to"))
     return move_products(t, moves)
@@ -69,7 +70,7 @@ def move_products(t: Tables, moves: DataFrame) -> Tables:
     p = t["product"].join(moves, "product_id", "left").withColumn("moved", F.col("to").isNotNull()).withColumn("vendor_id", F.coalesce("to", "vendor_id"))
     key = [F.col("vendor_id"), F.lower(F.trim("name")), F.lower(F.trim(F.coalesce("component", F.lit(""))))]
     w = Window.partitionBy(*key).orderBy("moved", "product_id")
-    p = p.withColumn("keeper", F.first("product_id").over(w))
+    p = cut(p.withColumn("keeper", F.first("product_id").over(w)))
     mapping = p.select(F.col("product_id").alias("old"), "keeper")
     product = p.where(F.col("product_id") == F.col("keeper")).select(*t["product"].columns)
     ap = t["affected_product"].join(mapping.withColumnRenamed("old", "product_id"), "product_id", "left")
@@ -112,16 +113,16 @@ def resolve_identities(t: Tables, pairs: DataFrame) -> tuple[Tables, DataFrame]:
     """
     pairs = pairs.select("vendor", "product").distinct()
     held = t["vendor"].where(X.not_blank("name")).select(F.col("vendor_id").alias("id"), "name")
-    found = _resolve(pairs.select("vendor").distinct(), held, [], "name", "vendor")
+    found = cut(_resolve(pairs.select("vendor").distinct(), held, [], "name", "vendor"))
     new = found.where("id is null").groupBy("nk").agg(X.humanise(F.min("vendor")).alias("name"))
-    numbered = assign_ids(new, t["vendor"], "vendor_id", "nk")
+    numbered = cut(assign_ids(new, t["vendor"], "vendor_id", "nk"))
     vendor = t["vendor"].unionByName(numbered.select("vendor_id", "name"), allowMissingColumns=True)
     vendors = found.join(numbered.select("nk", F.col("vendor_id").alias("made")), "nk", "left").select("vendor", F.coalesce("id", "made").alias("vendor_id"))
     wanted = pairs.join(vendors, "vendor").select("vendor", "product", "vendor_id")
     held = t["product"].where(~X.is_placeholder_product("name")).select("vendor_id", F.col("product_id").alias("id"), "name")
-    found = _resolve(wanted, held, ["vendor_id"], "name", "product")
+    found = cut(_resolve(wanted, held, ["vendor_id"], "name", "product"))
     new = found.where("id is null").groupBy("vendor_id", "nk").agg(X.humanise(F.min("product")).alias("name"))
-    numbered = assign_ids(new, t["product"], "product_id", "vendor_id", "nk")
+    numbered = cut(assign_ids(new, t["product"], "product_id", "vendor_id", "nk"))
     product = t["product"].unionByName(numbered.select("product_id", "name", "vendor_id", F.lit("UNKNOWN").alias("product_type"), F.lit("").alias("component")), allowMissingColumns=True)
     ids = found.join(numbered.select("vendor_id", "nk", F.col("product_id").alias("made")), ["vendor_id", "nk"], "left").select("vendor", "product", "vendor_id", F.coalesce("id", "made").alias("product_id"))
     return t.replaced(vendor=vendor, product=product), ids
@@ -134,15 +135,15 @@ def resolve_placeholders(t: Tables) -> Tables:
     """
     anchors = t["affected_product"].join(t["product"].where(X.is_placeholder_product("name")).select("product_id"), "product_id", "left_semi")
     anchor = anchors.groupBy("cve_id").agg(F.min("id").alias("anchor_id"))
-    pairs = pairs_to_resolve(t["cpe_match"].join(anchor, "cve_id", "left_semi"))
+    pairs = cut(pairs_to_resolve(t["cpe_match"].join(anchor, "cve_id", "left_semi")))
     t2, ids = resolve_identities(t, pairs)
     targets = pairs.join(ids, ["vendor", "product"]).groupBy("cve_id", "product_id").agg(F.min(F.struct("vendor", "product")).alias("pair"), F.min("vendor_id").alias("vendor_id"))
     targets = targets.join(t["affected_product"].select("cve_id", "product_id"), ["cve_id", "product_id"], "left_anti").join(anchor, "cve_id")
-    ranked = targets.withColumn("rk", F.row_number().over(Window.partitionBy("cve_id").orderBy("pair")))
+    ranked = cut(targets.withColumn("rk", F.row_number().over(Window.partitionBy("cve_id").orderBy("pair"))))
     moved = ranked.where("rk = 1").select(F.col("anchor_id").alias("id"), F.col("product_id").alias("to"))
     ap = t["affected_product"].join(moved, "id", "left").withColumn("product_id", F.coalesce("to", "product_id")).withColumn("source", F.when(F.col("to").isNotNull(), "cpe").otherwise(F.col("source"))).select(*t["affected_product"].columns)
     extra = ranked.where("rk > 1").select("cve_id", "product_id", F.lit(True).alias("affected"), F.lit("cpe").alias("source"))
-    extra = assign_ids(extra, t["affected_product"], "id", "cve_id", "product_id")
+    extra = cut(assign_ids(extra, t["affected_product"], "id", "cve_id", "product_id"))
     ap = ap.unionByName(extra, allowMissingColumns=True).select(*t["affected_product"].columns)
     edges = ranked.select("cve_id", "vendor_id", F.lit("affected").alias("role")).distinct()
     primary = t["cve_vendor"].where("role = 'primary'").select("cve_id", "vendor_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
 from .tables import CVE_CHILDREN, Tables
 
 
@@ -97,7 +98,7 @@ def assign_ids(df: DataFrame, existing: DataFrame, id_column: str, *order: str)
     start = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("m"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    dealt = dealt.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    dealt = cut(dealt.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(*order))))
     sizes = dealt.groupBy("__part").agg(F.count("*").alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return dealt.join(sizes.select("__part", "__before"), "__part").crossJoin(start).withColumn(id_column, F.col("m") + F.col("__before") + F.col("__in")).drop("__part", "__in", "__before", "m")
 
@@ -107,7 +108,7 @@ def ensure_dimension(existing: DataFrame, new: DataFrame, id_column: str, key: d
     names = list(key)
     fresh = keep_first(new.withColumns({f"__{k}": e for k, e in key.items()}), [f"__{k}" for k in names], seq)
     have = existing.withColumns({f"__{k}": e for k, e in key.items()}).select(*[f"__{k}" for k in names])
-    fresh = without(fresh, have, [f"__{k}" for k in names])
+    fresh = cut(without(fresh, have, [f"__{k}" for k in names]))
     cols = [c for c in existing.columns if c != id_column]
     numbered = assign_ids(fresh.select(*cols, *[f"__{k}" for k in names]), existing, id_column, *[f"__{k}" for k in names])
     return existing.unionByName(numbered.select(*existing.columns))
