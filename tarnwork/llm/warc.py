@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, filesystem, fresh_dir, put_file
+from .common import bounded_sample, cut, filesystem, fresh_dir, put_file
 
 DICT_FRAME, ZSTD_FRAME = 0x184D2A5D, 0xFD2FB528
 MIN_SHARED = 100
@@ -182,8 +182,8 @@ def train_dictionary(pages: DataFrame) -> bytes:
     """From at most DICT_PAGES payloads, those with the smallest hash of their id, whatever the size of pages."""
     import zstandard
 
-    rows = pages.select(F.coalesce(F.col("html"), F.lit("")).alias("html"), F.xxhash64("page_id").alias("h")).orderBy("h", "html").limit(DICT_PAGES).collect()
-    samples = [b for b in (r["html"].encode() for r in rows) if b]
+    rows = bounded_sample(pages.select("page_id", F.coalesce(F.col("html"), F.lit("")).alias("html")), "page_id", DICT_PAGES)
+    samples = sorted(b for b in (r["html"].encode() for r in rows.select("html").collect()) if b)
     if len(samples) < 64:
         return b""
     try:
