@@ -78,8 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_url_filter": url_filter.oracle(),
-        "op9_decontaminate": op9_decontaminate,
-    "op10_warc": """
+        "op10_warc": """
 SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN octet_length(encode(h)) >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN octet_length(encode(h)) >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
