@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let
+
 BASE = ("email", "ip", "card", "phone")
 EXTRA = ("iban", "secret", "local_phone", "ssn")
 MIN_SCORE = 0.5
@@ -45,11 +47,6 @@ CONTEXT_WORDS = {
 RAISE, LOWER, CHECKSUM = 0.4, 0.3, 0.6
 
 
-def let(value: Column, body) -> Column:
-    """body(value), with value computed once, however often and in whatever lambda body uses it."""
-    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
-
-
 def _digits(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 

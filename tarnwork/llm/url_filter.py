@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Fixed values: (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -120,7 +122,7 @@ def url_score(host: Column, path: Column, model: tuple[int, list[int]]) -> Colum
     bias, weights = model
     table = F.split(F.lit(",".join(str(int(x)) for x in weights)), ",").cast("array<bigint>")  # folded to a constant
     chars = F.filter(F.split(F.concat(F.lit("^"), host, F.lit("|"), path, F.lit("$")), ""), lambda c: c != "")
-    grams = F.transform(F.sequence(F.lit(0), F.size(chars) - GRAM), lambda i: F.concat(*[F.get(chars, i + k) for k in range(GRAM)]))
+    grams = let(chars, lambda cs: F.transform(F.sequence(F.lit(0), F.size(cs) - GRAM), lambda i: F.concat(*[F.get(cs, i + k) for k in range(GRAM)])))
     bucket = lambda g: F.conv(F.substring(F.md5(F.encode(g, "utf-8")), 1, 3), 16, 10).cast("int")
     return F.aggregate(grams, F.lit(0).cast("long"), lambda acc, g: acc + F.get(table, bucket(g)) + F.lit(bias))
 
