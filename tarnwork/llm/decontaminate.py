@@ -23,8 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
-from .pii import let
+from .common import cut, let
 
 SIZE = 5
 THRESHOLD = 0.8
@@ -68,6 +67,10 @@ def fixed_grams(words: Column, size: int) -> Column:
 
 def simhash(grams: Column) -> Column:
     """64-bit SimHash of array<struct<h, w>>: bit b is set if the weights of grams with bit b exceed the others'."""
+    return let(grams, _simhash)
+
+
+def _simhash(grams: Column) -> Column:
     vote = lambda b: F.aggregate(grams, F.lit(0.0), lambda acc, g: acc + F.when(F.getbit(g["h"], b) == 1, g["w"]).otherwise(-g["w"]))
     bits = F.transform(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.when(vote(b) > 0, F.lit("1")).otherwise("0"))
     return F.array_join(bits, "")
