@@ -115,12 +115,17 @@ def parse(query: str) -> Node:
     return tree
 
 
+def _has_prefix(text: str) -> Column:
+    """Terms that begin with the text as written or with its stem, as words that end there are stored stemmed."""
+    return F.col("term").startswith(text) | F.col("term").startswith(stem(text))
+
+
 def _hits(node: Node, index: DataFrame, key: str) -> DataFrame:
     """(key) of documents that satisfy the node."""
     if node.kind == "term":
         return index.where(F.col("term") == node.value[0]).select(key).distinct()
     if node.kind == "prefix":
-        return index.where(F.col("term").startswith(node.value[0])).select(key).distinct()
+        return index.where(_has_prefix(node.value[0])).select(key).distinct()
     if node.kind == "phrase":
         out = index.where(F.col("term") == node.value[0]).select(key, "pos")
         for i, term in enumerate(node.value[1:], 1):
@@ -147,7 +152,7 @@ def search(index: DataFrame, query: str, key: str = "cve_id", limit: int | None
     tf = None
     for i, leaf in enumerate(_leaves(tree)):
         terms = [leaf.value[0]] if leaf.kind != "phrase" else list(leaf.value)
-        keep = F.col("term").startswith(terms[0]) if leaf.kind == "prefix" else F.col("term").isin(terms)
+        keep = _has_prefix(terms[0]) if leaf.kind == "prefix" else F.col("term").isin(terms)
         one = index.where(keep).groupBy(key).agg((F.count("*") / len(terms)).alias("tf")).withColumn("leaf", F.lit(i))
         tf = one if tf is None else tf.unionAll(one)
     df = tf.groupBy("leaf").agg(F.count("*").alias("df"))
