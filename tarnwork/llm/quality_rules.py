@@ -1,10 +1,13 @@
 """Quality rules with risk-controlled thresholds.
 
-Every text gets base counts and five ratios. A ladder of cutoffs, from lenient to strict,
-turns the ratios into one verdict per level. On labelled rows (quality 1: good) the number of
-good texts that a level rejects is counted per stratum; a level is certified if the exact binomial
-test refutes "false rejection rate > max_false_rejection" after Bonferroni correction over all
-strata and levels. Each stratum uses its strictest certified level, or no cutoff at all.
+Every text gets base counts and five ratios. Each ratio has a ladder of cutoffs, from lenient to strict.
+Labelled rows (quality 1: good, 0: poor) are dealt into two halves by a hash of their id:
+1. On the first half each ratio's strictest useful level is found per stratum: the last at which at least
+   MIN_PRECISION of the rejected rows, and MIN_POOR of them, are poor. A ratio without such a level is not used there.
+2. On the second half, the holdout, levels are certified: a level rejects a text if any used ratio
+   exceeds its cutoff at that level (or its own strictest useful one). It is certified if the exact binomial test refutes
+   "the share of good texts rejected exceeds max_false_rejection", after Bonferroni correction over all strata
+   and levels. Each stratum uses its strictest certified level, or no cutoffs at all.
 
 Defined cases: a null text has no words (base_failed); a null stratum, and strata with fewer
 than min_labelled good rows, share the stratum "other"; labels of unknown ids or null quality are
@@ -32,6 +35,7 @@ LADDER = (
     ("dup_line_ratio", 0.90, 0.30),
 )
 LEVELS = 8
+MIN_PRECISION, MIN_POOR = 0.75, 5
 RATIOS = tuple(r for r, _, _ in LADDER)
 
 
@@ -65,13 +69,22 @@ def base_failed():
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def rejected_at(level: int):
+def rejected(cutoffs: dict[str, dict[str, float]], stratum):
+    """True where a ratio exceeds its stratum's cutoff. cutoffs: stratum -> ratio -> cutoff; other strata go by "other"."""
+    name = stratum_name(stratum, [s for s in cutoffs if s != "other"])
     out = F.lit(False)
-    for ratio, lenient, strict in LADDER:
-        out = out | (F.col(ratio) > F.lit(cutoff(lenient, strict, level)))
+    for ratio in RATIOS:
+        pairs = [x for s, c in cutoffs.items() if ratio in c for x in (F.lit(s), F.lit(c[ratio]))]
+        if pairs:
+            out = out | F.coalesce(F.col(ratio) > F.try_element_at(F.create_map(*pairs), name), F.lit(False))
     return out
 
 
+def stratum_name(stratum, known: list[str]):
+    name = F.coalesce(stratum.cast("string"), F.lit("other"))
+    return F.when(name.isin(known), name).otherwise("other") if known else F.lit("other")
+
+
 def binomial_tail(k: int, n: int, p: float) -> float:
     """P(X <= k) for X ~ Binomial(n, p)."""
     if k >= n:
@@ -93,35 +106,43 @@ def certify(table: list[tuple[str, int, list[int]]], max_false_rejection: float,
     return chosen
 
 
-def fit_levels(counts: DataFrame, labels: DataFrame, *, stratum: str = "lang", max_false_rejection: float = 0.05, delta: float = 0.05, min_labelled: int = 300) -> dict[str, int]:
-    """counts: rule_counts with doc_id and the stratum. Only one row per stratum reaches the driver.
+def useful_levels(poor: list[int], good: list[int]) -> int:
+    """The strictest level that rejects MIN_POOR poor rows with MIN_PRECISION; 0 for none."""
+    return max((k for k, (b, g) in enumerate(zip(poor, good), 1) if b >= MIN_POOR and b >= MIN_PRECISION * (b + g)), default=0)
 
-    Strata below min_labelled are pooled first, so there are at most (good rows / min_labelled) + 1 of them.
-    """
-    good = labels.where(F.col("quality") == 1).select(F.col("doc_id"))
-    rows = counts.where(~base_failed()).join(good, "doc_id").groupBy(F.coalesce(F.col(stratum).cast("string"), F.lit("other")).alias("stratum"))
-    per = rows.agg(F.count("*").alias("n"), *[F.count_if(rejected_at(k)).alias(f"k{k}") for k in range(1, LEVELS + 1)])
-    pooled = per.groupBy(F.when(F.col("n") >= min_labelled, F.col("stratum")).otherwise("other").alias("stratum"))
-    got = pooled.agg(F.sum("n").alias("n"), *[F.sum(f"k{k}").alias(f"k{k}") for k in range(1, LEVELS + 1)]).collect()
-    return certify([(r["stratum"], r["n"], [r[f"k{k}"] for k in range(1, LEVELS + 1)]) for r in got], max_false_rejection, delta)
 
+def fit_cutoffs(counts: DataFrame, labels: DataFrame, *, stratum: str = "lang", max_false_rejection: float = 0.05, delta: float = 0.05, min_labelled: int = 300) -> dict[str, dict[str, float]]:
+    """Cutoffs per stratum and ratio. counts: rule_counts with doc_id and the stratum.
 
-def verdict(levels: dict[str, int], stratum: str = "lang"):
-    """The column that is true where a row is kept. Strata that were not fitted go by "other"."""
-    out = rejected = F.lit(False)
-    name = F.coalesce(F.col(stratum).cast("string"), F.lit("other"))
-    known = [s for s in levels if s != "other"]
-    name = F.when(name.isin(known), name).otherwise("other") if known else F.lit("other")
-    for level in sorted(set(levels.values()) - {0}):
-        rejected = rejected | (name.isin([s for s, k in levels.items() if k == level]) & rejected_at(level))
-    return ~(out | base_failed() | rejected)
+    Strata below min_labelled are pooled, so the driver sees at most (good rows / min_labelled) + 1 of them.
+    """
+    marked = labels.where(F.col("quality").isin(0, 1)).select("doc_id", (F.col("quality") == 1).alias("good"))
+    rows = counts.where(~base_failed()).select("doc_id", F.col(stratum).cast("string").alias("stratum"), *RATIOS).join(marked, "doc_id")
+    rows = cut(rows.withColumn("holdout", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2)) == 1))
+    large = [r[0] for r in rows.where("good and stratum is not null").groupBy("stratum").agg(F.count("*").alias("n")).where(F.col("n") >= min_labelled).collect() if r[0] != "other"]
+    rows = rows.withColumn("stratum", stratum_name(F.col("stratum"), large))
+    ladder = [(r, k, cutoff(lenient, strict, k)) for r, lenient, strict in LADDER for k in range(1, LEVELS + 1)]
+    tallies = [F.count_if((F.col("good") == g) & (F.col(r) > c)).alias(f"{r}_{k}_{g}") for r, k, c in ladder for g in (True, False)]
+    caps = {}
+    for row in rows.where("not holdout").groupBy("stratum").agg(*tallies).collect():
+        each = {r: useful_levels(*[[row[f"{r}_{k}_{g}"] for k in range(1, LEVELS + 1)] for g in (False, True)]) for r in RATIOS}
+        caps[row["stratum"]] = {r: k for r, k in each.items() if k}
+    at = lambda level: {s: {r: cutoff(lenient, strict, min(level, c[r])) for r, lenient, strict in LADDER if r in c} for s, c in caps.items()}
+    held = rows.where("holdout and good").groupBy("stratum").agg(F.count("*").alias("n"), *[F.count_if(rejected(at(k), F.col("stratum"))).alias(f"k{k}") for k in range(1, LEVELS + 1)]).collect()
+    chosen = certify([(r["stratum"], r["n"], [r[f"k{k}"] for k in range(1, LEVELS + 1)]) for r in held], max_false_rejection, delta)
+    return {s: at(level)[s] if level and s in caps else {} for s, level in chosen.items()}
+
+
+def verdict(cutoffs: dict[str, dict[str, float]], stratum: str = "lang"):
+    """The column that is true where a row is kept."""
+    return ~(base_failed() | rejected(cutoffs, F.col(stratum)))
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", **risk) -> DataFrame:
-    """One row per row of docs: doc_id, base counts, base_failed, level, kept and the ratios."""
+    """One row per row of docs: doc_id, base counts, base_failed, kept and the ratios."""
     counts = cut(rule_counts(docs, keep=list(dict.fromkeys(["doc_id", stratum]))))
-    levels = fit_levels(counts, labels, stratum=stratum, **risk)
-    return counts.select("doc_id", *S.BASE_COLUMNS, base_failed().alias("base_failed"), verdict(levels, stratum).alias("kept"), *[F.round(r, 6).alias(r) for r in RATIOS])
+    cutoffs = fit_cutoffs(counts, labels, stratum=stratum, **risk)
+    return counts.select("doc_id", *S.BASE_COLUMNS, base_failed().alias("base_failed"), verdict(cutoffs, stratum).alias("kept"), *[F.round(r, 6).alias(r) for r in RATIOS])
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", **risk) -> DataFrame:
@@ -129,8 +150,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", **ri
 
     Texts are counted twice and never shuffled: once for the fit, where only counts meet the labels, once for the verdict.
     """
-    levels = fit_levels(rule_counts(docs, keep=list(dict.fromkeys(["doc_id", stratum]))), labels, stratum=stratum, **risk)
+    cutoffs = fit_cutoffs(rule_counts(docs, keep=list(dict.fromkeys(["doc_id", stratum]))), labels, stratum=stratum, **risk)
     clash = {c.lower() for c in (*S.BASE_COLUMNS, *RATIOS)}
     safe = [f"__col{i}" if c.lower() in clash else c for i, c in enumerate(docs.columns)]
     counted = rule_counts(docs.toDF(*safe))
-    return counted.where(verdict(levels, stratum)).select(*[F.col(f"`{s}`").alias(c) for s, c in zip(safe, docs.columns)])
+    return counted.where(verdict(cutoffs, stratum)).select(*[F.col(f"`{s}`").alias(c) for s, c in zip(safe, docs.columns)])
