@@ -159,7 +159,7 @@ TOKEN = r"[A-Za-z0-9][A-Za-z0-9.+_-]*"
 def tokens_of(text: Column) -> tuple[Column, Column]:
     """(tokens as written, tokens folded to [a-z0-9])."""
     raw = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    return raw, F.transform(raw, X.norm_key)
+    return raw, F.transform(raw, lambda w: F.translate(F.lower(w), ".+_-", ""))  # tokens hold no other characters to drop
 
 
 def only_placeholder_cves(t: Tables) -> DataFrame:

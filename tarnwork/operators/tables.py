@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -36,18 +38,19 @@ AXES = ("attack_vector", "attack_complexity", "privileges_required", "user_inter
 
 
 class Tables(dict):
-    """name -> DataFrame; missing tables are empty with their schema."""
+    """name -> DataFrame; a table is built by `loader` when it is first asked for, and is empty if nothing makes it."""
 
-    def __init__(self, spark: SparkSession, given: dict[str, DataFrame] | None = None):
+    def __init__(self, spark: SparkSession, given: dict[str, DataFrame] | None = None, loader: Callable[[str], DataFrame | None] | None = None):
         super().__init__(given or {})
-        self.spark = spark
+        self.spark, self.loader = spark, loader
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = self.spark.createDataFrame([], SCHEMAS[name])
+        made = self.loader(name) if self.loader else None
+        self[name] = self.spark.createDataFrame([], SCHEMAS[name]) if made is None else made
         return self[name]
 
     def replaced(self, **new: DataFrame) -> Tables:
-        return Tables(self.spark, {**self, **new})
+        return Tables(self.spark, {**self, **new}, self.loader)
 
 
 def schema(name: str) -> T.StructType:

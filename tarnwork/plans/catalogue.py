@@ -69,7 +69,7 @@ def _views() -> None:
     on_model("itw_monthly", V.in_the_wild_monthly, f"SELECT {ym} AS ym, count(*) AS n FROM pub JOIN exploit USING (cve_id) WHERE in_the_wild AND pts IS NOT NULL GROUP BY 1")
     on_model("rolling_mean_monthly", lambda t: V.rolling_mean(V.publications_monthly(t), "ym", "n", 3), f"SELECT ym, n, round(avg(n) OVER (ORDER BY ym ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS rolling FROM (SELECT {ym} AS ym, count(*) AS n FROM pub WHERE pts IS NOT NULL GROUP BY 1)", ("rolling",))
     on_model("last_n_years", lambda t: V.last_years(V.publications_yoy(t), "year", 3), "SELECT year, month, n FROM (SELECT *, dense_rank() OVER (ORDER BY year DESC) AS rk FROM (SELECT CAST(year(pts) AS INT) AS year, CAST(month(pts) AS INT) AS month, count(*) AS n FROM pub WHERE pts IS NOT NULL GROUP BY 1, 2)) WHERE rk <= 3")
-    on_model("cna_monthly_top", lambda t: V.cna_monthly(t, top_k=10), f"SELECT {ym} AS ym, trim(cna) AS cna, count(*) AS n FROM pub WHERE pts IS NOT NULL AND trim(cna) IN (SELECT cna FROM (SELECT trim(cna) AS cna, count(*) AS n FROM pub WHERE trim(coalesce(cna, '')) <> '' GROUP BY 1 ORDER BY n DESC, cna LIMIT 10)) GROUP BY 1, 2")
+    on_model("two_phase_topk_monthly", lambda t: V.cna_monthly(t, top_k=10), f"SELECT {ym} AS ym, trim(cna) AS cna, count(*) AS n FROM pub WHERE pts IS NOT NULL AND trim(cna) IN (SELECT cna FROM (SELECT trim(cna) AS cna, count(*) AS n FROM pub WHERE trim(coalesce(cna, '')) <> '' GROUP BY 1 ORDER BY n DESC, cna LIMIT 10)) GROUP BY 1, 2")
     # C severities and buckets
     on_model("severity_distribution", V.severity_distribution, f"SELECT {sev} AS severity, count(*) AS n FROM pub LEFT JOIN cmax USING (cve_id) GROUP BY 1")
     on_model("severity_monthly", V.severity_monthly, f"SELECT {ym} AS ym, {sev} AS severity, count(*) AS n FROM pub LEFT JOIN cmax USING (cve_id) WHERE pts IS NOT NULL GROUP BY 1, 2")

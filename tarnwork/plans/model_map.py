@@ -57,11 +57,16 @@ MODEL: dict[str, tuple[str, bool, str, dict[str, str]]] = {
 
 
 def model_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    out = Tables(spark)
-    for name, (source, distinct, keep, columns) in MODEL.items():
+    """All model tables, each read when a query first asks for it."""
+
+    def load(name: str) -> DataFrame | None:
+        if name not in MODEL:
+            return None
+        source, distinct, keep, columns = MODEL[name]
         df = spark.read.parquet(f"{sf_dir}/{source}.parquet").where(keep).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
-        out[name] = conform(df.distinct() if distinct else df, name)
-    return out
+        return conform(df.distinct() if distinct else df, name)
+
+    return Tables(spark, loader=load)
 
 
 def prelude() -> str:
