@@ -104,6 +104,24 @@ def put_file(uri: str, data: bytes) -> None:
     fs.move(part, path)
 
 
+class PartFile:
+    """A file below a shared URI, written piece by piece under a temporary name; it gets its own name when closed."""
+
+    def __init__(self, uri: str):
+        self.fs, self.path = filesystem(uri)
+        self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
+        self.part, self.size = f"{self.path}.{uuid.uuid4().hex}.part", 0
+        self.stream = self.fs.open_output_stream(self.part, compression=None)
+
+    def write(self, data: bytes) -> None:
+        self.stream.write(data)
+        self.size += len(data)
+
+    def close(self) -> None:
+        self.stream.close()
+        self.fs.move(self.part, self.path)
+
+
 def let(value: Column, body) -> Column:
     """body(value), with value computed once, however often and in whatever lambda body uses it."""
     return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))

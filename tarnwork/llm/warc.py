@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, cut, filesystem, fresh_dir, put_file
+from .common import PartFile, bounded_sample, cut, filesystem, fresh_dir
 
 DICT_FRAME, ZSTD_FRAME = 0x184D2A5D, 0xFD2FB528
 MIN_SHARED = 100
@@ -203,28 +203,27 @@ def write_archives(pages: DataFrame, out_dir: str, dictionary: bytes | None = No
         import zstandard
 
         c = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(shared.value)) if shared.value else zstandard.ZstdCompressor(level=LEVEL)
-        head = archive_head(shared.value)
-        frames: list[bytes] = [head]
-        size = 0
-
-        def flush():
-            nonlocal frames, size
-            name = f"{uuid.uuid4().hex}.warc.zst"
-            put_file(f"{out_dir}/{name}", b"".join(frames))
-            row = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(frames) - 1], pa.int64())], names=["file", "records"])
-            frames, size = [head], 0
-            return row
+        head, file, records = archive_head(shared.value), None, 0
+
+        def closed():
+            file.close()
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([records], pa.int64())], names=["file", "records"])
 
         for b in batches:
             columns = [b.column(k) for k in range(5)]
             for i in range(b.num_rows):
                 page_id, url, html, digest, first = (col[i].as_py() for col in columns)
-                frames.append(c.compress(build_record(page_id, url, html.encode(), digest, first, first is not None)))
-                size += len(frames[-1])
-                if size >= ARCHIVE_BYTES:
-                    yield flush()
-        if len(frames) > 1:
-            yield flush()
+                if file is None:
+                    name, records = f"{uuid.uuid4().hex}.warc.zst", 0
+                    file = PartFile(f"{out_dir}/{name}")
+                    file.write(head)
+                file.write(c.compress(build_record(page_id, url, html.encode(), digest, first, first is not None)))
+                records += 1
+                if file.size >= ARCHIVE_BYTES:
+                    yield closed()
+                    file = None
+        if file is not None:
+            yield closed()
 
     return cut(mark_revisits(pages).mapInArrow(write, "file string, records long"))
 
