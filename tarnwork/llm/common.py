@@ -94,16 +94,6 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri)
 
 
-def put_file(uri: str, data: bytes) -> None:
-    """Write below a shared URI, by a temporary name and a rename."""
-    fs, path = filesystem(uri)
-    fs.create_dir(path.rpartition("/")[0], recursive=True)
-    part = f"{path}.{uuid.uuid4().hex}.part"
-    with fs.open_output_stream(part, compression=None) as f:
-        f.write(data)
-    fs.move(part, path)
-
-
 class PartFile:
     """A file below a shared URI, written piece by piece under a temporary name; it gets its own name when closed."""
 

@@ -1,8 +1,8 @@
 """Token ids in compressed shard files with a shared dictionary.
 
 File format (all integers little-endian):
-  magic "TKS1" | u8 version | 32 bytes SHA-256 of the dictionary | u64 documents | u64 dictionary bytes
-  dictionary | frames | index: per document i64 key, u64 frame offset, u32 ids | u64 index offset | magic
+  magic "TKS1" | u8 version | 32 bytes SHA-256 of the dictionary | u64 dictionary bytes
+  dictionary | frames | index: per document i64 key, u64 frame offset, u32 ids | u64 index offset | u64 documents | magic
 Each document is one zstandard frame of its ids as unsigned 32-bit integers, compressed against the
 dictionary, so a short document is read by one seek. Files lie in ascending key order: by name, and
 within each file.
@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_sample, cut, filesystem, flat_text, fresh_dir, put_file, text_slices
+from .common import PartFile, bounded_sample, cut, filesystem, flat_text, fresh_dir, text_slices
 
 MAGIC, VERSION = b"TKS1", 1
-HEAD = struct.Struct("<4sB32sQQ")
+HEAD = struct.Struct("<4sB32sQ")
 ENTRY = np.dtype([("key", "<i8"), ("offset", "<u8"), ("ids", "<u4")])
-TAIL = struct.Struct("<Q4s")
+TAIL = struct.Struct("<QQ4s")
 DICT_DOCS, DICT_BYTES = 2000, 1 << 16
 NULL_KEY = -(2**63)
 LEVEL = 3
@@ -147,20 +147,36 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, key: str
         return b""
 
 
+class ShardWriter:
+    """Writes one file through `write`, a frame at a time; only the index stays in memory."""
+
+    def __init__(self, write, dictionary: bytes):
+        import zstandard
+
+        self.codec = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
+        self.write, self.entries, self.ids = write, [], 0
+        write(HEAD.pack(MAGIC, VERSION, hashlib.sha256(dictionary).digest(), len(dictionary)) + dictionary)
+        self.at = HEAD.size + len(dictionary)
+
+    def add(self, key: int, payload: bytes) -> None:
+        frame = self.codec.compress(payload)
+        self.write(frame)
+        self.entries.append((key, self.at, len(payload) // 4))
+        self.at += len(frame)
+        self.ids += len(payload) // 4
+
+    def finish(self) -> None:
+        self.write(np.array(self.entries, ENTRY).tobytes() + TAIL.pack(self.at, len(self.entries), MAGIC))
+
+
 def pack_shard(keys: list[int], payloads: list[bytes], dictionary: bytes) -> bytes:
     """One file's bytes."""
-    import zstandard
-
-    c = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-    index = np.zeros(len(keys), ENTRY)
-    parts = [HEAD.pack(MAGIC, VERSION, hashlib.sha256(dictionary).digest(), len(keys), len(dictionary)), dictionary]
-    at = HEAD.size + len(dictionary)
-    for i, (k, p) in enumerate(zip(keys, payloads)):
-        frame = c.compress(p)
-        index[i] = (k, at, len(p) // 4)
-        parts.append(frame)
-        at += len(frame)
-    return b"".join([*parts, index.tobytes(), TAIL.pack(at, MAGIC)])
+    parts: list[bytes] = []
+    w = ShardWriter(parts.append, dictionary)
+    for k, p in zip(keys, payloads):
+        w.add(k, p)
+    w.finish()
+    return b"".join(parts)
 
 
 class Shard:
@@ -171,8 +187,8 @@ class Shard:
 
         if len(data) < HEAD.size + TAIL.size:
             raise ValueError("truncated shard")
-        magic, version, digest, n, d = HEAD.unpack_from(data)
-        end, tail = TAIL.unpack_from(data, len(data) - TAIL.size)
+        magic, version, digest, d = HEAD.unpack_from(data)
+        end, n, tail = TAIL.unpack_from(data, len(data) - TAIL.size)
         if magic != MAGIC or tail != MAGIC or version != VERSION:
             raise ValueError("not a token shard")
         dictionary = bytes(data[HEAD.size : HEAD.size + d])
@@ -216,30 +232,30 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out_dir: str, *, end_id:
     def write(batches):
         from pyspark import TaskContext
 
-        enc, part, number = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        keys: list[int] = []
-        payloads: list[bytes] = []
-        size = 0
-
-        def flush():
-            nonlocal keys, payloads, size, number
-            name = f"{part:06d}-{number:05d}-{uuid.uuid4().hex[:8]}.tks"
-            put_file(f"{out_dir}/{name}", pack_shard(keys, payloads, shared.value))
-            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([name]), pa.array([len(keys)], pa.int64()), pa.array([sum(map(len, payloads)) // 4], pa.int64())], names=["part", "number", "file", "documents", "ids"])
-            keys, payloads, size, number = [], [], 0, number + 1
+        enc, part, number, file = encoder(tokenizer_path), TaskContext.get().partitionId(), 0, None
+
+        def closed():
+            nonlocal number
+            shard.finish()
+            file.close()
+            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([name]), pa.array([len(shard.entries)], pa.int64()), pa.array([shard.ids], pa.int64())], names=["part", "number", "file", "documents", "ids"])
+            number += 1
             return row
 
         for b in batches:
             ks, column = b.column(0).fill_null(NULL_KEY).to_pylist(), b.column(1)
             for i, j, _, _ in text_slices(column, 4 << 20):
                 for k, ids in zip(ks[i:j], enc.encode(column.slice(i, j - i))):
-                    keys.append(k)
-                    payloads.append(ids + end)
-                    size += len(payloads[-1])
-                    if size >= SHARD_BYTES:
-                        yield flush()
-        if keys:
-            yield flush()
+                    if file is None:
+                        name = f"{part:06d}-{number:05d}-{uuid.uuid4().hex[:8]}.tks"
+                        file = PartFile(f"{out_dir}/{name}")
+                        shard = ShardWriter(file.write, shared.value)
+                    shard.add(k, ids + end)
+                    if shard.ids * 4 >= SHARD_BYTES:
+                        yield closed()
+                        file = None
+        if file is not None:
+            yield closed()
 
     return cut(dealt.mapInArrow(write, "part long, number long, file string, documents long, ids long"))
 
