@@ -140,6 +140,11 @@ def _views() -> None:
     edges = "(SELECT DISTINCT cve_id, vendor_id, vendor_name FROM ve WHERE vendor_id IN (SELECT vendor_id FROM (SELECT vendor_id, count(DISTINCT cve_id) AS c FROM ve GROUP BY 1 ORDER BY c DESC, vendor_id LIMIT 28)))"
     on_model("cooccurrence_pairs", V.cooccurrence_pairs, f"SELECT * FROM (WITH e AS {edges} {pairs})")
     on_model("cooccurrence_matrix", V.cooccurrence_cells, f"SELECT vendor_a, vendor_b, shared_cves FROM (WITH e AS {edges} {pairs}) UNION ALL SELECT vendor_b, vendor_a, shared_cves FROM (WITH e AS {edges} {pairs})")
+    on_model("cooccurrence_graph", V.cooccurrence_graph, f"""SELECT 'node' AS kind, vendor_name AS source, CAST(NULL AS VARCHAR) AS target, cve_count AS weight, round(least(8 + sqrt(cve_count), 40), 6) AS size FROM (SELECT vendor_id, vendor_name, count(DISTINCT cve_id) AS cve_count FROM ve GROUP BY 1, 2 ORDER BY cve_count DESC, vendor_id LIMIT 28)
+      UNION ALL SELECT 'edge', vendor_a, vendor_b, shared_cves, NULL FROM (WITH e AS {edges} {pairs})""", ("size",))
+    on_model("phase_age_days", lambda t: V.phase_age_days(t["pipeline_run"], "2024-02-10 12:00:00").select("phase", "age_days"), "SELECT phase, CAST(floor((epoch(TIMESTAMP '2024-02-10 12:00:00') - epoch(CAST(last_completed_at AS TIMESTAMP))) / 86400) AS BIGINT) AS age_days FROM pipeline_run")
+    on_model("lag_clipped", lambda t: V.clip(V.kev_listing_lag(t), "days", 0, 400), "SELECT cve_id, CAST(greatest(0, least(400, a - CAST(pts AS DATE))) AS INT) AS days FROM (SELECT cve_id, pts, try_cast(substr(date_added, 1, 10) AS DATE) AS a FROM pkev) WHERE a IS NOT NULL")
+    on_model("non_critical", lambda t: V.non_critical(V.cvss_year_stats(t), "n_cves_with_cvss", "n_critical").select("pub_year", "non_critical"), "SELECT strftime(pts, '%Y') AS pub_year, count(*) FILTER (cvss_max < 9) AS non_critical FROM pub JOIN cmax USING (cve_id) GROUP BY 1")
     # samples: ordered by a hash, so that both engines pick the same rows
     h = lambda *k: "md5('0|' || " + " || '|' || ".join(f"CAST({x} AS VARCHAR)" for x in k) + ")"
     on_model("sample_scatter", lambda t: V.epss_cvss_sample(t, n=500), f"SELECT i.cve_id, epss_score, cvss_max FROM (SELECT * FROM pintel WHERE epss_score IS NOT NULL ORDER BY {h('cve_id')}, cve_id LIMIT 500) i LEFT JOIN cmax USING (cve_id)")
