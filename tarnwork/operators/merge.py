@@ -83,13 +83,22 @@ def cascade_delete(t: Tables, ids: DataFrame) -> Tables:
     return t.replaced(**out)
 
 
-def replace_graph(t: Tables, new: Tables) -> Tables:
-    """Delete the records that new holds, with all children, and add new's rows to every table."""
+def replace_graph(t: Tables, new: Tables, steps: tuple[str, ...] | None = None) -> Tables:
+    """Delete the records that new holds, with all children, and add new's rows to every table.
+
+    `steps` limits which child tables are written again; records and deletion are always done.
+    """
     kept = cascade_delete(t, new["cve"])
-    parts = ("cve", *CVE_CHILDREN, "version_range", "reference_tag")
+    parts = ["cve", *(n for n in (*CVE_CHILDREN, "version_range", "reference_tag") if steps is None or n in steps)]
     return kept.replaced(**{n: kept[n].unionByName(new[n].select(*kept[n].columns)) for n in parts if n in new})
 
 
+def upsert_scores(t: Tables, scores: DataFrame) -> Tables:
+    """Scores of known records without touching their graph; a null never erases."""
+    known = scores.join(t["cve"].select("cve_id"), "cve_id", "left_semi")
+    return t.replaced(intel=coalesce_merge(t["intel"], known.select("cve_id", "epss_score", "epss_percentile"), ["cve_id"]))
+
+
 def assign_ids(df: DataFrame, existing: DataFrame, id_column: str, *order: str) -> DataFrame:
     """df with ids that continue the largest existing one, in the order of natural keys: the same on every run.
 

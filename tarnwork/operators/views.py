@@ -98,12 +98,16 @@ def enrichment_coverage(t: Tables, low=None, high=None) -> DataFrame:
         "cvss": t["cvss"], "epss": t["intel"].where("epss_score is not null"), "kev": listed, "cwe": t["cve_cwe"], "vendor": t["cve_vendor"].join(named_vendors(t), "vendor_id", "left_semi"),
         "product": t["affected_product"], "cpe": t["cpe_match"], "reference": t["reference"],
     }
-    parts = None
-    for name in COVERAGE:
-        have = cves.join(sources[name].select("cve_id"), "cve_id", "left_semi").agg(n_rows("present")).select(F.lit(name).alias("enrichment"), "present")
-        parts = have if parts is None else parts.unionAll(have)
-    total = cves.agg(n_rows("total")).where("total > 0")
-    return parts.crossJoin(total).withColumn("share", F.col("present") / F.col("total"))
+    # one bag of (record, source) marks, combined before its only shuffle, meets the records once
+    marks = None
+    for k, name in enumerate(COVERAGE):
+        one = sources[name].select("cve_id", F.lit(1 << k).alias("bit"))
+        marks = one if marks is None else marks.unionAll(one)
+    held = cves.join(marks.groupBy("cve_id").agg(F.bit_or("bit").alias("bits")), "cve_id", "left")
+    has = lambda k: F.count_if(F.col("bits").bitwiseAND(F.lit(1 << k)) != 0)
+    one = held.agg(n_rows("total"), *[has(k).alias(f"has_{name}") for k, name in enumerate(COVERAGE)]).where("total > 0")
+    rows = one.select("total", F.inline(F.array(*[F.struct(F.lit(name).alias("enrichment"), F.col(f"has_{name}").alias("present")) for name in COVERAGE])))
+    return rows.select("enrichment", "present", "total", (F.col("present") / F.col("total")).alias("share"))
 
 
 ROW_COUNT_TABLES = ("cve", "vendor", "cve_vendor", "product", "affected_product", "version_range", "cwe", "cve_cwe", "cvss", "exploit", "kev", "intel", "intel_string_list", "cpe_match", "reference", "reference_tag", "tag", "cve_tag", "pipeline_run")
@@ -471,11 +475,14 @@ def remote_funnel(t: Tables, low=None, high=None) -> DataFrame:
     c = published(t, low, high).select("cve_id").join(t["cvss"].drop("id"), "cve_id", "left")
     conditions = [F.col("score").isNotNull(), F.upper("attack_vector") == "NETWORK", F.upper("privileges_required") == "NONE", F.upper("user_interaction") == "NONE", F.upper("integrity_impact") == "HIGH"]
     names = ("All", "Scored", "Remote", "No privileges", "No interaction", "High integrity impact")
-    held, columns = F.lit(True), [F.count_distinct("cve_id").alias("s0")]
+    held, flags = F.lit(True), []
     for k, cond in enumerate(conditions, 1):
         held = held & cond
-        columns.append(F.count_distinct(F.when(held, F.col("cve_id"))).alias(f"s{k}"))
-    return c.agg(*columns).select(F.inline(F.array(*[F.struct(F.lit(k).alias("step"), F.lit(x).alias("stage"), F.col(f"s{k}").alias("n")) for k, x in enumerate(names)])))
+        flags.append(F.max(F.coalesce(held, F.lit(False))).alias(f"h{k}"))
+    # flags per record first: counting distinct records per stage would expand every row six times
+    per = c.groupBy("cve_id").agg(*flags)
+    one = per.agg(n_rows("s0"), *[F.count_if(f"h{k}").alias(f"s{k}") for k in range(1, len(names))])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("step"), F.lit(x).alias("stage"), F.col(f"s{k}").alias("n")) for k, x in enumerate(names)])))
 
 
 # products, references, tags, intelligence

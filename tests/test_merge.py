@@ -57,3 +57,18 @@ def test_unscored_and_tri_state(spark):
     assert rows(M.null_unscored(intel)) == [("a", None, None), ("b", 0.1, 0.0), ("c", None, None)]
     x = spark.createDataFrame([("a", 0, 1)], "cve_id string, public_poc int, metasploit int")
     assert rows(M.tri_state(x)) == [("a", None, True)]
+
+
+def test_graph_replacement_and_score_upsert(spark):
+    from tarnwork.operators.tables import conform
+
+    make = lambda name, ddl, data: conform(spark.createDataFrame(data, ddl), name)
+    t = Tables(spark, {"cve": make("cve", "cve_id string, title string", [("A", "old"), ("B", "old")]), "cve_cwe": make("cve_cwe", "cve_id string, cwe_id string", [("A", "1"), ("B", "1")]), "intel": make("intel", "cve_id string, epss_score double", [("A", 0.1), ("B", 0.2)])})
+    new = Tables(spark, {"cve": make("cve", "cve_id string, title string", [("A", "new"), ("C", "new")]), "cve_cwe": make("cve_cwe", "cve_id string, cwe_id string", [("A", "2"), ("C", "3")])})
+    out = M.replace_graph(t, new)
+    assert rows(out["cve"].select("cve_id", "title")) == [("A", "new"), ("B", "old"), ("C", "new")]
+    assert rows(out["cve_cwe"]) == [("A", "2"), ("B", "1"), ("C", "3")] and rows(out["intel"].select("cve_id")) == [("B",)]
+    assert rows(M.replace_graph(out, new)["cve_cwe"]) == rows(out["cve_cwe"])
+    assert rows(M.replace_graph(t, new, steps=())["cve_cwe"]) == [("B", "1")]
+    scores = spark.createDataFrame([("B", None, 0.5), ("Z", 0.9, 0.9)], "cve_id string, epss_score double, epss_percentile double")
+    assert rows(M.upsert_scores(t, scores)["intel"]) == [("A", 0.1, None), ("B", 0.2, 0.5)]
