@@ -26,9 +26,11 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     seen = _fingerprint(e)
     for _ in range(MAX_ROUNDS):
         both = e.select(F.col("a").alias("n"), F.col("b").alias("o")).unionAll(e.select(F.col("b").alias("n"), F.col("a").alias("o")))
-        least = both.groupBy("n").agg(F.min("o").alias("m")).select("n", F.least("n", "m").alias("m"))
+        # minima are cut off so that each join has plain shuffles on both sides, which AQE can split at a hot node
+        least = cut(both.groupBy("n").agg(F.min("o").alias("m")).select("n", F.least("n", "m").alias("m")))
         large = both.where("o > n").join(least, "n").select(F.col("o").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = cut(large)
+        least = cut(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").select(F.inline(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b"))))).where("a > b").distinct()
         e = cut(small)
         now = _fingerprint(e)

@@ -183,13 +183,14 @@ def join_classes(docs: DataFrame, *, text: str = "text", threshold: float = THRE
     classes = cut(worded.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands")))
 
     keyed = classes.where("rep is not null").select("rep", F.explode("bands").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
+    # cut off, so that the join has plain shuffles on both sides, which AQE can split at a hot bucket
+    hubs = cut(keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub"))
     links = keyed.join(hubs, "key").where("rep <> hub").select(F.col("hub").alias("u"), F.col("rep").alias("v"))
     candidates = components(links)
 
     members = cut(classes.select("rep", "f1", "copies", "n_grams").join(candidates.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep"))
     sizes = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n_grams").alias("g"))
-    sizes = sizes.select("comp", "m", "g", F.greatest(F.ceil(F.col("m") / UNIT_MEMBERS), F.ceil(F.col("g") / UNIT_GRAMS)).cast("int").alias("blocks"))
+    sizes = cut(sizes.select("comp", "m", "g", F.greatest(F.ceil(F.col("m") / UNIT_MEMBERS), F.ceil(F.col("g") / UNIT_GRAMS)).cast("int").alias("blocks")))
     total = sizes.agg(F.sum(F.when(F.col("blocks") == 1, F.col("m"))).alias("m"), F.sum(F.when(F.col("blocks") == 1, F.col("g"))).alias("g"), F.count_if(F.col("blocks") > 1).alias("large")).first()
     packs = max(1, -(-(total["m"] or 0) // (UNIT_MEMBERS // 2)), -(-(total["g"] or 0) // (UNIT_GRAMS // 2)))
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
