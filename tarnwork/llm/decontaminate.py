@@ -120,13 +120,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRE
     default = math.log(1 + max(n_items, 1))
     places = items.select("row", "item_id", "len", F.posexplode("grams").alias("at", "h"))
 
-    # windows where an n-gram of an item occurs; the n-grams of a text stream through the join, no text is shuffled
+    # windows where an n-gram of an item occurs. Few n-grams: they are broadcast, texts stream through the join and are not
+    # shuffled. Many: positions are shuffled without their texts, which the hits meet again by document.
     words = docs.select(F.col(doc).alias("doc_id"), words_of(F.col(f"`{text}`")).alias("words"))
+    carried = n_grams <= MAX_BROADCAST_ROWS
     hits = None
     for size in sizes:
-        at = words.select("doc_id", "words", F.posexplode(fixed_grams(F.col("words"), size)).alias("pos", "h")).join(small(places.where(F.least("len", F.lit(SIZE)) == size)), "h")
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.size("words") - F.col("len")))
-        part = at.select("doc_id", "row", "item_id", "len", start.alias("start"), F.slice("words", start + 1, F.col("len")).alias("window"))
+        body = [F.col("words")] if carried else []
+        at = words.select("doc_id", *body, F.size("words").alias("n_words"), F.posexplode(fixed_grams(F.col("words"), size)).alias("pos", "h")).join(small(places.where(F.least("len", F.lit(SIZE)) == size)), "h")
+        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n_words") - F.col("len")))
+        part = at.select("doc_id", "row", "item_id", "len", start.alias("start"), *body)
+        if not carried:
+            found, back = part.distinct().alias("a"), words.alias("b")
+            part = found.join(back, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))).select("a.doc_id", "row", "item_id", "len", "start", "words")
+        part = part.select("doc_id", "row", "item_id", "len", "start", F.slice("words", F.col("start") + 1, F.col("len")).alias("window"))
         hits = part if hits is None else hits.unionAll(part)
     if hits is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema[doc].dataType.simpleString()}, item_id {benchmark.schema[item].dataType.simpleString()}, start int, similarity double")

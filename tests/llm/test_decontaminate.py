@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from tarnwork.llm import decontaminate as D
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -49,7 +51,9 @@ def data():
     return docs, items
 
 
-def test_equals_brute_force(spark):
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_equals_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(D, "MAX_BROADCAST_ROWS", broadcast)
     docs, items = data()
     df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, words string")
     bench = spark.createDataFrame(items, "item_id long, text string")
