@@ -1,6 +1,7 @@
 """Words, lines and n-grams of many texts at once, on flat byte arrays.
 
-A word is a maximal run of bytes other than space and \\t..\\r. Hashes are 64-bit
+A word is a maximal run of bytes other than the given separators: space and \\t..\\r, or all ASCII
+characters but letters, digits and the underscore. Hashes are 64-bit
 polynomials over per-byte random values, mixed at the end; equal strings have equal
 hashes in every process, as all constants come from a fixed seed.
 """
@@ -11,10 +12,9 @@ import numpy as np
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_WORD_BYTE = _BYTE.copy()
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
-_WORD_BYTE[SPACE] = 0
+NOT_ALPHANUMERIC = np.array([b < 128 and not (chr(b).isalnum() or b == 95) for b in range(256)])
 _LINE_BYTE = _BYTE.copy()
 _LINE_BYTE[10] = 0
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -51,10 +51,11 @@ def _power(pos: np.ndarray) -> np.ndarray:
 class FlatWords:
     """Word bounds of the texts buf[offs[i]:offs[i+1]]. bounds[i]:bounds[i+1] are the words of text i."""
 
-    def __init__(self, buf: np.ndarray, offs: np.ndarray):
+    def __init__(self, buf: np.ndarray, offs: np.ndarray, separators: np.ndarray = SPACE):
         self.buf, self.offs, self.n = buf, offs, len(offs) - 1
+        self.letters = np.where(separators, np.uint64(0), _BYTE)
         size = len(buf)
-        inside = ~SPACE[buf]
+        inside = ~separators[buf]
         first = np.zeros(size + 1, bool)
         first[offs[:-1]] = True
         begin = inside.copy()
@@ -71,7 +72,7 @@ class FlatWords:
         s0 = self.starts[0]
         lens = np.diff(np.append(self.starts, len(self.buf)))
         pos = np.arange(len(self.buf) - s0) - np.repeat(self.starts - s0, lens)
-        vals = _WORD_BYTE[self.buf[s0:]]
+        vals = self.letters[self.buf[s0:]]
         pos[vals == 0] = 0
         vals = vals * _power(pos)
         return mix(np.add.reduceat(vals, self.starts - s0))

@@ -11,10 +11,11 @@
 4. Smallest relatives are joined to classes of similar documents.
 
 Two texts are linked at a Jaccard similarity of at least THRESHOLD of their sets of SIZE-word n-grams.
-Words are lower-cased runs of other than space and \\t..\\r; a text of fewer than SIZE words is one n-gram.
+Words are lower-cased runs of letters, digits and underscores (ASCII punctuation and spaces separate them), so copies that
+differ in case or punctuation alone are equal; a text of fewer than SIZE words is one n-gram.
 Bands and rows are the most selective that reach RECALL at the threshold within MAX_HASHES.
 
-Defined cases: null and blank texts have no n-grams: each is a class of its own without links. Rows with
+Defined cases: null texts and texts without words have no n-grams: each is a class of its own without links. Rows with
 equal doc_id are one document: they share its class and all are returned. A row with a null doc_id is
 counted as a copy but represents no class; a class of only such rows has a null class_id.
 An empty table gives no rows.
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import cut
-from .flatwords import FlatWords, mix
+from .flatwords import NOT_ALPHANUMERIC, FlatWords, mix
 from .graph import components
 from .text_stats import map_texts
 
@@ -72,7 +73,7 @@ def minhash_bands(grams: np.ndarray, bounds: np.ndarray, bands: int, rows: int)
 
 def _sign(bands: int, rows: int, size: int):
     def make(buf, offs):
-        w = FlatWords(buf, offs)
+        w = FlatWords(buf, offs, NOT_ALPHANUMERIC)
         words = w.word_hashes()
         f1, f2 = w.text_hashes(words)
         grams, bounds = w.shingles(words, size)
@@ -86,7 +87,7 @@ def _sign(bands: int, rows: int, size: int):
 
 def _gram_sets(size: int):
     def make(buf, offs):
-        w = FlatWords(buf, offs)
+        w = FlatWords(buf, offs, NOT_ALPHANUMERIC)
         words = w.word_hashes()
         f1, _ = w.text_hashes(words)
         grams, bounds = w.shingles(words, size)

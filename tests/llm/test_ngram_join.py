@@ -9,7 +9,7 @@ from tarnwork.llm import ngram_join as N
 
 
 def grams(text):
-    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+    w = re.findall(r"[0-9a-z_\x80-\U0010ffff]+", (text or "").lower())
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
@@ -47,7 +47,7 @@ def corpus():
             w[r.randrange(len(w))] = f"q{r.randint(0, 999)}"
         docs.append((100 + k, " ".join(w)))
     docs += [(k, " ".join(f"u{r.randint(0, 10**6)}" for _ in range(r.randint(1, 60)))) for k in range(40)]
-    return docs + [(900, None), (901, ""), (902, " \n"), (903, "one two"), (904, "ONE  two"), (905, "one"), (906, docs[0][1]), (906, docs[0][1]), (907, docs[0][1])]
+    return docs + [(900, None), (901, ""), (902, " \n"), (908, "?! -- ..."), (909, docs[1][1].replace(" ", ", ", 9).upper() + "!"), (903, "one two"), (904, "ONE  two"), (905, "one"), (906, docs[0][1]), (906, docs[0][1]), (907, docs[0][1])]
 
 
 @pytest.mark.parametrize("members", [1024, 16])
