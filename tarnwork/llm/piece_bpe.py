@@ -15,13 +15,15 @@ invalid UTF-8 made by byte pieces decodes to U+FFFD per byte, as in the library.
 from __future__ import annotations
 
 import hashlib
-import re
+import struct
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import flat_text, text_slices
+
 MARK = "▁"
 _MODELS: dict[str, "PieceModel"] = {}
 
@@ -58,8 +60,8 @@ class PieceModel:
                     ranks.append(rank[sp.get_score(i)])
         self._build_table(np.array(keys, np.int64), np.array(to, np.int64), np.array(ranks, np.int64))
         self.text_of = [self.piece[i].replace(MARK, " ") if i in self.piece else None for i in range(self.size)]
-        self.digits = [str(i) for i in range(self.size)]
-        self.cache: dict[str, tuple[int, str, str]] = {}
+        self.digits = [f",{i}" for i in range(self.size)]
+        self.cache: dict[bytes, tuple[bytes, bytes, bytes]] = {}
 
     def _symbol(self, s: str, ids: dict[str, int]) -> int | None:
         if s in ids:
@@ -222,18 +224,19 @@ class PieceModel:
             out.append(_utf8(raw))
         return "".join(out)
 
-    def encode_cached(self, units: list[str]) -> dict[str, tuple[int, str, str]]:
-        """unit -> (number of ids, ids joined by commas, decoded text with its leading space)."""
+    def cached(self, units: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
+        """Of each unit (UTF-8, spaces not yet marks): its ids as 32-bit integers, as text with a comma before each, and its decoded text."""
         cache = self.cache
-        new = [u for u in set(units) if u not in cache]
+        new = [u for u in units if u not in cache]
         if new:
             if len(cache) + len(new) > self.CACHE_UNITS:
-                cache = self.cache = {u: cache[u] for u in set(units) if u in cache}
+                cache = self.cache = {u: cache[u] for u in units if u in cache}
             texts, digits = self.text_of, self.digits
-            for u, ids in zip(new, self.encode_units(new)):
+            for u, ids in zip(new, self.encode_units([u.decode("utf-8", "surrogatepass").replace(" ", MARK) for u in new])):
                 text = [texts[i] for i in ids]
-                cache[u] = (len(ids), ",".join([digits[i] for i in ids]), self._decode_inner(ids) if None in text else "".join(text))
-        return cache
+                decoded = self._decode_inner(ids) if None in text else "".join(text)
+                cache[u] = (struct.pack(f"<{len(ids)}i", *ids), "".join([digits[i] for i in ids]).encode(), decoded.encode("utf-8", "surrogatepass"))
+        return [cache[u] for u in units]
 
     def _decode_inner(self, ids: list[int]) -> str:
         out, raw = [], bytearray()
@@ -250,18 +253,41 @@ class PieceModel:
             out.append(_utf8(raw))
         return "".join(out)
 
-    def units(self, text: str) -> list[str]:
-        """Units of a whole text: a run of marks and what follows up to the next mark; the dummy prefix comes first."""
-        return _UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
-
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        units = self.units(text or "")
-        cache = self.encode_cached(units)
-        for u in units:
-            if cache[u][0]:
-                out += map(int, cache[u][1].split(","))
-        return out
+        return np.frombuffer(self.encode_batch(pa.array([text or ""]))[0], np.int32).tolist()
+
+    def encode_batch(self, texts: pa.Array) -> tuple:
+        """(ids, ids as text with commas, decoded text) as flat bytes, and the bounds of each text in each."""
+        buf, offs = flat_text(texts)
+        buf, offs = _spaced(buf, offs)
+        blank = buf == 32
+        begin = np.zeros(len(buf), bool)
+        begin[1:] = blank[1:] & ~blank[:-1]
+        begin[offs[:-1][np.diff(offs) > 0]] = True
+        cuts = np.append(np.flatnonzero(begin), len(buf)).astype(np.int64)
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(buf)]).dictionary_encode()
+        per = np.searchsorted(cuts, offs) if len(buf) else np.zeros(len(offs), np.int64)
+        out = []
+        for column in zip(*self.cached(units.dictionary.to_pylist())) if len(cuts) > 1 else ((), (), ()):
+            flat = pa.array(column, pa.large_binary()).take(units.indices)
+            _, ends, data = flat.buffers()
+            ends = np.frombuffer(ends, np.int64)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+            out += [memoryview(data) if data is not None else memoryview(b""), ends[per]]
+        return tuple(out)
+
+
+def _spaced(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with a space before each that is not empty, and with spaces for marks."""
+    mark = np.flatnonzero((buf[:-2] == 0xE2) & (buf[1:-1] == 0x96) & (buf[2:] == 0x81)) if len(buf) > 2 else np.zeros(0, np.int64)
+    if len(mark):
+        keep = np.ones(len(buf), bool)
+        keep[mark + 1] = keep[mark + 2] = False
+        buf = buf.copy()
+        buf[mark] = 32
+        offs = offs - 2 * np.searchsorted(mark, offs)
+        buf = buf[keep]
+    some = np.diff(offs) > 0
+    return np.insert(buf, offs[:-1][some], 32), offs + np.concatenate([[0], np.cumsum(some)])
 
 
 def _utf8(raw: bytearray) -> str:
@@ -285,7 +311,6 @@ def _utf8(raw: bytearray) -> str:
 
 
 _NONE = np.int64(1) << 60
-_UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
 def model(path: str) -> PieceModel:
@@ -294,50 +319,32 @@ def model(path: str) -> PieceModel:
     return _MODELS[path]
 
 
-def _rows(texts: list[str], m: PieceModel, with_ids: bool):
-    split = [m.units(t) for t in texts]
-    cache = m.encode_cached([u for s in split for u in s])
-    for t, units in zip(texts, split):
-        got = [cache[u] for u in units]
-        n = sum(g[0] for g in got)
-        joined = ",".join([g[1] for g in got])
-        decoded = "".join([g[2] for g in got])
-        decoded = decoded[1:] if decoded.startswith(" ") else decoded
-        yield n, joined, decoded, np.array(joined.split(","), np.int32) if with_ids and n else np.zeros(0, np.int32)
-
-
 def encode_texts(docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None, outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded")) -> DataFrame:
     """Columns `keep` and any of n_tokens (long), ids (array<int>), decoded (string), ids_sha256, decoded_sha256.
 
     One narrow pass over whole texts; the model is a small file that every executor has at model_path.
     """
-    kinds = {"n_tokens": (T.LongType(), pa.int64()), "ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), "decoded": (T.StringType(), pa.string()), "ids_sha256": (T.StringType(), pa.string()), "decoded_sha256": (T.StringType(), pa.string())}
+    kinds = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
     keep = docs.columns if keep is None else keep
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(o, kinds[o][0]) for o in outputs])
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(o, kinds[o]) for o in outputs])
 
     def run(batches):
         m = model(model_path)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
-            i, total = 0, batch.num_rows
-            while i < total:
-                j, chars, texts = i, 0, []
-                while j < total and (chars < 1 << 21 or j == i):
-                    texts.append(column[j].as_py() or "")
-                    chars += len(texts[-1])
-                    j += 1
-                cols: dict[str, list] = {o: [] for o in outputs}
-                for n, joined, decoded, ids in _rows(texts, m, "ids" in outputs):
-                    made = {"n_tokens": n, "ids": ids, "decoded": decoded}
-                    for o in outputs:
-                        if o == "ids_sha256":
-                            cols[o].append(hashlib.sha256(joined.encode()).hexdigest())
-                        elif o == "decoded_sha256":
-                            cols[o].append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
-                        else:
-                            cols[o].append(made[o])
-                yield pa.RecordBatch.from_arrays([batch.column(k).slice(i, j - i) for k in range(len(keep))] + [pa.array(cols[o], kinds[o][1]) for o in outputs], names=schema.fieldNames())
-                i = j
+            for i, j, _, _ in text_slices(column, 4 << 20):
+                ids, id_ends, joined, joined_ends, decoded, decoded_ends = m.encode_batch(column.slice(i, j - i))
+                made = []
+                for o in outputs:
+                    if o == "n_tokens":
+                        made.append(pa.array(np.diff(id_ends) // 4, pa.int64()))
+                    elif o == "ids":
+                        made.append(pa.ListArray.from_arrays(pa.array(id_ends // 4, pa.int32()), pa.array(np.frombuffer(ids, np.int32, id_ends[-1] // 4))))
+                    else:  # the comma before the first id, and the space before the first word, are left out
+                        data, ends = (joined, joined_ends) if o == "ids_sha256" else (decoded, decoded_ends)
+                        pieces = [data[min(a + 1, b) : b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                        made.append(pa.array([str(x, "utf-8") for x in pieces] if o == "decoded" else [hashlib.sha256(x).hexdigest() for x in pieces]))
+                yield pa.RecordBatch.from_arrays([batch.column(k).slice(i, j - i) for k in range(len(keep))] + made, names=schema.fieldNames())
 
     return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].alias("\0text")).mapInArrow(run, schema)
 
