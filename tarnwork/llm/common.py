@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:

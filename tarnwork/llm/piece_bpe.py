@@ -31,7 +31,7 @@ _MODELS: dict[str, "PieceModel"] = {}
 class PieceModel:
     """Pair table and bounded cache of encoded units, built once per Python worker."""
 
-    CACHE_UNITS = 400_000
+    CACHE_UNITS = 150_000
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -332,7 +332,7 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text", keep: lis
         m = model(model_path)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
-            for i, j, _, _ in text_slices(column, 4 << 20):
+            for i, j, _, _ in text_slices(column, 1 << 21):
                 ids, id_ends, joined, joined_ends, decoded, decoded_ends = m.encode_batch(column.slice(i, j - i))
                 made = []
                 for o in outputs:
