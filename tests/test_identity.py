@@ -45,6 +45,14 @@ def test_platform_never_names_a_record(spark):
     assert rows(I.cve_cpe_vendor(t)) == [("A", "v")]
 
 
+def test_dominance_on_both_sides_of_the_threshold(spark):
+    products = [(1, "at", 1), (2, "below", 1), (3, "sole", 1), (4, "tie", 1), (5, "owned", 2), (6, "n/a", 1)]
+    shares = {1: {"zeta": 8, "acme": 2}, 2: {"acme": 7, "zeta": 2}, 3: {"mid": 3}, 4: {"acme": 2, "zeta": 2}, 5: {"acme": 9}, 6: {"acme": 9}}
+    cpes = [cpe(1000 * p + 100 * j + k, f"C{p}", slug, "p") for p, tally in shares.items() for j, (slug, n) in enumerate(tally.items()) for k in range(n)]
+    t = base(spark, products, [(1, ""), (2, "Acme")], [(p, f"C{p}", p, "cna") for p in shares], cpes)
+    assert rows(I.dominant_slug(t)) == [(1, "zeta"), (3, "mid")]
+
+
 def test_repoint_moves_merges_and_stays(spark):
     vendors = [(1, ""), (2, "Acme"), (3, "big corp")]
     products = [(10, "solo", 1), (11, "under", 1), (12, "torn", 1), (13, "nobody", 1), (14, "twin", 1), (20, "Twin", 2)]
