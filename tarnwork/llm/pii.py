@@ -21,6 +21,7 @@ BASE = ("email", "ip", "card", "phone")
 EXTRA = ("iban", "secret", "local_phone", "ssn")
 MIN_SCORE = 0.5
 CONTEXT = 40  # code points to either side
+SHORTEST = 8  # code points of the shortest match of a further kind
 CHUNK = 64
 
 # Fixed values. Possessive and with a look-behind at run starts, so that no run is scanned from each of its characters;
@@ -66,8 +67,22 @@ def mod97(value: Column) -> Column:
     return F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), step) == 1
 
 
-def _located(gaps: Column, found: Column) -> Column:
-    """array<struct<start, end, value, before, after>> from the gaps around and the texts of all matches."""
+def _sides(i: Column, parts: Column) -> tuple[Column, Column]:
+    """CONTEXT code points of the text before and after match i, neighbouring matches included. parts: as _parts."""
+    reach = 2 * -(-CONTEXT // SHORTEST)  # so many matches and their gaps cover the context
+    first = F.greatest(F.lit(1), 2 * i + 1 - reach)
+    before, after = F.slice(parts, first, 2 * i + 2 - first), F.slice(parts, 2 * i + 3, F.lit(reach + 1))
+    return F.right(F.array_join(before, ""), F.lit(CONTEXT)), F.left(F.array_join(after, ""), F.lit(CONTEXT))
+
+
+def _parts(gaps: Column, found: Column) -> Column:
+    """gap, match, gap, ..., gap; long gaps are cut to the context of their two neighbours."""
+    short = lambda g: F.when(F.length(g) > 2 * CONTEXT, F.concat(F.left(g, F.lit(CONTEXT)), F.right(g, F.lit(CONTEXT)))).otherwise(g)
+    return F.flatten(F.transform(gaps, lambda g, i: F.filter(F.array(short(g), F.get(found, i)), lambda x: x.isNotNull())))
+
+
+def _located(gaps: Column, found: Column, context: bool) -> Column:
+    """array<struct<start, end, value, before, after>> from the gaps around and the texts of all matches; before and after only with context."""
     last = F.size(found) - 1
     lens = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.length(F.get(gaps, i)).alias("gap"), F.length(F.get(found, i)).alias("size"), i.alias("i")))
     chunked = lambda all_: F.transform(F.sequence(F.lit(0), F.floor(last / CHUNK).cast("int")), lambda k: F.slice(all_, k * CHUNK + 1, F.lit(CHUNK)))
@@ -78,8 +93,11 @@ def _located(gaps: Column, found: Column) -> Column:
     before = lambda totals, k: F.aggregate(F.slice(totals, F.lit(1), k), F.lit(0), lambda acc, x: acc + x)
     place = lambda chunks, totals: F.flatten(F.transform(chunks, lambda c, k: F.aggregate(c, begin(before(totals, k)), walk)["out"]))
     placed = let(lens, lambda all_: let(chunked(all_), lambda chunks: let(F.transform(chunks, total), lambda totals: place(chunks, totals))))
-    gap = lambda i: F.get(gaps, i)
-    return F.transform(placed, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.get(found, s["i"]).alias("value"), F.right(gap(s["i"]), F.lit(CONTEXT)).alias("before"), F.left(gap(s["i"] + 1), F.lit(CONTEXT)).alias("after")))
+    plain = lambda s: [s["start"].alias("start"), s["end"].alias("end"), F.get(found, s["i"]).alias("value")]
+    if not context:
+        return F.transform(placed, lambda s: F.struct(*plain(s)))
+    sided = lambda s, parts: F.struct(*plain(s), *[c.alias(n) for c, n in zip(_sides(s["i"], parts), ("before", "after"))])
+    return let(_parts(gaps, found), lambda parts: F.transform(placed, lambda s: sided(s, parts)))
 
 
 def _valid(kind: str, v: Column) -> Column:
@@ -109,7 +127,7 @@ def _spans_of(kind: str, t: Column) -> Column:
     none = F.array().cast(SPAN)
     found = F.regexp_extract_all(t, F.lit(PATTERNS[kind]), F.lit(0))
     entry = lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"), _score(kind, s).alias("score"))
-    located = lambda f: let(F.split(t, PATTERNS[kind], -1), lambda gaps: _located(gaps, f))
+    located = lambda f: let(F.split(t, PATTERNS[kind], -1), lambda gaps: _located(gaps, f, kind in EXTRA))
     spans = let(found, lambda f: F.when(F.size(f) > 0, F.transform(F.filter(located(f), lambda s: _valid(kind, s["value"])), entry).cast(SPAN)).otherwise(none))
     return F.when(F.contains(t, F.lit(GUARDS[kind])), spans).otherwise(none) if kind in GUARDS else spans
 

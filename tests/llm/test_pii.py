@@ -46,6 +46,32 @@ def test_method_adds_confirmed_spans_only(spark):
     assert got == ["iban:7:34", "", "secret:9:49", "", "local_phone:5:13", "", "ssn:10:21", "", "phone:0:17"]
 
 
+def extra_brute(text):
+    """Spans of the further kinds but IBANs, with 40 characters of the whole text on either side as context."""
+    out, base = [], [m.span() for k, p in KINDS.items() for m in p.finditer(text) if valid(k, m.group())]
+    for kind in ("secret", "local_phone", "ssn"):
+        prior, up, down = pii.CONTEXT_WORDS[kind]
+        for m in re.finditer(pii.PATTERNS[kind], text):
+            near = (text[max(0, m.start() - 40) : m.start()] + " " + text[m.end() : m.end() + 40]).lower()
+            score = prior + 0.4 * bool(re.search(up, near)) - 0.3 * bool(re.search(down, near))
+            if score >= 0.5 and not any(a < m.end() and m.start() < b for a, b in base):
+                out.append((m.start(), pii.EXTRA.index(kind), f"{kind}:{m.start()}:{m.end()}"))
+    return [x[-1] for x in sorted(out)]
+
+
+def test_context_reaches_across_neighbouring_matches(spark):
+    key = "ede43f42c939b6405768150e0411590525cf881a"
+    rows = ["call 555-1234 or 555-9876", "ssn 123-45-6789, 987-65-4321", "555-1234, 555-2345, 555-3456 and 555-4567 are mobile", "call 555-1234 555-9876 order", f"keys: token {key[:32]} {key[1:33]}", "call " + "555-1234;" * 6, "é😀 ssn " + "123-45-6789 " * 5, "call " + "x" * 41 + " 555-1234 555-2345"]
+    r = random.Random(8)
+    parts = ["call", "order", "part", "ssn", "token", "commit", "555-1234", "555-123-4567", "123-45-6789", key[:32], "é😀", "word", "x" * 30, "y" * 90]
+    rows += ["".join(r.choice(parts) + r.choice([" ", ", ", "\n"]) for _ in range(r.randint(2, 14))) for _ in range(300)] + ["call " + "555-1234, " * 5_000]
+    got = {x.doc_id: x.spans for x in pii.digest(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert got[0] == "local_phone:5:13,local_phone:17:25" and got[1] == "ssn:4:15,ssn:17:28" and got[3] == ""
+    for i, t in enumerate(rows):
+        assert [s for s in got[i].split(",") if s.split(":")[0] in pii.EXTRA] == extra_brute(t), t[:200]
+    assert pii.redact(spark.createDataFrame([(1, rows[1])], "doc_id long, text string")).first().text == "ssn [SSN], [SSN]"
+
+
 def test_redaction_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "é a@b.c 1.2.3.4!", "s", 1), (2, None, "s", 1), (2, "clean", "s", 1)], "doc_id long, text string, spans string, __spans int")
     got = pii.redact(df)
