@@ -9,8 +9,8 @@ Labelled rows (quality 1: good, 0: poor) are dealt into two halves by a hash of
    "the share of good texts rejected exceeds max_false_rejection", after Bonferroni correction over all strata
    and levels. Each stratum uses its strictest certified level, or no cutoffs at all.
 
-Defined cases: a null text has no words (base_failed); a null stratum, and strata with fewer
-than min_labelled good rows, share the stratum "other"; labels of unknown ids or null quality are
+Defined cases: a null text has no words (base_failed); null is a stratum like any other; strata with fewer than
+min_labelled good rows, or none, have no certificate of their own, so only the base rule rejects there; labels of unknown ids or null quality are
 ignored; a label given twice counts twice; repeated rows each get their own result; no labels: no cutoffs.
 """
 
@@ -70,8 +70,12 @@ def base_failed():
 
 
 def rejected(cutoffs: dict[str, dict[str, float]], stratum):
-    """True where a ratio exceeds its stratum's cutoff. cutoffs: stratum -> ratio -> cutoff; other strata go by "other"."""
-    name = stratum_name(stratum, [s for s in cutoffs if s != "other"])
+    """True where a ratio exceeds its stratum's cutoff. cutoffs: stratum_name -> ratio -> cutoff; other strata have none."""
+    return exceeds(cutoffs, stratum_name(stratum))
+
+
+def exceeds(cutoffs: dict[str, dict[str, float]], name):
+    """As rejected, for a column of stratum_name."""
     out = F.lit(False)
     for ratio in RATIOS:
         pairs = [x for s, c in cutoffs.items() if ratio in c for x in (F.lit(s), F.lit(c[ratio]))]
@@ -80,9 +84,9 @@ def rejected(cutoffs: dict[str, dict[str, float]], stratum):
     return out
 
 
-def stratum_name(stratum, known: list[str]):
-    name = F.coalesce(stratum.cast("string"), F.lit("other"))
-    return F.when(name.isin(known), name).otherwise("other") if known else F.lit("other")
+def stratum_name(stratum):
+    """A text that tells null from every value."""
+    return F.coalesce(F.concat(F.lit("="), stratum.cast("string")), F.lit("null"))
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
@@ -112,15 +116,17 @@ def useful_levels(poor: list[int], good: list[int]) -> int:
 
 
 def fit_cutoffs(counts: DataFrame, labels: DataFrame, *, stratum: str = "lang", max_false_rejection: float = 0.05, delta: float = 0.05, min_labelled: int = 300) -> dict[str, dict[str, float]]:
-    """Cutoffs per stratum and ratio. counts: rule_counts with doc_id and the stratum.
+    """Cutoffs per stratum (as stratum_name) and ratio. counts: rule_counts with doc_id and the stratum.
 
-    Strata below min_labelled are pooled, so the driver sees at most (good rows / min_labelled) + 1 of them.
+    Strata below min_labelled get none, so the driver sees at most (good rows / min_labelled) of them.
     """
     marked = labels.where(F.col("quality").isin(0, 1)).select("doc_id", (F.col("quality") == 1).alias("good"))
-    rows = counts.where(~base_failed()).select("doc_id", F.col(stratum).cast("string").alias("stratum"), *RATIOS).join(marked, "doc_id")
+    rows = counts.where(~base_failed()).select("doc_id", stratum_name(F.col(stratum)).alias("stratum"), *RATIOS).join(marked, "doc_id")
     rows = cut(rows.withColumn("holdout", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2)) == 1))
-    large = [r[0] for r in rows.where("good and stratum is not null").groupBy("stratum").agg(F.count("*").alias("n")).where(F.col("n") >= min_labelled).collect() if r[0] != "other"]
-    rows = rows.withColumn("stratum", stratum_name(F.col("stratum"), large))
+    large = [r[0] for r in rows.where("good").groupBy("stratum").agg(F.count("*").alias("n")).where(F.col("n") >= min_labelled).collect()]
+    if not large:
+        return {}
+    rows = rows.where(F.col("stratum").isin(large))
     ladder = [(r, k, cutoff(lenient, strict, k)) for r, lenient, strict in LADDER for k in range(1, LEVELS + 1)]
     tallies = [F.count_if((F.col("good") == g) & (F.col(r) > c)).alias(f"{r}_{k}_{g}") for r, k, c in ladder for g in (True, False)]
     caps = {}
@@ -128,7 +134,7 @@ def fit_cutoffs(counts: DataFrame, labels: DataFrame, *, stratum: str = "lang",
         each = {r: useful_levels(*[[row[f"{r}_{k}_{g}"] for k in range(1, LEVELS + 1)] for g in (False, True)]) for r in RATIOS}
         caps[row["stratum"]] = {r: k for r, k in each.items() if k}
     at = lambda level: {s: {r: cutoff(lenient, strict, min(level, c[r])) for r, lenient, strict in LADDER if r in c} for s, c in caps.items()}
-    held = rows.where("holdout and good").groupBy("stratum").agg(F.count("*").alias("n"), *[F.count_if(rejected(at(k), F.col("stratum"))).alias(f"k{k}") for k in range(1, LEVELS + 1)]).collect()
+    held = rows.where("holdout and good").groupBy("stratum").agg(F.count("*").alias("n"), *[F.count_if(exceeds(at(k), F.col("stratum"))).alias(f"k{k}") for k in range(1, LEVELS + 1)]).collect()
     chosen = certify([(r["stratum"], r["n"], [r[f"k{k}"] for k in range(1, LEVELS + 1)]) for r in held], max_false_rejection, delta)
     return {s: at(level)[s] if level and s in caps else {} for s, level in chosen.items()}
 

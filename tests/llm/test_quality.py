@@ -56,6 +56,16 @@ def test_verdicts_and_clashing_columns(spark, docs):
     assert all(r.kept != r.base_failed for r in Q.apply_rules(df, labels.limit(0)).collect())
 
 
+def test_strata_without_a_certificate_go_by_the_base_rule(spark):
+    text = lambda i, mark: " ".join(f"{mark}w{i}x{k}" for k in range(30))
+    groups = [("few", 290, "", 1), ("few", 60, "$$$", 0), ("bare", 40, "$$$", None), (None, 700, "", 1), (None, 60, "$$$", 0)]
+    rows = [(lang, mark, quality) for lang, n, mark, quality in groups for _ in range(n)]
+    docs = spark.createDataFrame([(i, text(i, m), lang) for i, (lang, m, _) in enumerate(rows)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, q) for i, (_, _, q) in enumerate(rows) if q is not None], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in Q.apply_rules(docs, labels).collect()}
+    assert {(lang, m, kept[i]) for i, (lang, m, _) in enumerate(rows)} == {("few", "", True), ("few", "$$$", True), ("bare", "$$$", True), (None, "", True), (None, "$$$", False)}
+
+
 def test_certified_levels_limit_false_rejection():
     exact = lambda k, n, p: sum(float(np.prod([(n - i) / (i + 1) for i in range(j)])) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
     assert abs(Q.binomial_tail(3, 20, 0.3) - exact(3, 20, 0.3)) < 1e-9 and Q.binomial_tail(5, 5, 0.1) == 1.0
