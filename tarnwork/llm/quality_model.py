@@ -7,7 +7,8 @@ thresholds, on (share of unlabelled above) / (share of positives above). Feature
 byte class shares, word and line counts, repeated words and lines, hashed shares of byte pairs.
 
 Training rows: at most MAX_POSITIVE and MAX_UNLABELLED, chosen by a fixed hash of doc_id, whatever the size
-of the tables. Rows held out (crc32 of the id mod 3 is 1) are never used. All rows are scored.
+of the tables. The shares of unlabelled texts for the prior are of all rows that are not held out, counted per
+threshold in one aggregate. Rows held out (crc32 of the id mod 3 is 1) are never used. All rows are scored.
 
 Defined cases: a null text is empty and is scored as an empty text; a null doc_id is held out as no
 label can be tied to it; a label of an unknown id, or null, is ignored; an id labelled twice counts once if any label is 1;
@@ -27,6 +28,7 @@ from .common import bounded_sample
 MAX_POSITIVE, MAX_UNLABELLED = 8_000, 16_000
 PAIRS = 64
 SEED = 11
+TIE = 1e-9  # scores this far below a threshold reach it: equal texts count alike, however their sums were rounded
 
 
 def held_out(doc_id: Column) -> Column:
@@ -57,12 +59,21 @@ def features(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.concatenate([np.sqrt(hist / size), np.sqrt(pairs / size), extra], axis=1)
 
 
+def prior_thresholds(positive: np.ndarray) -> np.ndarray:
+    """Ascending."""
+    return np.quantile(positive, np.linspace(0.02, 0.9, 45))
+
+
 def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """Upper bound on the share of positives among unlabelled scores, at its best threshold."""
-    cuts = np.quantile(positive, np.linspace(0.02, 0.9, 45))
-    p = np.array([(positive >= c).mean() for c in cuts])
-    u = np.array([(unlabelled >= c).mean() for c in cuts])
-    slack = np.sqrt(np.log(4 / 0.1) / 2) * (1 / np.sqrt(len(positive)) + 1 / np.sqrt(len(unlabelled)))
+    return prior_of_counts(positive, np.array([(unlabelled >= c).sum() for c in prior_thresholds(positive)]), len(unlabelled))
+
+
+def prior_of_counts(positive: np.ndarray, above: np.ndarray, n: int) -> float:
+    """As class_prior, from how many of n unlabelled scores reach each threshold."""
+    p = np.array([(positive >= c).mean() for c in prior_thresholds(positive)])
+    u = above / n
+    slack = np.sqrt(np.log(4 / 0.1) / 2) * (1 / np.sqrt(len(positive)) + 1 / np.sqrt(n))
     ratio = u / np.maximum(p, 1e-9)
     best = np.argmin((u + slack) / np.maximum(p, 1e-9))
     return float(np.clip(ratio[best], 0.02, 0.98))
@@ -79,8 +90,11 @@ class LinearModel:
         return 1 / (1 + np.exp(-np.clip(self.raw(x), -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, *, epochs: int = 200, rate: float = 0.03, decay: float = 1e-3) -> LinearModel:
-    """Minimise the non-negative risk by Adam on all rows. prior None: estimated from a model fitted to tell P from U."""
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, *, counted=None, epochs: int = 200, rate: float = 0.03, decay: float = 1e-3) -> LinearModel:
+    """Minimise the non-negative risk by Adam on all rows. prior None: estimated from a model fitted to tell P from U.
+
+    counted(model, thresholds) gives how many unlabelled rows reach each threshold, and their number; None: of `unlabelled`.
+    """
     both = np.concatenate([positive, unlabelled])
     mean, scale = both.mean(0), both.std(0) + 1e-6
     p, u = (np.clip((x - mean) / scale, -8, 8) for x in (positive, unlabelled))
@@ -99,7 +113,11 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
     with_bias = lambda x, e: np.append(x.T @ e, e.sum()) / len(x)
     if prior is None:
         w = adam(lambda w: 0.5 * with_bias(p, sig(p @ w[:-1] + w[-1]) - 1) + 0.5 * with_bias(u, sig(u @ w[:-1] + w[-1])))
-        prior = class_prior(p @ w[:-1] + w[-1], u @ w[:-1] + w[-1])
+        raw = p @ w[:-1] + w[-1]
+        if counted is None:
+            prior = class_prior(raw, u @ w[:-1] + w[-1])
+        else:
+            prior = prior_of_counts(raw, *counted(LinearModel(mean, scale, w[:-1], float(w[-1]), 0.5), prior_thresholds(raw)))
 
     def nn_risk(w):
         zp, zu = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
@@ -124,7 +142,21 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> LinearModel
     made = S.map_texts(rows, "t", lambda b, o: [_flat(features(b, o))], [T.StructField("x", T.ArrayType(T.FloatType()))], ["is_p"]).collect()
     p = np.array([r["x"] for r in made if r["is_p"]], np.float64)
     u = np.array([r["x"] for r in made if not r["is_p"]], np.float64)
-    return fit(p, u) if len(p) > 10 and len(u) > 10 else None
+    return fit(p, u, counted=lambda model, cuts: _reached(docs, text, model, cuts)) if len(p) > 10 and len(u) > 10 else None
+
+
+def _reached(docs: DataFrame, text: str, model: LinearModel, cuts: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many rows of docs that are not held out score at least each of the ascending cuts, and the number of those rows."""
+
+    def make(buf, offs):
+        return [np.searchsorted(cuts - TIE, model.raw(features(buf, offs).astype(np.float32).astype(np.float64)), "right").astype(np.int64)]
+
+    rows = docs.where(~held_out(F.col("doc_id"))).select(F.col(f"`{text}`").alias("t"))
+    made = S.map_texts(rows, "t", make, [T.StructField("reached", T.LongType())], []).groupBy("reached").agg(F.count("*").alias("n")).collect()
+    tally = np.zeros(len(cuts) + 1, np.int64)
+    for r in made:
+        tally[r["reached"]] = r["n"]
+    return tally[::-1].cumsum()[::-1][1:], int(tally.sum())
 
 
 def _flat(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

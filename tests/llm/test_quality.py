@@ -98,3 +98,23 @@ def test_prior_estimate():
     r = np.random.default_rng(0)
     p, u = r.normal(1, 1, 5000), np.concatenate([r.normal(1, 1, 6000), r.normal(-3, 1, 4000)])
     assert abs(M.class_prior(p, u) - 0.6) < 0.08
+
+
+def test_prior_counts_all_rows_that_are_not_held_out(spark, monkeypatch):
+    r = random.Random(4)
+    good = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(40))
+    bad = lambda: " ".join(r.choice(["###", "$$$", "BUY", "|"]) + r.choice("XYZ") for _ in range(40))
+    texts = [good() if i % 3 else bad() for i in range(900)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(300) if i % 3], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(M, "MAX_UNLABELLED", 30)
+    monkeypatch.setattr(M, "prior_of_counts", lambda p, above, n, real=M.prior_of_counts: seen.append((M.prior_thresholds(p), above, n)) or real(p, above, n))
+    reached = M._reached
+    models = []
+    monkeypatch.setattr(M, "_reached", lambda d, t, model, cuts: models.append(model) or reached(d, t, model, cuts))
+    assert M.train(docs, labels) is not None
+    mine = [t.encode() for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 3 != 1]
+    scores = np.concatenate([models[0].raw(M.features(np.frombuffer(t, np.uint8), np.array([0, len(t)])).astype(np.float32).astype(np.float64)) for t in mine])
+    [(cuts, above, n)] = seen
+    assert n == len(mine) and list(above) == [(scores >= c - M.TIE).sum() for c in cuts]
