@@ -94,9 +94,10 @@ def _buckets(s: str) -> list[int]:
 
 
 def fit_url_model(rows=LABELLED_URLS, *, epochs: int = 300, rate: float = 4.0, decay: float = 1e-3) -> tuple[int, list[int]]:
-    """Bias and BUCKETS weights in millionths. rows: (url, 1 for block), or a DataFrame with url and label (at most MAX_LABELLED rows are used)."""
+    """Bias and BUCKETS weights in millionths. rows: (url, 1 for block), or a DataFrame with url and label (at most MAX_LABELLED rows are used, those with the smallest hash of the url)."""
     if isinstance(rows, DataFrame):
-        rows = [(r["url"], r["label"]) for r in rows.where("url is not null and label is not null").orderBy("url", "label").limit(MAX_LABELLED).collect()]
+        chosen = rows.where("url is not null and label is not null").orderBy(F.xxhash64(F.lit("sample"), "url"), "url", "label").limit(MAX_LABELLED)
+        rows = sorted((r["url"], r["label"]) for r in chosen.collect())
     data = [(_buckets(_parts(u)), float(y)) for u, y in rows]
     if not data:
         return -1_000_000, [0] * BUCKETS

@@ -49,3 +49,15 @@ def test_model_separates_its_table_and_bounds_a_table(spark):
     assert U.fit_url_model([]) == (-1_000_000, [0] * U.BUCKETS)
     plan = U.judge_urls(spark.createDataFrame([(1, "http://a/b")], "page_id long, url string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_bounded_table_is_no_alphabetical_prefix(spark, monkeypatch):
+    monkeypatch.setattr(U, "MAX_LABELLED", 60)
+    rows = [(f"http://a{i}.example/calm/page", 0) for i in range(200)] + [(f"https://z{i}.example/casino/spin", 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "url string, label int")
+    bias, w = model = U.fit_url_model(df)
+    score = lambda u: sum(bias + w[b] for b in U._buckets(U._parts(u)))
+    assert all((score(u) > 0) == bool(y) for u, y in rows)
+    assert U.fit_url_model(df.repartition(7)) == model
+    monkeypatch.setattr(U, "MAX_LABELLED", 400)
+    assert U.fit_url_model(df) == U.fit_url_model(sorted(rows))
