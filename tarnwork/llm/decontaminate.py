@@ -4,9 +4,10 @@ Only DataFrame functions. Each item has its weighted word n-grams (five words; a
 n-gram of all its words) and a 64-bit SimHash of them. A document's windows have the item's number of
 words. A window can reach a positive similarity only if it shares an n-gram with the item, so
 windows are formed where an n-gram of an item occurs, each aligned by the n-gram's place in the item;
-all other windows are at similarity 0, and leaving them out loses nothing. Windows and items then meet
-on SimHash blocks: RADIUS + 1 blocks of the 64 bits, of which two fingerprints within RADIUS share at
-least one. Pairs within the radius are verified by exact weighted Jaccard similarity.
+windows that share none are at similarity 0. Windows that share n-grams at another offset only are not formed, so a
+pair that needs one of them is missed. Each window meets the item that seeded it, and no other, on
+SimHash blocks: RADIUS + 1 blocks of the 64 bits, of which two fingerprints within RADIUS share at
+least one. The blocks find no pair of their own, they only drop seeded ones. Pairs within the radius are verified by exact weighted Jaccard similarity.
 
 An n-gram weighs log(1 + items / items that hold it) per occurrence; one that no item holds weighs as one that a single item holds.
 Words are lower-cased runs of other than space and \\t..\\r.
