@@ -1,9 +1,9 @@
 """Words, lines and n-grams of many texts at once, on flat byte arrays.
 
 A word is a maximal run of bytes other than the given separators: space and \\t..\\r, or all ASCII
-characters but letters, digits and the underscore. Hashes are 64-bit
-polynomials over per-byte random values, mixed at the end; equal strings have equal
-hashes in every process, as all constants come from a fixed seed.
+characters but letters, digits and the underscore. A string's 64-bit hash is the mixed sum of one value per byte, a
+product that depends on byte and place together, so no rearrangement of bytes cancels out by construction. Equal strings
+have equal hashes in every process, as all constants come from a fixed seed; strings of equal hash are taken as equal.
 """
 
 from __future__ import annotations
@@ -15,21 +15,12 @@ _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 NOT_ALPHANUMERIC = np.array([b < 128 and not (chr(b).isalnum() or b == 95) for b in range(256)])
-_LINE_BYTE = _BYTE.copy()
-_LINE_BYTE[10] = 0
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _GRAM = _rng.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n - 1, base, np.uint64), dtype=np.uint64)])
-
-
-_LOW = _powers(_BASE, 1 << 16)
-with np.errstate(over="ignore"):
-    _HIGH_BASE = _LOW[-1] * _BASE
+_LOW_HALF, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -41,11 +32,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _power(pos: np.ndarray) -> np.ndarray:
-    if len(pos) == 0 or int(pos.max()) < 1 << 16:
-        return _LOW[pos]
-    high = _powers(_HIGH_BASE, (int(pos.max()) >> 16) + 1)
-    return _LOW[pos & 0xFFFF] * high[pos >> 16]
+_PLACES = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64) * _BASE)
+
+
+def _places(pos: np.ndarray) -> np.ndarray:
+    """A random-looking value of each place."""
+    if len(pos) == 0 or int(pos.max()) < len(_PLACES):
+        return _PLACES[pos]
+    return mix((pos.astype(np.uint64) + np.uint64(1)) * _BASE)
+
+
+def _placed(values: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """The product of the two halves of value xor place: not linear in either."""
+    x = values ^ _places(pos)
+    return (x >> _HALF) * (x & _LOW_HALF)
 
 
 class FlatWords:
@@ -53,7 +53,6 @@ class FlatWords:
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, separators: np.ndarray = SPACE):
         self.buf, self.offs, self.n = buf, offs, len(offs) - 1
-        self.letters = np.where(separators, np.uint64(0), _BYTE)
         size = len(buf)
         inside = ~separators[buf]
         first = np.zeros(size + 1, bool)
@@ -72,9 +71,10 @@ class FlatWords:
         s0 = self.starts[0]
         lens = np.diff(np.append(self.starts, len(self.buf)))
         pos = np.arange(len(self.buf) - s0) - np.repeat(self.starts - s0, lens)
-        vals = self.letters[self.buf[s0:]]
-        pos[vals == 0] = 0
-        vals = vals * _power(pos)
+        outside = ~self.inside[s0:]
+        pos[outside] = 0
+        vals = _placed(_BYTE[self.buf[s0:]], pos)
+        vals[outside] = 0
         return mix(np.add.reduceat(vals, self.starts - s0))
 
     def doc_of_word(self) -> np.ndarray:
@@ -113,7 +113,7 @@ class FlatWords:
             res = np.zeros(self.n, np.uint64)
             if len(words):
                 pos = np.arange(len(words)) - np.repeat(self.bounds[:-1], self.n_words)
-                vals = mix(words * salt + salt) * _power(pos)
+                vals = mix(words * salt ^ _places(pos))
                 res[some] = mix(np.add.reduceat(vals, self.bounds[:-1][some]) + self.n_words[some].astype(np.uint64))
             out.append(res)
         return out[0], out[1]
@@ -127,7 +127,9 @@ class FlatWords:
         begin = np.union1d(self.offs[:-1][np.diff(self.offs) > 0], nl[nl < size])
         lens = np.diff(np.append(begin, size))
         pos = np.arange(size) - np.repeat(begin, lens)
-        h = np.add.reduceat(_LINE_BYTE[self.buf] * _power(pos), begin)
+        vals = _placed(_BYTE[self.buf], pos)
+        vals[self.buf == 10] = 0
+        h = np.add.reduceat(vals, begin)
         filled = np.unique(np.searchsorted(begin, self.starts, "right") - 1)
         doc = np.searchsorted(self.offs, begin[filled], "right") - 1
         key = mix(mix(h[filled]) + doc.astype(np.uint64) * _BASE)

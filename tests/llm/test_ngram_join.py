@@ -6,6 +6,9 @@ import numpy as np
 import pytest
 
 from tarnwork.llm import ngram_join as N
+from tarnwork.llm.flatwords import FlatWords
+
+from .test_quality import thue_morse
 
 
 def grams(text):
@@ -59,6 +62,16 @@ def test_equals_brute_force_whole_and_in_blocks(spark, monkeypatch, members):
     assert got == brute(docs)
 
 
+def test_texts_that_cancel_in_a_polynomial_stay_different(spark):
+    letters = ["".join(x) for x in thue_morse("a", "b")]
+    words = [" ".join(x) for x in thue_morse("ab", "cd")]
+    df = spark.createDataFrame(list(enumerate(letters + words)), "doc_id long, text string")
+    f = {(r.doc_id, r.class_id) for r in N.join_classes(df).collect()}
+    assert {i for i, c in f if i in (0, 1) and c == i} == {0, 1}
+    signed = [FlatWords(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)])) for t in words]
+    assert len({w.text_hashes(w.word_hashes())[0][0] for w in signed}) == len({w.text_hashes(w.word_hashes())[1][0] for w in signed}) == 2
+
+
 def test_keep_one_and_clashing_columns(spark):
     docs = [(5, "a b c d e f", 1, "x"), (3, "A b c d e f", 1, "x"), (9, "other words here", 1, "x"), (7, None, 1, "x"), (None, "a b c d e f", 1, "x")]
     df = spark.createDataFrame(docs, "doc_id long, text string, class_id int, rep string")

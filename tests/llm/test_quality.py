@@ -40,6 +40,21 @@ def test_base_counts_equal_brute_force(spark, docs):
     assert got == Counter((i, *brute(t)) for i, t, _ in rows)
 
 
+def thue_morse(a, b, n=2048):
+    return [a if k.bit_count() % 2 == 0 else b for k in range(n)], [b if k.bit_count() % 2 == 0 else a for k in range(n)]
+
+
+def test_texts_that_cancel_in_a_polynomial_stay_different(spark):
+    """A Thue-Morse text and its complement, as lines, as words and as sequences of words."""
+    one, two = ("".join(x) for x in thue_morse("a", "b"))
+    tail = "b c d e f g h"
+    by_word = [" ".join(x) for x in thue_morse("ab", "cd")]
+    texts = [f"{one}\n{two}", f"{one} {tail} {two} {tail}", "\n".join(by_word)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r[c] for c in Q.S.BASE_COLUMNS) for r in Q.rule_counts(df).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(texts)} and got[0][3] == 0 and got[1][4] == 0 and got[2][3] == 0
+
+
 def test_verdicts_and_clashing_columns(spark, docs):
     df, rows = docs
     labels = spark.createDataFrame([(i, i % 2) for i in range(250)] + [(9999, 1), (1, None)], "doc_id long, quality int")
