@@ -14,12 +14,14 @@ SLICE_BYTES = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a new local one with a local master; an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tarnwork-")
         spark.sparkContext.setCheckpointDir(path)
     return path
@@ -48,6 +50,11 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.where(share).limit(2 * rows)
 
 
+def small_side(df: DataFrame, rows: int, bound: int) -> DataFrame:
+    """df, marked for broadcast if its counted rows are within the bound; else joins shuffle it like any other side."""
+    return F.broadcast(df) if rows <= bound else df
+
+
 def private_name(df: DataFrame, stem: str) -> str:
     """A column name that no column of df has, whatever its case."""
     taken = {c.lower() for c in df.columns}

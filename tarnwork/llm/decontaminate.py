@@ -1,36 +1,55 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
 
 Only DataFrame functions. Each item has its weighted word n-grams (five words; a shorter item is one
-n-gram of all its words) and a 64-bit SimHash of them. A document's windows have the item's number of
-words. A window can reach a positive similarity only if it shares an n-gram with the item, so
-windows are formed where an n-gram of an item occurs, each aligned by the n-gram's place in the item;
-windows that share none are at similarity 0. Windows that share n-grams at another offset only are not formed, so a
-pair that needs one of them is missed. Each window meets the item that seeded it, and no other, on
-SimHash blocks: RADIUS + 1 blocks of the 64 bits, of which two fingerprints within RADIUS share at
-least one. The blocks find no pair of their own, they only drop seeded ones. Pairs within the radius are verified by exact weighted Jaccard similarity.
-
+n-gram of all its words) and a SimHash of BITS bits. A document's windows have an item's number of words; a document
+shorter than that is one window.
+
+1. Prefilter: a document goes on if the n-grams that any item holds weigh enough in it for the lightest item. A
+   window's similarity cannot exceed the share of its weight that items hold, so this loses nothing.
+2. In these documents windows are formed from running sums over segments of SEGMENT starts, so that a window costs the
+   same whatever its length: all windows of each distinct item length, but for lengths of whose items the segment holds no n-gram,
+   segments too light for any item, and windows whose held weight is below the threshold's share of their weight. No
+   item can reach the threshold there; which item holds what does not matter. The others get their SimHash from the same sums.
+3. Windows and items of their length meet in the block index: the fingerprint is cut into blocks, and item
+   fingerprints are entered under every value within the block's own radius. The radii are such that two
+   fingerprints within `radius` bits meet in one block at least (their sum plus the number of blocks exceeds it).
+   The key is length, block and value; nothing else ties a window to an item. Pairs within the radius go on.
+4. Pairs are verified by exact weighted Jaccard similarity of their n-gram bags.
+
+The radius is the smallest that a pair at the threshold exceeds with probability MISS at most.
 An n-gram weighs log(1 + items / items that hold it) per occurrence; one that no item holds weighs as one that a single item holds.
-Words are lower-cased runs of other than space and \\t..\\r.
+Votes are weights in 64ths, rounded. Words are lower-cased runs of other than space and \\t..\\r.
 
 Defined cases: null and blank texts and items have no words and match nothing; rows with one
-doc_id are one document (a window is reported once); repeated items are separate items; an empty
-benchmark or empty documents give no rows. A document shorter than an item is one window.
+doc_id are reported as one document, each of its texts being searched on its own; of windows with equal similarity the first
+is reported; repeated items are separate items; an empty benchmark or empty documents give no rows. Long texts are
+cut into segments that overlap by the longest item, so no row grows with a text beyond its own words.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import cut, let
+from .common import cut, private_name, small_side
 
 SIZE = 5
 THRESHOLD = 0.8
-BITS = 64
-MAX_BROADCAST_ROWS = 500_000  # n-grams of items; about 20 MB. Beyond it the join shuffles.
-MISS = 1e-4
+LANE = 31  # two counters of 31 bits share a bigint
+BITS = 2 * LANE
+BLOCKS = 5
+MISS = 1e-3
+SEGMENT = 128
+SCALE, SLACK = 64, 0.97  # votes are weights in 64ths: rounding changes a share of a weight, at least log 2, by less than 3 %
+PAIR_OF_ONES = 1 | 1 << LANE
+# Rows up to which a side may be broadcast (n-grams of items, index entries, keys of documents); at about 40 bytes a row
+# 20 MB, 60 MB and 40 MB. Beyond, the same joins shuffle.
+MAX_GRAMS, MAX_ENTRIES, MAX_KEYS = 500_000, 1_500_000, 1_000_000
 
 
 def radius_for(threshold: float, miss: float = MISS) -> int:
@@ -47,116 +66,222 @@ def radius_for(threshold: float, miss: float = MISS) -> int:
 RADIUS = radius_for(THRESHOLD)
 
 
-def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def ball(bits: int, radius: int) -> int:
+    """Values within `radius` of one of `bits` bits."""
+    return sum(math.comb(bits, k) for k in range(radius + 1))
 
 
-def grams_of(words: Column, size: int = SIZE) -> Column:
-    """array<long>: hashes of all n-grams; one of all words if there are fewer than `size`, none if there are none."""
-    n = F.size(words)
-    run = F.transform(F.sequence(F.lit(0), n - size), lambda i: F.xxhash64(F.lit(size), *[F.get(words, i + k) for k in range(size)]))
-    short = F.array(F.xxhash64(n, F.concat_ws(" ", words)))
-    return F.when(n >= size, run).when(n > 0, short).otherwise(F.array().cast("array<bigint>"))
+def block_plan(radius: int = RADIUS) -> list[tuple[int, int, int]]:
+    """(first bit, bits, own radius) of each block. Own radii add up to radius - blocks + 1, where they let the fewest values in."""
+    cuts = [BITS * k // BLOCKS for k in range(BLOCKS + 1)]
+    sizes = [b - a for a, b in zip(cuts, cuts[1:])]
+    own = [-1] * BLOCKS  # -1: the block is not used
+    share = lambda k, r: ball(sizes[k], r) / 2 ** sizes[k] if r >= 0 else 0.0
+    for _ in range(radius + 1):
+        k = min(range(BLOCKS), key=lambda k: (share(k, own[k] + 1) - share(k, own[k]), k))
+        own[k] += 1
+    return [(a, n, r) for a, n, r in zip(cuts, sizes, own) if r >= 0]
+
+
+def flips(bits: int, radius: int) -> list[int]:
+    """All masks of at most `radius` of `bits` bits."""
+    return [sum(1 << i for i in c) for k in range(radius + 1) for c in itertools.combinations(range(bits), k)]
+
+
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
 def fixed_grams(words: Column, size: int) -> Column:
-    """As grams_of, all n-grams of exactly `size` words; hashed as short texts if size is below SIZE."""
+    """array<long>: hashes of all n-grams of exactly `size` words. words: a plain column."""
     n = F.size(words)
-    one = (lambda i: F.xxhash64(F.lit(size), *[F.get(words, i + k) for k in range(size)])) if size == SIZE else (lambda i: F.xxhash64(F.lit(size), F.concat_ws(" ", F.slice(words, i + 1, F.lit(size)))))
+    one = lambda i: F.xxhash64(F.lit(size), *[F.get(words, i + k) for k in range(size)])
     return F.when(n >= size, F.transform(F.sequence(F.lit(0), n - size), one)).otherwise(F.array().cast("array<bigint>"))
 
 
-def simhash(grams: Column) -> Column:
-    """64-bit SimHash of array<struct<h, w>>: bit b is set if the weights of grams with bit b exceed the others'."""
-    return let(grams, _simhash)
+def vote_lanes(h: Column, votes: Column) -> list[Column]:
+    """LANE bigints; counter j of lane k has the votes if bit k + LANE * j of the hash is set."""
+    return [F.shiftrightunsigned(h, k).bitwiseAND(F.lit(PAIR_OF_ONES)) * votes for k in range(LANE)]
 
 
-def _simhash(grams: Column) -> Column:
-    vote = lambda b: F.aggregate(grams, F.lit(0.0), lambda acc, g: acc + F.when(F.getbit(g["h"], b) == 1, g["w"]).otherwise(-g["w"]))
-    bits = F.transform(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.when(vote(b) > 0, F.lit("1")).otherwise("0"))
-    return F.array_join(bits, "")
+def print_of(after: Column, before: Column, total: Column) -> Column:
+    """A SimHash from summed lanes, two arrays whose difference counts: a bit is set where at most half of the votes are.
 
+    Both counters of a lane are compared at once; lane k's two results are bits LANE - 1 - k of the print's halves.
+    """
+    even = F.lit(PAIR_OF_ONES << (LANE - 1)) + total * F.lit(PAIR_OF_ONES)
+    bits = lambda a, b: F.shiftrightunsigned(even - (a - b) * 2, LANE - 1).bitwiseAND(F.lit(PAIR_OF_ONES))
+    push = lambda acc, c: F.shiftleft(acc, 1).bitwiseOR(c)
+    # In two parts: as each array is used twice, it is taken from its row first and does not drag the row along.
+    part = lambda first, n: F.aggregate(F.zip_with(F.slice(after, first, n), F.slice(before, first, n), bits), F.lit(0).cast("bigint"), push)
+    low = LANE // 2
+    return F.shiftleft(part(1, LANE - low), low).bitwiseOR(part(LANE - low + 1, low))
 
-def block_bounds(radius: int = RADIUS) -> list[tuple[int, int]]:
-    """(start, length) of radius + 1 blocks over the 64 bits, lengths as equal as can be."""
-    n = radius + 1
-    cuts = [BITS * k // n for k in range(n + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
+def hamming(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
 
-def blocks_of(fingerprint: Column, radius: int = RADIUS) -> Column:
-    return F.array(*[F.struct(F.lit(k).alias("block"), F.substring(fingerprint, a + 1, n).alias("bits")) for k, (a, n) in enumerate(block_bounds(radius))])
 
+def _key(length: Column, block: int, value: Column) -> Column:
+    return length.cast("bigint") * F.lit(1 << 20) + F.lit(block << 16) + value
 
-def hamming(a: Column, b: Column) -> Column:
-    """Differing characters of two bit strings."""
-    return F.aggregate(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda acc, x: acc + x)
 
+def index_keys(length: Column, fingerprint: Column, plan, near: bool) -> Column:
+    """Keys of all blocks; with near, those of all values within each block's radius."""
 
-def _weighted(hashes: Column, weights: DataFrame, rows: DataFrame, keys: list[str], default: float) -> DataFrame:
-    """One row per key: bag, array<struct<h, n, w>> (n occurrences of h, each of weight w) sorted by h."""
-    flat = rows.select(*keys, F.explode(hashes).alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("n"))
-    flat = flat.join(weights, "h", "left").withColumn("w", F.coalesce("w", F.lit(default)))
-    return flat.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("h", "n", "w"))).alias("bag"))
 
+    def keys(block, first, bits, own):
+        value = F.shiftrightunsigned(fingerprint, first).bitwiseAND(F.lit((1 << bits) - 1))
+        if not near:
+            return F.array(_key(length, block, value))
+        masks = F.split(F.lit(",".join(map(str, flips(bits, own)))), ",").cast("array<bigint>")
+        return F.transform(masks, lambda m: _key(length, block, value.bitwiseXOR(m)))
 
-def similarity(a: Column, b: Column) -> Column:
-    """Weighted Jaccard of two bags: sum of w * min(n) over sum of w * max(n)."""
-    total = lambda bag: F.aggregate(bag, F.lit(0.0), lambda acc, x: acc + x["w"] * x["n"])
-    shared = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x["w"] * F.least(x["n"], F.coalesce(F.get(F.filter(b, lambda y: y["h"] == x["h"]), F.lit(0))["n"], F.lit(0))))
-    return let(shared, lambda s: s / (total(a) + total(b) - s))
+    return F.concat(*[keys(k, *b) for k, b in enumerate(plan)])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD, text: str = "text", doc: str = "doc_id", item: str = "item_id") -> DataFrame:
-    """doc_id, item_id, start (word at which the best window starts), similarity: one row per document and leaked item."""
-    radius = radius_for(threshold)
-    items = benchmark.select(F.monotonically_increasing_id().alias("row"), F.col(item).alias("item_id"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
-    items = items.select("row", "item_id", F.size("words").alias("len"), "words").select("*", grams_of(F.col("words")).alias("grams")).drop("words")
-    items = cut(items)  # the row numbers must not change on a retry
-    bounds = items.agg(F.sum(F.size("grams")).alias("grams"), F.count("*").alias("n"), F.collect_set(F.least("len", F.lit(SIZE))).alias("sizes")).first()
-    n_items, n_grams, sizes = bounds["n"], bounds["grams"] or 0, sorted(bounds["sizes"])
-    small = (lambda df: F.broadcast(df)) if n_grams <= MAX_BROADCAST_ROWS else (lambda df: df)
-
-    weights = items.select("row", F.explode(F.array_distinct("grams")).alias("h")).groupBy("h").agg(F.log(1 + F.lit(float(n_items)) / F.count("*")).alias("w"))
-    default = math.log(1 + max(n_items, 1))
-    places = items.select("row", "item_id", "len", F.posexplode("grams").alias("at", "h"))
-
-    # windows where an n-gram of an item occurs. Few n-grams: they are broadcast, texts stream through the join and are not
-    # shuffled. Many: positions are shuffled without their texts, which the hits meet again by document.
-    words = docs.select(F.col(doc).alias("doc_id"), words_of(F.col(f"`{text}`")).alias("words"))
-    carried = n_grams <= MAX_BROADCAST_ROWS
+def text_key(text: Column) -> list[Column]:
+    """Two 64-bit hashes of a whole text; texts of equal hashes are taken as equal."""
+    t = F.coalesce(text.cast("string"), F.lit(""))
+    return [F.xxhash64(t).alias("t1"), F.xxhash64(F.lit("text"), t, F.length(t)).alias("t2")]
+
+
+TEXT = ["t1", "t2"]
+LANES = [f"c{k}" for k in range(LANE)]
+
+
+class Index:
+    """What documents are searched for: items, weights of n-grams, fingerprints in blocks. All in the cluster's shared folder."""
+
+    def __init__(self, benchmark: DataFrame, threshold: float, item: str, text: str):
+        rows = benchmark.select(F.monotonically_increasing_id().alias("row"), F.col(item).alias("item_id"), words_of(F.col(f"`{text}`")).alias("words")).where(F.size("words") > 0)
+        rows = rows.withColumn("len", F.size("words"))
+        grams = functools.reduce(lambda g, s: g.when(F.col("len") == s, fixed_grams(F.col("words"), s)), range(1, SIZE), F.when(F.col("len") >= SIZE, fixed_grams(F.col("words"), SIZE)))
+        self.items = cut(rows.select("row", "item_id", "len", F.least("len", F.lit(SIZE)).alias("size"), grams.alias("grams")))  # the row numbers must not change on a retry
+        self.radius = radius_for(threshold)
+        self.plan = block_plan(self.radius)
+        total = self.items.agg(F.count("*").alias("n"), F.sum(F.size("grams")).alias("grams"), F.max(F.size("grams")).alias("longest")).first()
+        self.n, self.n_grams, self.longest = total["n"], total["grams"] or 0, total["longest"] or 0
+        if not self.n:
+            return
+        weight = F.log(1 + F.lit(float(self.n)) / F.count("*"))
+        held = self.items.select("len", F.explode(F.array_distinct("grams")).alias("h")).groupBy("h").agg(weight.alias("w"), F.collect_set("len").alias("lens"))
+        self.weights = cut(held.withColumn("votes", F.round(F.col("w") * SCALE).cast("bigint")))
+        self.default = math.log(1 + self.n)
+        bags = self.items.select("row", "len", "size", F.explode("grams").alias("h")).groupBy("row", "len", "size", "h").agg(F.count("*").alias("held")).join(small_side(self.weights, self.n_grams, MAX_GRAMS), "h")
+        self.bags = cut(bags)
+        counted = self.bags.select("row", "len", "size", (F.col("votes") * F.col("held")).alias("votes"), (F.col("w") * F.col("held")).alias("w"), "h")
+        summed = counted.groupBy("row", "len", "size").agg(F.sum("votes").alias("total"), F.sum("w").alias("weight"), *[F.sum(c).alias(n) for c, n in zip(vote_lanes(F.col("h"), F.col("votes")), LANES)])
+        p = print_of(F.array(*LANES), F.array_repeat(F.lit(0).cast("bigint"), LANE), F.col("total"))
+        self.prints = cut(summed.select("row", "len", "size", "total", "weight", p.alias("print")))
+        self.lengths = sorted(tuple(r) for r in self.prints.groupBy("size", "len").agg(F.min("total").alias("least")).collect())  # at most one row per distinct length
+        self.entries = sum(ball(bits, own) for _, bits, own in self.plan) * self.n
+
+    def index(self) -> DataFrame:
+        """key, row, item_print: an entry for each value near a block of an item."""
+        keys = index_keys(F.col("len"), F.col("print"), self.plan, near=True)
+        return small_side(self.prints.select(F.explode(keys).alias("key"), "row", F.col("print").alias("item_print")), self.entries, MAX_ENTRIES)
+
+    def known(self, *columns: str) -> DataFrame:
+        return small_side(self.weights.select("h", *columns), self.n_grams, MAX_GRAMS)
+
+
+def candidate_texts(docs: DataFrame, found: Index, threshold: float, doc: str, text: str) -> DataFrame:
+    """doc_id, t1, t2, size, n_words, grams of the distinct texts that pass the prefilter; texts are read twice, and only these are shuffled."""
+    keyed = docs.select(F.col(f"`{doc}`").alias("doc_id"), *text_key(F.col(f"`{text}`")), F.col(f"`{text}`").alias("text"))
+    rows = keyed.select("doc_id", *TEXT, words_of(F.col("text")).alias("words"))
+    sizes = sorted({s for s, _, _ in found.lengths})
+    least = {s: min(v for z, _, v in found.lengths if z == s) for s in sizes}
     hits = None
-    for size in sizes:
-        body = [F.col("words")] if carried else []
-        at = words.select("doc_id", *body, F.size("words").alias("n_words"), F.posexplode(fixed_grams(F.col("words"), size)).alias("pos", "h")).join(small(places.where(F.least("len", F.lit(SIZE)) == size)), "h")
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n_words") - F.col("len")))
-        part = at.select("doc_id", "row", "item_id", "len", start.alias("start"), *body)
-        if not carried:
-            found, back = part.distinct().alias("a"), words.alias("b")
-            part = found.join(back, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))).select("a.doc_id", "row", "item_id", "len", "start", "words")
-        part = part.select("doc_id", "row", "item_id", "len", "start", F.slice("words", F.col("start") + 1, F.col("len")).alias("window"))
+    for s in sizes:
+        at = rows.select("doc_id", *TEXT, F.explode(fixed_grams(F.col("words"), s)).alias("h")).join(found.known("votes"), "h")
+        part = at.groupBy("doc_id", *TEXT).agg(F.sum("votes").alias("v")).where(F.col("v") >= math.floor(least[s] * threshold * SLACK)).select(*TEXT, F.lit(s).alias("size"))
         hits = part if hits is None else hits.unionAll(part)
-    if hits is None:
+    keys = cut(hits.groupBy(*TEXT).agg(F.collect_set("size").alias("sizes")))
+    texts = keyed.join(small_side(keys, keys.count(), MAX_KEYS), TEXT).groupBy("doc_id", *TEXT).agg(F.first("sizes").alias("sizes"), F.first("text").alias("text"))
+    texts = texts.withColumn("words", words_of(F.col("text")))
+    each = F.filter(F.array(*[F.struct(F.lit(s).alias("size"), fixed_grams(F.col("words"), s).alias("grams")) for s in sizes]), lambda x: F.array_contains(F.col("sizes"), x["size"]))
+    return cut(texts.select("doc_id", *TEXT, F.size("words").alias("n_words"), F.inline(each)))
+
+
+def window_prints(texts: DataFrame, found: Index, threshold: float) -> DataFrame:
+    """doc_id, t1, t2, size, len, start, n (n-grams), print of every item-sized window that may reach the threshold."""
+    keys = ["doc_id", *TEXT, "size", "n_words"]
+    # dealt once by document, as whole arrays; all that follows is grouped within
+    dealt = texts.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", *TEXT)
+    at = dealt.select(*keys, F.posexplode("grams").alias("pos", "h")).join(found.known("votes", "lens"), "h", "left")
+    at = at.withColumn("held", F.coalesce("votes", F.lit(0))).withColumn("votes", F.coalesce("votes", F.lit(round(found.default * SCALE))))
+    first = F.greatest(F.lit(0), F.ceil((F.col("pos") - (SEGMENT + found.longest - 2)) / SEGMENT).cast("int"))
+    at = at.withColumn("segment", F.explode(F.sequence(first, F.floor(F.col("pos") / SEGMENT).cast("int"))))
+    least = min(v for _, _, v in found.lengths) * threshold * SLACK
+    at = at.withColumn("any", F.sum("held").over(Window.partitionBy(*keys, "segment"))).where(F.col("any") >= F.lit(least)).drop("any")
+    run = Window.partitionBy(*keys, "segment").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    sums = [F.sum(c).over(run).alias(n) for c, n in zip(vote_lanes(F.col("h"), F.col("votes")), LANES)]
+    at = at.select(*keys, "segment", "pos", "lens", F.sum("votes").over(run).alias("total"), F.sum("held").over(run).alias("held"), *sums)
+    row = F.struct("pos", "total", "held", F.array(*LANES).alias("lanes"))
+    none = F.lit(0).cast("bigint")
+    zero = F.struct(F.lit(-1).alias("pos"), none.alias("total"), none.alias("held"), F.array_repeat(none, LANE).alias("lanes"))
+    parts = at.groupBy(*keys, "segment").agg(F.concat(F.array(zero), F.sort_array(F.collect_list(row))).alias("run"), F.flatten(F.collect_set("lens")).alias("lens"))
+
+    lengths = F.array(*[F.struct(F.lit(s).alias("size"), F.lit(n).alias("len")) for s, n, _ in found.lengths])
+    parts = parts.select("*", F.inline(F.filter(lengths, lambda x: (x["size"] == F.col("size")) & F.array_contains("lens", x["len"]))).alias("same_size", "len")).drop("same_size")
+    parts = parts.withColumn("n", F.least("len", "n_words") - F.col("size") + 1)
+    base = F.col("segment") * SEGMENT
+    last = F.least(F.greatest(F.lit(0), F.col("n_words") - F.col("len")), base + (SEGMENT - 1))
+    starts = F.when(last >= base, F.sequence(base, last)).otherwise(F.array().cast("array<int>"))
+    parts = parts.select("*", F.explode(starts).alias("start"))
+    lo, hi = F.get("run", F.col("start") - base), F.get("run", F.col("start") - base + F.col("n"))
+    sums = parts.withColumn("total", hi["total"] - lo["total"]).withColumn("held", hi["held"] - lo["held"])
+    able = sums.where(F.col("held") >= F.lit(threshold * SLACK) * F.col("total"))
+    able = able.select("doc_id", *TEXT, "size", "len", "start", "n", "total", lo["lanes"].alias("lo"), hi["lanes"].alias("hi"))
+    return able.select("doc_id", *TEXT, "size", "len", "start", "n", print_of(F.col("hi"), F.col("lo"), F.col("total")).alias("print"))
+
+
+def near_pairs(windows: DataFrame, found: Index) -> DataFrame:
+    """Windows and items that meet in a block and are within the radius: each pair once."""
+    keys = index_keys(F.col("len"), F.col("print"), found.plan, near=False)
+    met = windows.select("*", F.explode(keys).alias("key")).join(found.index(), "key")
+    near = met.where(hamming(F.col("print"), F.col("item_print")) <= found.radius)
+    return near.select("doc_id", *TEXT, "size", "start", "n", "row").distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, found: Index, threshold: float) -> DataFrame:
+    """doc_id, row, start, similarity of the pairs at the threshold: sum of w * min(n) over sum of w * max(n)."""
+    same = (F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))) & (F.col("a.t1") == F.col("b.t1")) & (F.col("a.t2") == F.col("b.t2")) & (F.col("a.size") == F.col("b.size"))
+    pair = ["doc_id", *TEXT, "row", "start"]
+    grams = pairs.alias("a").join(texts.alias("b"), same).select("a.doc_id", "a.t1", "a.t2", "row", "start", F.explode(F.slice("grams", F.col("start") + 1, F.col("n"))).alias("h"))
+    bags = grams.groupBy(*pair, "h").agg(F.count("*").alias("n")).join(found.known("w"), "h", "left")
+    bags = bags.join(small_side(found.bags.select("row", "h", "held"), found.n_grams, MAX_GRAMS), ["row", "h"], "left")
+    w = F.coalesce("w", F.lit(found.default))
+    sums = bags.groupBy(*pair).agg(F.sum(w * F.col("n")).alias("window"), F.sum(w * F.least("n", F.coalesce("held", F.lit(0)))).alias("shared"))
+    sums = sums.join(small_side(found.prints.select("row", "weight"), found.n, MAX_GRAMS), "row")
+    sums = sums.withColumn("similarity", F.round(F.col("shared") / (F.col("window") + F.col("weight") - F.col("shared")), 9))
+    return sums.where(F.col("similarity") >= threshold).select("doc_id", *TEXT, "row", "start", "similarity")
+
+
+def matches(docs: DataFrame, found: Index, threshold: float, doc: str, text: str) -> DataFrame:
+    """As verified, of all texts of docs."""
+    texts = candidate_texts(docs, found, threshold, doc, text)
+    return verified(near_pairs(window_prints(texts, found, threshold), found), texts, found, threshold)
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD, text: str = "text", doc: str = "doc_id", item: str = "item_id") -> DataFrame:
+    """doc_id, item_id, start (word at which the best window starts), similarity: one row per document and leaked item."""
+    found = Index(benchmark, threshold, item, "text")
+    if not found.n:
         return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema[doc].dataType.simpleString()}, item_id {benchmark.schema[item].dataType.simpleString()}, start int, similarity double")
-    windows = hits.groupBy("doc_id", "row", "item_id", "len", "start", F.xxhash64("window").alias("same")).agg(F.first("window").alias("window"))
-    keys = ["doc_id", "row", "item_id", "start", "same"]
-    bags = _weighted(F.col("grams"), weights if n_grams > MAX_BROADCAST_ROWS else F.broadcast(weights), windows.select(*keys, grams_of(F.col("window")).alias("grams")), keys, default)
-    prints = lambda df: df.withColumn("print", simhash(F.transform("bag", lambda g: F.struct(g["h"].alias("h"), (g["w"] * g["n"]).alias("w")))))
-    left = prints(bags)
-    right = prints(_weighted(F.col("grams"), weights, items.select("row", "grams"), ["row"], default)).select("row", F.col("bag").alias("item_bag"), F.col("print").alias("item_print"))
-
-    # a pair is taken at the first block it shares, so it is verified once
-    lb = left.select("*", F.inline(blocks_of(F.col("print"), radius)))
-    rb = right.select("*", F.inline(blocks_of(F.col("item_print"), radius)))
-    pairs = lb.join(small(rb), ["row", "block", "bits"])
-    first = F.array_position(F.zip_with(blocks_of(F.col("print"), radius), blocks_of(F.col("item_print"), radius), lambda x, y: x["bits"] == y["bits"]), True) - 1
-    near = pairs.where((first == F.col("block")) & (hamming(F.col("print"), F.col("item_print")) <= radius))
-    found = near.select("doc_id", "row", "item_id", "start", similarity(F.col("bag"), F.col("item_bag")).alias("similarity")).where(F.col("similarity") >= threshold)
-    best = found.groupBy("doc_id", "row", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("start"))).alias("best"))
-    return best.select("doc_id", "item_id", (-F.col("best.start")).alias("start"), F.round("best.similarity", 6).alias("similarity"))
-
-
-def drop_leaky(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of docs that hold no item, all columns as they were. Rows with a null doc_id stay."""
-    leaky = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("__leaky")).distinct()
-    return docs.join(leaky, docs["doc_id"] == leaky["__leaky"], "left_anti")
+    best = matches(docs, found, threshold, doc, text).groupBy("doc_id", "row").agg(F.max(F.struct("similarity", (-F.col("start")).alias("start"))).alias("best"))
+    named = best.join(small_side(found.items.select("row", "item_id"), found.n, MAX_GRAMS), "row")
+    return named.select("doc_id", "item_id", (-F.col("best.start")).alias("start"), F.round("best.similarity", 6).alias("similarity"))
+
+
+def drop_leaky(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD, text: str = "text", doc: str = "doc_id", item: str = "item_id") -> DataFrame:
+    """The rows of docs whose text holds no item, all columns as they were. A row goes by its text, whatever its doc_id, null included."""
+    found = Index(benchmark, threshold, item, "text")
+    if not found.n:
+        return docs
+    names = private_name(docs, "t1"), private_name(docs, "t2")
+    texts = docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    leaky = cut(matches(texts, found, threshold, "doc_id", "text").select(*TEXT).distinct().toDF(*names))
+    same = [a == leaky[b] for a, b in zip(text_key(docs[f"`{text}`"]), names)]
+    return docs.join(small_side(leaky, leaky.count(), MAX_KEYS), same, "left_anti")
