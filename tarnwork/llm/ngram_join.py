@@ -4,11 +4,13 @@
    fingerprint are a class; only its representative (the smallest doc_id) goes on.
 2. Band keys are dealt out; in each bucket all members are linked to its smallest one. The connected
    components of these links hold all pairs that share a bucket.
-3. Components are verified in units of bounded size. Small ones are packed together; a large one is split
-   into blocks, one unit for each pair of blocks, so its work is spread and no task gets it whole.
+3. Pairs that share a bucket are verified in units of bounded size. Small components are packed together. A large one is
+   split either into blocks of members, a unit for each pair of blocks, or into its buckets, cut into blocks alike:
+   whichever deals out fewer rows. Blocks suit a group of near copies, which share nearly all buckets; buckets suit a
+   chain of texts that share few, where the rows stay in proportion to the candidates. Both verify the same pairs.
    A unit counts intersections of full n-gram sets for all its pairs and returns, per member, its number
-   of links and its smallest relative; pairs are never written out.
-4. Smallest relatives are joined to classes of similar documents.
+   of links and its smallest relative; pairs are never written out. A pair counts in the unit of its first shared band.
+4. Smallest relatives are joined to classes of similar documents: components of verified links.
 
 Two texts are linked at a Jaccard similarity of at least THRESHOLD of their sets of SIZE-word n-grams.
 Words are lower-cased runs of letters, digits and underscores (ASCII punctuation and spaces separate them), so copies that
@@ -31,20 +33,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, private_name, small_side
 from .flatwords import NOT_ALPHANUMERIC, FlatWords, mix
 from .graph import components
 from .text_stats import map_texts
 
 SIZE, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
 UNIT_MEMBERS, UNIT_GRAMS = 1024, 400_000
+MAX_IDS = 1_000_000  # ids that may be broadcast, about 40 MB; beyond, the same joins shuffle
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
     """(bands, rows): the most rows per band for which enough bands fit into max_hashes."""
     best = None
     for rows in range(1, max_hashes + 1):
-        bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)))
+        if threshold**rows * max_hashes < 1e-9:  # out of reach
+            break
+        bands = max(1, math.ceil(math.log1p(-recall) / math.log1p(-(threshold**rows))))
         if bands * rows <= max_hashes:
             best = bands, rows
     if best is None:
@@ -141,6 +146,19 @@ def smallest_relatives(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
         label = new
 
 
+def sharing(linked: np.ndarray, keys: np.ndarray, band: int) -> np.ndarray:
+    """linked without pairs that share no band key; with a band, without those that share an earlier one too."""
+    i, j = np.nonzero(np.triu(linked))
+    out = np.zeros_like(linked)
+    for k in range(0, len(i), 1 << 16):
+        a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+        same = keys[a] == keys[b]
+        good = same.any(1) if band < 0 else same.argmax(1) == band
+        good &= same.any(1)
+        out[a[good], b[good]] = out[b[good], a[good]] = True
+    return out
+
+
 UNIT = "rep long, root long, links long"
 
 
@@ -149,7 +167,8 @@ def _verify(threshold: float):
         table = table.combine_chunks()
         col = {c: table.column(c) for c in table.column_names}
         num = lambda c: col[c].to_numpy()
-        rep, f1, comp, copies, block, lo, hi = (num(c) for c in ("rep", "f1", "comp", "copies", "block", "lo", "hi"))
+        rep, f1, comp, copies, block, lo, hi, band = (num(c) for c in ("rep", "f1", "comp", "copies", "block", "lo", "hi", "band"))
+        keys = np.asarray(col["bands"].flatten() if isinstance(col["bands"], pa.Array) else col["bands"].chunk(0).flatten()).reshape(len(rep), -1)
         lists = col["grams"].chunk(0) if isinstance(col["grams"], pa.ChunkedArray) else col["grams"]
         offs = lists.offsets.to_numpy()
         values = lists.values.to_numpy()
@@ -166,6 +185,7 @@ def _verify(threshold: float):
         np.fill_diagonal(linked, False)
         if lo[0] != hi[0]:
             linked &= block[:, None] != block[None, :]
+        linked = sharing(linked, keys[first], int(band[0]))
         links = linked @ copies
         some = np.flatnonzero(linked.any(1))
         root = smallest_relatives(linked, rep) if len(some) else rep
@@ -174,6 +194,38 @@ def _verify(threshold: float):
     return unit
 
 
+def _blocks(members: str, grams: str):
+    return F.greatest(F.ceil(F.col(members) / UNIT_MEMBERS), F.ceil(F.col(grams) / UNIT_GRAMS)).cast("int")
+
+
+def _split(unit, band, blocks):
+    """A member's units in one group: its block with every block."""
+    block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    one = lambda o: F.struct(unit.alias("unit"), F.least(block, o).alias("lo"), F.greatest(block, o).alias("hi"), band.cast("int").alias("band"), block.alias("block"))
+    return F.transform(F.sequence(F.lit(0), blocks - 1), one)
+
+
+def place(members: DataFrame) -> tuple[DataFrame, bool]:
+    """members with `units` (unit, lo, hi, band, block), the units to which each goes; and whether any component is spread over several."""
+    sizes = cut(members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n_grams").alias("g")).withColumn("blocks", _blocks("m", "g")))
+    alone = F.col("blocks") == 1
+    total = sizes.agg(F.sum(F.when(alone, F.col("m"))).alias("m"), F.sum(F.when(alone, F.col("g"))).alias("g"), F.count_if(~alone).alias("large")).first()
+    packs = max(1, -(-(total["m"] or 0) // (UNIT_MEMBERS // 2)), -(-(total["g"] or 0) // (UNIT_GRAMS // 2)))
+    whole = F.array(F.struct(F.pmod(F.xxhash64("comp"), F.lit(packs)).alias("unit"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"), F.lit(-1).alias("band"), F.lit(0).alias("block")))
+    if not total["large"]:
+        return cut(members.withColumn("units", whole)), False
+    large = members.join(sizes.where("blocks > 1").select("comp", "m", "blocks"), "comp")
+    keyed = cut(large.select("comp", "rep", "n_grams", F.posexplode("bands").alias("band", "key")))
+    buckets = cut(keyed.groupBy("comp", "band", "key").agg(F.count("*").alias("n"), F.sum("n_grams").alias("g")).where("n > 1").withColumn("parts", _blocks("n", "g")))
+    cost = buckets.groupBy("comp").agg(F.sum(F.col("n") * F.col("parts")).alias("by_bucket"))
+    chosen = cut(sizes.join(cost, "comp", "left").select("comp", "blocks", ((F.col("blocks") > 1) & (F.col("by_bucket") < F.col("m") * F.col("blocks"))).alias("bucketed")))
+    dealt = keyed.join(buckets.select("comp", "band", "key", "parts"), ["comp", "band", "key"]).join(chosen.where("bucketed").select("comp"), "comp", "left_semi")
+    by_bucket = dealt.groupBy("rep").agg(F.flatten(F.collect_list(_split(F.col("key"), F.col("band"), F.col("parts")))).alias("bucket_units"))
+    rows = members.join(chosen, "comp").join(by_bucket, "rep", "left")
+    units = F.when(alone, whole).when(F.col("bucketed"), F.col("bucket_units")).otherwise(_split(F.col("comp"), F.lit(-1), F.col("blocks")))
+    return cut(rows.withColumn("units", units).where("units is not null").select(*members.columns, "units")), True
+
+
 def join_classes(docs: DataFrame, *, text: str = "text", threshold: float = THRESHOLD, size: int = SIZE, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its group of similar documents), n_links (other documents at the threshold), one row per row of docs."""
     bands, rows = banding(threshold, recall)
@@ -189,23 +241,20 @@ def join_classes(docs: DataFrame, *, text: str = "text", threshold: float = THRE
     links = keyed.join(hubs, "key").where("rep <> hub").select(F.col("hub").alias("u"), F.col("rep").alias("v"))
     candidates = components(links)
 
-    members = cut(classes.select("rep", "f1", "copies", "n_grams").join(candidates.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep"))
-    sizes = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n_grams").alias("g"))
-    sizes = cut(sizes.select("comp", "m", "g", F.greatest(F.ceil(F.col("m") / UNIT_MEMBERS), F.ceil(F.col("g") / UNIT_GRAMS)).cast("int").alias("blocks")))
-    total = sizes.agg(F.sum(F.when(F.col("blocks") == 1, F.col("m"))).alias("m"), F.sum(F.when(F.col("blocks") == 1, F.col("g"))).alias("g"), F.count_if(F.col("blocks") > 1).alias("large")).first()
-    packs = max(1, -(-(total["m"] or 0) // (UNIT_MEMBERS // 2)), -(-(total["g"] or 0) // (UNIT_GRAMS // 2)))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    alone = F.array(F.struct(F.pmod(F.xxhash64("comp"), F.lit(packs)).alias("unit"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi")))
-    split = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.col("comp").alias("unit"), F.least(F.col("block"), o).alias("lo"), F.greatest(F.col("block"), o).alias("hi")))
-    placed = members.join(sizes.select("comp", "blocks"), "comp").withColumn("block", block).withColumn("units", F.when(F.col("blocks") == 1, alone).otherwise(split))
+    members = cut(classes.select("rep", "f1", "copies", "n_grams", "bands").join(candidates.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep"))
+    placed, several = place(members)
 
-    texts = lowered.join(placed.withColumnRenamed("rep", "doc_id").withColumnRenamed("f1", "want"), "doc_id")
-    sets = map_texts(texts, "t", _gram_sets(size), [T.StructField("f1", T.LongType()), T.StructField("grams", T.ArrayType(T.LongType()))], ["doc_id", "want", "comp", "copies", "block", "units"])
-    dealt = sets.where("f1 = want").select(F.col("doc_id").alias("rep"), "f1", "comp", "copies", "block", "grams", F.inline("units"))
-    verified = cut(dealt.groupBy("unit", "lo", "hi").applyInArrow(_verify(threshold), UNIT))
+    # texts are cut to the members by their ids before they are shuffled
+    ids = placed.select(F.col("rep").alias("doc_id"))
+    n_ids = ids.count()
+    narrow = lowered.join(F.broadcast(ids), "doc_id", "left_semi") if n_ids <= MAX_IDS else lowered
+    texts = narrow.join(placed.withColumnRenamed("rep", "doc_id").withColumnRenamed("f1", "want"), "doc_id")
+    sets = map_texts(texts, "t", _gram_sets(size), [T.StructField("f1", T.LongType()), T.StructField("grams", T.ArrayType(T.LongType()))], ["doc_id", "want", "comp", "copies", "bands", "units"])
+    dealt = sets.where("f1 = want").select(F.col("doc_id").alias("rep"), "f1", "comp", "copies", "bands", "grams", F.inline("units"))
+    verified = cut(dealt.groupBy("unit", "lo", "hi", "band").applyInArrow(_verify(threshold), UNIT))
 
     per_rep = verified.groupBy("rep").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
-    if total["large"]:
+    if several:
         grown = components(verified.select(F.col("rep").alias("u"), F.col("root").alias("v")))
         per_rep = per_rep.join(grown.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", "links", F.coalesce("component", "root").alias("root"))
     named = classes.select("f1", "f2", "rep", "copies").join(per_rep, "rep", "left").select("f1", "f2", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
@@ -215,5 +264,6 @@ def join_classes(docs: DataFrame, *, text: str = "text", threshold: float = THRE
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that represent their class, all columns as they were. Rows with a null doc_id stay."""
-    gone = join_classes(docs, **options).where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    key = private_name(docs, "gone")
+    gone = cut(join_classes(docs, **options).where("doc_id <> class_id").select(F.col("doc_id").alias(key)).distinct())
+    return docs.join(small_side(gone, gone.count(), MAX_IDS), docs["doc_id"].cast("long") == gone[key], "left_anti")

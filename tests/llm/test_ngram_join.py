@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarnwork.llm import ngram_join as N
 from tarnwork.llm.flatwords import FlatWords
@@ -72,6 +73,43 @@ def test_texts_that_cancel_in_a_polynomial_stay_different(spark):
     assert len({w.text_hashes(w.word_hashes())[0][0] for w in signed}) == len({w.text_hashes(w.word_hashes())[1][0] for w in signed}) == 2
 
 
+def test_a_chain_of_dissimilar_texts_stays_linear(spark, monkeypatch):
+    """5,000 texts, each sharing buckets with its neighbours only: one component, unit rows in proportion, no link but the planted ones."""
+    word = lambda i: f"w{i * 2654435761 % 4294967291:x}"
+    docs = [(k, " ".join(word(10 * k + i) for i in range(60))) for k in range(5000)] + [(9000, " ".join(word(70 + i) for i in range(59)) + " tail")]
+    seen, real = [], N.place
+
+    def watched(members):
+        placed, several = real(members)
+        seen.append((members.count(), members.select("comp").distinct().count(), placed.agg(F.sum(F.size("units"))).first()[0]))
+        return placed, several
+
+    monkeypatch.setattr(N, "place", watched)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in N.join_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: ((7, 1) if i in (7, 9000) else (i, 0)) for i, _ in docs}
+    [(members, components, rows)] = seen
+    assert members > 4000 and components < 200 and rows <= 24 * members
+
+
+def test_unit_rows_of_chains_and_of_near_copies(spark):
+    chain = [(k, k, 1, 50, [k // 2 * 2 * 100 + 1, (k + 1) // 2 * 2 * 100 + 2] + [10**6 + 100 * k + j for j in range(22)], 0) for k in range(6000)]
+    copies = [(10_000 + k, k, 1, 50, [7 if (k * 31 + j) % 5 else 10**9 + 100 * k + j for j in range(24)], 10_000) for k in range(3000)]
+    df = spark.createDataFrame(chain + copies, "rep long, f1 long, copies long, n_grams long, bands array<long>, comp long")
+    placed, several = N.place(df)
+    rows = {r.comp: r.n for r in placed.groupBy("comp").agg(F.sum(F.size("units")).alias("n")).collect()}
+    assert several and rows[0] <= 2 * 6000 and rows[10_000] == 3 * 3000
+
+
+@pytest.mark.parametrize("members", [4])
+def test_both_ways_of_splitting_count_alike(spark, monkeypatch, members):
+    """Near copies in chains: split into buckets, they have the links of their neighbours."""
+    monkeypatch.setattr(N, "UNIT_MEMBERS", members)
+    word = lambda i: f"w{i * 2654435761 % 4294967291:x}"
+    docs = [(k, " ".join(word(6 * k + i) for i in range(60))) for k in range(16)]
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in N.join_classes(spark.createDataFrame(docs, "doc_id long, text string"), threshold=0.7).collect())
+    assert got == Counter((k, 0, (k > 0) + (k < 15)) for k in range(16))
+
+
 def test_keep_one_and_clashing_columns(spark):
     docs = [(5, "a b c d e f", 1, "x"), (3, "A b c d e f", 1, "x"), (9, "other words here", 1, "x"), (7, None, 1, "x"), (None, "a b c d e f", 1, "x")]
     df = spark.createDataFrame(docs, "doc_id long, text string, class_id int, rep string")
