@@ -4,15 +4,15 @@ File format (all integers little-endian):
   magic "TKS1" | u8 version | 32 bytes SHA-256 of the dictionary | u64 dictionary bytes
   dictionary | frames | index: per document i64 key, u64 frame offset, u32 ids | u64 index offset | u64 documents | magic
 Each document is one zstandard frame of its ids as unsigned 32-bit integers, compressed against the
-dictionary, so a short document is read by one seek. Files lie in ascending key order: by name, and
-within each file.
+dictionary. `fetch` reads a document from the files whose key range holds it: tail, dictionary, index and its own frame.
+Files lie in ascending key order: by name, and within each file.
 
-The dictionary is trained on the serialized ids of DICT_DOCS documents (those with the smallest hash
-of their id); with too few documents for training it is empty. Files are written to a temporary name
+The dictionary is trained on the serialized ids of about DICT_DOCS documents, those in a range of the hash
+of their id; with too few documents for training it is empty. Files are written to a temporary name
 and renamed, so a retried task leaves whole files only; readers use just the files whose tasks succeeded.
 
 Defined cases: a null text is empty (only the end id); a null key sorts first and is kept; repeated
-keys are separate documents in one file; an empty table has no files.
+keys are separate documents in the order of the input, dealt over several tasks if they are many; an empty table has no files.
 """
 
 from __future__ import annotations
@@ -180,24 +180,27 @@ def pack_shard(keys: list[int], payloads: list[bytes], dictionary: bytes) -> byt
 
 
 class Shard:
-    """A file's bytes, checked: magic, version, dictionary hash, index bounds."""
+    """A file, checked: magic, version, dictionary hash, index bounds. Given whole bytes, or read(at, n) and the size; frames are read one by one."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data=None, *, read=None, size: int = 0):
         import zstandard
 
-        if len(data) < HEAD.size + TAIL.size:
+        if read is None:
+            view = memoryview(data)
+            read, size = lambda at, n: view[at : at + n], len(view)
+        if size < HEAD.size + TAIL.size:
             raise ValueError("truncated shard")
-        magic, version, digest, d = HEAD.unpack_from(data)
-        end, n, tail = TAIL.unpack_from(data, len(data) - TAIL.size)
+        end, n, tail = TAIL.unpack(read(size - TAIL.size, TAIL.size))
+        magic, version, digest, d = HEAD.unpack(read(0, HEAD.size))
         if magic != MAGIC or tail != MAGIC or version != VERSION:
             raise ValueError("not a token shard")
-        dictionary = bytes(data[HEAD.size : HEAD.size + d])
+        if end + n * ENTRY.itemsize + TAIL.size != size or HEAD.size + d > end:
+            raise ValueError("index bounds differ")
+        dictionary = bytes(read(HEAD.size, d))
         if hashlib.sha256(dictionary).digest() != digest:
             raise ValueError("dictionary hash differs")
-        if end + n * ENTRY.itemsize + TAIL.size != len(data):
-            raise ValueError("index bounds differ")
-        self.index = np.frombuffer(data, ENTRY, n, end)
-        self.data, self.ends = memoryview(data), np.append(self.index["offset"][1:], end)
+        self.index = np.frombuffer(read(end, n * ENTRY.itemsize), ENTRY)
+        self.read, self.ends = read, np.append(self.index["offset"][1:], end)
         self.codec = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
 
     def __len__(self) -> int:
@@ -206,7 +209,8 @@ class Shard:
     def raw(self, i: int) -> bytes:
         """Ids of document i as bytes; only its own frame is decompressed."""
         n = int(self.index["ids"][i]) * 4
-        out = self.codec.decompress(self.data[int(self.index["offset"][i]) : int(self.ends[i])], max_output_size=max(n, 1))
+        at = int(self.index["offset"][i])
+        out = self.codec.decompress(self.read(at, int(self.ends[i]) - at), max_output_size=max(n, 1))
         if len(out) != n:
             raise ValueError("frame length differs from the index")
         return out
@@ -216,17 +220,18 @@ class Shard:
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, out_dir: str, *, end_id: int = 2, key: str = "doc_id", text: str = "text", dictionary: bytes | None = None) -> DataFrame:
-    """Encode and write all documents in ascending key order. Returns one row per file: part, file, documents, ids.
+    """Encode and write all documents in ascending key order. Returns one row per file: part, number, file, documents, ids, first_key, last_key.
 
-    A range shuffle deals the keys; each task writes the files of its range, split at SHARD_BYTES of raw ids.
+    A range shuffle deals keys and, within a key, row numbers, so that no key goes to one task whole; each task writes the files of its range, split at SHARD_BYTES of raw ids.
     """
     spark = docs.sparkSession
     if dictionary is None:
         dictionary = train_dictionary(docs, tokenizer_path, end_id, key, text)
     shared = spark.sparkContext.broadcast(dictionary)  # at most DICT_BYTES
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"), F.monotonically_increasing_id().alias("r"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first(), "t")
+    order = [F.col("k").asc_nulls_first(), F.col("r")]
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("k", "t")
     end = struct.pack("<I", end_id)
 
     def write(batches):
@@ -238,7 +243,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out_dir: str, *, end_id:
             nonlocal number
             shard.finish()
             file.close()
-            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([name]), pa.array([len(shard.entries)], pa.int64()), pa.array([shard.ids], pa.int64())], names=["part", "number", "file", "documents", "ids"])
+            made = {"part": part, "number": number, "file": name, "documents": len(shard.entries), "ids": shard.ids, "first_key": shard.entries[0][0], "last_key": shard.entries[-1][0]}
+            row = pa.RecordBatch.from_arrays([pa.array([v], pa.string() if k == "file" else pa.int64()) for k, v in made.items()], names=list(made))
             number += 1
             return row
 
@@ -257,7 +263,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out_dir: str, *, end_id:
         if file is not None:
             yield closed()
 
-    return cut(dealt.mapInArrow(write, "part long, number long, file string, documents long, ids long"))
+    return cut(dealt.mapInArrow(write, "part long, number long, file string, documents long, ids long, first_key long, last_key long"))
 
 
 def read_shards(files: DataFrame, out_dir: str, *, with_ids: bool = False, with_crc: bool = True) -> DataFrame:
@@ -298,14 +304,14 @@ def read_shards(files: DataFrame, out_dir: str, *, with_ids: bool = False, with_
     return blobs.mapInArrow(decode, fields)
 
 
-def fetch(files: DataFrame, out_dir: str, doc_id: int) -> list[np.ndarray]:
-    """The ids of the documents with this key: opens each file's index, decompresses only their frames."""
-    out = []
-    for r in files.orderBy("part", "number").toLocalIterator():
+def fetch(files: DataFrame, out_dir: str, doc_id: int | None) -> list[np.ndarray]:
+    """The ids of the documents with this key. Opens the files whose key range holds it; of each it reads the dictionary, the index and the frames asked for."""
+    key, out = NULL_KEY if doc_id is None else doc_id, []
+    for r in files.where((F.col("first_key") <= key) & (F.col("last_key") >= key)).orderBy("part", "number").toLocalIterator():
         fs, p = filesystem(f"{out_dir}/{r['file']}")
-        with fs.open_input_stream(p, compression=None) as f:
-            shard = Shard(f.read())
-        out += [shard.ids(int(i)) for i in np.flatnonzero(shard.index["key"] == doc_id)]
+        with fs.open_input_file(p) as f:
+            shard = Shard(read=lambda at, n, f=f: f.read_at(n, at), size=f.size())
+            out += [shard.ids(int(i)) for i in np.flatnonzero(shard.index["key"] == key)]
     return out
 
 

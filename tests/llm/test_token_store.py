@@ -48,6 +48,57 @@ def test_round_trip_through_files(spark, tmp_path, library):
     assert sorted(x.tolist() for x in K.fetch(files, out, 3)) == sorted(library.encode(t, add_special_tokens=False).ids + [2] for k, t in docs if k == 3)
 
 
+def test_short_documents_are_read_by_their_own_bytes(spark, tmp_path, library, monkeypatch):
+    monkeypatch.setattr(K, "SHARD_BYTES", 40_000)
+    docs = [(i, " ".join(f"word{(i * 7919 + k * 104729) % 99991}" for k in range(400))) for i in range(300)]
+    out = f"file://{tmp_path}/seek"
+    files = K.write_shards(spark.createDataFrame(docs, "doc_id long, text string"), PATH, out, dictionary=b"")
+    spans = sorted((r.first_key, r.last_key) for r in files.collect())
+    assert len(spans) > 5 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    total = sum(f.stat().st_size for f in (tmp_path / "seek").iterdir())
+    seen, real = [], K.filesystem
+
+    class Counting:
+        def __init__(self, f):
+            self.f = f
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.f.close()
+
+        def size(self):
+            return self.f.size()
+
+        def read_at(self, n, at):
+            seen.append(n)
+            return self.f.read_at(n, at)
+
+    class Files:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def open_input_file(self, p):
+            return Counting(self.fs.open_input_file(p))
+
+    monkeypatch.setattr(K, "filesystem", lambda uri: (Files(real(uri)[0]), real(uri)[1]))
+    [ids] = K.fetch(files, out, 123)
+    assert ids.tolist() == library.encode(docs[123][1], add_special_tokens=False).ids + [2]
+    assert sum(seen) < total / 50 and K.fetch(files, out, 10**6) == []
+
+
+def test_a_hot_key_is_dealt_over_tasks(spark, tmp_path):
+    docs = [(None, f"row {i}") for i in range(3000)] + [(i, "x") for i in range(30)]
+    out = f"file://{tmp_path}/hot"
+    files = K.write_shards(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), PATH, out, dictionary=b"")
+    parts = {r.part: r.documents for r in files.collect()}
+    assert len(parts) > 1 and max(parts.values()) < 2500
+    got = K.read_shards(files, out).collect()
+    assert len(got) == 3030 and [r.doc_id for r in sorted(got, key=lambda r: r.start)] == [None] * 3000 + list(range(30))
+    assert len(K.fetch(files, out, None)) == 3000
+
+
 def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert K.store_tokens(df, PATH, f"file://{tmp_path}/none").collect() == []
