@@ -1,8 +1,9 @@
 """URL filter: host and path rules, else logistic regression on hashed character n-grams.
 
-Everything on tables is built from DataFrame functions. The model is fitted on a small labelled
-table (at most MAX_LABELLED rows reach the driver); its weights are integers in millionths, so that a
-score is an exact sum.
+Everything on tables is built from DataFrame functions. The model is fitted once on a small labelled
+table: one given as a DataFrame (at most MAX_LABELLED rows reach the driver, those with the smallest hash), or the built-in
+one, which is made by a rule from the word lists below, with the same shapes of hosts and paths for both labels. Its weights
+are integers in millionths, so that a score is an exact sum.
 
 Defined cases: a null url, or one without "://", has an empty host and path and is judged by the model
 on those; repeated rows each get their own result; an empty labelled table allows all.
@@ -10,9 +11,11 @@ on those; repeated rows each get their own result; an empty labelled table allow
 
 from __future__ import annotations
 
+import functools
 import hashlib
-import math
+import random
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,31 +27,38 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 GRAM, BUCKETS = 3, 4096  # a bucket is the first three hex digits of the n-gram's MD5
 MAX_LABELLED = 20_000
 
-# A small labelled table. 1: block.
-LABELLED_URLS = (
-    ("https://casino-bonus.example/play-now/free-spins", 1), ("http://cheap-pills.example/buy/viagra-online", 1),
-    ("http://xxx-videos.example/adult/watch", 1), ("https://win-prize.example/click/claim-reward?id=1", 1),
-    ("http://best-poker-casino.example/bet/jackpot", 1), ("http://free-download-crack.example/keygen/serial", 1),
-    ("https://hot-singles.example/dating/xxx", 1), ("http://payday-loans.example/fast-cash/apply-now", 1),
-    ("http://replica-watches.example/buy-cheap/rolex", 1), ("https://slots-casino.example/bonus/spin", 1),
-    ("http://torrent-warez.example/download/crack", 1), ("http://adult-cams.example/live/sex", 1),
-    ("https://ads.tracker.example/click/redirect", 1), ("http://ad-server.example/banner/popup", 1),
-    ("http://seo-backlinks.example/buy-links/cheap", 1), ("https://lottery-winner.example/claim/prize", 1),
-    ("http://porn-tube.example/videos/adult", 1), ("https://betting-odds.example/casino/poker", 1),
-    ("http://spam-pills.example/order/cheap-meds", 1), ("http://miracle-weight-loss.example/buy-now", 1),
-    ("https://en.encyclopedia.example/wiki/history", 0), ("https://www.university.example/courses/physics", 0),
-    ("https://docs.library.example/en/guide/index.html", 0), ("https://news.daily.example/2023/05/science", 0),
-    ("https://blog.gardening.example/posts/tomato-care", 0), ("https://www.city.example/services/schools", 0),
-    ("https://forum.cooking.example/thread/bread-recipe", 0), ("https://journal.medicine.example/articles/trial", 0),
-    ("https://museum.example/collections/paintings", 0), ("https://weather.example/forecast/week", 0),
-    ("https://code.example/project/readme", 0), ("https://law.example/statutes/section", 0),
-    ("https://www.travel.example/guides/mountains", 0), ("https://school.example/teachers/lessons", 0),
-    ("https://maps.example/en/region/north", 0), ("https://www.health.example/topics/sleep", 0),
-    ("https://archive.example/books/novel", 0), ("https://music.example/artists/quartet", 0),
-    ("https://wiki.example/fr/page/12", 0), ("https://m.site.example/en/25", 0),
-    ("https://www.site.example/de/310", 0), ("https://site.example/es/44", 0),
-    ("https://press.example/en/story/77", 0), ("https://magazine.example/issue/articles", 0),
-)
+# Words of hosts and paths to block (gambling, pills, adult, piracy, loans, fakes, link spam), and of others.
+BLOCK_WORDS = """casino poker slots roulette jackpot lotto bets betting bookie odds win winner prize bonus spins
+pills meds pharma viagra cialis tablets slimming adult porn xxx sex cams nude erotic escort singles
+warez torrent crack keygen serial nulled loans payday cash forex credit replica rolex outlet discount cheap free deals
+spam farm backlinks seo traffic followers hits""".split()
+ALLOW_WORDS = """news press daily journal magazine review weekly blog forum wiki docs library archive books school college
+university campus teacher physics chemistry history science museum gallery music theatre cinema garden cooking bread
+kitchen travel mountain river lake island harbour bridge weather climate forest animal health clinic doctor family
+parents children city council region law court statute bank insurance engine software python code project data map
+sport football chess cycling running photo design craft wood paper glass stone green blue north south east west
+free cheap win cash farm""".split()
+SYLLABLES = "ba be bi bo da de di do fa fi ga go ha he in ing ka ke la le li ly ma me mi na ne ni on or ou pa pe ra re ri sa se si sh ta te th ther ti tion ton un ver wa we wh".split()
+TABLE_ROWS = 1500  # of each label
+
+
+def labelled_urls(rows: int = TABLE_ROWS, seed: int = 5) -> list[tuple[str, int]]:
+    """The built-in table: (url, 1 for block). Both labels share prefixes, domains, paths and joints; block hosts join two block words, others two other words or syllables."""
+    r = random.Random(seed)
+    plain = lambda: "".join(r.choice(SYLLABLES) for _ in range(r.randint(2, 4)))
+
+    def host(words):
+        one, two = r.sample(words, 2)
+        return f"{one}{r.choice(['-', '-', ''])}{two}"
+
+    def url(name):
+        tail = r.choice([f"{r.randint(1, 9999)}", f"{r.randint(1, 9999)}.html", f"{plain()}/{r.randint(1, 99)}", f"{plain()}-{plain()}", ""])
+        where = r.choice(["en", "de", "fr", "es", "posts", "page", plain()])
+        return f"{r.choice(['http', 'https'])}://{r.choice(['', '', 'www.', 'blog.', 'm.'])}{name}.example{r.choice(['', '.com', '.net', '.org'])}/{where}/{tail}"
+
+    block = [(url(host(BLOCK_WORDS)), 1) for _ in range(rows)]
+    named = [(url(host(ALLOW_WORDS)), 0) for _ in range(rows // 2)]
+    return block + named + [(url(r.choice([plain(), plain(), f"{plain()}-{plain()}", f"{plain()}-{r.choice(ALLOW_WORDS)}"])), 0) for _ in range(rows - rows // 2)]
 
 
 def _after_scheme(url: Column) -> Column:
@@ -93,29 +103,33 @@ def _buckets(s: str) -> list[int]:
     return [int(hashlib.md5(s[i : i + GRAM].encode()).hexdigest()[:3], 16) for i in range(len(s) - GRAM + 1)]
 
 
-def fit_url_model(rows=LABELLED_URLS, *, epochs: int = 300, rate: float = 4.0, decay: float = 1e-3) -> tuple[int, list[int]]:
-    """Bias and BUCKETS weights in millionths. rows: (url, 1 for block), or a DataFrame with url and label (at most MAX_LABELLED rows are used, those with the smallest hash of the url)."""
+@functools.lru_cache(maxsize=1)
+def built_in_model() -> tuple[int, tuple[int, ...]]:
+    """The model of the built-in table, fitted once in a process."""
+    bias, weights = fit_url_model(labelled_urls())
+    return bias, tuple(weights)
+
+
+def fit_url_model(rows, *, epochs: int = 1500, rate: float = 30.0, decay: float = 1e-5) -> tuple[int, list[int]]:
+    """Bias and BUCKETS weights in millionths, by gradient descent on the logistic loss of the mean weight of a url's n-grams.
+
+    rows: (url, 1 for block), or a DataFrame with url and label (at most MAX_LABELLED rows are used, those with the smallest hash of the url).
+    """
     if isinstance(rows, DataFrame):
         chosen = rows.where("url is not null and label is not null").orderBy(F.xxhash64(F.lit("sample"), "url"), "url", "label").limit(MAX_LABELLED)
         rows = sorted((r["url"], r["label"]) for r in chosen.collect())
-    data = [(_buckets(_parts(u)), float(y)) for u, y in rows]
-    if not data:
+    if not rows:
         return -1_000_000, [0] * BUCKETS
-    w, b = [0.0] * BUCKETS, 0.0
+    each = [_buckets(_parts(u)) for u, _ in rows]
+    y, size = np.array([float(label) for _, label in rows]), np.array([len(g) for g in each])
+    grams, first = np.concatenate(each).astype(np.int64), np.concatenate([[0], np.cumsum(size)[:-1]])
+    w, b = np.zeros(BUCKETS), 0.0
     for _ in range(epochs):
-        grad: dict[int, float] = {}
-        gb = 0.0
-        for grams, y in data:
-            z = b + sum(w[g] for g in grams) / len(grams)
-            e = 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) - y
-            gb += e
-            for g in grams:
-                grad[g] = grad.get(g, 0.0) + e / len(grams)
-        b -= 0.2 * gb / len(data)
-        for g, v in grad.items():
-            w[g] -= rate * v
-        w = [x * (1 - decay) for x in w]
-    return round(b * 1e6), [round(x * 1e6) for x in w]
+        z = b + np.add.reduceat(w[grams], first) / size
+        e = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
+        b -= 0.2 * e.mean()
+        w = (w - rate * np.bincount(grams, np.repeat(e / size, size), BUCKETS) / len(y) * 10) * (1 - decay)
+    return round(b * 1e6), [round(x * 1e6) for x in w.tolist()]
 
 
 def url_score(host: Column, path: Column, model: tuple[int, list[int]]) -> Column:
@@ -130,7 +144,7 @@ def url_score(host: Column, path: Column, model: tuple[int, list[int]]) -> Colum
 
 def judge_urls(pages: DataFrame, model: tuple[int, list[int]] | None = None, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, model_score of every row. One narrow pass."""
-    model = model or fit_url_model()
+    model = model or built_in_model()
     u = F.col("url").cast("string")
     rows = pages.select("page_id", host_of(u).alias("host"), path_of(u).alias("path"))
     text, verdict = rule_of(F.col("host"), F.col("path"), rules)
@@ -140,7 +154,7 @@ def judge_urls(pages: DataFrame, model: tuple[int, list[int]] | None = None, rul
 
 def oracle(model: tuple[int, list[int]] | None = None) -> str:
     """DuckDB SQL for judge_urls on the view pages."""
-    bias, weights = model or fit_url_model()
+    bias, weights = model or built_in_model()
     whens = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{{{k}}}'" for k, (h, p, v) in enumerate(sorted(RULES, key=lambda r: -len(r[0] + r[1]))))
     order = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
     case = lambda pick: "CASE " + whens.format(*[pick(r) for r in order]) + " END"
@@ -153,6 +167,6 @@ named AS (
 scored AS (
   SELECT page_id, host, path, {case(lambda r: r[0] + r[1])} AS rule, {case(lambda r: r[2])} AS by_rule,
     CAST(list_sum(list_transform(range(1, CAST(length('^' || host || '|' || path || '$') - {GRAM - 1} + 1 AS BIGINT)),
-      lambda i: {bias} + list_extract({weights}, CAST('0x' || substr(md5(substr('^' || host || '|' || path || '$', i, {GRAM})), 1, 3) AS INTEGER) + 1))) AS BIGINT) AS model_score
+      lambda i: {bias} + list_extract({list(weights)}, CAST('0x' || substr(md5(substr('^' || host || '|' || path || '$', i, {GRAM})), 1, 3) AS INTEGER) + 1))) AS BIGINT) AS model_score
   FROM named)
 SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN model_score > 0 THEN 'block' ELSE 'allow' END) AS verdict, model_score FROM scored"""
