@@ -38,16 +38,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """At most about `rows` rows of df, whatever its size, by a fixed hash of `key`; all of them if there are fewer.
+def bounded_share(df: DataFrame, rows: int, *key: str) -> Column:
+    """True for about `rows` rows of df, whatever its size, by a fixed hash of the key columns; for all of them if there are fewer.
 
     A share of the hash range is chosen from the row count, so that no task passes on more than its share.
     """
-    total = df.select(key).count()
+    total = df.select(*key).count()
     if total <= rows:
-        return df
-    share = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 40)) < F.lit(-(-(rows << 40) // total))
-    return df.where(share).limit(2 * rows)
+        return F.lit(True)
+    return F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(1 << 40)) < F.lit(-(-(rows << 40) // total))
+
+
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows that bounded_share takes, 2 * rows at most."""
+    return df.where(bounded_share(df, rows, key)).limit(2 * rows)
 
 
 def small_side(df: DataFrame, rows: int, bound: int) -> DataFrame:

@@ -6,13 +6,13 @@ The class prior is estimated from a first model's scores: the smallest upper bou
 thresholds, on (share of unlabelled above) / (share of positives above). Features come from the text alone:
 byte class shares, word and line counts, repeated words and lines, hashed shares of byte pairs.
 
-Training rows: at most MAX_POSITIVE and MAX_UNLABELLED, chosen by a fixed hash of doc_id, whatever the size
-of the tables. The shares of unlabelled texts for the prior are of all rows that are not held out, counted per
+Training rows: about MAX_POSITIVE and MAX_UNLABELLED, twice that at most, chosen by a fixed hash of id and text, whatever
+the size of the tables and however many rows share an id. The shares of unlabelled texts for the prior are of all rows that are not held out, counted per
 threshold in one aggregate. Rows held out (crc32 of the id mod 3 is 1) are never used. All rows are scored.
 
 Defined cases: a null text is empty and is scored as an empty text; a null doc_id is held out as no
 label can be tied to it; a label of an unknown id, or null, is ignored; an id labelled twice counts once if any label is 1;
-without positives or unlabelled texts every score is 0.5; repeated rows each get their own score.
+without a positive or an unlabelled text every score is 0.5; repeated rows each get their own score.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text_stats as S
-from .common import bounded_sample
+from .common import bounded_sample, bounded_share
 
 MAX_POSITIVE, MAX_UNLABELLED = 8_000, 16_000
 PAIRS = 64
@@ -90,6 +90,28 @@ class LinearModel:
         return 1 / (1 + np.exp(-np.clip(self.raw(x), -30, 30)))
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _mean_gradient(x: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Of weights and bias, from the loss's derivative e at each row."""
+    return np.append(x.T @ e, e.sum()) / len(x)
+
+
+def nn_risk(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative risk of weights and bias w on rows p and u, and the direction whose reverse is stepped in.
+
+    Where the negatives' part is below zero the unbiased estimate overfits: the step raises that part alone.
+    """
+    zp, zu = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
+    positives, negatives = prior * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    g_negatives = _mean_gradient(u, _sigmoid(zu)) - prior * _mean_gradient(p, _sigmoid(zp))
+    if negatives < 0:
+        return positives, -g_negatives
+    return positives + negatives, prior * _mean_gradient(p, _sigmoid(zp) - 1) + g_negatives
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, *, counted=None, epochs: int = 200, rate: float = 0.03, decay: float = 1e-3) -> LinearModel:
     """Minimise the non-negative risk by Adam on all rows. prior None: estimated from a model fitted to tell P from U.
 
@@ -98,7 +120,6 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
     both = np.concatenate([positive, unlabelled])
     mean, scale = both.mean(0), both.std(0) + 1e-6
     p, u = (np.clip((x - mean) / scale, -8, 8) for x in (positive, unlabelled))
-    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def adam(grad_of):
         w = np.zeros(p.shape[1] + 1)
@@ -110,39 +131,32 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
             w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         return w
 
-    with_bias = lambda x, e: np.append(x.T @ e, e.sum()) / len(x)
     if prior is None:
-        w = adam(lambda w: 0.5 * with_bias(p, sig(p @ w[:-1] + w[-1]) - 1) + 0.5 * with_bias(u, sig(u @ w[:-1] + w[-1])))
+        w = adam(lambda w: 0.5 * _mean_gradient(p, _sigmoid(p @ w[:-1] + w[-1]) - 1) + 0.5 * _mean_gradient(u, _sigmoid(u @ w[:-1] + w[-1])))
         raw = p @ w[:-1] + w[-1]
         if counted is None:
             prior = class_prior(raw, u @ w[:-1] + w[-1])
         else:
             prior = prior_of_counts(raw, *counted(LinearModel(mean, scale, w[:-1], float(w[-1]), 0.5), prior_thresholds(raw)))
 
-    def nn_risk(w):
-        zp, zu = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        g_negative = with_bias(u, sig(zu)) - prior * with_bias(p, sig(zp))
-        if negative < 0:  # below zero the unbiased estimate overfits: step back on that part
-            return -g_negative
-        return prior * with_bias(p, sig(zp) - 1) + g_negative
-
-    w = adam(nn_risk)
+    w = adam(lambda w: nn_risk(w, p, u, prior)[1])
     return LinearModel(mean, scale, w[:-1], float(w[-1]), prior)
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> LinearModel | None:
     usable = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
-    positive = bounded_sample(usable, "doc_id", MAX_POSITIVE).select("doc_id", F.lit(1).alias("is_p"))
-    ids = docs.select("doc_id").where(~held_out(F.col("doc_id")))
-    unlabelled = bounded_sample(ids.distinct(), "doc_id", MAX_UNLABELLED).select("doc_id", F.lit(0).alias("is_p"))
-    # both sides are bounded by the two parameters (twice at most), so they may be broadcast
-    chosen = F.broadcast(positive.unionAll(unlabelled))
-    rows = docs.select("doc_id", F.col(f"`{text}`").alias("t")).join(chosen, "doc_id")
-    made = S.map_texts(rows, "t", lambda b, o: [_flat(features(b, o))], [T.StructField("x", T.ArrayType(T.FloatType()))], ["is_p"]).collect()
-    p = np.array([r["x"] for r in made if r["is_p"]], np.float64)
-    u = np.array([r["x"] for r in made if not r["is_p"]], np.float64)
-    return fit(p, u, counted=lambda model, cuts: _reached(docs, text, model, cuts)) if len(p) > 10 and len(u) > 10 else None
+    chosen = F.broadcast(bounded_sample(usable, "doc_id", MAX_POSITIVE))  # ids, at most twice the parameter
+    rows = docs.select("doc_id", F.col(f"`{text}`").alias("t")).where(~held_out(F.col("doc_id")))
+    p = _vectors(rows.join(chosen, "doc_id", "left_semi"), MAX_POSITIVE)
+    u = _vectors(rows, MAX_UNLABELLED)
+    return fit(p, u, counted=lambda model, cuts: _reached(docs, text, model, cuts)) if len(p) and len(u) else None
+
+
+def _vectors(rows: DataFrame, bound: int) -> np.ndarray:
+    """Features of about `bound` of the rows (doc_id, t), twice that at most: rows are chosen, not ids, so repeated ids stay within the bound."""
+    some = rows.where(bounded_share(rows, bound, "doc_id", "t"))
+    made = S.map_texts(some, "t", lambda b, o: [_flat(features(b, o))], [T.StructField("x", T.ArrayType(T.FloatType()))], [])
+    return np.array(sorted(r["x"] for r in made.limit(2 * bound).collect()), np.float64)
 
 
 def _reached(docs: DataFrame, text: str, model: LinearModel, cuts: np.ndarray) -> tuple[np.ndarray, int]:

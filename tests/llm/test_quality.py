@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import zlib
@@ -109,6 +110,47 @@ def test_classifier_ranks_held_out_rows(spark):
     assert M.score_quality(docs.limit(0), labels).count() == 0
 
 
+def test_risk_and_its_step_equal_plain_versions():
+    r = np.random.default_rng(2)
+    softplus = lambda z: math.log1p(math.exp(z))
+
+    def plain(w, p, u, prior):
+        z = lambda x: sum(a * b for a, b in zip(x, w)) + w[-1]
+        mean = lambda f, rows: sum(f(z(x)) for x in rows) / len(rows)
+        positives, negatives = prior * mean(lambda t: softplus(-t), p), mean(softplus, u) - prior * mean(softplus, p)
+        return positives, negatives
+
+    seen = set()
+    for _ in range(40):
+        p, u, w, prior = r.normal(1, 2, (7, 3)), r.normal(-1, 2, (9, 3)), r.normal(0, 2, 4), r.uniform(0.1, 0.95)
+        positives, negatives = plain(w, p, u, prior)
+        risk, step = M.nn_risk(w, p, u, prior)
+        assert abs(risk - (positives + max(0, negatives))) < 1e-9
+        part = (lambda v: -plain(v, p, u, prior)[1]) if negatives < 0 else (lambda v: sum(plain(v, p, u, prior)))
+        for k in range(4):
+            d = np.eye(4)[k] * 1e-6
+            assert abs((part(w + d) - part(w - d)) / 2e-6 - step[k]) < 1e-5
+        seen.add(negatives < 0)
+    assert seen == {True, False}
+
+
+def test_training_rows_are_bounded_and_rows_score_alike(spark, monkeypatch):
+    """One id with most rows does not pass the bound; repeated, very long and few rows have their results."""
+    monkeypatch.setattr(M, "MAX_POSITIVE", 20)
+    monkeypatch.setattr(M, "MAX_UNLABELLED", 30)
+    good = lambda i: f"plain words number {i} " * 6
+    rows = [(1 if zlib.crc32(b"1") % 3 != 1 else 2, good(i)) for i in range(400)] + [(i, "$$$ ||| " * (i % 7 + 3)) for i in range(10, 200)] + [(900, "long " * 200_000)] * 2
+    hot = rows[0][0]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    real, sizes = M.fit, []
+    monkeypatch.setattr(M, "fit", lambda p, u, **k: sizes.append((len(p), len(u))) or real(p, u, **k))
+    out = M.score_quality(docs, spark.createDataFrame([(hot, 1)], "doc_id long, quality int")).collect()
+    [(p, u)] = sizes
+    assert 0 < p <= 40 and 0 < u <= 60 and len(out) == len(rows)
+    assert len({r.score for r in out if r.doc_id == 900}) == 1
+    assert M.train(spark.createDataFrame(rows[:3], "doc_id long, text string"), spark.createDataFrame([(hot, 1)], "doc_id long, quality int")) is not None
+
+
 def test_prior_estimate():
     r = np.random.default_rng(0)
     p, u = r.normal(1, 1, 5000), np.concatenate([r.normal(1, 1, 6000), r.normal(-3, 1, 4000)])
