@@ -9,6 +9,8 @@ Labelled rows (quality 1: good, 0: poor) are dealt into two halves by a hash of
    "the share of good texts rejected exceeds max_false_rejection", after Bonferroni correction over all strata
    and levels. Each stratum uses its strictest certified level, or no cutoffs at all.
 
+The certificate covers rows that pass the base rule; good rows that fail it are rejected by contract, outside the bound.
+
 Defined cases: a null text has no words (base_failed); null is a stratum like any other; strata with fewer than
 min_labelled good rows, or none, have no certificate of their own, so only the base rule rejects there; labels of unknown ids or null quality are
 ignored; a label given twice counts twice; repeated rows each get their own result; no labels: no cutoffs.
@@ -36,6 +38,7 @@ LADDER = (
 )
 LEVELS = 8
 MIN_PRECISION, MIN_POOR = 0.75, 5
+MAX_IDS = 1_000_000  # labelled ids that may be broadcast, about 40 MB
 RATIOS = tuple(r for r, _, _ in LADDER)
 
 
@@ -154,9 +157,12 @@ def apply_rules(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", **
 def keep_good(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", **risk) -> DataFrame:
     """The rows of docs that the rules keep, all columns as they were.
 
-    Texts are counted twice and never shuffled: once for the fit, where only counts meet the labels, once for the verdict.
+    Texts are never shuffled: labelled ones are counted for the fit, all for the verdict. Beyond MAX_IDS labelled ids all
+    are counted for the fit too, and counts meet the labels.
     """
-    cutoffs = fit_cutoffs(rule_counts(docs, keep=list(dict.fromkeys(["doc_id", stratum]))), labels, stratum=stratum, **risk)
+    ids = labels.where(F.col("quality").isin(0, 1)).select("doc_id").distinct()
+    labelled = docs.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= MAX_IDS else docs
+    cutoffs = fit_cutoffs(rule_counts(labelled, keep=list(dict.fromkeys(["doc_id", stratum]))), labels, stratum=stratum, **risk)
     clash = {c.lower() for c in (*S.BASE_COLUMNS, *RATIOS)}
     safe = [f"__col{i}" if c.lower() in clash else c for i, c in enumerate(docs.columns)]
     counted = rule_counts(docs.toDF(*safe))
