@@ -48,6 +48,29 @@ def test_stages_take_effect_in_order(spark, sf):
         assert stage(spark, read, top).columns == read.columns, name
 
 
+def test_odd_rows_and_empty_tables(spark, tmp_path):
+    """Null and repeated ids, clashing extra columns; a leak goes whatever its id; empty tables give no rows."""
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(900)]
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    item = text(30)
+    leak = lambda: f"{text(20)} {item} {text(20)}"
+    docs = [(1, text(60)), (None, text(60)), (None, leak()), (2, leak()), (2, text(60)), (3, None), (None, None)]
+    spark.createDataFrame([(i, t, "en", "s", 0, 7, "k", 1) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long, t1 int, spans string, n_words int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    read = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, read, str(tmp_path))
+        assert out.columns == read.columns and out.limit(0).count() == 0, name
+    got = Counter(x.doc_id for x in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert got == Counter([1, None, 2])
+    empty = tmp_path / "empty"
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).collect() == []
+
+
 SMALL = "/root/testdata/sf0.001"
 
 
