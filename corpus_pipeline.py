@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarnwork.llm import decontaminate, ngram_join, pii, piece_bpe, quality_rules
-from tarnwork.llm.common import fresh_dir
+from tarnwork.llm.common import fresh_dir, remove_dir
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +52,14 @@ ORACLE_SQL = None  # tested against a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each stage's rows are written to the shared folder as Parquet and read again by the next."""
+    """Each stage's rows are written to the shared folder as Parquet and read again by the next, then removed; the last input stays for the result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     top = fresh_dir(spark, "pipeline")
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{top}/{name}")
         docs = spark.read.parquet(f"{top}/{name}")
+        if before:
+            remove_dir(spark, before)
+        before = f"{top}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
