@@ -11,8 +11,8 @@ PLACEHOLDER_VENDORS = ("", "n/a", "na", "unknown", "none")
 PLACEHOLDER_PRODUCTS = ("n/a", "n\\a", "na", "unknown", "none", "not applicable", "-", "")
 DEGENERATE_SLUGS = ("", "*", "-", "n\\/a", "other")
 DEGENERATE_CPE_PARTS = ("", "*", "-", "n/a", "n\\a", "other")
-PATCH_TAGS = ("patch", "vendor-advisory")
-POC_TAGS = ("exploit",)
+PATCH_TAGS = ("vendor-advisory", "patch", "mitigation", "x_refsource_CONFIRM", "x_refsource_REDHAT")
+POC_TAGS = ("exploit", "x_refsource_EXPLOIT-DB", "signature")
 MAX_LIMIT = 100
 
 

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint in the folder that spark.checkpoint.dir names; a local one only where it is unset.
+    """df as a reliable checkpoint in the folder that spark.checkpoint.dir names. Where it is unset, a local one with a local master; an error on a cluster.
 
     Plans that use a table several times would otherwise repeat all work behind it each time.
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="tarnwork-"))
+        path = sc.getConf().get("spark.checkpoint.dir")
+        if not path and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(path or "file://" + tempfile.mkdtemp(prefix="tarnwork-"))
     return df.checkpoint()

@@ -45,8 +45,16 @@ def overwrite(old: DataFrame, new: DataFrame, keys: list[str], *order: str, know
     return without(old, fresh, keys).unionByName(fresh.select(*old.columns))
 
 
-def coalesce_merge(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Non-null new values replace old ones; a null never erases."""
+def fold(new: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """One row per key: in each column the last non-null value by `order`, ties and no order by the greatest value."""
+    rest = [c for c in new.columns if c not in keys]
+    last = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(c).alias("value"))))["value"]
+    return new.groupBy(*keys).agg(*[last(c).alias(c) for c in rest]).select(*new.columns)
+
+
+def coalesce_merge(old: DataFrame, new: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """Non-null new values replace old ones; a null never erases. New rows of one key are folded first, so each key keeps one row."""
+    new = fold(new, keys, *order)
     rest = [c for c in old.columns if c not in keys]
     a, b = old.alias("a"), new.alias("b")
     cond = F.lit(True)
@@ -94,13 +102,13 @@ def replace_graph(t: Tables, new: Tables, steps: tuple[str, ...] | None = None)
 
 
 def upsert_scores(t: Tables, scores: DataFrame) -> Tables:
-    """Scores of known records without touching their graph; a null never erases."""
+    """Scores of known records without touching their graph; a null never erases; of several scores of a record the greatest counts."""
     known = scores.join(t["cve"].select("cve_id"), "cve_id", "left_semi")
     return t.replaced(intel=coalesce_merge(t["intel"], known.select("cve_id", "epss_score", "epss_percentile"), ["cve_id"]))
 
 
 def assign_ids(df: DataFrame, existing: DataFrame, id_column: str, *order: str) -> DataFrame:
-    """df with ids that continue the largest existing one, in the order of natural keys: the same on every run.
+    """df with ids that continue the largest existing one, in the order of natural keys, which must be unique: the same on every run.
 
     Ids are dense per range of the order: counts per range are summed, so no single task numbers all rows.
     """

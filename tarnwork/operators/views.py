@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -538,7 +540,7 @@ def reference_tags(t: Tables, low=None, high=None, n: int = 24) -> DataFrame:
 
 
 @view
-def tag_coverage_yearly(t: Tables, tags: list[str], low=None, high=None) -> DataFrame:
+def tag_coverage_yearly(t: Tables, tags: Sequence[str] = X.PATCH_TAGS, low=None, high=None) -> DataFrame:
     wanted = t["reference_tag"].where(F.lower(F.trim("tag")).isin([x.lower() for x in tags])).select("reference_id").distinct()
     tagged = t["reference"].join(wanted, F.col("id") == F.col("reference_id"), "left_semi").select("cve_id").distinct().withColumn("tagged", F.lit(1))
     j = published(t, low, high).join(tagged, "cve_id", "left")

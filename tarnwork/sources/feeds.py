@@ -38,8 +38,8 @@ def latest_nvd(rows: DataFrame) -> DataFrame:
 
 
 def since(rows: DataFrame, watermark: str | None) -> DataFrame:
-    """Rows modified after the watermark."""
-    return rows.where(F.col("lastModified") > watermark) if watermark else rows
+    """Rows modified at the watermark or later: some of its very moment may have landed since, and merging one again changes nothing."""
+    return rows.where(F.col("lastModified") >= watermark) if watermark else rows
 
 
 def date_windows(start: str, end: str, days: int = 119) -> list[tuple[str, str]]:

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tarnwork.operators import merge as M
 from tarnwork.operators.tables import Tables
 
@@ -72,3 +74,15 @@ def test_graph_replacement_and_score_upsert(spark):
     assert rows(M.replace_graph(t, new, steps=())["cve_cwe"]) == [("B", "1")]
     scores = spark.createDataFrame([("B", None, 0.5), ("Z", 0.9, 0.9)], "cve_id string, epss_score double, epss_percentile double")
     assert rows(M.upsert_scores(t, scores)["intel"]) == [("A", 0.1, None), ("B", 0.2, 0.5)]
+
+
+def test_repeated_new_keys_are_folded(spark):
+    old = spark.createDataFrame([("A", 0.1, 0.2), ("B", 0.3, None)], "cve_id string, epss_score double, epss_percentile double")
+    new = spark.createDataFrame([("A", 0.5, None), ("A", 0.7, None), ("A", None, 0.9), ("C", None, 0.4), ("C", 0.2, None), (None, 0.1, None), (None, 0.2, None)], "cve_id string, epss_score double, epss_percentile double")
+    got = sorted((tuple(r) for r in M.coalesce_merge(old, new, ["cve_id"]).collect()), key=str)
+    assert got == sorted([("A", 0.7, 0.9), ("B", 0.3, None), ("C", 0.2, 0.4), (None, 0.2, None)], key=str)
+    dated = new.where("cve_id = 'A'").withColumn("day", F.expr("case when epss_score = 0.5 then 2 else 1 end"))
+    [row] = M.fold(dated, ["cve_id"], "day").collect()
+    assert (row.epss_score, row.epss_percentile) == (0.5, 0.9)
+    tables = Tables(spark).replaced(cve=spark.createDataFrame([("A",), ("B",)], "cve_id string"), intel=old)
+    assert M.upsert_scores(tables, new)["intel"].groupBy("cve_id").count().where("count > 1").count() == 0
