@@ -95,7 +95,7 @@ def _nested() -> None:
 def _identity() -> None:
     on_model("slug_extract", lambda t: identity.cve_cpe_vendor(t), f"SELECT DISTINCT cve_id, {_slug('criteria')} AS slug FROM cpe_match WHERE vulnerable AND criteria LIKE 'cpe:2.3:_:%' AND {_slug('criteria')} NOT IN {BAD}")
     on_model("slug_rollup_guarded", identity.product_cpe_vendor, f", {TALLY} {INDEX}")
-    on_model("dominant_slug", lambda t: identity.dominant_slug(_few(t)), f""", {TALLY.replace('FROM cpe_match', 'FROM (SELECT * FROM cpe_match WHERE criteria LIKE ' + "'%slug_1%'" + ')')} SELECT product_id, slug FROM (SELECT *, sum(n) OVER (PARTITION BY product_id) AS total, row_number() OVER (PARTITION BY product_id ORDER BY n DESC, slug) AS rn FROM tally) WHERE rn = 1 AND n / total >= 0.8
+    on_model("dominant_slug", lambda t: identity.dominant_slug(t), f""", {TALLY} SELECT product_id, slug FROM (SELECT *, sum(n) OVER (PARTITION BY product_id) AS total, row_number() OVER (PARTITION BY product_id ORDER BY n DESC, slug) AS rn FROM tally) WHERE rn = 1 AND n / total >= 0.8
       AND product_id IN (SELECT product_id FROM product JOIN vendor v USING (vendor_id) WHERE trim(coalesce(v.name, '')) = '' AND product.name <> 'n/a')""")
     on_model("norm_key_match", lambda t: t["vendor"].where(X.not_blank("name")).groupBy(X.norm_key("name").alias("nk")).agg(F.count("*").alias("n"), F.min("vendor_id").alias("id")).where("n = 1"), "SELECT regexp_replace(lower(vendor_name), '[^a-z0-9]', '', 'g') AS nk, count(*) AS n, min(vendor_id) AS id FROM named GROUP BY 1 HAVING n = 1")
 
@@ -111,10 +111,6 @@ def _identity() -> None:
     plain("adjacent_phrase_match", adjacent, tok + two(1, "that", "the") + " UNION ALL " + three + " UNION ALL " + two(3, "avec", "une"))
 
 
-def _few(t: Tables) -> Tables:
-    return t.replaced(cpe_match=t["cpe_match"].where(F.col("criteria").contains("slug_1")))
-
-
 def _merges() -> None:
     L = lambda spark, sf: read(spark, sf, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
@@ -127,6 +123,9 @@ def _merges() -> None:
     plain("merge_overwrite", lambda s, f: merge.overwrite(old(s, f), new(s, f), ["o_orderkey"]), cte + "SELECT * FROM new UNION ALL SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)")
     plain("insert_ignore", lambda s, f: merge.insert_ignore(old(s, f), new(s, f), ["o_orderkey"]), cte + "SELECT * FROM old UNION ALL SELECT * FROM new WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old)")
     plain("merge_coalesce", lambda s, f: merge.coalesce_merge(old(s, f), new(s, f), ["o_orderkey"]), cte + "SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, coalesce(n.o_orderstatus, o.o_orderstatus) AS o_orderstatus, coalesce(n.price, o.price) AS price FROM old o FULL JOIN new n ON o.o_orderkey = n.o_orderkey")
+    several = lambda s, f: L(s, f).where("l_orderkey % 5 < 2").select(F.col("l_orderkey").alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), F.when(F.col("l_linenumber") % 3 != 0, F.col("l_extendedprice")).alias("price"))
+    scte = cte.replace("new AS (", "unused AS (") + ", new AS (SELECT l_orderkey AS o_orderkey, 'N' AS o_orderstatus, max(CASE WHEN l_linenumber % 3 <> 0 THEN l_extendedprice END) AS price FROM lineitem WHERE l_orderkey % 5 < 2 GROUP BY 1)\n"
+    plain("merge_coalesce_repeats", lambda s, f: merge.coalesce_merge(old(s, f), several(s, f), ["o_orderkey"]), scte + "SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, coalesce(n.o_orderstatus, o.o_orderstatus) AS o_orderstatus, coalesce(n.price, o.price) AS price FROM old o FULL JOIN new n ON o.o_orderkey = n.o_orderkey")
     plain("guarded_upsert", lambda s, f: merge.guarded_upsert(old(s, f), new(s, f), ["o_orderkey"], F.col("o_orderstatus") == "F"), cte + ", ok AS (SELECT * FROM new WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old WHERE o_orderstatus = 'F')) SELECT * FROM ok UNION ALL SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ok)")
     plain("keep_newest", lambda s, f: merge.keep_newest(old(s, f).na.fill(0.0), new(s, f).na.fill(0.0), ["o_orderkey"], "price"), cte + "SELECT o_orderkey, o_orderstatus, price FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY price DESC, age DESC) AS rn FROM (SELECT o_orderkey, o_orderstatus, coalesce(price, 0) AS price, 1 AS age FROM old UNION ALL SELECT o_orderkey, o_orderstatus, coalesce(price, 0), 0 FROM new)) WHERE rn = 1")
     group = lambda s, f: L(s, f).select("l_orderkey", "l_partkey")
@@ -135,6 +134,9 @@ def _merges() -> None:
     plain("replace_group", lambda s, f: merge.replace_group(group(s, f), fresh(s, f), "l_orderkey"), f"SELECT l_orderkey, l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM ({fsql})) UNION ALL {fsql}")
     on_model("cascade_delete", lambda t: V.table_row_counts(merge.cascade_delete(t, t["cve"].where("cve_id like '%7'"))).where("n_rows > 0"), " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS n_rows FROM {n if n != 'reference' else 'refs'} WHERE cve_id NOT IN (SELECT cve_id FROM cve WHERE cve_id LIKE '%7')" for n in ("cve", "cve_vendor", "affected_product", "cve_cwe", "cvss", "exploit", "kev", "intel", "intel_string_list", "cpe_match", "reference")) + " UNION ALL SELECT 'vendor', count(*) FROM vendor UNION ALL SELECT 'product', count(*) FROM product UNION ALL SELECT 'cwe', count(*) FROM cwe UNION ALL SELECT 'pipeline_run', count(*) FROM pipeline_run UNION ALL SELECT 'version_range', count(*) FROM version_range WHERE affected_product_id NOT IN (SELECT id FROM affected_product WHERE cve_id IN (SELECT cve_id FROM cve WHERE cve_id LIKE '%7')) UNION ALL SELECT 'reference_tag', count(*) FROM reference_tag WHERE reference_id NOT IN (SELECT id FROM refs WHERE cve_id IN (SELECT cve_id FROM cve WHERE cve_id LIKE '%7'))")
     plain("assign_ids", lambda s, f: merge.assign_ids(read(s, f, "part").select("p_partkey", "p_name"), read(s, f, "supplier"), "s_suppkey", "p_name", "p_partkey").select("p_partkey", F.col("s_suppkey").alias("id")), "SELECT p_partkey, (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY p_name, p_partkey) AS id FROM part")
+    on_model("exploits_for", lambda t: search.exploits_for(t, "CVE-7").select("source", "stable_id", "url", "published_date", "confidence"), "SELECT source, stable_id, url, published_date, confidence FROM exploit_artefact WHERE cve_id = 'CVE-7'")
+    on_model("database_overview", lambda t: search.database_overview(t).select("cves", "first_published", "last_published", "vendors", "products", "kev_listed", "artefacts"), """SELECT (SELECT count(*) FROM cve) AS cves, (SELECT min(nullif(trim(published), '')) FROM cve) AS first_published, (SELECT max(nullif(trim(published), '')) FROM cve) AS last_published, (SELECT count(*) FROM vendor WHERE trim(coalesce(name, '')) <> '') AS vendors,
+      (SELECT count(*) FROM product) AS products, (SELECT count(*) FROM kev WHERE listed) AS kev_listed, (SELECT count(*) FROM exploit_artefact) AS artefacts""")
     # state
     on_model("tri_state_writeback", lambda t: identity.write_exploit_flags(_phases(t)).groupBy("public_poc", "metasploit").agg(F.count("*").alias("n")), "SELECT a.cve_id IS NOT NULL AS public_poc, metasploit, count(*) AS n FROM exploit LEFT JOIN (SELECT DISTINCT cve_id FROM exploit_artefact WHERE source IN ('click', 'view')) a USING (cve_id) GROUP BY 1, 2")
     on_model("null_unscored", lambda t: merge.null_unscored(t["intel"].na.fill(0.0)), "SELECT cve_id, CASE WHEN coalesce(epss_score, 0) = 0 AND coalesce(epss_percentile, 0) = 0 THEN NULL ELSE coalesce(epss_score, 0) END AS epss_score, CASE WHEN coalesce(epss_score, 0) = 0 AND coalesce(epss_percentile, 0) = 0 THEN NULL ELSE coalesce(epss_percentile, 0) END AS epss_percentile FROM intel")

@@ -49,7 +49,7 @@ MODEL: dict[str, tuple[str, bool, str, dict[str, str]]] = {
     "kev": ("orders", False, "o_orderkey % 5 = 0", {"cve_id": _CVE, "listed": "o_orderkey % 10 = 0", "date_added": f"case when o_orderkey % 70 = 0 then '' else {_shift('+', 2, '')} end", "due_date": f"case when o_orderkey % 60 = 0 then null else {_shift('+', 3, '')} end", "required_action": "o_orderpriority", "vendor_project": "case when o_custkey % 8 = 0 then ' ' else ' v' || cast(o_custkey % 37 as string) end", "product_label": "'p' || cast(o_custkey % 61 as string)", "source": "case when o_custkey % 3 = 0 then 'cisa' when o_custkey % 3 = 1 then 'nvd' else '' end"}),
     "intel": ("orders", False, "o_orderkey % 4 <> 1", {"cve_id": _CVE, "epss_score": "case when o_orderkey % 7 = 0 then null else (o_custkey % 1000) / 1000.0e0 end", "epss_percentile": "case when o_orderkey % 7 = 0 then null else (o_custkey % 1009) / 1000.0e0 end"}),
     "intel_string_list": ("events", False, "true", {"id": "event_id", "cve_id": _ECVE, "kind": "case when event_id % 11 = 0 then '' else event_type end", "value": "' v' || cast(event_id % 90 as string)"}),
-    "cpe_match": ("lineitem", False, "true", {"id": "l_orderkey * 1000000 + l_partkey", "cve_id": _LCVE, "criteria": "'cpe:2.3:a:' || case when l_orderkey % 6 = 5 then '*' else 'slug_' || cast(l_orderkey % 6 as string) end || ':prod_' || cast(l_partkey % 200 as string) || ':*:*'", "match_criteria_id": "case when l_linenumber % 4 = 0 then null else cast(l_linenumber as string) end", "vulnerable": "l_linenumber % 3 <> 0"}),
+    "cpe_match": ("lineitem", False, "true", {"id": "l_orderkey * 1000000 + l_partkey", "cve_id": _LCVE, "criteria": "'cpe:2.3:a:' || case when l_orderkey % 6 = 5 then '*' when l_orderkey % 11 < 9 then 'slug_1' else 'slug_' || cast(l_orderkey % 6 as string) end || ':prod_' || cast(l_partkey % 200 as string) || ':*:*'", "match_criteria_id": "case when l_linenumber % 4 = 0 then null else cast(l_linenumber as string) end", "vulnerable": "l_linenumber % 3 <> 0"}),
     "reference": ("events", False, "true", {"id": "event_id", "cve_id": _ECVE, "url": "'https://s' || cast(user_id % 30 as string) || '.example/' || cast(event_id as string)", "source": "case when event_id % 13 = 0 then null else event_type end", "trust": "case when event_id % 5 = 0 then 'VENDOR' when event_id % 5 = 1 then '' else 'COMMUNITY' end"}),
     "reference_tag": ("events", False, "event_id % 3 <> 0", {"reference_id": "event_id", "tag": "case when event_id % 4 = 0 then 'Patch' when event_id % 4 = 1 then ' exploit' else event_type end"}),
     "pipeline_run": ("region", False, "true", {"phase": "lower(r_name)", "last_completed_at": "'2024-01-0' || cast(r_regionkey + 1 as string) || 'T00:00:00+00:00'", "last_watermark": "cast(r_regionkey as string)"}),

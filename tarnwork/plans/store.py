@@ -1,11 +1,12 @@
 """Snapshots of the model: one Parquet folder per table and version, and a manifest that names the current one.
 
-A phase writes new folders for the tables it changed, then the manifest is replaced in one write: readers see the
-old model or the new one. Everything goes through Spark's readers and writers, so any store they reach will do.
+A phase writes new folders for the tables it changed, then a manifest under the next version's name, which must not
+exist: readers see the old model or the new one, and of two writers from one version the second fails and may retry. Everything goes through Spark's readers and writers, so any store they reach will do.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,16 +19,33 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
     def _manifests(self) -> list[tuple[int, str, str]]:
-        """(version, table, path) of the latest complete manifest."""
+        """(version, table, path) of the latest manifest; no other is read."""
+        top = self._path("manifest")
+        fs = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = sorted(f.getPath().getName() for f in fs.listStatus(top)) if fs.exists(top) else []
+        names = [n for n in names if n.endswith(".json")]
+        if not names:
+            return []
+        rows = self.spark.read.schema("version bigint, name string, path string").json(f"{self.root}/manifest/{names[-1]}")
+        return [tuple(r) for r in rows.collect()]
+
+    def _publish(self, version: int, paths: dict[str, str]) -> None:
+        """Write a manifest under a temporary name, then rename it; the rename fails if the version exists."""
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        part, final = self._path(f"manifest/.{uuid.uuid4().hex}"), self._path(f"manifest/{version:08d}.json")
+        out = part.getFileSystem(conf).create(part)
+        out.write("".join(json.dumps({"version": version, "name": n, "path": p}) + "\n" for n, p in sorted(paths.items())).encode())
+        out.close()
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
-            rows = self.spark.read.schema("version bigint, name string, path string").parquet(f"{self.root}/manifest")
-            last = rows.agg(F.max("version")).first()[0]
-            return [tuple(r) for r in rows.where(F.col("version") == last).collect()] if last is not None else []
-        except Exception as e:  # a new store has no manifest yet
-            if "PATH_NOT_FOUND" in str(e):
-                return []
-            raise
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.getFileSystem(conf).getUri(), conf).rename(part.getFileSystem(conf).makeQualified(part), final.getFileSystem(conf).makeQualified(final), options)
+        except Exception as e:
+            part.getFileSystem(conf).delete(part, False)
+            raise RuntimeError(f"version {version} of {self.root} was committed by another writer") from e
 
     def load(self) -> Tables:
         t = Tables(self.spark)
@@ -36,7 +54,7 @@ class Store:
         return t
 
     def commit(self, t: Tables, changed: list[str] | None = None) -> Tables:
-        """Write the changed tables (all, if None) and make them current."""
+        """Write the changed tables (all, if None) and make them current. Raises if another commit came in between."""
         now = self._manifests()
         version = max([v for v, _, _ in now], default=0) + 1
         paths = {name: path for _, name, path in now}
@@ -44,8 +62,7 @@ class Store:
             path = f"{self.root}/data/{name}/{version:08d}-{uuid.uuid4().hex[:8]}"
             conform(t[name], name).write.parquet(path)
             paths[name] = path
-        rows = self.spark.createDataFrame([(version, n, p) for n, p in sorted(paths.items())], "version bigint, name string, path string")
-        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+        self._publish(version, paths)
         return self.load()
 
 

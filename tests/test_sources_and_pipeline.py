@@ -116,3 +116,15 @@ def test_store_swaps_whole_models(spark, tmp_path):
     t = store.commit(Tables(spark, {"vendor": conform(spark.createDataFrame([(1, "a")], "vendor_id bigint, name string"), "vendor")}))
     t2 = store.commit(stamp(t, "x", "2024"), ["pipeline_run"])
     assert t2["vendor"].count() == 1 and state(t2, "x") == ("2024", None) and t2["cve"].where(F.lit(True)).count() == 0
+
+
+def test_a_lost_race_fails(spark, tmp_path, monkeypatch):
+    one, two = Store(spark, f"{tmp_path}/race"), Store(spark, f"{tmp_path}/race")
+    t = stamp(one.load(), "nvd", "2024-01-01")
+    one.commit(t, ["pipeline_run"])
+    stale = two._manifests()
+    one.commit(t, ["pipeline_run"])
+    monkeypatch.setattr(two, "_manifests", lambda: stale)
+    with pytest.raises(RuntimeError):
+        two.commit(stamp(t, "kev", "2024-01-02"), ["pipeline_run"])
+    assert one._manifests()[0][0] == 2 and state(one.load(), "kev") == (None, None)
