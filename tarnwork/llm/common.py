@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -10,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 17
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -101,6 +103,13 @@ def text_slices(column: pa.Array, budget: int = SLICE_BYTES):
         i = j
 
 
+def release_memory() -> None:
+    """Give the freed memory of a Python worker back to the system: idle workers are kept, and many share a machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def list_array(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 

@@ -150,8 +150,8 @@ def sharing(linked: np.ndarray, keys: np.ndarray, band: int) -> np.ndarray:
     """linked without pairs that share no band key; with a band, without those that share an earlier one too."""
     i, j = np.nonzero(np.triu(linked))
     out = np.zeros_like(linked)
-    for k in range(0, len(i), 1 << 16):
-        a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+    for k in range(0, len(i), 1 << 14):
+        a, b = i[k : k + (1 << 14)], j[k : k + (1 << 14)]
         same = keys[a] == keys[b]
         good = same.any(1) if band < 0 else same.argmax(1) == band
         good &= same.any(1)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import flat_text, text_slices
+from .common import flat_text, release_memory, text_slices
 
 MARK = "▁"
 _MODELS: dict[str, "PieceModel"] = {}
@@ -332,7 +332,7 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text", keep: lis
         m = model(model_path)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
-            for i, j, _, _ in text_slices(column, 1 << 21):
+            for i, j, _, _ in text_slices(column, 1 << 20):
                 ids, id_ends, joined, joined_ends, decoded, decoded_ends = m.encode_batch(column.slice(i, j - i))
                 made = []
                 for o in outputs:
@@ -345,6 +345,8 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text", keep: lis
                         pieces = [data[min(a + 1, b) : b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
                         made.append(pa.array([str(x, "utf-8") for x in pieces] if o == "decoded" else [hashlib.sha256(x).hexdigest() for x in pieces]))
                 yield pa.RecordBatch.from_arrays([batch.column(k).slice(i, j - i) for k in range(len(keep))] + made, names=schema.fieldNames())
+            del batch, column
+            release_memory()
 
     return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].alias("\0text")).mapInArrow(run, schema)
 

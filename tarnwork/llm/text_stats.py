@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import text_slices
+from .common import release_memory, text_slices
 from .flatwords import FlatWords
 
 # Byte classes. Each ASCII punctuation mark is a class of its own.
@@ -84,6 +84,8 @@ def map_texts(df: DataFrame, text: str, make, fields: list[T.StructField], keep:
                     else:
                         arrays.append(pa.array(a, kind))
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
+            del batch, column
+            release_memory()
 
     return cols.mapInArrow(run, schema)
 
