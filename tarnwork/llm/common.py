@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 17
+BATCH_BYTES = 8 << 20  # of an Arrow batch; a longer text makes a batch of its own
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -103,6 +104,13 @@ def text_slices(column: pa.Array, budget: int = SLICE_BYTES):
         i = j
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of the session end at BATCH_BYTES, or at a smaller bound that it has already. JVM and Python worker each hold whole batches."""
+    now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def release_memory() -> None:
     """Give the freed memory of a Python worker back to the system: idle workers are kept, and many share a machine."""
     pa.default_memory_pool().release_unused()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import flat_text, release_memory, text_slices
+from .common import bound_batches, flat_text, release_memory, text_slices
 
 MARK = "▁"
 _MODELS: dict[str, "PieceModel"] = {}
@@ -324,6 +324,7 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text", keep: lis
 
     One narrow pass over whole texts; the model is a small file that every executor has at model_path.
     """
+    bound_batches(docs.sparkSession)
     kinds = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
     keep = docs.columns if keep is None else keep
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(o, kinds[o]) for o in outputs])

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import release_memory, text_slices
+from .common import bound_batches, release_memory, text_slices
 from .flatwords import FlatWords
 
 # Byte classes. Each ASCII punctuation mark is a class of its own.
@@ -67,6 +67,7 @@ def map_texts(df: DataFrame, text: str, make, fields: list[T.StructField], keep:
 
     make returns one numpy array, or (flat values, offsets) for a list column, per field.
     """
+    bound_batches(df.sparkSession)
     kept = [df.schema[c] for c in keep]
     schema = T.StructType(kept + fields)
     cols = df.select(*[df[f"`{c}`"] for c in keep], df[f"`{text}`"].alias("\0text"))

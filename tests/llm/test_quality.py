@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tarnwork.llm import common
 from tarnwork.llm import quality_model as M
 from tarnwork.llm import quality_rules as Q
 
@@ -175,3 +176,15 @@ def test_prior_counts_all_rows_that_are_not_held_out(spark, monkeypatch):
     scores = np.concatenate([models[0].raw(M.features(np.frombuffer(t, np.uint8), np.array([0, len(t)])).astype(np.float32).astype(np.float64)) for t in mine])
     [(cuts, above, n)] = seen
     assert n == len(mine) and list(above) == [(scores >= c - M.TIE).sum() for c in cuts]
+
+
+def test_arrow_batches_are_bounded(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for now, then in (("64m", common.BATCH_BYTES), ("1m", 1 << 20)):
+            spark.conf.set(key, now)
+            common.bound_batches(spark)
+            assert spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() == then
+    finally:
+        spark.conf.set(key, before)
