@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, pii, quality_model, quality_rules, token_counts, token_store, url_filter, warc
+from . import conversation_repair, decontaminate, ngram_join, pii, prefix_trie, quality_model, quality_rules, token_counts, token_store, url_filter, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -61,6 +61,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_read(spark, sf_dir, "pages")).drop("url")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_read(spark, sf_dir, "conversations"))
+
+
+def op12_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import near_dedup
+
+    return near_dedup.near_copies(_read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -72,12 +86,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_near_dedup": op12_near_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_url_filter": url_filter.oracle(),
+        "op11_prefix_trie": prefix_trie.ORACLE_SQL,
         "op10_warc": """
 SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN octet_length(encode(h)) >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
