@@ -213,7 +213,8 @@ def _stream_digests(batches):
 def subtree_sums(nodes: DataFrame, *columns: str) -> DataFrame:
     """digest, and each column summed over the node and all below it. Ancestors at 1, 2, 4, ... steps: a round each."""
     now = cut(nodes.select("digest", F.col("parent_digest").alias("up"), *columns))
-    while now.where("up is not null").limit(1).count():
+    deepest = nodes.agg(F.max("depth")).first()[0] or 0
+    for _ in range(deepest.bit_length()):
         below = now.where("up is not null").groupBy(F.col("up").alias("digest")).agg(*[F.sum(c).alias(f"more_{c}") for c in columns])
         further = now.select(F.col("digest").alias("up"), F.col("up").alias("further"))
         summed = now.join(below, "digest", "left").join(further, "up", "left")

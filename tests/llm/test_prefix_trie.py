@@ -98,7 +98,7 @@ def test_sweep_of_lcps():
 
 def test_sums_over_long_paths(spark):
     n = 70
-    nodes = spark.createDataFrame([(bytes([i]), bytes([i - 1]) if i else None, 1) for i in range(n)], "digest binary, parent_digest binary, v long")
+    nodes = spark.createDataFrame([(bytes([i]), bytes([i - 1]) if i else None, i, 1) for i in range(n)], "digest binary, parent_digest binary, depth long, v long")
     assert {r["digest"][0]: r["v"] for r in subtree_sums(nodes, "v").collect()} == {i: n - i for i in range(n)}
 
 
