@@ -196,11 +196,11 @@ def retained(pairs: DataFrame, classes: DataFrame, coordinates: int, matches: in
 def full_sets(docs: DataFrame, classes: DataFrame, names: DataFrame, size: int) -> DataFrame:
     """f1, grams of the named classes, from the texts of their smallest documents. Repeated rows of a document give repeated rows."""
     wanted = cut(classes.join(names.distinct(), "f1", "left_semi").select("f1", F.col("rep").alias("rep_id")))
-    ids = wanted.select("rep_id").distinct()
-    ids = small_side(ids, ids.count(), MAX_IDS)
+    n = wanted.count()
+    ids = small_side(wanted.select("rep_id").distinct(), n, MAX_IDS)
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["rep_id"]), "left_semi")
     made = map_texts(texts, "t", _sets(size), [T.StructField("f1", T.LongType()), T.StructField("grams", T.ArrayType(T.LongType()))], [])
-    return made.join(small_side(wanted.select("f1"), wanted.count(), MAX_IDS), "f1", "left_semi")
+    return made.join(small_side(wanted.select("f1"), n, MAX_IDS), "f1", "left_semi")
 
 
 def confirmed(near: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -287,6 +287,13 @@ def with_roots(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(components(links).withColumnsRenamed({"node": "f1", "component": "root"}), "f1", "left").withColumn("root", F.coalesce("root", "f1"))
 
 
+def open_lists(members: DataFrame) -> DataFrame:
+    """Posting lists of members in several components."""
+    members = cut(members)
+    still = members.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("token")
+    return cut(members.join(still, "token"))
+
+
 def near_copies(docs: DataFrame, *, text: str = "text", threshold: float = THRESHOLD, size: int = SIZE, recall: float = RECALL, coordinates: int = COORDINATES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of docs."""
     matches = matches_at(threshold, recall, coordinates)
@@ -299,18 +306,19 @@ def near_copies(docs: DataFrame, *, text: str = "text", threshold: float = THRES
     posted = postings(classes, coordinates, coordinates - matches + 1)
     shared = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
     members = cut(posted.join(shared, "token").select("token", "f1", F.col("f1").alias("root")))
-    links = None
+    links = texts.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v")).where("false")
     for k in range(ROUNDS):
         first = F.min(F.struct(F.xxhash64("f1", F.lit(k)), "f1", "root"))
-        pivots = members.groupBy("token").agg(first["f1"].alias("pivot"), first["root"].alias("pivot_root"), F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
-        held = cut(members.join(pivots.drop("least", "most"), "token").where("f1 <> pivot"))
+        pivots = members.groupBy("token").agg(first["f1"].alias("pivot"), first["root"].alias("pivot_root"), F.count("*").alias("n")).where("n > 1")
+        held = cut(members.join(pivots, "token").where("f1 <> pivot"))
         near = cut(retained(held.where("root <> pivot_root").select("f1", "pivot").distinct(), classes, coordinates, matches, threshold))
         found = confirmed(near, full_sets(texts, classes, near.select("f1").unionAll(near.select(F.col("pivot").alias("f1"))), size), threshold)
-        links = cut(found if links is None else links.unionAll(found))
-        members = cut(with_roots(held.select("token", "f1"), links))
-    still = members.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("token")
-    rest = cut(members.join(still, "token"))
-    links = cut(links.unionAll(rest_links(texts, rest, classes, size, coordinates, matches, threshold)))
+        links = cut(links.unionAll(found))
+        members = open_lists(with_roots(held.where("n > 2").select("token", "f1"), links))
+        if not members.limit(1).count():
+            break
+    else:
+        links = cut(links.unionAll(rest_links(texts, members, classes, size, coordinates, matches, threshold)))
 
     reached = cut(components(links).withColumnRenamed("node", "f1"))
     linked = classes.select("f1", "f2", "rep").join(reached, "f1")
