@@ -5,6 +5,9 @@ All are pure functions of the base tables, recomputed whole; running one twice c
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from ..functions import exprs as X
 from .lineage import cut
 from .merge import assign_ids, dedupe, keep_first
 from .tables import Tables
+from .token_automaton import TokenAutomaton, find
 
 # Thresholds of the identity rules.
 MAX_SLUGS, MIN_SHARE, MIN_ROWS, DOMINANT = 8, 0.05, 2, 0.80
@@ -177,12 +181,40 @@ def candidate_dictionary(t: Tables) -> DataFrame:
     return d.where((F.size("v") > 0) & (F.size("p") > 0)).withColumn("first", F.get("v", F.lit(0)))
 
 
+MAX_NAMES, MAX_NAME_TOKENS = 300_000, 2_000_000  # of a dictionary that is broadcast as an automaton, some 500 MB at most
+FOUND = "cve_id {}, product_id bigint, matched_text string"
+
+
 def find_candidates(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """texts(cve_id, text): (cve_id, product_id, matched_text), the first match per product.
 
-    Texts are dealt out by token and meet the dictionary on the vendor's first token; then the vendor's tokens must
-    be followed by the product's, or be the start of a product name that contains them. The last token may end in digits and dots.
+    The vendor's tokens must be followed by the product's, or be the start of a product name that contains them. The last
+    token may end in digits and dots. A dictionary of counted size is broadcast as an automaton that walks each text
+    once, without a shuffle of texts; a larger one is split by first token and joined.
     """
+    size = dictionary.agg(F.count("*").alias("names"), F.coalesce(F.sum(F.size("v") + F.size("p")), F.lit(0)).alias("tokens")).first()
+    if size["names"] > MAX_NAMES or size["tokens"] > MAX_NAME_TOKENS:
+        return join_candidates(texts, dictionary)
+    names = dictionary.select("product_id", "v", "p").collect()
+    sequences = [(r["product_id"], 0, [*r["v"], *r["p"]]) for r in names] + [(r["product_id"], 1, r["p"]) for r in names if r["p"][: len(r["v"])] == r["v"]]
+    shared = texts.sparkSession.sparkContext.broadcast(TokenAutomaton(sequences))
+
+    def walk(batches):
+        token, dropped = re.compile(TOKEN), dict.fromkeys(map(ord, ".+_-"))
+        for batch in batches:
+            at, ids, found = [], [], []
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                for ident, matched in find(shared.value, text or "", token, dropped):
+                    at.append(i)
+                    ids.append(ident)
+                    found.append(matched)
+            yield pa.RecordBatch.from_arrays([batch.column("cve_id").take(pa.array(at, pa.int32())), pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["cve_id", "product_id", "matched_text"])
+
+    return texts.select("cve_id", "text").mapInArrow(walk, FOUND.format(texts.schema["cve_id"].dataType.simpleString()))
+
+
+def join_candidates(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """As find_candidates, by a join of texts' tokens with the vendors' first tokens."""
     longest = dictionary.agg(F.max(F.size("v") + F.size("p"))).first()[0] or 0
     raw, folded = tokens_of(F.col("text"))
     rows = texts.select("cve_id", raw.alias("raw"), folded.alias("tok"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import fulltext, identity, merge, search
 from ..operators import views as V
-from ..operators.tables import Tables
+from ..operators.tables import Tables, conform
 from .catalogue import SEV, on_model, plain
 from .model_map import read
 
@@ -92,6 +92,34 @@ def _nested() -> None:
     plain("url_dedupe", lambda spark, sf: merge.keep_first(read(spark, sf, "pages").select("page_id", F.regexp_replace("url", r"[?#].*$", "").alias("u")), ["u"], "page_id"), "SELECT u, min(page_id) AS page_id FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS u FROM pages) GROUP BY 1")
 
 
+def _named_in_prose(spark: SparkSession, sf: str) -> Tables:
+    """Documents as records of a placeholder product; the first word of each benchmark item is a vendor, the next two its product."""
+    word = F.split(F.trim(F.regexp_replace("text", r"[^A-Za-z0-9]+", " ")), " ")
+    items = read(spark, sf, "benchmark").select("item_id", word.alias("w")).where(F.size("w") >= 3)
+    records = _documents(spark, sf).select(F.concat(F.lit("D-"), F.col("doc_id").cast("string")).alias("cve_id"), F.col("text").alias("title"))
+    named = items.select(F.col("item_id").alias("product_id"), F.concat_ws(" ", F.get("w", F.lit(1)), F.get("w", F.lit(2))).alias("name"), F.col("item_id").alias("vendor_id"))
+    blank = spark.range(1).select(F.lit(-1).cast("bigint").alias("product_id"), F.lit("n/a").alias("name"), F.lit(-1).cast("bigint").alias("vendor_id"))
+    t = {
+        "cve": records, "vendor": items.select(F.col("item_id").alias("vendor_id"), F.get("w", F.lit(0)).alias("name")), "product": named.unionAll(blank),
+        "affected_product": records.select(F.xxhash64("cve_id").alias("id"), "cve_id", F.lit(-1).cast("bigint").alias("product_id")),
+    }
+    return Tables(spark, {name: conform(df, name) for name, df in t.items()})
+
+
+# names of at least three letters and digits; the product may repeat its vendor's name; the last token may end in digits and dots
+CANDIDATES = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9][A-Za-z0-9.+_-]*') AS raw FROM documents),
+p AS (SELECT doc_id, raw[i] AS raw, regexp_replace(lower(raw[i]), '[^a-z0-9]', '', 'g') AS w, i FROM (SELECT doc_id, raw, unnest(range(1, len(raw) + 1)) AS i FROM d)),
+b AS (SELECT item_id, list_transform(string_split(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ' '), lambda x: lower(x)) AS w FROM benchmark),
+n AS (SELECT item_id, w[1] AS v, w[2] AS p1, w[3] AS p2 FROM b WHERE len(w) >= 3 AND length(w[1]) >= 3 AND length(w[2] || w[3]) >= 3 AND w[1] <> w[2] || w[3]
+  AND w[1] NOT IN ('unknown', 'none') AND w[2] || ' ' || w[3] NOT IN ('not applicable')),
+hits AS (SELECT a.doc_id, n.item_id, a.i, 0 AS choice, a.raw || ' ' || b.raw || ' ' || c.raw AS matched FROM n JOIN p a ON a.w = n.v JOIN p b ON b.doc_id = a.doc_id AND b.i = a.i + 1 AND b.w = n.p1
+    JOIN p c ON c.doc_id = a.doc_id AND c.i = a.i + 2 AND starts_with(c.w, n.p2) AND regexp_full_match(substr(c.w, length(n.p2) + 1), '[0-9.]*')
+  UNION ALL SELECT a.doc_id, n.item_id, a.i, 1, a.raw || ' ' || b.raw FROM n JOIN p a ON a.w = n.p1 JOIN p b ON b.doc_id = a.doc_id AND b.i = a.i + 1 AND starts_with(b.w, n.p2)
+    AND regexp_full_match(substr(b.w, length(n.p2) + 1), '[0-9.]*') WHERE n.v = n.p1)
+SELECT 'D-' || doc_id AS cve_id, item_id AS product_id, matched AS matched_text FROM hits QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY i, choice) = 1"""
+
+
 def _identity() -> None:
     on_model("slug_extract", lambda t: identity.cve_cpe_vendor(t), f"SELECT DISTINCT cve_id, {_slug('criteria')} AS slug FROM cpe_match WHERE vulnerable AND criteria LIKE 'cpe:2.3:_:%' AND {_slug('criteria')} NOT IN {BAD}")
     on_model("slug_rollup_guarded", identity.product_cpe_vendor, f", {TALLY} {INDEX}")
@@ -109,6 +137,7 @@ def _identity() -> None:
     two = lambda i, a, b: f"SELECT DISTINCT a.doc_id AS cve_id, CAST({i} AS BIGINT) AS product_id FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WHERE a.w = '{a}' AND regexp_full_match(b.w, '{b}[0-9.]*')"
     three = "SELECT DISTINCT a.doc_id, CAST(2 AS BIGINT) FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 JOIN p c ON a.doc_id = c.doc_id AND c.pos = a.pos + 2 WHERE a.w = 'of' AND b.w = 'the' AND regexp_full_match(c.w, 'and[0-9.]*')"
     plain("adjacent_phrase_match", adjacent, tok + two(1, "that", "the") + " UNION ALL " + three + " UNION ALL " + two(3, "avec", "une"))
+    plain("product_candidates", lambda spark, sf: identity.product_candidates(_named_in_prose(spark, sf)), CANDIDATES)
 
 
 def _merges() -> None:

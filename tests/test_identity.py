@@ -1,7 +1,10 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tarnwork.operators import identity as I
 from tarnwork.operators.tables import Tables, conform
+from tarnwork.operators.token_automaton import TokenAutomaton
 
 
 def rows(df):
@@ -89,6 +92,30 @@ def test_candidates_need_adjacent_names(spark):
     assert got == {("yes", 10): "Acme Rocket Launcher", ("tail", 10): "acme rocket launcher2.0.1", ("own", 12): "Acme Shield"}
 
 
+def test_automaton_equals_the_join(spark, monkeypatch):
+    """Overlapping names, names that start with their vendor, tails of digits, repeated tokens, null and empty texts."""
+    rng = random.Random(4)
+    word = lambda: rng.choice(["a1", "b", "b2", "c", "abc", "Abc3.1", "c-c"])
+    texts = [(str(i), " ".join(word() for _ in range(rng.randint(0, 40)))) for i in range(60)] + [("null", None)]
+    folded = lambda: rng.choice(["a1", "b", "b2", "c", "abc", "cc"])
+    names = []
+    for i in range(60):
+        v, p = [folded() for _ in range(rng.randint(1, 2))], [folded() for _ in range(rng.randint(1, 3))]
+        names.append((i, v, v + p if rng.random() < 0.3 else p, v[0]))
+    d = spark.createDataFrame(names, "product_id bigint, v array<string>, p array<string>, first string")
+    t = spark.createDataFrame(texts, "cve_id string, text string")
+    walked = rows(I.find_candidates(t, d))
+    assert len(walked) > 100 and walked == rows(I.join_candidates(t, d))
+    monkeypatch.setattr(I, "MAX_NAMES", 10)
+    assert rows(I.find_candidates(t, d)) == walked
+
+
+def test_automaton_falls_back_over_links():
+    a = TokenAutomaton([(1, 0, ["x", "y", "x", "z"]), (2, 0, ["y", "x", "w"]), (3, 0, ["x"]), (3, 1, ["y"])])
+    assert a.first_hits("x y x w".split()) == {3: (0, 1, 0), 2: (1, 3, 0)}
+    assert a.first_hits("x y x y x z9".split()) == {3: (0, 1, 0), 1: (2, 4, 0)}
+
+
 def test_flags_stay_unknown_until_all_phases_ran(spark):
     t = Tables(spark, {"exploit": conform(spark.createDataFrame([("A",), ("B",)], "cve_id string"), "exploit"), "exploit_artefact": conform(spark.createDataFrame([(1, "A", "nuclei")], "id bigint, cve_id string, source string"), "exploit_artefact")})
     runs = lambda *p: conform(spark.createDataFrame([(x, "2024") for x in p], "phase string, last_completed_at string"), "pipeline_run")
