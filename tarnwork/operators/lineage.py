@@ -3,19 +3,28 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint in the folder that spark.checkpoint.dir names. Where it is unset, a local one with a local master; an error on a cluster.
-
-    Plans that use a table several times would otherwise repeat all work behind it each time.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where it is unset, a local one with a local master; an error on a cluster."""
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         path = sc.getConf().get("spark.checkpoint.dir")
         if not path and not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(path or "file://" + tempfile.mkdtemp(prefix="tarnwork-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """An unused path below the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df as a reliable checkpoint in the shared folder. Plans that use a table several times would otherwise repeat all work behind it each time."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()

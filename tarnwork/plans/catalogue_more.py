@@ -9,8 +9,10 @@ from ..functions import exprs as X
 from ..operators import fulltext, identity, merge, search
 from ..operators import views as V
 from ..operators.tables import Tables, conform
+from ..operators.lineage import fresh_dir
 from .catalogue import SEV, on_model, plain
-from .model_map import read
+from .model_map import model_tables, prelude, read
+from .store import Store
 
 
 def _slug(c: str) -> str:
@@ -140,7 +142,28 @@ def _identity() -> None:
     plain("product_candidates", lambda spark, sf: identity.product_candidates(_named_in_prose(spark, sf)), CANDIDATES)
 
 
+def _latest_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """New scores of the records of the last day."""
+    orders = read(spark, sf, "orders")
+    last = orders.agg(F.max("o_orderdate").alias("o_orderdate"))
+    return orders.join(last, "o_orderdate").select(F.concat(F.lit("CVE-"), F.col("o_orderkey").cast("string")).alias("cve_id"), (F.col("o_custkey") % 7 / 100.0 + 0.5).alias("epss_score"), F.lit(None).cast("double").alias("epss_percentile"))
+
+
+def _merge_touched(spark: SparkSession, sf: str) -> DataFrame:
+    """A few scores merged into a stored model: their buckets are read and written, the others stay."""
+    store = Store(spark, fresh_dir(spark, "store"))
+    store.commit(model_tables(spark, sf), ["cve", "intel"])
+    scores = _latest_scores(spark, sf)
+    store.merge(scores, lambda t: merge.upsert_scores(t, scores))
+    return store.load()["intel"]
+
+
+LATEST = """, latest AS (SELECT 'CVE-' || cast(o_orderkey AS string) AS cve_id, o_custkey % 7 / 100.0e0 + 0.5 AS s FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders))
+SELECT cve_id, round(coalesce(s, epss_score), 6) AS epss_score, epss_percentile FROM intel FULL JOIN latest USING (cve_id)"""
+
+
 def _merges() -> None:
+    plain("merge_touched_buckets", lambda s, f: _merge_touched(s, f).withColumn("epss_score", F.round("epss_score", 6)), prelude() + LATEST)
     L = lambda spark, sf: read(spark, sf, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
     rest = "l_partkey, l_suppkey, l_quantity, l_extendedprice"

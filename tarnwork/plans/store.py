@@ -1,70 +1,158 @@
-"""Snapshots of the model: one Parquet folder per table and version, and a manifest that names the current one.
+"""Snapshots of the model: Parquet folders and a manifest that names the current ones.
 
-A phase writes new folders for the tables it changed, then a manifest under the next version's name, which must not
-exist: readers see the old model or the new one, and of two writers from one version the second fails and may retry. Everything goes through Spark's readers and writers, so any store they reach will do.
+Tables of records are hashed into buckets by cve_id, all into the same ones, and the manifest names a folder for each table and
+bucket. A commit writes new folders, then a manifest under the next version's name, which must not exist: readers see the
+old model or the new one, and of two writers from one version the second fails and may retry. A merge of a few records reads
+and writes only the buckets that hold them; the other buckets' folders stay in the manifest. A bucket holds many
+records and is split over files, so no task writes one whole.
+
+The exclusive rename is atomic on HDFS and local disks; on a store without it, commits must come from one writer. `prune` deletes old versions.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tables import SCHEMAS, Tables, conform
+from ..operators.tables import SCHEMAS, Tables, conform, schema
+
+WHOLE = -1  # the bucket number of tables without a cve_id
+BUCKETS = 64
+Entries = dict[tuple[str, int], str]  # (table, bucket): folder
+
+
+def is_bucketed(name: str) -> bool:
+    return "cve_id" in schema(name).fieldNames()
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """buckets: how many, fixed when the store is first written; 64 suit some 100 GB of records."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name if name.startswith(self.root) else f"{self.root}/{name}")
 
-    def _manifests(self) -> list[tuple[int, str, str]]:
-        """(version, table, path) of the latest manifest; no other is read."""
+    def _fs(self):
+        return self._path("manifest").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[str]:
         top = self._path("manifest")
-        fs = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        names = sorted(f.getPath().getName() for f in fs.listStatus(top)) if fs.exists(top) else []
-        names = [n for n in names if n.endswith(".json")]
+        names = [f.getPath().getName() for f in self._fs().listStatus(top)] if self._fs().exists(top) else []
+        return sorted(n for n in names if n.endswith(".json"))
+
+    def _manifest(self, name: str | None = None) -> tuple[int, Entries]:
+        """Version and folders of a manifest, the latest one by default. The rows are as many as tables and buckets."""
+        names = [name] if name else self._versions()[-1:]
         if not names:
-            return []
-        rows = self.spark.read.schema("version bigint, name string, path string").json(f"{self.root}/manifest/{names[-1]}")
-        return [tuple(r) for r in rows.collect()]
+            return 0, {}
+        rows = self.spark.read.schema("version bigint, name string, bucket int, path string, buckets int").json(f"{self.root}/manifest/{names[0]}").collect()
+        self.buckets = next((r["buckets"] for r in rows if r["buckets"]), self.buckets)
+        return max(r["version"] for r in rows), {(r["name"], WHOLE if r["bucket"] is None else r["bucket"]): r["path"] for r in rows}
 
-    def _publish(self, version: int, paths: dict[str, str]) -> None:
+    def _publish(self, version: int, entries: Entries) -> None:
         """Write a manifest under a temporary name, then rename it; the rename fails if the version exists."""
-        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        jvm, conf, fs = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration(), self._fs()
         part, final = self._path(f"manifest/.{uuid.uuid4().hex}"), self._path(f"manifest/{version:08d}.json")
-        out = part.getFileSystem(conf).create(part)
-        out.write("".join(json.dumps({"version": version, "name": n, "path": p}) + "\n" for n, p in sorted(paths.items())).encode())
+        out = fs.create(part)
+        lines = [json.dumps({"version": version, "name": n, "bucket": b, "path": p, "buckets": self.buckets}) for (n, b), p in sorted(entries.items())]
+        out.write("".join(x + "\n" for x in lines).encode())
         out.close()
         options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.getFileSystem(conf).getUri(), conf).rename(part.getFileSystem(conf).makeQualified(part), final.getFileSystem(conf).makeQualified(final), options)
-        except Exception as e:
-            part.getFileSystem(conf).delete(part, False)
-            raise RuntimeError(f"version {version} of {self.root} was committed by another writer") from e
-
-    def load(self) -> Tables:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.getFileSystem(conf).getUri(), conf).rename(fs.makeQualified(part), fs.makeQualified(final), options)
+        except Py4JJavaError as e:
+            fs.delete(part, False)
+            if "FileAlreadyExistsException" in str(e.java_exception):
+                raise RuntimeError(f"version {version} of {self.root} was committed by another writer") from e
+            raise
+
+    def bucket_of(self, cve_id: str | Column = "cve_id") -> Column:
+        return F.pmod(F.xxhash64(cve_id), F.lit(self.buckets)).cast("int")
+
+    def touched(self, ids: DataFrame) -> list[int]:
+        """Buckets of the records in ids(cve_id): at most as many as there are buckets."""
+        self._manifest()
+        return sorted(r[0] for r in ids.select(self.bucket_of().alias("b")).distinct().collect())
+
+    def load(self, buckets: list[int] | None = None) -> Tables:
+        """The current model; with `buckets`, the tables of records hold only these."""
+        _, entries = self._manifest()
         t = Tables(self.spark)
-        for _, name, path in self._manifests():
-            t[name] = self.spark.read.schema(SCHEMAS[name]).parquet(path)
+        for name in sorted({n for n, _ in entries}):
+            paths = [p for (n, b), p in sorted(entries.items()) if n == name and (buckets is None or b == WHOLE or b in buckets)]
+            if paths:
+                t[name] = self.spark.read.schema(SCHEMAS[name]).parquet(*paths)
         return t
 
-    def commit(self, t: Tables, changed: list[str] | None = None) -> Tables:
-        """Write the changed tables (all, if None) and make them current. Raises if another commit came in between."""
-        now = self._manifests()
-        version = max([v for v, _, _ in now], default=0) + 1
-        paths = {name: path for _, name, path in now}
+    def _write(self, df: DataFrame, name: str) -> Entries:
+        """New folders of a table, one for each bucket that has rows."""
+        path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
+        df = conform(df, name)
+        if not is_bucketed(name):
+            df.write.parquet(path)
+            return {(name, WHOLE): path}
+        df.withColumn("__bucket", self.bucket_of()).hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(path)
+        made = [f.getPath().getName() for f in self._fs().listStatus(self._path(path)) if f.isDirectory()]
+        found: Entries = {(name, int(d.partition("=")[2])): f"{path}/{d}" for d in made}
+        return found
+
+    def commit(self, t: Tables, changed: list[str] | None = None, buckets: list[int] | None = None) -> Tables:
+        """Write the changed tables (all, if None) and make them current. Raises if another commit came in between.
+
+        buckets: t holds only these of the tables of records, and the others stay as they are.
+        """
+        version, entries = self._manifest()
         for name in sorted(changed if changed is not None else t):
-            path = f"{self.root}/data/{name}/{version:08d}-{uuid.uuid4().hex[:8]}"
-            conform(t[name], name).write.parquet(path)
-            paths[name] = path
-        self._publish(version, paths)
+            part = buckets is not None and is_bucketed(name)
+            entries = {(n, b): p for (n, b), p in entries.items() if n != name or part and b != WHOLE and b not in buckets}
+            new = self._write(t[name], name)
+            if part and {b for _, b in new} - set(buckets):
+                raise ValueError(f"{name} has rows outside the buckets that were read")
+            entries |= new
+        self._publish(version + 1, entries)
         return self.load()
 
+    def merge(self, ids: DataFrame, make: Callable[[Tables], Tables]) -> list[int]:
+        """Commit make(model) where it changes only the records in ids(cve_id) and their children: reads and writes
+        their buckets alone, and whole tables without cve_id where these change. Returns the buckets.
+
+        Not for merges that number new rows, as the largest id may lie in a bucket that is not read: these take load() and commit().
+        """
+        buckets = self.touched(ids)
+        before = self.load(buckets)
+        after = make(before)
+        self.commit(after, changed_tables(before, after), buckets)
+        return buckets
+
+    def prune(self, keep: int = 2) -> int:
+        """Delete manifests but the latest `keep`, and folders that none of these names. Returns how many folders went.
+
+        Not to be run while a commit is under way, as its folders have no manifest yet.
+        """
+        names, fs = self._versions(), self._fs()
+        live = {p for n in names[-keep:] for p in self._manifest(n)[1].values()}
+        for n in names[:-keep]:
+            fs.delete(self._path(f"manifest/{n}"), False)
+        gone = 0
+        for table in fs.listStatus(self._path("data")):
+            for commit in fs.listStatus(table.getPath()):
+                top = f"{self.root}/data/{table.getPath().getName()}/{commit.getPath().getName()}"
+                if top in live:
+                    continue
+                inner = [f.getPath().getName() for f in fs.listStatus(commit.getPath()) if f.isDirectory()]
+                dead = [d for d in inner if f"{top}/{d}" not in live]
+                for d in [top] if len(dead) == len(inner) else [f"{top}/{d}" for d in dead]:
+                    fs.delete(self._path(d), True)
+                    gone += 1
+        return gone
+
 
 def changed_tables(before: Tables, after: Tables) -> list[str]:
     return [n for n in after if n not in before or after[n] is not before[n]]

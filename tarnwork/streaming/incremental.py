@@ -23,10 +23,16 @@ def drain(spark: SparkSession, path: str, schema: str, checkpoint: str, each: Ca
     query.awaitTermination()
 
 
-def merge_stream(store: Store, path: str, schema: str, checkpoint: str, merge: Callable[[Tables, DataFrame], Tables], **options: str) -> Tables:
-    """Merge every new file's rows into the store, one commit per batch."""
+def merge_stream(store: Store, path: str, schema: str, checkpoint: str, merge: Callable[[Tables, DataFrame], Tables], keyed: bool = False, **options: str) -> Tables:
+    """Merge every new file's rows into the store, one commit per batch.
+
+    keyed: rows have a cve_id and the merge changes these records alone, so only their buckets are read and written.
+    """
 
     def each(df: DataFrame) -> None:
+        if keyed:
+            store.merge(df.select("cve_id"), lambda t: merge(t, df))
+            return
         before = store.load()
         after = merge(before, df)
         store.commit(after, changed_tables(before, after))

@@ -122,9 +122,9 @@ def test_a_lost_race_fails(spark, tmp_path, monkeypatch):
     one, two = Store(spark, f"{tmp_path}/race"), Store(spark, f"{tmp_path}/race")
     t = stamp(one.load(), "nvd", "2024-01-01")
     one.commit(t, ["pipeline_run"])
-    stale = two._manifests()
+    stale = two._manifest()
     one.commit(t, ["pipeline_run"])
-    monkeypatch.setattr(two, "_manifests", lambda: stale)
+    monkeypatch.setattr(two, "_manifest", lambda name=None: stale)
     with pytest.raises(RuntimeError):
         two.commit(stamp(t, "kev", "2024-01-02"), ["pipeline_run"])
-    assert one._manifests()[0][0] == 2 and state(one.load(), "kev") == (None, None)
+    assert one._manifest()[0] == 2 and state(one.load(), "kev") == (None, None)
