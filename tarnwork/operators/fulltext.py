@@ -10,6 +10,8 @@ import re
 import unicodedata
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +31,11 @@ def words(text: Column) -> Column:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _stems(tokens):
-    return tokens.map(lambda ws: [stem(w) for w in ws])
+    """Each distinct word of a batch is stemmed once."""
+    codes, distinct = pd.factorize(tokens.explode())
+    stems = np.array([stem(w) for w in distinct] + [None], object)[codes]
+    ends = np.cumsum(np.maximum(tokens.map(len), 1))  # explode gives an empty list one row
+    return pd.Series([s[: len(ws)].tolist() for s, ws in zip(np.split(stems, ends[:-1]), tokens)])
 
 
 def postings(docs: DataFrame, key: str, *texts: str, stemmed: bool = True) -> DataFrame:
@@ -143,15 +149,35 @@ def _leaves(node: Node) -> list[Node]:
     return [node] if node.kind in ("term", "prefix", "phrase") else [x for n in node.value for x in _leaves(n)]
 
 
+def leaf_terms(leaf: Node) -> list[str]:
+    return list(leaf.value) if leaf.kind == "phrase" else [leaf.value[0]]
+
+
+def _all_leaves(node: Node) -> list[Node]:
+    """Leaves, those behind NOT too."""
+    return [node] if node.kind in ("term", "prefix", "phrase") else [x for n in node.value for x in _all_leaves(n)]
+
+
+def wanted(tree: Node) -> Column:
+    """The terms whose postings a query needs."""
+    keep = F.lit(False)
+    for leaf in _all_leaves(tree):
+        keep = keep | (_has_prefix(leaf.value[0]) if leaf.kind == "prefix" else F.col("term").isin(leaf_terms(leaf)))
+    return keep
+
+
 def search(index: DataFrame, query: str, key: str = "cve_id", limit: int | None = 20) -> DataFrame:
     """(key, score) of the documents that match, best first; keys break ties."""
-    tree = parse(query)
-    found = _hits(tree, index, key)
     lengths = index.groupBy(key).agg(F.count("*").alias("dl"))
-    totals = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+    return rank(parse(query), index, key, lengths, lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")), limit)
+
+
+def rank(tree: Node, index: DataFrame, key: str, lengths: DataFrame, totals: DataFrame, limit: int | None) -> DataFrame:
+    """index: postings (key, term, pos) of the query's terms at least; lengths (key, dl) of their documents; totals: a row (n, avgdl)."""
+    found = _hits(tree, index, key)
     tf = None
     for i, leaf in enumerate(_leaves(tree)):
-        terms = [leaf.value[0]] if leaf.kind != "phrase" else list(leaf.value)
+        terms = leaf_terms(leaf)
         keep = _has_prefix(terms[0]) if leaf.kind == "prefix" else F.col("term").isin(terms)
         one = index.where(keep).groupBy(key).agg((F.count("*") / len(terms)).alias("tf")).withColumn("leaf", F.lit(i))
         tf = one if tf is None else tf.unionAll(one)

@@ -13,6 +13,7 @@ from ..operators.lineage import fresh_dir
 from .catalogue import SEV, on_model, plain
 from .model_map import model_tables, prelude, read
 from .store import Store
+from .text_index import TextIndex
 
 
 def _slug(c: str) -> str:
@@ -67,6 +68,24 @@ FOLD = f"translate(lower(coalesce(text, '')), '{fulltext.ACCENTED}', '{fulltext.
 POSTINGS = f"WITH d AS (SELECT doc_id, regexp_extract_all({FOLD}, '[\\p{{L}}\\p{{N}}]+') AS ws FROM documents), p AS (SELECT doc_id, unnest(ws) AS term, unnest(range(1, len(ws) + 1)) AS pos FROM d)\n"
 
 
+# documents after an update of the French ones and the deletion of the Spanish ones; words of three stems
+STORED = POSTINGS.replace("FROM documents)", "FROM (SELECT doc_id, CASE WHEN lang = 'fr' THEN coalesce(text, '') || ' hending' ELSE text END AS text FROM documents WHERE lang IS DISTINCT FROM 'es'))").replace(
+    "SELECT doc_id, unnest(ws) AS term, ", "SELECT doc_id, unnest(list_transform(ws, lambda w: CASE WHEN regexp_full_match(w, 'hend(s|es|ed|ing)?') THEN 'hend' WHEN regexp_full_match(w, 'eront(y|i|ies|ied|iou|iing|ieable)') THEN 'eronti' WHEN w = 'thes' THEN 'the' ELSE w END)) AS term, "
+)
+
+
+def _stored_search(query: str):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        """A stored index of all documents, then an update, a deletion and a query."""
+        index, docs = TextIndex(spark, fresh_dir(spark, "text"), "bigint"), _documents(spark, sf)
+        index.update(docs, "doc_id", "text")
+        index.update(docs.where("lang = 'fr'").withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" hending"))), "doc_id", "text")
+        index.delete(docs.where("lang = 'es'"), "doc_id")
+        return index.search(query, None, "doc_id").withColumn("score", F.round("score", 6))
+
+    return run
+
+
 def _text() -> None:
     at = lambda node: (lambda spark, sf: fulltext._hits(node, _index(spark, sf), "doc_id"))
     term = lambda w: fulltext.Node("term", (w,))
@@ -77,6 +96,12 @@ def _text() -> None:
     plain("fts_phrase", at(fulltext.Node("phrase", ("of", "the", "and"))), POSTINGS + "SELECT DISTINCT a.doc_id FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 JOIN p c ON a.doc_id = c.doc_id AND c.pos = a.pos + 2 WHERE a.term = 'of' AND b.term = 'the' AND c.term = 'and'")
     bm25 = """, dl AS (SELECT doc_id, count(*) AS dl FROM p GROUP BY 1), n AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl), tf AS (SELECT doc_id, term, count(*) AS tf FROM p WHERE term IN ('hend', 'eronti') GROUP BY 1, 2), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)
       SELECT doc_id, round(sum(greatest(1e-6, ln((n - df + 0.5) / (df + 0.5))) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score FROM tf JOIN df USING (term) JOIN dl USING (doc_id) CROSS JOIN n GROUP BY 1"""
+    plain("fts_stored_bm25", _stored_search("hended OR eronties"), STORED.rstrip() + bm25)
+    phrase = """, dl AS (SELECT doc_id, count(*) AS dl FROM p GROUP BY 1), n AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
+      hit AS (SELECT DISTINCT a.doc_id FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WHERE a.term = 'of' AND b.term = 'the' AND a.doc_id NOT IN (SELECT doc_id FROM p WHERE term = 'hend')),
+      tf AS (SELECT doc_id, count(*) / 2 AS tf FROM p WHERE term IN ('of', 'the') GROUP BY 1), df AS (SELECT count(*) AS df FROM tf)
+      SELECT doc_id, round(greatest(1e-6, ln((n - df + 0.5) / (df + 0.5))) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6) AS score FROM tf JOIN hit USING (doc_id) JOIN dl USING (doc_id) CROSS JOIN n CROSS JOIN df"""
+    plain("fts_stored_phrase", _stored_search('"of the" NOT hend'), STORED.rstrip() + phrase)
     plain("fts_bm25", lambda spark, sf: fulltext.search(_index(spark, sf), "hend OR eronti", "doc_id", limit=None).withColumn("score", F.round("score", 6)), POSTINGS.rstrip() + bm25)
     plain("contains_ci", lambda spark, sf: _documents(spark, sf).where(X.contains_ci("text", "TOKEN =")).select("doc_id"), "SELECT doc_id FROM documents WHERE contains(lower(text), 'token =')")
     plain("extract_ids_regex", lambda spark, sf: _documents(spark, sf).select("doc_id", F.explode(X.extract_all("text", r"[0-9]{3}-[0-9]{4}")).alias("hit")), "SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[0-9]{3}-[0-9]{4}'))) AS hit FROM documents")

@@ -30,6 +30,37 @@ def is_bucketed(name: str) -> bool:
     return "cve_id" in schema(name).fieldNames()
 
 
+def _manifests(spark: SparkSession, root: str):
+    """Folder of the manifests and its file system."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/manifest")
+    return top, top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Names of the manifests, oldest first."""
+    top, fs = _manifests(spark, root)
+    names = [f.getPath().getName() for f in fs.listStatus(top)] if fs.exists(top) else []
+    return sorted(n for n in names if n.endswith(".json"))
+
+
+def publish(spark: SparkSession, root: str, version: int, lines: list[str]) -> None:
+    """Write a manifest under a temporary name, then rename it; the rename fails if the version exists."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top, fs = _manifests(spark, root)
+    part, final = jvm.org.apache.hadoop.fs.Path(top, f".{uuid.uuid4().hex}"), jvm.org.apache.hadoop.fs.Path(top, f"{version:08d}.json")
+    out = fs.create(part)
+    out.write("".join(x + "\n" for x in lines).encode())
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.getFileSystem(conf).getUri(), conf).rename(fs.makeQualified(part), fs.makeQualified(final), options)
+    except Py4JJavaError as e:
+        fs.delete(part, False)
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            raise RuntimeError(f"version {version} of {root} was committed by another writer") from e
+        raise
+
+
 class Store:
     """buckets: how many, fixed when the store is first written; 64 suit some 100 GB of records."""
 
@@ -43,9 +74,7 @@ class Store:
         return self._path("manifest").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def _versions(self) -> list[str]:
-        top = self._path("manifest")
-        names = [f.getPath().getName() for f in self._fs().listStatus(top)] if self._fs().exists(top) else []
-        return sorted(n for n in names if n.endswith(".json"))
+        return versions(self.spark, self.root)
 
     def _manifest(self, name: str | None = None) -> tuple[int, Entries]:
         """Version and folders of a manifest, the latest one by default. The rows are as many as tables and buckets."""
@@ -57,21 +86,8 @@ class Store:
         return max(r["version"] for r in rows), {(r["name"], WHOLE if r["bucket"] is None else r["bucket"]): r["path"] for r in rows}
 
     def _publish(self, version: int, entries: Entries) -> None:
-        """Write a manifest under a temporary name, then rename it; the rename fails if the version exists."""
-        jvm, conf, fs = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration(), self._fs()
-        part, final = self._path(f"manifest/.{uuid.uuid4().hex}"), self._path(f"manifest/{version:08d}.json")
-        out = fs.create(part)
         lines = [json.dumps({"version": version, "name": n, "bucket": b, "path": p, "buckets": self.buckets}) for (n, b), p in sorted(entries.items())]
-        out.write("".join(x + "\n" for x in lines).encode())
-        out.close()
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.getFileSystem(conf).getUri(), conf).rename(fs.makeQualified(part), fs.makeQualified(final), options)
-        except Py4JJavaError as e:
-            fs.delete(part, False)
-            if "FileAlreadyExistsException" in str(e.java_exception):
-                raise RuntimeError(f"version {version} of {self.root} was committed by another writer") from e
-            raise
+        publish(self.spark, self.root, version, lines)
 
     def bucket_of(self, cve_id: str | Column = "cve_id") -> Column:
         return F.pmod(F.xxhash64(cve_id), F.lit(self.buckets)).cast("int")
