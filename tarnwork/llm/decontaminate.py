@@ -16,9 +16,12 @@ shorter than that is one window.
    The key is length, block and value; nothing else ties a window to an item. Pairs within the radius go on.
 4. Pairs are verified by exact weighted Jaccard similarity of their n-gram bags.
 
-The radius is the smallest that a pair at the threshold exceeds with probability MISS at most.
 An n-gram weighs log(1 + items / items that hold it) per occurrence; one that no item holds weighs as one that a single item holds.
-Votes are weights in 64ths, rounded. Words are lower-cased runs of other than space and \\t..\\r.
+Fingerprints take the square root of the weight as an n-gram's vote: then two bags of n-grams that do not repeat, of weighted
+similarity J, have a cosine of 2J / (1 + J) at least, whatever the weights, and the radius is the smallest that such a pair at
+the threshold exceeds with probability MISS at most. Where an n-gram repeats within a window or item, the cosine may be lower: a window
+whose count of an n-gram differs from the item's by D has a cosine of 1 - D * (1 - J) / (2 * J) at least, so a pair at
+the threshold in which that is small may be missed. Weights and votes are in 64ths, rounded. Words are lower-cased runs of other than space and \\t..\\r.
 
 Defined cases: null and blank texts and items have no words and match nothing; rows with one
 doc_id are reported as one document, each of its texts being searched on its own; of windows with equal similarity the first
@@ -45,7 +48,7 @@ BITS = 2 * LANE
 BLOCKS = 5
 MISS = 1e-3
 SEGMENT = 128
-SCALE, SLACK = 64, 0.97  # votes are weights in 64ths: rounding changes a share of a weight, at least log 2, by less than 3 %
+SCALE, SLACK = 64, 0.97  # weights are summed in 64ths: rounding changes a share of a weight, at least log 2, by less than 3 %
 PAIR_OF_ONES = 1 | 1 << LANE
 # Rows up to which a side may be broadcast (n-grams of items, index entries, keys of documents); at about 40 bytes a row
 # 20 MB, 60 MB and 40 MB. Beyond, the same joins shuffle.
@@ -166,13 +169,14 @@ class Index:
             return
         weight = F.log(1 + F.lit(float(self.n)) / F.count("*"))
         held = self.items.select("len", F.explode(F.array_distinct("grams")).alias("h")).groupBy("h").agg(weight.alias("w"), F.collect_set("len").alias("lens"))
-        self.weights = cut(held.withColumn("votes", F.round(F.col("w") * SCALE).cast("bigint")))
+        self.weights = cut(held.withColumn("votes", F.round(F.col("w") * SCALE).cast("bigint")).withColumn("pull", F.round(F.sqrt("w") * SCALE).cast("bigint")))
         self.default = math.log(1 + self.n)
         bags = self.items.select("row", "len", "size", F.explode("grams").alias("h")).groupBy("row", "len", "size", "h").agg(F.count("*").alias("held")).join(small_side(self.weights, self.n_grams, MAX_GRAMS), "h")
         self.bags = cut(bags)
-        counted = self.bags.select("row", "len", "size", (F.col("votes") * F.col("held")).alias("votes"), (F.col("w") * F.col("held")).alias("w"), "h")
-        summed = counted.groupBy("row", "len", "size").agg(F.sum("votes").alias("total"), F.sum("w").alias("weight"), *[F.sum(c).alias(n) for c, n in zip(vote_lanes(F.col("h"), F.col("votes")), LANES)])
-        p = print_of(F.array(*LANES), F.array_repeat(F.lit(0).cast("bigint"), LANE), F.col("total"))
+        counted = self.bags.select("row", "len", "size", *[(F.col(c) * F.col("held")).alias(c) for c in ("votes", "pull", "w")], "h")
+        sums = [F.sum("votes").alias("total"), F.sum("pull").alias("pulls"), F.sum("w").alias("weight")]
+        summed = counted.groupBy("row", "len", "size").agg(*sums, *[F.sum(c).alias(n) for c, n in zip(vote_lanes(F.col("h"), F.col("pull")), LANES)])
+        p = print_of(F.array(*LANES), F.array_repeat(F.lit(0).cast("bigint"), LANE), F.col("pulls"))
         self.prints = cut(summed.select("row", "len", "size", "total", "weight", p.alias("print")))
         self.lengths = sorted(tuple(r) for r in self.prints.groupBy("size", "len").agg(F.min("total").alias("least")).collect())  # at most one row per distinct length
         self.entries = sum(ball(bits, own) for _, bits, own in self.plan) * self.n
@@ -209,18 +213,19 @@ def window_prints(texts: DataFrame, found: Index, threshold: float) -> DataFrame
     keys = ["doc_id", *TEXT, "size", "n_words"]
     # dealt once by document, as whole arrays; all that follows is grouped within
     dealt = texts.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", *TEXT)
-    at = dealt.select(*keys, F.posexplode("grams").alias("pos", "h")).join(found.known("votes", "lens"), "h", "left")
+    at = dealt.select(*keys, F.posexplode("grams").alias("pos", "h")).join(found.known("votes", "pull", "lens"), "h", "left")
     at = at.withColumn("held", F.coalesce("votes", F.lit(0))).withColumn("votes", F.coalesce("votes", F.lit(round(found.default * SCALE))))
+    at = at.withColumn("pull", F.coalesce("pull", F.lit(round(math.sqrt(found.default) * SCALE))))
     first = F.greatest(F.lit(0), F.ceil((F.col("pos") - (SEGMENT + found.longest - 2)) / SEGMENT).cast("int"))
     at = at.withColumn("segment", F.explode(F.sequence(first, F.floor(F.col("pos") / SEGMENT).cast("int"))))
     least = min(v for _, _, v in found.lengths) * threshold * SLACK
     at = at.withColumn("any", F.sum("held").over(Window.partitionBy(*keys, "segment"))).where(F.col("any") >= F.lit(least)).drop("any")
     run = Window.partitionBy(*keys, "segment").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    sums = [F.sum(c).over(run).alias(n) for c, n in zip(vote_lanes(F.col("h"), F.col("votes")), LANES)]
-    at = at.select(*keys, "segment", "pos", "lens", F.sum("votes").over(run).alias("total"), F.sum("held").over(run).alias("held"), *sums)
-    row = F.struct("pos", "total", "held", F.array(*LANES).alias("lanes"))
+    sums = [F.sum(c).over(run).alias(n) for c, n in zip(vote_lanes(F.col("h"), F.col("pull")), LANES)]
+    at = at.select(*keys, "segment", "pos", "lens", F.sum("votes").over(run).alias("total"), F.sum("held").over(run).alias("held"), F.sum("pull").over(run).alias("pulls"), *sums)
+    row = F.struct("pos", "total", "held", "pulls", F.array(*LANES).alias("lanes"))
     none = F.lit(0).cast("bigint")
-    zero = F.struct(F.lit(-1).alias("pos"), none.alias("total"), none.alias("held"), F.array_repeat(none, LANE).alias("lanes"))
+    zero = F.struct(F.lit(-1).alias("pos"), none.alias("total"), none.alias("held"), none.alias("pulls"), F.array_repeat(none, LANE).alias("lanes"))
     parts = at.groupBy(*keys, "segment").agg(F.concat(F.array(zero), F.sort_array(F.collect_list(row))).alias("run"), F.flatten(F.collect_set("lens")).alias("lens"))
 
     lengths = F.array(*[F.struct(F.lit(s).alias("size"), F.lit(n).alias("len")) for s, n, _ in found.lengths])
@@ -231,10 +236,10 @@ def window_prints(texts: DataFrame, found: Index, threshold: float) -> DataFrame
     starts = F.when(last >= base, F.sequence(base, last)).otherwise(F.array().cast("array<int>"))
     parts = parts.select("*", F.explode(starts).alias("start"))
     lo, hi = F.get("run", F.col("start") - base), F.get("run", F.col("start") - base + F.col("n"))
-    sums = parts.withColumn("total", hi["total"] - lo["total"]).withColumn("held", hi["held"] - lo["held"])
+    sums = parts.withColumn("total", hi["total"] - lo["total"]).withColumn("held", hi["held"] - lo["held"]).withColumn("pulls", hi["pulls"] - lo["pulls"])
     able = sums.where(F.col("held") >= F.lit(threshold * SLACK) * F.col("total"))
-    able = able.select("doc_id", *TEXT, "size", "len", "start", "n", "total", lo["lanes"].alias("lo"), hi["lanes"].alias("hi"))
-    return able.select("doc_id", *TEXT, "size", "len", "start", "n", print_of(F.col("hi"), F.col("lo"), F.col("total")).alias("print"))
+    able = able.select("doc_id", *TEXT, "size", "len", "start", "n", "pulls", lo["lanes"].alias("lo"), hi["lanes"].alias("hi"))
+    return able.select("doc_id", *TEXT, "size", "len", "start", "n", print_of(F.col("hi"), F.col("lo"), F.col("pulls")).alias("print"))
 
 
 def near_pairs(windows: DataFrame, found: Index) -> DataFrame:
