@@ -1,7 +1,7 @@
 """Quality rules with risk-controlled thresholds.
 
 Every text gets base counts and five ratios. Each ratio has a ladder of cutoffs, from lenient to strict.
-Labelled rows (quality 1: good, 0: poor) are dealt into two halves by a hash of their id:
+Labelled texts (quality 1: good, 0: poor), each distinct text of a stratum once, are dealt into two halves by a hash of the text:
 1. On the first half each ratio's strictest useful level is found per stratum: the last at which at least
    MIN_PRECISION of the rejected rows, and MIN_POOR of them, are poor. A ratio without such a level is not used there.
 2. On the second half, the holdout, levels are certified: a level rejects a text if any used ratio
@@ -13,7 +13,8 @@ The certificate covers rows that pass the base rule; good rows that fail it are
 
 Defined cases: a null text has no words (base_failed); null is a stratum like any other; strata with fewer than
 min_labelled good rows, or none, have no certificate of their own, so only the base rule rejects there; labels of unknown ids or null quality are
-ignored; a label given twice counts twice; repeated rows each get their own result; no labels: no cutoffs.
+ignored; copies of a text count once, however many rows and labels they have, and as poor if any label says so; repeated rows each get
+their own result; no labels: no cutoffs. Texts of equal 64-bit hash are taken as copies.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 from . import text_stats as S
 from .common import cut
 
-# Fixed values: (ratio, most lenient cutoff, strictest cutoff). A text above a cutoff is rejected.
+# Own choices: (ratio, most lenient cutoff, strictest cutoff). A text above a cutoff is rejected.
 LADDER = (
     ("symbol_ratio", 0.60, 0.08),
     ("pipe_ratio", 0.90, 0.20),
@@ -39,6 +40,7 @@ LADDER = (
 LEVELS = 8
 MIN_PRECISION, MIN_POOR = 0.75, 5
 MAX_IDS = 1_000_000  # labelled ids that may be broadcast, about 40 MB
+PRINT = "text_print"  # hash of a whole text
 RATIOS = tuple(r for r, _, _ in LADDER)
 
 
@@ -118,14 +120,27 @@ def useful_levels(poor: list[int], good: list[int]) -> int:
     return max((k for k, (b, g) in enumerate(zip(poor, good), 1) if b >= MIN_POOR and b >= MIN_PRECISION * (b + g)), default=0)
 
 
+def labelled_texts(counts: DataFrame, labels: DataFrame, stratum: str) -> DataFrame:
+    """stratum, good, holdout and ratios of each distinct labelled text of a stratum that passes the base rule."""
+    marked = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    rows = counts.where(~base_failed()).select("doc_id", stratum_name(F.col(stratum)).alias("stratum"), PRINT, *RATIOS).join(marked, "doc_id")
+    texts = rows.groupBy("stratum", PRINT).agg((F.min("quality") == 1).alias("good"), *[F.max(r).alias(r) for r in RATIOS])
+    return texts.withColumn("holdout", F.pmod(F.xxhash64(F.lit("fold"), PRINT), F.lit(2)) == 1)
+
+
+def fit_counts(docs: DataFrame, stratum: str, text: str = "text") -> DataFrame:
+    """rule_counts with doc_id, the stratum and PRINT."""
+    columns = list(dict.fromkeys(["doc_id", stratum]))
+    printed = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").alias("\0fit"), F.xxhash64(f"`{text}`").alias(PRINT))
+    return rule_counts(printed, "\0fit", [*columns, PRINT])
+
+
 def fit_cutoffs(counts: DataFrame, labels: DataFrame, *, stratum: str = "lang", max_false_rejection: float = 0.05, delta: float = 0.05, min_labelled: int = 300) -> dict[str, dict[str, float]]:
-    """Cutoffs per stratum (as stratum_name) and ratio. counts: rule_counts with doc_id and the stratum.
+    """Cutoffs per stratum (as stratum_name) and ratio. counts: rule_counts with doc_id, the stratum and PRINT.
 
-    Strata below min_labelled get none, so the driver sees at most (good rows / min_labelled) of them.
+    Strata below min_labelled get none, so the driver sees at most (good texts / min_labelled) of them.
     """
-    marked = labels.where(F.col("quality").isin(0, 1)).select("doc_id", (F.col("quality") == 1).alias("good"))
-    rows = counts.where(~base_failed()).select("doc_id", stratum_name(F.col(stratum)).alias("stratum"), *RATIOS).join(marked, "doc_id")
-    rows = cut(rows.withColumn("holdout", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2)) == 1))
+    rows = cut(labelled_texts(counts, labels, stratum))
     large = [r[0] for r in rows.where("good").groupBy("stratum").agg(F.count("*").alias("n")).where(F.col("n") >= min_labelled).collect()]
     if not large:
         return {}
@@ -149,7 +164,7 @@ def verdict(cutoffs: dict[str, dict[str, float]], stratum: str = "lang"):
 
 def apply_rules(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", **risk) -> DataFrame:
     """One row per row of docs: doc_id, base counts, base_failed, kept and the ratios."""
-    counts = cut(rule_counts(docs, keep=list(dict.fromkeys(["doc_id", stratum]))))
+    counts = cut(fit_counts(docs, stratum))
     cutoffs = fit_cutoffs(counts, labels, stratum=stratum, **risk)
     return counts.select("doc_id", *S.BASE_COLUMNS, base_failed().alias("base_failed"), verdict(cutoffs, stratum).alias("kept"), *[F.round(r, 6).alias(r) for r in RATIOS])
 
@@ -162,7 +177,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, stratum: str = "lang", **ri
     """
     ids = labels.where(F.col("quality").isin(0, 1)).select("doc_id").distinct()
     labelled = docs.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= MAX_IDS else docs
-    cutoffs = fit_cutoffs(rule_counts(labelled, keep=list(dict.fromkeys(["doc_id", stratum]))), labels, stratum=stratum, **risk)
+    cutoffs = fit_cutoffs(fit_counts(labelled, stratum), labels, stratum=stratum, **risk)
     clash = {c.lower() for c in (*S.BASE_COLUMNS, *RATIOS)}
     safe = [f"__col{i}" if c.lower() in clash else c for i, c in enumerate(docs.columns)]
     counted = rule_counts(docs.toDF(*safe))

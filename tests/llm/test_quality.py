@@ -83,6 +83,58 @@ def test_strata_without_a_certificate_go_by_the_base_rule(spark):
     assert {(lang, m, kept[i]) for i, (lang, m, _) in enumerate(rows)} == {("few", "", True), ("few", "$$$", True), ("bare", "$$$", True), (None, "", True), (None, "$$$", False)}
 
 
+def test_repeats_buy_no_certificate(spark):
+    """Few distinct good texts on many rows and under many labels certify nothing; the same number of distinct ones does."""
+    good = lambda i: " ".join(f"good{i}x{j}" for j in range(40))
+    poor = lambda i: " ".join(f"## $$ %% p{i}x{j}" for j in range(20))
+    bad = [(100_000 + i, poor(i), "en") for i in range(60)]
+    few = [(i, good(i % 24), "en") for i in range(720)] + bad
+    many = [(i, good(i), "en") for i in range(720)] + bad
+    for rows, certified in ((few, False), (many, True)):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        labels = spark.createDataFrame([(d, int(d < 100_000)) for d, _, _ in rows] * 2, "doc_id long, quality int")
+        cutoffs = Q.fit_cutoffs(Q.fit_counts(docs, "lang"), labels, min_labelled=20)
+        assert any(cutoffs.values()) == certified
+        assert Q.labelled_texts(Q.fit_counts(docs, "lang"), labels, "lang").where("good").count() == (720 if certified else 24)
+
+
+def test_cutoffs_equal_a_plain_version(spark):
+    """Ties of ratios, texts of two labels, copies, null strata: the fit against loops over the labelled texts."""
+    r = np.random.default_rng(3)
+    rows, labels = [], []
+    for i in range(900):
+        marks = int(r.integers(0, 14)) if r.random() < 0.6 else 0
+        rows.append((i, " ".join([f"t{i % 700}w{j}" for j in range(30)] + ["#$%#"] * marks), [None, "a"][i % 2]))
+        labels += [(i, int(marks < 8 or r.random() < 0.05))] * int(r.integers(1, 3))
+        if i % 50 == 0:
+            labels.append((i, 0))
+    docs, marked = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    counts = Q.fit_counts(docs, "lang").cache()
+    got = Q.fit_cutoffs(counts, marked, min_labelled=50)
+    worst = {}
+    for d, q in labels:
+        worst[d] = min(q, worst.get(d, 1))
+    texts = {}
+    for c in counts.where(~Q.base_failed()).collect():
+        key = ("null" if c.lang is None else "=" + c.lang, c.text_print)
+        old = texts.get(key, (1, None))
+        texts[key] = (min(old[0], worst[c.doc_id]), {x: c[x] for x in Q.RATIOS})
+    fold = {x.text_print: x.holdout for x in Q.labelled_texts(counts, marked, "lang").collect()}
+    ladder = {name: [Q.cutoff(lo, hi, k) for k in range(1, Q.LEVELS + 1)] for name, lo, hi in Q.LADDER}
+    caps, table = {}, []
+    for s in sorted({k[0] for k in texts}):
+        mine = [(g, v, fold[p]) for (z, p), (g, v) in texts.items() if z == s]
+        caps[s] = {}
+        for name, levels in ladder.items():
+            useful = [k for k, c in enumerate(levels, 1) if (b := sum(not g and v[name] > c for g, v, h in mine if not h)) >= Q.MIN_POOR and b >= Q.MIN_PRECISION * (b + sum(g and v[name] > c for g, v, h in mine if not h))]
+            if useful:
+                caps[s][name] = max(useful)
+        held = [v for g, v, h in mine if h and g]
+        table.append((s, len(held), [sum(any(v[n] > ladder[n][min(k, cap) - 1] for n, cap in caps[s].items()) for v in held) for k in range(1, Q.LEVELS + 1)]))
+    want = {s: {n: ladder[n][min(k, cap) - 1] for n, cap in caps[s].items()} if k else {} for s, k in Q.certify(table, 0.05, 0.05).items()}
+    assert got == want and any(want.values())
+
+
 def test_certified_levels_limit_false_rejection():
     exact = lambda k, n, p: sum(float(np.prod([(n - i) / (i + 1) for i in range(j)])) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
     assert abs(Q.binomial_tail(3, 20, 0.3) - exact(3, 20, 0.3)) < 1e-9 and Q.binomial_tail(5, 5, 0.1) == 1.0
