@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -10,6 +10,8 @@ from ..operators import fulltext, identity, merge, search
 from ..operators import views as V
 from ..operators.tables import Tables, conform
 from ..operators.lineage import fresh_dir
+from ..sources import feeds
+from . import coverage
 from .catalogue import SEV, on_model, plain
 from .model_map import model_tables, prelude, read
 from .store import Store
@@ -187,6 +189,32 @@ LATEST = """, latest AS (SELECT 'CVE-' || cast(o_orderkey AS string) AS cve_id,
 SELECT cve_id, round(coalesce(s, epss_score), 6) AS epss_score, epss_percentile FROM intel FULL JOIN latest USING (cve_id)"""
 
 
+def _landed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as pages of 20 results of daily windows, a feed for each type; some pages are lost."""
+    day = F.to_date("ts")
+    w = Window.partitionBy("event_type", "low").orderBy("event_id")
+    rows = read(spark, sf, "events").select("event_type", day.alias("low"), F.date_add(day, 1).alias("high"), "event_id").withColumn("at", F.row_number().over(w) - 1)
+    pages = rows.groupBy("event_type", "low", "high", F.expr("at div 20 * 20").alias("start_index")).agg(F.count("*").alias("results"), F.min("event_id").alias("first"))
+    totals = rows.groupBy("event_type", "low").agg(F.count("*").alias("total"))
+    return pages.join(totals, ["event_type", "low"]).where("first % 401 <> 7")
+
+
+def _coverage(spark: SparkSession, sf: str) -> DataFrame:
+    windows = coverage.windows_of(_landed_pages(spark, sf), ["event_type", "low", "high"])
+    return coverage.marks(windows, "event_type").withColumn("mark", F.col("mark").cast("string"))
+
+
+COVERAGE = """
+WITH r AS (SELECT event_type, CAST(ts AS DATE) AS low, event_id, row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY event_id) - 1 AS rn FROM events),
+p AS (SELECT event_type, low, (rn // 20) * 20 AS s, count(*) AS n, min(event_id) AS first FROM r GROUP BY 1, 2, 3),
+t AS (SELECT event_type, low, count(*) AS total FROM r GROUP BY 1, 2),
+kept AS (SELECT * FROM p JOIN t USING (event_type, low) WHERE first % 401 <> 7),
+w AS (SELECT event_type, low, sum(n) = max(total) AS complete FROM kept GROUP BY 1, 2),
+g AS (SELECT *, coalesce(low - lag(low) OVER o > 1, false) OR NOT complete AS broken FROM w WINDOW o AS (PARTITION BY event_type ORDER BY low)),
+l AS (SELECT *, bool_or(broken) OVER (PARTITION BY event_type ORDER BY low) AS lost FROM g)
+SELECT event_type, count(*) AS windows, count(*) FILTER (NOT lost) AS done, CAST(max(low) FILTER (NOT lost) + 1 AS VARCHAR) AS mark FROM l GROUP BY 1"""
+
+
 def _merges() -> None:
     plain("merge_touched_buckets", lambda s, f: _merge_touched(s, f).withColumn("epss_score", F.round("epss_score", 6)), prelude() + LATEST)
     L = lambda spark, sf: read(spark, sf, "lineitem")
@@ -217,7 +245,8 @@ def _merges() -> None:
     # state
     on_model("tri_state_writeback", lambda t: identity.write_exploit_flags(_phases(t)).groupBy("public_poc", "metasploit").agg(F.count("*").alias("n")), "SELECT a.cve_id IS NOT NULL AS public_poc, metasploit, count(*) AS n FROM exploit LEFT JOIN (SELECT DISTINCT cve_id FROM exploit_artefact WHERE source IN ('click', 'view')) a USING (cve_id) GROUP BY 1, 2")
     on_model("null_unscored", lambda t: merge.null_unscored(t["intel"].na.fill(0.0)), "SELECT cve_id, CASE WHEN coalesce(epss_score, 0) = 0 AND coalesce(epss_percentile, 0) = 0 THEN NULL ELSE coalesce(epss_score, 0) END AS epss_score, CASE WHEN coalesce(epss_score, 0) = 0 AND coalesce(epss_percentile, 0) = 0 THEN NULL ELSE coalesce(epss_percentile, 0) END AS epss_percentile FROM intel")
-    plain("incremental_since_watermark", lambda s, f: read(s, f, "events").where(F.col("ts") > F.lit("2024-01-20").cast("timestamp_ntz")).select("event_id"), "SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-20'")
+    plain("incremental_since_watermark", lambda s, f: feeds.since(read(s, f, "events").select("event_id", F.col("ts").cast("string").alias("lastModified")), "2024-01-20 00:00:00").select("event_id"), "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-20'")
+    plain("coverage_marks", _coverage, COVERAGE)
 
     def windows(s: SparkSession, f: str) -> DataFrame:
         from ..sources.feeds import date_windows

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import identity
 from ..operators.tables import Tables
 from ..sources import feeds, records
+from .coverage import all_landed
 from .store import Store, changed_tables, stamp, state
 
 ORDER = ("ingest", "kev", "nvd", "placeholder_products", "vendor_index", "product_candidates", "epss", "osv", "nuclei", "exploitdb", "metasploit", "exploit_flags")
@@ -46,7 +47,8 @@ def run_pipeline(store: Store, inputs: dict[str, str], *, skip: tuple[str, ...]
         _, mark = state(t, "nvd")
         rows = feeds.since(feeds.read_nvd(spark, inputs["nvd"]), None if ran_ingest else mark)
         top = rows.agg(F.max("lastModified")).first()[0]
-        commit("nvd", lambda t: feeds.merge_nvd(t, rows), top or mark)
+        whole = all_landed(spark, inputs["nvd"])  # else the mark stays, so that what lacks is fetched again
+        commit("nvd", lambda t: feeds.merge_nvd(t, rows), (top or mark) if whole else mark)
     derived = {
         "placeholder_products": identity.resolve_placeholders,
         "vendor_index": identity.build_vendor_index,
