@@ -14,6 +14,7 @@ from ..sources import feeds
 from . import coverage
 from .catalogue import SEV, on_model, plain
 from .model_map import model_tables, prelude, read
+from .partials import Partials
 from .store import Store
 from .text_index import TextIndex
 
@@ -185,6 +186,19 @@ def _merge_touched(spark: SparkSession, sf: str) -> DataFrame:
     return store.load()["intel"]
 
 
+def _monthly_partials(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores by month from kept aggregates, after a merge of the last day's scores."""
+    store = Store(spark, fresh_dir(spark, "store"))
+    store.commit(model_tables(spark, sf), ["cve", "intel"])
+    rows = lambda t: t["cve"].join(t["intel"], "cve_id").select("cve_id", F.substring("published", 1, 7).alias("month"), F.col("epss_score").cast("decimal(12,6)").alias("total"), F.col("epss_score").alias("most"))
+    kept = Partials(store, "scores_monthly", ["cve", "intel"], rows, ["month"], {"total": "sum", "most": "max"})
+    kept.refresh()
+    scores = _latest_scores(spark, sf)
+    store.merge(scores, lambda t: merge.upsert_scores(t, scores))
+    kept.refresh()
+    return kept.result().select("month", "n", F.col("total").cast("double").alias("total"), F.round("most", 6).alias("most"))
+
+
 LATEST = """, latest AS (SELECT 'CVE-' || cast(o_orderkey AS string) AS cve_id, o_custkey % 7 / 100.0e0 + 0.5 AS s FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders))
 SELECT cve_id, round(coalesce(s, epss_score), 6) AS epss_score, epss_percentile FROM intel FULL JOIN latest USING (cve_id)"""
 
@@ -216,6 +230,9 @@ SELECT event_type, count(*) AS windows, count(*) FILTER (NOT lost) AS done, CAST
 
 
 def _merges() -> None:
+    monthly = """SELECT substring(c.published, 1, 7) AS month, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(m.epss_score AS DECIMAL(12,6))) AS DOUBLE) AS total, round(max(m.epss_score), 6) AS most
+      FROM cve c JOIN merged m USING (cve_id) GROUP BY 1"""
+    plain("partials_after_merge", _monthly_partials, prelude() + LATEST.replace("\nSELECT", ", merged AS (SELECT", 1) + ")\n" + monthly)
     plain("merge_touched_buckets", lambda s, f: _merge_touched(s, f).withColumn("epss_score", F.round("epss_score", 6)), prelude() + LATEST)
     L = lambda spark, sf: read(spark, sf, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
@@ -249,11 +266,17 @@ def _merges() -> None:
     plain("coverage_marks", _coverage, COVERAGE)
 
     def windows(s: SparkSession, f: str) -> DataFrame:
-        from ..sources.feeds import date_windows
-
-        return s.createDataFrame([(a[:10], b[:10]) for a, b in date_windows("2023-01-01T00:00:00+00:00", "2024-06-01T00:00:00+00:00")], "low string, high string")
-
-    plain("window_split_119d", windows, "SELECT strftime(d, '%Y-%m-%d') AS low, strftime(least(d + INTERVAL 119 DAY, TIMESTAMP '2024-06-01'), '%Y-%m-%d') AS high FROM (SELECT unnest(generate_series(TIMESTAMP '2023-01-01', TIMESTAMP '2024-05-31', INTERVAL 119 DAY)) AS d)")
+        """The span of the orders in windows of 119 days, and the orders of each."""
+        days = read(s, f, "orders").select(F.to_date(F.substring(F.col("o_orderdate").cast("string"), 1, 10)).alias("d"))
+        span = days.agg(F.min("d").alias("low"), F.date_add(F.max("d"), 1).alias("high")).first()
+        split = feeds.date_windows(f"{span['low']}T00:00:00+00:00", f"{span['high']}T00:00:00+00:00")
+        spans = s.createDataFrame([(i, a[:10], b[:10]) for i, (a, b) in enumerate(split)], "k long, low string, high string")
+        counted = days.groupBy(F.floor(F.datediff("d", F.lit(span["low"])) / 119).alias("k")).agg(F.count("*").alias("n"))
+        return spans.join(counted, "k", "left").select("low", "high", F.coalesce("n", F.lit(0)).alias("n"))
+
+    plain("window_split_119d", windows, """WITH o AS (SELECT CAST(substring(cast(o_orderdate AS string), 1, 10) AS DATE) AS d FROM orders), b AS (SELECT min(d) AS low, max(d) + 1 AS high FROM o),
+      w AS (SELECT CAST(d AS DATE) AS low, least(CAST(d AS DATE) + 119, high) AS high FROM (SELECT unnest(generate_series(low::TIMESTAMP, (high - 1)::TIMESTAMP, INTERVAL 119 DAY)) AS d, high FROM b))
+      SELECT CAST(w.low AS VARCHAR) AS low, CAST(w.high AS VARCHAR) AS high, count(o.d) AS n FROM w LEFT JOIN o ON o.d >= w.low AND o.d < w.high GROUP BY ALL""")
     plain("sample_hash_topk", lambda s, f: V.sample(read(s, f, "orders"), 200, 7, "o_orderkey").select("o_orderkey"), "SELECT o_orderkey FROM orders ORDER BY md5('7|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 200")
 
 
