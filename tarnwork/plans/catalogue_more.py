@@ -13,6 +13,7 @@ from ..operators.lineage import fresh_dir
 from ..sources import feeds
 from . import coverage
 from .catalogue import SEV, on_model, plain
+from .migrations import open_store
 from .model_map import model_tables, prelude, read
 from .partials import Partials
 from .store import Store
@@ -179,7 +180,7 @@ def _latest_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 def _merge_touched(spark: SparkSession, sf: str) -> DataFrame:
     """A few scores merged into a stored model: their buckets are read and written, the others stay."""
-    store = Store(spark, fresh_dir(spark, "store"))
+    store = Store(spark, fresh_dir(spark, "store"), 16)
     store.commit(model_tables(spark, sf), ["cve", "intel"])
     scores = _latest_scores(spark, sf)
     store.merge(scores, lambda t: merge.upsert_scores(t, scores))
@@ -188,7 +189,7 @@ def _merge_touched(spark: SparkSession, sf: str) -> DataFrame:
 
 def _monthly_partials(spark: SparkSession, sf: str) -> DataFrame:
     """Scores by month from kept aggregates, after a merge of the last day's scores."""
-    store = Store(spark, fresh_dir(spark, "store"))
+    store = Store(spark, fresh_dir(spark, "store"), 16)
     store.commit(model_tables(spark, sf), ["cve", "intel"])
     rows = lambda t: t["cve"].join(t["intel"], "cve_id").select("cve_id", F.substring("published", 1, 7).alias("month"), F.col("epss_score").cast("decimal(12,6)").alias("total"), F.col("epss_score").alias("most"))
     kept = Partials(store, "scores_monthly", ["cve", "intel"], rows, ["month"], {"total": "sum", "most": "max"})
@@ -199,6 +200,13 @@ def _monthly_partials(spark: SparkSession, sf: str) -> DataFrame:
     return kept.result().select("month", "n", F.col("total").cast("double").alias("total"), F.round("most", 6).alias("most"))
 
 
+def _migrated(spark: SparkSession, sf: str) -> DataFrame:
+    """Flags of a stored model after it was opened with all migrations."""
+    root = fresh_dir(spark, "store")
+    Store(spark, root, 16).commit(model_tables(spark, sf), ["exploit", "cpe_match", "intel"])
+    return open_store(spark, root).load()["exploit"].select("cve_id", "public_poc", "metasploit")
+
+
 LATEST = """, latest AS (SELECT 'CVE-' || cast(o_orderkey AS string) AS cve_id, o_custkey % 7 / 100.0e0 + 0.5 AS s FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders))
 SELECT cve_id, round(coalesce(s, epss_score), 6) AS epss_score, epss_percentile FROM intel FULL JOIN latest USING (cve_id)"""
 
@@ -230,6 +238,8 @@ SELECT event_type, count(*) AS windows, count(*) FILTER (NOT lost) AS done, CAST
 
 
 def _merges() -> None:
+    on = "CASE WHEN {0} THEN true END AS {0}"
+    plain("migrated_flags", _migrated, prelude() + f"SELECT cve_id, {on.format('public_poc')}, {on.format('metasploit')} FROM exploit")
     monthly = """SELECT substring(c.published, 1, 7) AS month, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(m.epss_score AS DECIMAL(12,6))) AS DOUBLE) AS total, round(max(m.epss_score), 6) AS most
       FROM cve c JOIN merged m USING (cve_id) GROUP BY 1"""
     plain("partials_after_merge", _monthly_partials, prelude() + LATEST.replace("\nSELECT", ", merged AS (SELECT", 1) + ")\n" + monthly)

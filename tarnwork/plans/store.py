@@ -24,6 +24,7 @@ from ..operators.tables import SCHEMAS, Tables, conform, schema
 WHOLE = -1  # the bucket number of tables without a cve_id
 BUCKETS = 64
 Entries = dict[tuple[str, int], str]  # (table, bucket): folder
+MIGRATED = ("__migrated", WHOLE)  # the entry with the number of the last migration that the data has seen
 
 
 def is_bucketed(name: str) -> bool:
@@ -101,7 +102,7 @@ class Store:
         """The current model; with `buckets`, the tables of records hold only these."""
         _, entries = self._manifest()
         t = Tables(self.spark)
-        for name in sorted({n for n, _ in entries}):
+        for name in sorted({n for n, _ in entries if n in SCHEMAS}):
             paths = [p for (n, b), p in sorted(entries.items()) if n == name and (buckets is None or b == WHOLE or b in buckets)]
             if paths:
                 t[name] = self.spark.read.schema(SCHEMAS[name]).parquet(*paths)
@@ -119,10 +120,14 @@ class Store:
         found: Entries = {(name, int(d.partition("=")[2])): f"{path}/{d}" for d in made}
         return found
 
-    def commit(self, t: Tables, changed: list[str] | None = None, buckets: list[int] | None = None) -> Tables:
+    def migrated(self) -> int:
+        """Number of the last migration that the data has seen, 0 for none."""
+        return int(self._manifest()[1].get(MIGRATED, 0))
+
+    def commit(self, t: Tables, changed: list[str] | None = None, buckets: list[int] | None = None, migrated: int | None = None) -> Tables:
         """Write the changed tables (all, if None) and make them current. Raises if another commit came in between.
 
-        buckets: t holds only these of the tables of records, and the others stay as they are.
+        buckets: t holds only these of the tables of records, and the others stay as they are. migrated: see there.
         """
         version, entries = self._manifest()
         for name in sorted(changed if changed is not None else t):
@@ -132,6 +137,8 @@ class Store:
             if part and {b for _, b in new} - set(buckets):
                 raise ValueError(f"{name} has rows outside the buckets that were read")
             entries |= new
+        if migrated is not None:
+            entries[MIGRATED] = str(migrated)
         self._publish(version + 1, entries)
         return self.load()
 
