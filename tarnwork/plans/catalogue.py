@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import exprs as X
 from ..operators import views as V
 from .model_map import model_tables, prelude
 
@@ -121,6 +122,7 @@ def _views() -> None:
     on_model("ref_trust", V.reference_trust, f"SELECT {unset('trust')} AS trust, count(*) AS n FROM prefs GROUP BY 1")
     on_model("ref_tags_top", V.reference_tags, "SELECT trim(tag) AS tag, count(*) AS n FROM prefs r JOIN reference_tag g ON g.reference_id = r.id WHERE trim(coalesce(tag, '')) <> '' GROUP BY 1 ORDER BY n DESC, 1 LIMIT 24")
     on_model("tag_coverage_yearly", lambda t: V.tag_coverage_yearly(t, ["patch"]), "SELECT strftime(pts, '%Y') AS year, count(*) AS n_total, count(g.cve_id) AS n_tagged, round(count(g.cve_id) / count(*), 6) AS share FROM pub LEFT JOIN (SELECT DISTINCT r.cve_id FROM refs r JOIN reference_tag t ON t.reference_id = r.id WHERE lower(trim(tag)) = 'patch') g USING (cve_id) GROUP BY 1", ("share",))
+    on_model("poc_tag_coverage_yearly", lambda t: V.tag_coverage_yearly(t, X.POC_TAGS), "SELECT strftime(pts, '%Y') AS year, count(*) AS n_total, count(g.cve_id) AS n_tagged, round(count(g.cve_id) / count(*), 6) AS share FROM pub LEFT JOIN (SELECT DISTINCT r.cve_id FROM refs r JOIN reference_tag t ON t.reference_id = r.id WHERE lower(trim(tag)) IN ('exploit', 'x_refsource_exploit-db', 'signature')) g USING (cve_id) GROUP BY 1", ("share",))
     on_model("intel_kinds", V.intel_kinds, f"SELECT {unset('kind')} AS kind, count(*) AS n FROM plist GROUP BY 1")
     on_model("intel_values_top", lambda t: V.top_intel_values(t, "click"), "SELECT trim(value) AS value, count(*) AS n FROM plist WHERE kind = 'click' AND trim(value) <> '' GROUP BY 1 ORDER BY n DESC, 1 LIMIT 12")
     on_model("pivot_wide", lambda t: V.wide(V.severity_monthly(t), "ym", "severity", "n", list(V.X.SEVERITY_ORDER)), f"SELECT ym, {', '.join(f"CAST(coalesce(sum(n) FILTER (severity = '{s}'), 0) AS BIGINT) AS {s}" for s in V.X.SEVERITY_ORDER)} FROM (SELECT {ym} AS ym, {sev} AS severity, count(*) AS n FROM pub LEFT JOIN cmax USING (cve_id) WHERE pts IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
@@ -148,6 +150,7 @@ def _views() -> None:
     # samples: ordered by a hash, so that both engines pick the same rows
     h = lambda *k: "md5('0|' || " + " || '|' || ".join(f"CAST({x} AS VARCHAR)" for x in k) + ")"
     on_model("sample_scatter", lambda t: V.epss_cvss_sample(t, n=500), f"SELECT i.cve_id, epss_score, cvss_max FROM (SELECT * FROM pintel WHERE epss_score IS NOT NULL ORDER BY {h('cve_id')}, cve_id LIMIT 500) i LEFT JOIN cmax USING (cve_id)")
+    on_model("subscore_sample", lambda t: V.subscore_sample(t), f"SELECT cve_id, exploitability_score, impact_score, score, {SEV.format('score')} AS severity FROM pcvss WHERE exploitability_score IS NOT NULL AND impact_score IS NOT NULL ORDER BY md5('0|' || cve_id || '|' || CAST(id AS VARCHAR)), cve_id, id LIMIT 5000")
     on_model("sample_epss_severity", lambda t: V.epss_by_severity(t, n=500), f"SELECT {sev} AS severity, epss_score FROM (SELECT * FROM pintel WHERE epss_score IS NOT NULL ORDER BY {h('cve_id')}, cve_id LIMIT 500) i LEFT JOIN cmax USING (cve_id)")
     on_model("sample_itw_vs_rest", lambda t: V.exploit_vs_cvss(t, n=500), f"SELECT 'In the wild' AS grp, cvss_max FROM pexp JOIN cmax USING (cve_id) WHERE in_the_wild UNION ALL SELECT * FROM (SELECT 'Other', cvss_max FROM pexp JOIN cmax USING (cve_id) WHERE NOT in_the_wild ORDER BY {h('cve_id')}, cve_id LIMIT 500)")
 
