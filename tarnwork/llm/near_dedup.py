@@ -9,7 +9,8 @@
    its errors change the order, never the result.
 3. In each posting list all members are held against one pivot, the collisions of both signatures are counted, coordinate block by
    block, leaving out pairs that can no longer reach `matches` (skip merging), and those retained are confirmed on full sets. After
-   ROUNDS pivots, lists whose members all lie in one component of the links are done; a group of near copies is settled in linear work.
+   ROUNDS pivots, lists whose members all lie in one component of the links, as two steps along them show, are done: copies that are near
+   their pivot are settled in linear work.
 4. What is left of the other lists is dealt to units of bounded size, pairs of member blocks for long lists: collisions are
    counted for all pairs of a unit between different components, then full sets for members that have any partner there. A unit
    returns one link per member at most, so pairs are never written out.
@@ -43,7 +44,7 @@ from .text_stats import map_texts
 
 SIZE, THRESHOLD, RECALL, COORDINATES = 4, 0.8, 0.9999, 64
 CELLS = 1 << 20  # of the sketch: 8 MB on the driver, 4 MB a broadcast, whatever the corpus
-ROUNDS = 2
+ROUNDS = 1
 UNIT_MEMBERS, UNIT_GRAMS = 1024, 400_000
 MAX_IDS = 1_000_000  # ids that may be broadcast, about 40 MB; beyond, the same join shuffles
 STEP = 8  # coordinates between two looks at which pairs can still match
@@ -215,7 +216,7 @@ def _lists(table: pa.Table):
     """(rows of one posting list, as indices) of a unit."""
     token = table["token"].to_numpy()
     order = np.argsort(token, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(token[order])) + 1):
+    for rows in np.split(order, np.flatnonzero(token[order][1:] != token[order][:-1]) + 1):
         if len(rows) > 1:
             yield rows
 
@@ -230,15 +231,23 @@ def _apart(table: pa.Table, rows: np.ndarray) -> np.ndarray:
 
 
 def _partnered(coordinates: int, matches: int):
-    """Members of a unit that collide enough with a member of another component."""
+    """Members of a unit that collide enough with a member of another component, where no earlier list holds both."""
 
     def unit(table: pa.Table) -> pa.Table:
         sig, good = _matrix(table["sig"], coordinates), np.zeros(len(table), bool)
+        lists = table["tokens"].combine_chunks()
+        offs, values = lists.offsets.to_numpy(), lists.values.to_numpy()
         for rows in _lists(table):
-            count, at = np.zeros((len(rows), len(rows)), np.uint8), sig[rows]
+            count, at, n = np.zeros((len(rows), len(rows)), np.uint8), sig[rows], len(rows)
             for k in range(coordinates):
                 count += at[:, k][:, None] == at[:, k][None, :]
-            good[rows] |= ((count >= matches) & _apart(table, rows)).any(1)
+            near = (count >= matches) & _apart(table, rows)
+            if near.any():  # a pair counts in the first list that both are in
+                own = np.concatenate([values[offs[i] : offs[i + 1]] for i in rows])
+                owner, before = np.repeat(np.arange(n), (offs[1:] - offs[:-1])[rows]), own < table["token"][rows[0]].as_py()
+                if before.any():
+                    near &= intersections(own[before], owner[before], n) == 0
+            good[rows] |= near.any(1)
         return table.select(["unit", "lo", "hi", "block", "token", "f1", "root"]).filter(pa.array(good))
 
     return unit
@@ -266,7 +275,8 @@ def _linked(threshold: float):
 
 def rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, size: int, coordinates: int, matches: int, threshold: float) -> DataFrame:
     """Links (u, v) between components within the posting lists (token, f1, root), in units of bounded size."""
-    sized = members.join(classes.select("f1", "n_shingles", "sig"), "f1")
+    in_lists = members.groupBy("f1").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    sized = members.join(classes.select("f1", "n_shingles", "sig").join(in_lists, "f1"), "f1")
     lists = cut(sized.groupBy("token").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("g")).withColumn("blocks", F.greatest(F.ceil(F.col("m") / UNIT_MEMBERS), F.ceil(F.col("g") / UNIT_GRAMS)).cast("int")))
     whole = lists.where("blocks = 1").agg(F.sum("m").alias("m"), F.sum("g").alias("g")).first()
     packs = max(1, -(-(whole["m"] or 0) // (UNIT_MEMBERS // 2)), -(-(whole["g"] or 0) // (UNIT_GRAMS // 2)))
@@ -274,17 +284,21 @@ def rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, size: in
     other = lambda o: F.struct(F.col("token").alias("unit"), F.least(block, o).alias("lo"), F.greatest(block, o).alias("hi"), block.alias("block"))
     packed = F.array(F.struct(F.pmod(F.xxhash64("token"), F.lit(packs)).alias("unit"), F.lit(-1).alias("lo"), F.lit(-1).alias("hi"), F.lit(0).alias("block")))
     units = F.when(F.col("blocks") == 1, packed).otherwise(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), other))
-    dealt = sized.join(lists.select("token", "blocks"), "token").select("token", "f1", "root", "sig", F.inline(units))
+    dealt = sized.join(lists.select("token", "blocks"), "token").select("token", "f1", "root", "sig", "tokens", F.inline(units))
     kept = "unit long, lo int, hi int, block int, token long, f1 long, root long"
     partnered = cut(dealt.groupBy("unit", "lo", "hi").applyInArrow(_partnered(coordinates, matches), kept))
-    sets = full_sets(docs, classes, partnered.select("f1"), size)
-    rows = partnered.join(sets, "f1").dropDuplicates(["unit", "lo", "hi", "token", "f1"])
-    return rows.groupBy("unit", "lo", "hi").applyInArrow(_linked(threshold), "u long, v long")
+    sets = full_sets(docs, classes, partnered.select("f1"), size).dropDuplicates(["f1"])
+    return partnered.join(sets, "f1").groupBy("unit", "lo", "hi").applyInArrow(_linked(threshold), "u long, v long")
 
 
 def with_roots(members: DataFrame, links: DataFrame) -> DataFrame:
-    """members and the component of their class, itself where it has no link."""
-    return members.join(components(links).withColumnsRenamed({"node": "f1", "component": "root"}), "f1", "left").withColumn("root", F.coalesce("root", "f1"))
+    """members and a class of the same component as theirs, their own where they have no link: two steps along links to smaller pivots.
+
+    Equal roots mean one component; the reverse need not hold, so a list may stay open for nothing, never the other way.
+    """
+    near = links.groupBy(F.col("u").alias("f1")).agg(F.min("v").alias("v")).select("f1", F.least("f1", "v").alias("near"))
+    far = near.select(F.col("f1").alias("near"), F.col("near").alias("far"))
+    return members.join(near.join(far, "near", "left").select("f1", F.coalesce("far", "near").alias("root")), "f1", "left").withColumn("root", F.coalesce("root", "f1"))
 
 
 def open_lists(members: DataFrame) -> DataFrame:

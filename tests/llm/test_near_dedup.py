@@ -69,7 +69,6 @@ def test_equals_brute_force(spark):
 def test_groups_of_near_copies_in_blocks(spark, monkeypatch):
     """Groups near the threshold, where one pivot does not reach all, cut into several blocks after one pivot."""
     monkeypatch.setattr(nd, "UNIT_MEMBERS", 16)
-    monkeypatch.setattr(nd, "ROUNDS", 1)
     rng = random.Random(5)
     rows = []
     for share in (0.02, 0.035, 0.08):
