@@ -341,3 +341,17 @@ def near_copies(docs: DataFrame, *, text: str = "text", threshold: float = THRES
     ids = linked.join(least, "component").select("f1", "f2", "component_id").unionAll(copies)
     out = signed.select("doc_id", "n_shingles", "f1", "f2").join(ids, ["f1", "f2"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE worded AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS g FROM worded),
+shingles AS (SELECT r, unnest(g) AS x FROM sets),
+common AS (SELECT a.r AS u, b.r AS v, count(*) AS n FROM shingles a JOIN shingles b ON a.x = b.x AND a.r < b.r GROUP BY 1, 2),
+near AS (SELECT u, v FROM common JOIN sets a ON a.r = u JOIN sets b ON b.r = v WHERE 100 * n >= 80 * (len(a.g) + len(b.g) - n)),
+links AS (SELECT u, v FROM near UNION ALL SELECT v, u FROM near),
+reached AS (SELECT r, r AS other FROM sets UNION SELECT reached.r, links.v FROM reached JOIN links ON links.u = reached.other),
+least AS (SELECT reached.r, min(sets.doc_id) AS component_id FROM reached JOIN sets ON sets.r = reached.other GROUP BY 1)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM sets JOIN least USING (r)"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversation_repair, decontaminate, ngram_join, pii, prefix_trie, quality_model, quality_rules, token_counts, token_store, url_filter, warc
+from . import conversation_repair, decontaminate, near_dedup, ngram_join, pii, prefix_trie, quality_model, quality_rules, token_counts, token_store, url_filter, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -66,8 +66,6 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from . import near_dedup
-
     return near_dedup.near_copies(_read(spark, sf_dir, "documents"))
 
 
@@ -96,6 +94,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op8_url_filter": url_filter.oracle(),
         "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+        "op12_near_dedup": near_dedup.ORACLE_SQL,
         "op10_warc": """
 SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN octet_length(encode(h)) >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
