@@ -77,7 +77,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SMALL)
     rel = con.sql(queries.oracle_sql()[name])
@@ -87,9 +87,11 @@ def test_queries_equal_their_sql(spark, name):
     assert Counter(tuple(str(r[c]) for c in cols) for r in df.collect()) == Counter(tuple(str(r[i]) for i in at) for r in rel.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op11_prefix_trie"}))  # its rows are nodes, compared with SQL above
 def test_queries_return_a_row_per_row(spark, name):
     n = queries.QUERIES[name](spark, SMALL).count()
     table = "pages" if name in ("op8_url_filter", "op10_warc") else "documents"
     total = spark.read.parquet(f"{SMALL}/{table}.parquet").count()
+    if name == "op13_conversation_repair":
+        total = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id").distinct().count()
     assert n == total or (name == "op9_decontaminate" and 0 < n < total)
