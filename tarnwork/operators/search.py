@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from .lineage import cut
 from .tables import Tables
 from .views import ROW_COUNT_TABLES, n_rows  # noqa: F401
 
@@ -19,22 +22,39 @@ def _like(c: str, term: str) -> Column:
     return X.contains_ci(c, term, wildcards=True)
 
 
-def vendor_product_ids(t: Tables, vendor: str | None, product: str | None) -> DataFrame:
-    """cve_ids that match a vendor, a product, or both in one affected-product row."""
+NAMES = (("vendor", "name"), ("product", "name"), ("product_cpe_vendor", "slug"), ("cve_cpe_vendor", "slug"))  # the columns that vendor_product_ids matches
+
+
+def vendor_product_ids(t: Tables, vendor: str | None, product: str | None, values: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """cve_ids that match a vendor, a product, or both in one affected-product row.
+
+    values: from a term to (value), the strings of NAMES that hold it, as a stored index of them gives; without it the names are scanned."""
+    found = {x: cut(values(x).distinct()) for x in {vendor, product} if x and values}
+
+    def matching(df: DataFrame, c: str, term: str) -> DataFrame:
+        return df.join(found[term].select(F.col("value").alias(c)), c, "left_semi") if found else df.where(_like(c, term))
+
+    def tagged(df: DataFrame, c: str, term: str, out: str) -> DataFrame:
+        """df with the boolean column out: does c hold the term? A null does not."""
+        if not found:
+            return df.withColumn(out, F.coalesce(_like(c, term), F.lit(False)))
+        return df.join(found[term].select(F.col("value").alias(c), F.lit(True).alias("__hit")), c, "left").withColumn(out, F.coalesce("__hit", F.lit(False))).drop("__hit")
+
     owner = t["vendor"].select("vendor_id", F.col("name").alias("owner"))
     products = t["product"].join(owner, "vendor_id", "left")
-    by_edge = lambda: t["cve_vendor"].join(t["vendor"].where(_like("name", vendor)).select("vendor_id"), "vendor_id", "left_semi").select("cve_id")
+    by_edge = lambda: t["cve_vendor"].join(matching(t["vendor"], "name", vendor).select("vendor_id"), "vendor_id", "left_semi").select("cve_id")
+    owned = lambda df: tagged(tagged(df, "name", vendor, "by_name"), "owner", vendor, "by_owner")
     if vendor and product:
-        slugs = t["product_cpe_vendor"].where(_like("slug", vendor)).select("product_id").distinct().withColumn("by_slug", F.lit(True))
-        p = products.where(_like("name", product)).join(slugs, "product_id", "left").select("product_id", (_like("name", vendor) | F.coalesce(_like("owner", vendor), F.lit(False)) | F.coalesce("by_slug", F.lit(False))).alias("direct"))
+        slugs = matching(t["product_cpe_vendor"], "slug", vendor).select("product_id").distinct().withColumn("by_slug", F.lit(True))
+        p = owned(matching(products, "name", product)).join(slugs, "product_id", "left").select("product_id", (F.col("by_name") | F.col("by_owner") | F.coalesce("by_slug", F.lit(False))).alias("direct"))
         rows = t["affected_product"].select("cve_id", "product_id").join(p, "product_id")
         edge = by_edge().distinct().withColumn("by_edge", F.lit(True))
         return rows.join(edge, "cve_id", "left").where(F.col("direct") | F.coalesce("by_edge", F.lit(False))).select("cve_id").distinct()
     if product:
-        p = t["product"].where(_like("name", product)).select("product_id")
+        p = matching(t["product"], "name", product).select("product_id")
         return t["affected_product"].join(p, "product_id", "left_semi").select("cve_id").distinct()
-    ids = products.where(_like("name", vendor) | F.coalesce(_like("owner", vendor), F.lit(False))).select("product_id").union(t["product_cpe_vendor"].where(_like("slug", vendor)).select("product_id")).distinct()
-    routes = by_edge().union(t["affected_product"].join(ids, "product_id", "left_semi").select("cve_id")).union(t["cve_cpe_vendor"].where(_like("slug", vendor)).select("cve_id"))
+    ids = owned(products).where("by_name or by_owner").select("product_id").union(matching(t["product_cpe_vendor"], "slug", vendor).select("product_id")).distinct()
+    routes = by_edge().union(t["affected_product"].join(ids, "product_id", "left_semi").select("cve_id")).union(matching(t["cve_cpe_vendor"], "slug", vendor).select("cve_id"))
     return routes.distinct()
 
 

@@ -17,6 +17,7 @@ from .migrations import open_store
 from .model_map import model_tables, prelude, read
 from .partials import Partials
 from .store import Store
+from .substring_index import SubstringIndex
 from .text_index import TextIndex
 
 
@@ -31,6 +32,28 @@ TALLY = f"""tally AS (SELECT a.product_id, slug, CAST(sum(k) AS BIGINT) AS n FRO
 INDEX = "SELECT product_id, slug, n FROM (SELECT *, sum(n) OVER (PARTITION BY product_id) AS total, count(*) OVER (PARTITION BY product_id) AS slugs FROM tally) WHERE slugs <= 8 AND n >= 2 AND n / total >= 0.05"
 
 
+def _vendor_by_grams(t: Tables, vendor: str) -> DataFrame:
+    """A stored index of the distinct names, kept up to date column by column, then the search through it."""
+    index = SubstringIndex(t.spark, fresh_dir(t.spark, "names"))
+    for table, column in search.NAMES:
+        index.update_values(t[table], column)
+    return search.vendor_product_ids(t, vendor, None, index.values)
+
+
+def _stored_contains(term: str, wildcards: bool = False):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        """A stored index of all documents, then an update of the French ones, a deletion of the Spanish ones and a search."""
+        index, docs = SubstringIndex(spark, fresh_dir(spark, "grams"), "bigint"), _documents(spark, sf).select("doc_id", "lang", "text")
+        french = docs.where("lang = 'fr'").withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" Token = none")))
+        index.update(docs, "doc_id", "text")
+        index.update(french, "doc_id", "text")
+        index.delete(docs.where("lang = 'es'"), "doc_id")
+        now = docs.where("lang is null or lang not in ('fr', 'es')").unionByName(french)
+        return index.search_in(now, "doc_id", "text", term, wildcards).select("doc_id")
+
+    return run
+
+
 def _search() -> None:
     summary = f"""SELECT b.cve_id, title, published, CAST(NULL AS VARCHAR) AS severity, cvss_max, epss_score, k.cve_id IS NOT NULL AS kev, summary
       FROM ({{0}} ORDER BY published DESC NULLS LAST, cve_id LIMIT 20) b LEFT JOIN cmax USING (cve_id) LEFT JOIN intel USING (cve_id) LEFT JOIN (SELECT DISTINCT cve_id FROM kev WHERE listed) k USING (cve_id)"""
@@ -42,6 +65,7 @@ def _search() -> None:
     v = "slug_3"
     pids = f"SELECT p.product_id FROM product p LEFT JOIN vendor v USING (vendor_id) WHERE {like.format('p.name', v)} OR {like.format('v.name', v)} UNION SELECT product_id FROM pcv WHERE {like.format('slug', v)}"
     on_model("search_vendor_5way", lambda t: search.vendor_product_ids(indexed(t), v, None), f", {base} SELECT e.cve_id FROM cve_vendor e JOIN vendor v USING (vendor_id) WHERE {like.format('v.name', v)} UNION SELECT cve_id FROM affected_product WHERE product_id IN ({pids}) UNION SELECT cve_id FROM ccv WHERE {like.format('slug', v)}")
+    on_model("search_vendor_by_grams", lambda t: _vendor_by_grams(indexed(t), v), f", {base} SELECT e.cve_id FROM cve_vendor e JOIN vendor v USING (vendor_id) WHERE {like.format('v.name', v)} UNION SELECT cve_id FROM affected_product WHERE product_id IN ({pids}) UNION SELECT cve_id FROM ccv WHERE {like.format('slug', v)}")
     w, q = "000000005", "blue"
     on_model("search_same_row", lambda t: search.vendor_product_ids(indexed(t), w, q), f""", {base} SELECT DISTINCT a.cve_id FROM affected_product a JOIN product p USING (product_id) LEFT JOIN vendor o ON o.vendor_id = p.vendor_id WHERE {like.format('p.name', q)} AND ({like.format('p.name', w)} OR coalesce({like.format('o.name', w)}, false)
       OR a.product_id IN (SELECT product_id FROM pcv WHERE {like.format('slug', w)}) OR a.cve_id IN (SELECT e.cve_id FROM cve_vendor e JOIN vendor v USING (vendor_id) WHERE {like.format('v.name', w)}))""")
@@ -108,6 +132,9 @@ def _text() -> None:
     plain("fts_stored_phrase", _stored_search('"of the" NOT hend'), STORED.rstrip() + phrase)
     plain("fts_bm25", lambda spark, sf: fulltext.search(_index(spark, sf), "hend OR eronti", "doc_id", limit=None).withColumn("score", F.round("score", 6)), POSTINGS.rstrip() + bm25)
     plain("contains_ci", lambda spark, sf: _documents(spark, sf).where(X.contains_ci("text", "TOKEN =")).select("doc_id"), "SELECT doc_id FROM documents WHERE contains(lower(text), 'token =')")
+    changed = "SELECT doc_id FROM (SELECT doc_id, CASE WHEN lang = 'fr' THEN coalesce(text, '') || ' Token = none' ELSE text END AS text FROM documents WHERE lang IS DISTINCT FROM 'es') WHERE "
+    plain("contains_by_grams", _stored_contains("TOKEN ="), changed + "contains(lower(text), 'token =')")
+    plain("like_by_grams", _stored_contains("token =%hend_", True), changed + "lower(text) LIKE '%token =%hend_%'")
     plain("extract_ids_regex", lambda spark, sf: _documents(spark, sf).select("doc_id", F.explode(X.extract_all("text", r"[0-9]{3}-[0-9]{4}")).alias("hit")), "SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[0-9]{3}-[0-9]{4}'))) AS hit FROM documents")
 
 

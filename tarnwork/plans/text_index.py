@@ -62,9 +62,23 @@ class TextIndex:
             out = out.join(dead, ["key", "segment"], "left_anti").select(*out.columns)
         return out
 
+    def _once(self, postings: DataFrame) -> DataFrame:
+        """Postings that name each of their documents once or more."""
+        return postings
+
+    def _documents(self) -> DataFrame:
+        """Rows (key, segment, dl) of the live documents, each once or more."""
+        return self._once(self.postings()).select("key", "segment", "dl")
+
+    def _listed(self, named: DataFrame, texts: list[str]) -> DataFrame:
+        """Postings (key, term, positions, dl) of named(key, texts...)."""
+        words = fulltext.postings(named, "key", *texts, stemmed=self.stemmed)
+        listed = cut(words.groupBy("key", "term").agg(F.sort_array(F.collect_list("pos")).alias("positions")))
+        return listed.join(listed.groupBy("key").agg(F.sum(F.size("positions")).alias("dl")), "key")
+
     def _bury(self, keys: DataFrame) -> dict:
         """Tombstones of the live documents among keys(key)."""
-        live = self.postings().select("key", "segment", "dl").join(keys.select("key").distinct(), "key", "left_semi").distinct()
+        live = self._documents().join(keys.select("key").distinct(), "key", "left_semi").distinct()
         path = self._folder("gone")
         live.select("key", "segment", "dl").write.parquet(path)
         n, words = self.spark.read.schema(GONE.format(self.key_type)).parquet(path).agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
@@ -74,7 +88,7 @@ class TextIndex:
         """Write postings (key, term, positions, dl), clustered by term."""
         path = self._folder("postings")
         rows.select("key", "term", "positions", "dl").repartitionByRange("term", "key").sortWithinPartitions("term", "key").write.parquet(path)
-        docs = self.spark.read.schema(POSTING.format(self.key_type)).parquet(path).select("key", "dl").distinct()
+        docs = self._once(self.spark.read.schema(POSTING.format(self.key_type)).parquet(path)).select("key", "dl").distinct()
         n, words = docs.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
         return {"segment": segment, "postings": path if n else None, "gone": None, "n": n, "words": words}
 
@@ -82,11 +96,8 @@ class TextIndex:
         """Add documents; those with known keys are replaced."""
         version, rows = self._state()
         named = docs.where(F.col(key).isNotNull()).select(F.col(key).cast(self.key_type).alias("key"), *[F.col(t).alias(f"text{i}") for i, t in enumerate(texts)])
-        words = fulltext.postings(named, "key", *[f"text{i}" for i in range(len(texts))], stemmed=self.stemmed)
-        listed = cut(words.groupBy("key", "term").agg(F.sort_array(F.collect_list("pos")).alias("positions")))
-        lengths = listed.groupBy("key").agg(F.sum(F.size("positions")).alias("dl"))
         dead = [self._bury(named)] if rows else []
-        self._publish(version + 1, rows + dead + [self._segment(listed.join(lengths, "key"), version + 1)])
+        self._publish(version + 1, rows + dead + [self._segment(self._listed(named, [f"text{i}" for i in range(len(texts))]), version + 1)])
 
     def delete(self, keys: DataFrame, key: str) -> None:
         version, rows = self._state()
