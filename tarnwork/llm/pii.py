@@ -22,6 +22,7 @@ EXTRA = ("iban", "secret", "local_phone", "ssn")
 MIN_SCORE = 0.5
 CONTEXT = 40  # code points to either side
 SHORTEST = 8  # code points of the shortest match of a further kind
+PIECE = 256  # code points of a piece of text in redaction
 CHUNK = 64
 
 # Fixed values. Possessive and with a look-behind at run starts, so that no run is scanned from each of its characters;
@@ -162,17 +163,27 @@ def digest(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(spans_text(base_spans(F.col("found"))), 256).alias("base_sha256"), spans_text(F.col("found")).alias("spans"), F.size(F.filter("found", lambda s: s["rank"] >= len(BASE))).cast("long").alias("n_extra"))
 
 
+def _running_max(values: Column) -> Column:
+    """For each of the values (array<int>), the greatest before it, 0 at the first. In chunks, so the cost of growing arrays is bounded."""
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int")), lambda k: F.slice(values, k * CHUNK + 1, F.lit(CHUNK)))
+    begin = lambda tops, k: F.struct(F.coalesce(F.array_max(F.slice(tops, F.lit(1), k)), F.lit(0)).alias("m"), F.array().cast("array<int>").alias("out"))
+    walk = lambda acc, x: F.struct(F.greatest(acc["m"], x).alias("m"), F.concat(acc["out"], F.array(acc["m"])).alias("out"))
+    ran = lambda c, tops: F.flatten(F.transform(c, lambda chunk, k: F.aggregate(chunk, begin(tops, k), walk)["out"]))
+    return F.when(F.size(values) > 0, let(chunks, lambda c: let(F.transform(c, lambda chunk: F.array_max(chunk)), lambda tops: ran(c, tops)))).otherwise(values)
+
+
 def redacted(text: Column, spans: Column) -> Column:
-    """text with every span replaced by its kind in brackets; overlapping spans become one, named by the first."""
-    kind = "array<struct<start:int,end:int,kind:string>>"
-    new = lambda x: F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
-    longer = lambda last, x: F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"), last["kind"].alias("kind")))
-    put = lambda acc, x: let(F.get(acc, F.size(acc) - 1), lambda last: F.when(last.isNotNull() & (x["start"] < last["end"]), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), longer(last, x))).otherwise(F.concat(acc, new(x))))
-    merged = F.aggregate(spans, F.array().cast(kind), put)
-    end_before = lambda m, i: F.when(i == 0, 0).otherwise(F.get(m, i - 1)["end"])
-    piece = lambda m, x, i: let(end_before(m, i), lambda e: F.concat(text.substr(e + 1, x["start"] - e), F.lit("["), F.upper(x["kind"]), F.lit("]")))
-    built = lambda m: F.concat(F.array_join(F.transform(m, lambda x, i: piece(m, x, i)), ""), text.substr(F.element_at(m, -1)["end"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, let(merged, built)).otherwise(text)
+    """text with every span replaced by its kind in brackets; overlapping spans become one, named by the first.
+
+    A span that starts before the end of an earlier one belongs to that one's group; a group's first span knows where the
+    group before it ends. The text between groups is cut from pieces of PIECE code points, so each is read once."""
+    ends = F.transform(spans, lambda s: s["end"])
+    first_of = lambda reach: F.filter(F.zip_with(spans, reach, lambda s, r: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), r.alias("after"))), lambda x: x["start"] >= x["after"])
+    within = lambda parts, a, b: F.array_join(F.slice(parts, F.floor(a / PIECE).cast("int") + 1, (F.floor(b / PIECE) - F.floor(a / PIECE)).cast("int") + 1), "").substr(a % PIECE + 1, b - a)
+    put = lambda parts, x: F.concat(within(parts, x["after"], x["start"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
+    rest = lambda parts: within(parts, F.array_max(ends), F.length(text))
+    built = lambda parts: F.concat(F.array_join(F.transform(first_of(_running_max(ends)), lambda x: put(parts, x)), ""), rest(parts))
+    return F.when(F.size(spans) > 0, let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), built)).otherwise(text)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tarnwork.llm import pii
 
@@ -80,6 +81,41 @@ def test_redaction_and_clashing_columns(spark):
     assert pii.digest(df.limit(0)).count() == 0
 
 
+def redact_brute(text, spans):
+    """Groups of overlapping spans, each replaced by the first one's kind."""
+    out, at = [], 0
+    for s in spans:
+        if s["start"] >= at:
+            out += [text[at : s["start"]], f"[{s['kind'].upper()}]"]
+        at = max(at, s["end"])
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_any_text_and_overlaps(spark, texts):
+    r = random.Random(11)
+    pads = ["😀" * 255, "é" * 256, "x" * 257 + " ", "\n" * 300, "z" * 10 + " ", ""]
+    long = ["".join(r.choice(pads) + r.choice(["a.b@c.de ", "1.2.3.4 ", "1.2.3.4@5.6.7.8 ", "+1 (017) 555-7713 "]) for _ in range(n)) for n in (1, 2, 3, 50, 127, 128, 129, 3_000)]
+    rows = [t for t in texts if t] + long + ["a@b.c " * 9_000, "1.2.3.4@5.6.7.8", "plain"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(8)
+    got = pii.find_spans(df, "text", "found").withColumn("new", pii.redacted(F.col("text"), F.col("found"))).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        assert x.new == redact_brute(x.text, x.found), x.text[:100]
+
+
+def test_groups_of_given_spans(spark):
+    made = "array<struct<start:int,rank:int,end:int,kind:string,score:double>>"
+    r = random.Random(12)
+    rows = []
+    for _ in range(200):
+        text = "".join(r.choice("aé😀\n") for _ in range(r.randint(1, 1_200)))
+        at = sorted(r.randrange(len(text)) for _ in range(r.randint(0, 300)))
+        rows.append((text, [(a, 0, r.randint(a + 1, min(len(text), a + r.choice([2, 40, 600]))), r.choice(["email", "ip"]), 1.0) for a in at]))
+    df = spark.createDataFrame(rows, f"text string, spans {made}")
+    for x in df.withColumn("new", pii.redacted(F.col("text"), F.col("spans"))).collect():
+        assert x.new == redact_brute(x.text, x.spans)
+
+
 def test_runs_without_python(spark):
     df = spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string")
     plan = pii.digest(df)._jdf.queryExecution().executedPlan().toString()
