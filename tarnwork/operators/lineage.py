@@ -28,3 +28,13 @@ def cut(df: DataFrame) -> DataFrame:
     """df as a reliable checkpoint in the shared folder. Plans that use a table several times would otherwise repeat all work behind it each time."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+PART_BYTES = 4 << 20  # of input files for each partition
+
+
+def parts_of(spark: SparkSession, path: str) -> int:
+    """Partitions for a shuffle of the rows of path: as many as its bytes need, so a task's memory does not grow with the input, nor is the session's number undercut."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))

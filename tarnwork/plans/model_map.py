@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.lineage import parts_of
 from ..operators.tables import Tables, conform
 
 _D = "substring(cast(o_orderdate as string), 1, 10)"
@@ -63,8 +64,11 @@ def model_tables(spark: SparkSession, sf_dir: str) -> Tables:
         if name not in MODEL:
             return None
         source, distinct, keep, columns = MODEL[name]
-        df = spark.read.parquet(f"{sf_dir}/{source}.parquet").where(keep).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
-        return conform(df.distinct() if distinct else df, name)
+        path = f"{sf_dir}/{source}.parquet"
+        df = spark.read.parquet(path).where(keep).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+        if distinct:  # few rows repeat, so these are dealt by record once, which the joins and counts by record then need not do again
+            df = df.repartition(parts_of(spark, path), "cve_id" if "cve_id" in columns else "affected_product_id").distinct()
+        return conform(df, name)
 
     return Tables(spark, loader=load)
 

@@ -87,3 +87,15 @@ def test_full_text(spark):
             raise AssertionError(bad)
         except ValueError:
             pass
+
+
+def test_distinct_model_tables_are_dealt_by_bytes_of_input_and_only_once(spark, monkeypatch):
+    from tarnwork.operators import lineage
+    from tarnwork.plans.model_map import model_tables
+
+    monkeypatch.setattr(lineage, "PART_BYTES", 1 << 14)  # sf0.001 then needs more partitions than the session's 3
+    t = model_tables(spark, "/root/testdata/sf0.001")
+    assert t["cve_vendor"].rdd.getNumPartitions() == lineage.parts_of(spark, "/root/testdata/sf0.001/lineitem.parquet") > 3
+    plan = V.top_vendor_ids(t)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1
+    assert plan.count("Exchange hashpartitioning") == 2, plan  # rows by record, counts by vendor
