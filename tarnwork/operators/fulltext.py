@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,12 +39,21 @@ def _stems(tokens):
     return pd.Series([s[: len(ws)].tolist() for s, ws in zip(np.split(stems, ends[:-1]), tokens)])
 
 
-def postings(docs: DataFrame, key: str, *texts: str, stemmed: bool = True) -> DataFrame:
-    """(key, term, pos): one row per word; positions run on over the given text columns with a gap between them."""
+def listed_stems(tokens: Column, forms: dict[str, str]) -> Column:
+    """Words by a short list of forms and their stems; words that it lacks stay as they are."""
+    known = F.create_map(*[F.lit(x) for pair in forms.items() for x in pair])
+    return F.transform(tokens, lambda w: F.coalesce(F.try_element_at(known, w), w))
+
+
+def postings(docs: DataFrame, key: str, *texts: str, stemmed: bool = True, forms: dict[str, str] | None = None) -> DataFrame:
+    """(key, term, pos): one row per word; positions run on over the given text columns with a gap between them.
+
+    forms: stems of listed words, in place of Porter's."""
     parts = docs.select(key, *[words(F.col(c)).alias(f"w{i}") for i, c in enumerate(texts)])
     out = None
     for i in range(len(texts)):
-        tokens = _stems(F.col(f"w{i}")) if stemmed else F.col(f"w{i}")
+        tokens = F.col(f"w{i}")
+        tokens = listed_stems(tokens, forms) if forms else _stems(tokens) if stemmed else tokens
         one = parts.select(key, F.posexplode(tokens).alias("p", "term")).select(key, "term", (F.col("p") + F.lit(i * 10_000_000)).alias("pos"))
         out = one if out is None else out.unionAll(one)
     return out
@@ -55,8 +65,10 @@ class Node:
     value: tuple
 
 
-def parse(query: str) -> Node:
-    """Terms side by side are joined by AND; NOT binds closer than AND, AND closer than OR. Raises ValueError on bad syntax."""
+def parse(query: str, stem: Callable[[str], str] = stem) -> Node:
+    """Terms side by side are joined by AND; NOT binds closer than AND, AND closer than OR. Raises ValueError on bad syntax.
+
+    stem: as the index stems its words."""
     lexed = re.findall(r'"[^"]*"|\(|\)|[^\s()"]+', query)
     if query.count('"') % 2:
         raise ValueError("unterminated string")
@@ -110,7 +122,7 @@ def parse(query: str) -> Node:
         if not ws:
             raise ValueError(f"no words in {token!r}")
         if prefix and len(ws) == 1:
-            return Node("prefix", (ws[0],))
+            return Node("prefix", (ws[0], stem(ws[0])))
         return Node("term", (stem(ws[0]),)) if len(ws) == 1 else Node("phrase", tuple(stem(w) for w in ws))
 
     if not lexed:
@@ -121,9 +133,9 @@ def parse(query: str) -> Node:
     return tree
 
 
-def _has_prefix(text: str) -> Column:
-    """Terms that begin with the text as written or with its stem, as words that end there are stored stemmed."""
-    return F.col("term").startswith(text) | F.col("term").startswith(stem(text))
+def _has_prefix(text: str, stemmed: str | None = None) -> Column:
+    """Terms that begin with the text as written or with its stem (Porter's, if none is given), as words that end there are stored stemmed."""
+    return F.col("term").startswith(text) | F.col("term").startswith(stem(text) if stemmed is None else stemmed)
 
 
 def _hits(node: Node, index: DataFrame, key: str) -> DataFrame:
@@ -131,7 +143,7 @@ def _hits(node: Node, index: DataFrame, key: str) -> DataFrame:
     if node.kind == "term":
         return index.where(F.col("term") == node.value[0]).select(key).distinct()
     if node.kind == "prefix":
-        return index.where(_has_prefix(node.value[0])).select(key).distinct()
+        return index.where(_has_prefix(*node.value)).select(key).distinct()
     if node.kind == "phrase":
         out = index.where(F.col("term") == node.value[0]).select(key, "pos")
         for i, term in enumerate(node.value[1:], 1):
@@ -162,7 +174,7 @@ def wanted(tree: Node) -> Column:
     """The terms whose postings a query needs."""
     keep = F.lit(False)
     for leaf in _all_leaves(tree):
-        keep = keep | (_has_prefix(leaf.value[0]) if leaf.kind == "prefix" else F.col("term").isin(leaf_terms(leaf)))
+        keep = keep | (_has_prefix(*leaf.value) if leaf.kind == "prefix" else F.col("term").isin(leaf_terms(leaf)))
     return keep
 
 
@@ -178,7 +190,7 @@ def rank(tree: Node, index: DataFrame, key: str, lengths: DataFrame, totals: Dat
     tf = None
     for i, leaf in enumerate(_leaves(tree)):
         terms = leaf_terms(leaf)
-        keep = _has_prefix(terms[0]) if leaf.kind == "prefix" else F.col("term").isin(terms)
+        keep = _has_prefix(*leaf.value) if leaf.kind == "prefix" else F.col("term").isin(terms)
         one = index.where(keep).groupBy(key).agg((F.count("*") / len(terms)).alias("tf")).withColumn("leaf", F.lit(i))
         tf = one if tf is None else tf.unionAll(one)
     df = tf.groupBy("leaf").agg(F.count("*").alias("df"))

@@ -27,10 +27,10 @@ GONE = "key {0}, segment int, dl long"
 
 
 class TextIndex:
-    """key_type: SQL type of the documents' keys. stemmed: as in fulltext.postings; queries in `search` are stemmed."""
+    """key_type: SQL type of the documents' keys. stemmed, forms: as in fulltext.postings; queries in `search` are stemmed likewise."""
 
-    def __init__(self, spark: SparkSession, root: str, key_type: str = "string", stemmed: bool = True):
-        self.spark, self.root, self.key_type, self.stemmed = spark, root.rstrip("/"), key_type, stemmed
+    def __init__(self, spark: SparkSession, root: str, key_type: str = "string", stemmed: bool = True, forms: dict[str, str] | None = None):
+        self.spark, self.root, self.key_type, self.stemmed, self.forms = spark, root.rstrip("/"), key_type, stemmed, forms
 
     def _state(self) -> tuple[int, list[dict]]:
         """Version, and the manifest's rows: segments and tombstones, one row per update."""
@@ -72,7 +72,7 @@ class TextIndex:
 
     def _listed(self, named: DataFrame, texts: list[str]) -> DataFrame:
         """Postings (key, term, positions, dl) of named(key, texts...)."""
-        words = fulltext.postings(named, "key", *texts, stemmed=self.stemmed)
+        words = fulltext.postings(named, "key", *texts, stemmed=self.stemmed, forms=self.forms)
         listed = cut(words.groupBy("key", "term").agg(F.sort_array(F.collect_list("pos")).alias("positions")))
         return listed.join(listed.groupBy("key").agg(F.sum(F.size("positions")).alias("dl")), "key")
 
@@ -112,7 +112,7 @@ class TextIndex:
         """(key, score) of the live documents that match, best first; keys break ties."""
         _, rows = self._state()
         n, words = sum(r["n"] for r in rows), sum(r["words"] for r in rows)
-        tree = fulltext.parse(query)
+        tree = fulltext.parse(query, lambda w: self.forms.get(w, w)) if self.forms else fulltext.parse(query)
         found = cut(self.postings(fulltext.wanted(tree)))
         index = found.select("key", "term", F.explode("positions").alias("pos"))
         totals = self.spark.range(1).select(F.lit(n).alias("n"), F.lit(words / max(1, n)).alias("avgdl"))

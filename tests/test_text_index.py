@@ -54,3 +54,18 @@ def test_empty_index_and_stems_of_distinct_words(spark, tmp_path):
     assert [k for k, _ in scores(i.search("rocket", None, "id"))] == ["a"]
     words = spark.createDataFrame([(["running", "runs", "the"],), ([],), (["cars"],), (["running"],)], "w array<string>")
     assert [r[0] for r in words.coalesce(1).select(fulltext._stems("w")).collect()] == [["run", "run", "the"], [], ["car"], ["run"]]
+
+
+def test_stored_queries_stem_the_words_of_their_sql_only(spark, tmp_path):
+    """Porter's rules take erontier and ofed for forms of eronti and of; the SQL of the stored queries does not."""
+    import duckdb
+
+    from tarnwork.plans import catalogue
+
+    rows = [(1, "en", "erontier hend one"), (2, "en", "eronties and hended"), (3, "fr", "the erontioued"), (4, "en", "of the ofed ofes"), (5, "en", "ofed the"), (6, "es", "eronti"), (7, "en", "nothing of the kind"), (8, None, None), (9, "en", "x y z"), (10, "en", "q r s t")]
+    spark.createDataFrame(rows, "doc_id bigint, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("fts_stored_bm25", "fts_stored_phrase", "fts_bm25"):
+        build, sql = catalogue.REGISTRY[name]
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert sorted(map(tuple, build(spark, f"file://{tmp_path}").select("doc_id", "score").collect())) == sorted(con.sql(f"SELECT doc_id, score FROM ({sql})").fetchall())
