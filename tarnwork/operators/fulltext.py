@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.stemming import stem
+from .lineage import cut
 
 K1, B, IDF_FLOOR = 1.2, 0.75, 1e-6
 WORD = r"[\p{L}\p{N}]+"
@@ -178,10 +179,21 @@ def wanted(tree: Node) -> Column:
     return keep
 
 
-def search(index: DataFrame, query: str, key: str = "cve_id", limit: int | None = 20) -> DataFrame:
-    """(key, score) of the documents that match, best first; keys break ties."""
-    lengths = index.groupBy(key).agg(F.count("*").alias("dl"))
-    return rank(parse(query), index, key, lengths, lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")), limit)
+def lengths_of(docs: DataFrame, key: str, *texts: str) -> DataFrame:
+    """(key, dl): how many words the documents have that have any, without a row per word."""
+    sizes = [F.size(words(F.col(c))).cast("long") for c in texts]
+    return docs.select(key, sum(sizes[1:], sizes[0]).alias("dl")).where("dl > 0").groupBy(key).agg(F.sum("dl").alias("dl"))
+
+
+def search(index: DataFrame, query: str, key: str = "cve_id", limit: int | None = 20, lengths: DataFrame | None = None) -> DataFrame:
+    """(key, score) of the documents that match, best first; keys break ties. lengths: as lengths_of gives them; without it the index is counted.
+
+    The postings of the query's terms are read out once and kept, not once for each place where the ranking needs them."""
+    tree = parse(query)
+    if lengths is None:
+        lengths = index.groupBy(key).agg(F.count("*").alias("dl"))
+    lengths, found = cut(lengths), cut(index.where(wanted(tree)))
+    return rank(tree, found, key, lengths, lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")), limit)
 
 
 def rank(tree: Node, index: DataFrame, key: str, lengths: DataFrame, totals: DataFrame, limit: int | None) -> DataFrame:

@@ -69,3 +69,12 @@ def test_stored_queries_stem_the_words_of_their_sql_only(spark, tmp_path):
         con = duckdb.connect()
         con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
         assert sorted(map(tuple, build(spark, f"file://{tmp_path}").select("doc_id", "score").collect())) == sorted(con.sql(f"SELECT doc_id, score FROM ({sql})").fetchall())
+
+
+def test_lengths_without_a_row_per_word(spark):
+    docs = spark.createDataFrame([d for d in DOCS if d[0]] + [("a", "again", "x")], SCHEMA)
+    index = fulltext.postings(docs, "id", "title", "body")
+    lengths = fulltext.lengths_of(docs, "id", "title", "body")
+    assert sorted(lengths.collect()) == sorted(index.groupBy("id").count().collect())
+    assert "Generate" not in lengths._jdf.queryExecution().toString()
+    assert scores(fulltext.search(index, "rockets run", "id", None, lengths)) == scores(fulltext.search(index, "rockets run", "id", None)) != []
