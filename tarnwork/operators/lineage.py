@@ -33,8 +33,15 @@ def cut(df: DataFrame) -> DataFrame:
 PART_BYTES = 4 << 20  # of input files for each partition
 
 
-def parts_of(spark: SparkSession, path: str) -> int:
-    """Partitions for a shuffle of the rows of path: as many as its bytes need, so a task's memory does not grow with the input, nor is the session's number undercut."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+def parts_of(spark: SparkSession, *paths: str) -> int:
+    """Partitions for a shuffle of the rows of paths: as many as their bytes need, so a task's memory does not grow with the input, nor is the session's number undercut."""
+    size = 0
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        size += at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def parts_of_rows(df: DataFrame) -> int:
+    """parts_of the folders that df reads."""
+    return parts_of(df.sparkSession, *sorted({f.rpartition("/")[0] for f in df.inputFiles()}))

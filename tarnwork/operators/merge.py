@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lineage import cut
+from .lineage import cut, parts_of_rows
 from .tables import CVE_CHILDREN, Tables
 
 
@@ -143,7 +143,8 @@ def dedupe(df: DataFrame, keys: list[Column | str], id_column: str) -> DataFrame
     """The row with the lowest id per key."""
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     named = df.withColumns({f"__k{i}": c for i, c in enumerate(cols)})
-    return keep_first(named, [f"__k{i}" for i in range(len(cols))], id_column).drop(*[f"__k{i}" for i in range(len(cols))])
+    keys_ = [f"__k{i}" for i in range(len(cols))]
+    return keep_first(named.repartition(parts_of_rows(df), *keys_), keys_, id_column).drop(*keys_)
 
 
 def keeper_map(df: DataFrame, keys: list[Column], id_column: str) -> DataFrame:

@@ -86,3 +86,15 @@ def test_repeated_new_keys_are_folded(spark):
     assert (row.epss_score, row.epss_percentile) == (0.5, 0.9)
     tables = Tables(spark).replaced(cve=spark.createDataFrame([("A",), ("B",)], "cve_id string"), intel=old)
     assert M.upsert_scores(tables, new)["intel"].groupBy("cve_id").count().where("count > 1").count() == 0
+
+
+def test_duplicates_are_found_in_partitions_by_bytes_of_input(spark, tmp_path, monkeypatch):
+    from tarnwork.operators import lineage
+
+    monkeypatch.setattr(lineage, "PART_BYTES", 256)
+    spark.range(1000).selectExpr("id", "'c' || id % 10 as cve_id", "'k' || id % 7 as criteria", "cast(null as string) as match_criteria_id").write.parquet(f"{tmp_path}/cpe")
+    rows = spark.read.parquet(f"{tmp_path}/cpe")
+    kept = M.dedupe_cpe(Tables(spark, {"cpe_match": rows}))["cpe_match"]
+    assert f", {lineage.parts_of_rows(rows)}), REPARTITION_BY_NUM" in kept._jdf.queryExecution().executedPlan().toString()
+    assert lineage.parts_of_rows(rows) > 3
+    assert sorted(r["id"] for r in kept.collect()) == list(range(70))
