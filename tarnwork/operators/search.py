@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from .lineage import cut
-from .tables import Tables
+from .lineage import cut, parts_of
+from .tables import CVE_CHILDREN, Tables
 from .views import ROW_COUNT_TABLES, n_rows  # noqa: F401
 
 
@@ -135,28 +135,46 @@ def _nested(df: DataFrame, alias: str, order: str, *columns: str) -> DataFrame:
     return df.groupBy("cve_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("__o"), body.alias("b")))), lambda x: x["b"]).alias(alias))
 
 
+MAX_VENDORS = 500_000  # vendors whose names are broadcast; more meet their rows in shuffled joins
+
+
 def documents(t: Tables, ids: DataFrame | None = None) -> DataFrame:
-    """One nested document per record: every child table as a sorted array of structs."""
+    """One nested document per record: every child table as a sorted array of structs.
+
+    Rows are dealt by record once, as they are, all tables to as many partitions as the largest needs; there they are nested and joined
+    without another shuffle. Links and weaknesses come dealt by record where they were made distinct, so the plan deals them if need be.
+    Affected products meet their ranges and products on the way; vendors' names are broadcast, if they are few."""
+    parts = max(parts_of(t.spark, *t[x].inputFiles()) for x in ("cve", *CVE_CHILDREN))
     pick = (lambda df: df.join(ids, "cve_id", "left_semi")) if ids is not None else (lambda df: df)
-    c = pick(t["cve"])
-    c = c.withColumns({d: X.blank_to_null(d) for d in ("published", "modified", "discovered")})
+    deal = lambda df: df.repartition(parts, "cve_id")
+    rows = lambda name, *columns: deal(pick(t[name]).select("cve_id", *columns))
+    others = lambda name: [x for x in t[name].columns if x != "cve_id"]
+    c = deal(pick(t["cve"])).withColumns({d: X.blank_to_null(d) for d in ("published", "modified", "discovered")})
     ranges = t["version_range"].groupBy("affected_product_id").agg(F.array_sort(F.collect_list(F.struct("id", "start_including", "start_excluding", "end_including", "end_excluding", "fixed_version", "raw_text"))).alias("versions")).withColumnRenamed("affected_product_id", "id")
     v = t["vendor"].select("vendor_id", F.col("name").alias("vendor"))
-    affected = pick(t["affected_product"]).join(t["product"].select("product_id", "vendor_id", F.col("name").alias("product"), "product_type"), "product_id", "left").join(v, "vendor_id", "left").join(ranges, "id", "left")
+    products = t["product"].select("product_id", "vendor_id", F.col("name").alias("product"), "product_type")
+    if few := v.limit(MAX_VENDORS + 1).count() <= MAX_VENDORS:
+        v = F.broadcast(v)
+    else:
+        products = products.join(v, "vendor_id", "left").drop("vendor_id")
+    affected = pick(t.by("affected_product", "id")).select("id", "cve_id", "product_id", "affected", "notes", "source").join(ranges, "id", "left")
+    affected = deal(affected.join(products.repartition(parts, "product_id"), "product_id", "left").drop("product_id"))
+    if few:
+        affected = affected.join(v, "vendor_id", "left")
     tags = t["reference_tag"].groupBy("reference_id").agg(F.array_sort(F.collect_set("tag")).alias("tags")).withColumnRenamed("reference_id", "id")
     children = [
         _nested(pick(t["cve_vendor"]).join(v, "vendor_id", "left"), "vendors", "role", "role", "vendor", "vendor_id"),
         _nested(affected, "affected", "id", "vendor", "product", "product_type", "affected", "notes", "source", "versions"),
         _nested(pick(t["cve_cwe"]).join(t["cwe"], "cwe_id", "left"), "cwes", "cwe_id", "cwe_id", "name"),
-        _nested(pick(t["cvss"]), "cvss", "id", *[x for x in t["cvss"].columns if x not in ("id", "cve_id")]),
-        _nested(pick(t["cpe_match"]), "cpes", "id", "criteria", "match_criteria_id", "vulnerable"),
-        _nested(pick(t["reference"]).join(tags, "id", "left"), "references", "id", "url", "source", "title", "trust", "tags"),
-        _nested(pick(t["cve_tag"]).join(t["tag"], F.col("tag_id") == F.col("id"), "left"), "tags", "name", "name"),
-        _nested(pick(t["intel_string_list"]), "intel_lists", "id", "kind", "value"),
-        _nested(pick(t["exploit_artefact"]), "artefacts", "stable_id", "source", "stable_id", "url", "artefact_type", "platform", "published_date", "confidence"),
-        _nested(pick(t["product_candidate"]), "product_candidates", "product_id", "product_id", "matched_text"),
+        _nested(rows("cvss", *others("cvss")), "cvss", "id", *[x for x in others("cvss") if x != "id"]),
+        _nested(rows("cpe_match", "id", "criteria", "match_criteria_id", "vulnerable"), "cpes", "id", "criteria", "match_criteria_id", "vulnerable"),
+        _nested(deal(pick(t["reference"]).select("cve_id", "id", "url", "source", "title", "trust").join(tags, "id", "left")), "references", "id", "url", "source", "title", "trust", "tags"),
+        _nested(deal(pick(t["cve_tag"]).join(t["tag"], F.col("tag_id") == F.col("id"), "left").select("cve_id", "name")), "tags", "name", "name"),
+        _nested(rows("intel_string_list", "id", "kind", "value"), "intel_lists", "id", "kind", "value"),
+        _nested(rows("exploit_artefact", *(artefact := ("source", "stable_id", "url", "artefact_type", "platform", "published_date", "confidence"))), "artefacts", "stable_id", *artefact),
+        _nested(rows("product_candidate", "product_id", "matched_text"), "product_candidates", "product_id", "product_id", "matched_text"),
     ]
-    one = lambda name, alias: pick(t[name]).groupBy("cve_id").agg(F.first(F.struct(*[x for x in t[name].columns if x != "cve_id"])).alias(alias))
+    one = lambda name, alias: rows(name, *others(name)).groupBy("cve_id").agg(F.first(F.struct(*others(name))).alias(alias))
     for child in [*children, one("exploit", "exploit"), one("kev", "kev"), one("intel", "intel")]:
         c = c.join(child, "cve_id", "left")
     return c

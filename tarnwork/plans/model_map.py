@@ -60,14 +60,14 @@ MODEL: dict[str, tuple[str, bool, str, dict[str, str]]] = {
 def model_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """All model tables, each read when a query first asks for it."""
 
-    def load(name: str) -> DataFrame | None:
+    def load(name: str, key: str | None = None) -> DataFrame | None:
         if name not in MODEL:
             return None
         source, distinct, keep, columns = MODEL[name]
         path = f"{sf_dir}/{source}.parquet"
         df = spark.read.parquet(path).where(keep).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
         if distinct:  # few rows repeat, so these are dealt by record once, which the joins and counts by record then need not do again
-            df = df.repartition(parts_of(spark, path), "cve_id" if "cve_id" in columns else "affected_product_id").distinct()
+            df = df.repartition(parts_of(spark, path), key or ("cve_id" if "cve_id" in columns else "affected_product_id")).distinct()
         return conform(df, name)
 
     return Tables(spark, loader=load)

@@ -99,3 +99,20 @@ def test_distinct_model_tables_are_dealt_by_bytes_of_input_and_only_once(spark,
     plan = V.top_vendor_ids(t)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") == 1
     assert plan.count("Exchange hashpartitioning") == 2, plan  # rows by record, counts by vendor
+
+
+def test_documents_deal_rows_by_record_once_and_to_equal_partitions(spark, monkeypatch):
+    import re
+
+    from tarnwork.operators import lineage
+    from tarnwork.plans.model_map import model_tables
+
+    monkeypatch.setattr(lineage, "PART_BYTES", 1 << 14)
+    parts = lineage.parts_of(spark, "/root/testdata/sf0.001/lineitem.parquet")
+    documents = S.documents(model_tables(spark, "/root/testdata/sf0.001"))
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\((\w+)#\d+L?, (\d+)\), (\w+)", plan)
+    assert {(n, why) for key, n, why in dealt if key == "cve_id"} == {(str(parts), "REPARTITION_BY_NUM")}
+    versions = documents.selectExpr("cve_id", "inline(affected)").groupBy().agg(F.count("*"), F.count("product"), F.sum(F.size(F.coalesce("versions", F.array())))).first()
+    t = model_tables(spark, "/root/testdata/sf0.001")
+    assert tuple(versions) == (t["affected_product"].count(), t["affected_product"].join(t["product"].where("name is not null"), "product_id").count(), t["affected_product"].join(t["version_range"], F.col("affected_product_id") == t["affected_product"]["id"], "left_semi").count())
