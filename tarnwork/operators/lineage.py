@@ -30,6 +30,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, computed once, as columns in the shared folder; for a derived table of which several steps read some columns."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 PART_BYTES = 4 << 20  # of input files for each partition
 
 

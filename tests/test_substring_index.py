@@ -92,3 +92,23 @@ def test_vendor_search_by_values_equals_the_scan(spark, tmp_path):
         plain, by_values = search.vendor_product_ids(t, vendor, product), search.vendor_product_ids(t, vendor, product, i.values)
         a, b = sorted(r[0] for r in plain.collect()), sorted(r[0] for r in by_values.collect())
         assert a == b and (a or vendor == "000000005")
+
+
+def test_vendor_search_makes_the_slug_tables_once(spark, monkeypatch):
+    """Their rows are made in one job each: neither the four additions to the index nor the search make them again."""
+    from tarnwork.operators import identity
+    from tarnwork.plans import catalogue_more
+    from tarnwork.plans.model_map import model_tables
+
+    t = model_tables(spark, "/root/testdata/sf0.001")
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(it):
+        for b in it:
+            made.add(b.num_rows)
+            yield b
+
+    slugs = {x: f(t).mapInArrow(counted, f(t).schema) for x, f in (("product_cpe_vendor", identity.product_cpe_vendor), ("cve_cpe_vendor", identity.cve_cpe_vendor))}
+    once = sum(f(t).count() for f in (identity.product_cpe_vendor, identity.cve_cpe_vendor))
+    assert catalogue_more._vendor_by_grams(t.replaced(**slugs), "slug_3").count() > 0
+    assert made.value == once
