@@ -8,12 +8,18 @@ the search. A term without a piece of three characters is verified on all docume
 
 Each document has one more posting under the empty term, so documents are listed without reading the rest, and
 texts shorter than three characters count too. Null texts and null keys are in no posting.
+
+Postings are stored as rows of a term and a list of keys, one for each slice of the documents of a task, so that what is
+shuffled, sorted and written are lists instead of a row for every trigram of every document.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +29,7 @@ from .text_index import TextIndex
 
 SIZE = 3
 RAREST = 4  # trigrams whose documents are read; verification does the rest
+LIST = 1024  # about so many keys a list at most, after compaction
 MAX_KEYS = 500_000  # keys of documents to verify that are broadcast; more meet the documents in a shuffled join
 
 
@@ -43,13 +50,46 @@ def needed(term: str, wildcards: bool = False) -> list[str]:
     return sorted({p[i : i + SIZE] for p in pieces(term, wildcards) for i in range(len(p) - SIZE + 1)})
 
 
-def grams(text: Column) -> Column:
-    """The distinct trigrams of a text's lower case, and the empty string."""
-    at = lambda chars, i: F.concat(*[F.get(chars, i + k) for k in range(SIZE)])
-    long = lambda chars: F.transform(F.sequence(F.lit(0), F.size(chars) - SIZE), lambda i: at(chars, i))
-    all_ = lambda chars: F.when(F.size(chars) >= SIZE, long(chars)).otherwise(F.array().cast("array<string>"))
-    once = F.get(F.transform(F.array(F.split(F.lower(text), "")), all_), F.lit(0))  # one split, however often it is used
-    return F.concat(F.array(F.lit("")), F.array_distinct(once))
+SLICE = 1 << 22  # characters whose trigrams are listed at once, in a task
+PIECE = 1 << 20  # characters of one text at once; the next piece begins SIZE - 1 earlier
+
+
+def codes(text: str) -> np.ndarray:
+    """The distinct trigrams of a text as numbers, 21 bits a character."""
+    c = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    return np.unique(c[:-2] << 42 | c[1:-1] << 21 | c[2:]) if len(c) >= SIZE else c[:0]
+
+
+def spelt(found: np.ndarray) -> list[str]:
+    chars = np.stack([found >> 42, found >> 21 & 0x1FFFFF, found & 0x1FFFFF], axis=1).astype("<u4").tobytes().decode("utf-32-le")
+    return [chars[i : i + SIZE] for i in range(0, len(chars), SIZE)]
+
+
+def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (key, lower-cased text) to (term, keys): a slice's keys for each of its trigrams, and all its keys for the empty term."""
+
+    def listed(keys: pa.Array, whole: list[int], rows: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+        flat = np.concatenate([np.empty(0, np.int64), *found])
+        order = np.argsort(flat, kind="stable")
+        terms, starts = np.unique(flat[order], return_index=True)
+        at = np.repeat(np.array(rows, np.int64), [len(f) for f in found])[order]
+        ends = np.concatenate([[0], starts + len(whole), [len(flat) + len(whole)]]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(["", *spelt(terms)], pa.string()), pa.ListArray.from_arrays(ends, keys.take(pa.array(np.concatenate([np.array(whole, np.int64), at]))))], names=["term", "keys"])
+
+    for batch in batches:
+        keys, whole, rows, found, size = batch.column(0), [], [], [], 0
+        for i, text in enumerate(batch.column(1)):
+            text = text.as_py()
+            whole.append(i)
+            for begin in range(0, max(1, len(text) - SIZE + 1), PIECE):
+                rows.append(i)
+                found.append(codes(text[begin : begin + PIECE + SIZE - 1]))
+                size += min(PIECE, len(text))
+                if size >= SLICE:
+                    yield listed(keys, whole, rows, found)
+                    whole, rows, found, size = [], [], [], 0
+        if whole or rows:
+            yield listed(keys, whole, rows, found)
 
 
 class SubstringIndex(TextIndex):
@@ -58,11 +98,23 @@ class SubstringIndex(TextIndex):
     def _once(self, postings: DataFrame) -> DataFrame:
         return postings.where(F.col("term") == "")
 
+    def _stored(self, path: str, keep=None) -> DataFrame:
+        part = self.spark.read.schema(f"term string, keys array<{self.key_type}>").parquet(path)
+        part = part if keep is None else part.where(keep)
+        return part.select(F.explode("keys").alias("key"), "term", F.array().cast("array<int>").alias("positions"), F.lit(0).cast("long").alias("dl"))
+
+    def _clustered(self, rows: DataFrame) -> DataFrame:
+        return rows.repartitionByRange("term", F.get("keys", F.lit(0))).sortWithinPartitions("term", F.get("keys", F.lit(0)))
+
     def _listed(self, named: DataFrame, texts: list[str]) -> DataFrame:
         if len(texts) != 1:
             raise ValueError("one text per document")
-        rows = named.where(F.col(texts[0]).isNotNull()).select("key", F.explode(grams(F.col(texts[0]))).alias("term"))
-        return rows.select("key", "term", F.array().cast("array<int>").alias("positions"), F.lit(0).cast("long").alias("dl"))
+        rows = named.where(F.col(texts[0]).isNotNull()).select("key", F.lower(texts[0]).alias("text"))
+        return rows.mapInArrow(lists, f"term string, keys array<{self.key_type}>")
+
+    def _live(self) -> DataFrame:
+        blocks = max(1, sum(r["n"] for r in self._state()[1]) // LIST)
+        return self.postings().groupBy("term", F.pmod(F.xxhash64("key"), F.lit(blocks))).agg(F.collect_set("key").alias("keys")).select("term", "keys")
 
     def update_values(self, values: DataFrame, column: str) -> None:
         """Add the distinct strings of a column; known ones are neither read again nor written."""

@@ -48,14 +48,18 @@ class TextIndex:
     def _folder(self, kind: str) -> str:
         return f"{self.root}/{kind}/{uuid.uuid4().hex}"
 
+    def _stored(self, path: str, keep=None) -> DataFrame:
+        """A segment's rows (key, term, positions, dl) of the terms that `keep` selects."""
+        part = self.spark.read.schema(POSTING.format(self.key_type)).parquet(path)
+        return part if keep is None else part.where(keep)
+
     def postings(self, keep=None) -> DataFrame:
         """Live rows (key, term, positions, dl, segment) of the terms that `keep` selects; all, if None."""
         _, rows = self._state()
         out = self.spark.createDataFrame([], POSTING.format(self.key_type) + ", segment int")
         for r in rows:
             if r["postings"]:
-                part = self.spark.read.schema(POSTING.format(self.key_type)).parquet(r["postings"])
-                out = out.unionAll((part if keep is None else part.where(keep)).withColumn("segment", F.lit(r["segment"])))
+                out = out.unionAll(self._stored(r["postings"], keep).withColumn("segment", F.lit(r["segment"])))
         gone = [r["gone"] for r in rows if r["gone"]]
         if gone:
             dead = self.spark.read.schema(GONE.format(self.key_type)).parquet(*gone).select("key", "segment")
@@ -84,11 +88,14 @@ class TextIndex:
         n, words = self.spark.read.schema(GONE.format(self.key_type)).parquet(path).agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
         return {"segment": None, "postings": None, "gone": path if n else None, "n": -n, "words": -words}
 
+    def _clustered(self, rows: DataFrame) -> DataFrame:
+        return rows.select("key", "term", "positions", "dl").repartitionByRange("term", "key").sortWithinPartitions("term", "key")
+
     def _segment(self, rows: DataFrame, segment: int) -> dict:
         """Write postings (key, term, positions, dl), clustered by term."""
         path = self._folder("postings")
-        rows.select("key", "term", "positions", "dl").repartitionByRange("term", "key").sortWithinPartitions("term", "key").write.parquet(path)
-        docs = self._once(self.spark.read.schema(POSTING.format(self.key_type)).parquet(path)).select("key", "dl").distinct()
+        self._clustered(rows).write.parquet(path)
+        docs = self._once(self._stored(path)).select("key", "dl").distinct()
         n, words = docs.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
         return {"segment": segment, "postings": path if n else None, "gone": None, "n": n, "words": words}
 
@@ -103,10 +110,14 @@ class TextIndex:
         version, rows = self._state()
         self._publish(version + 1, [*rows, self._bury(keys.select(F.col(key).cast(self.key_type).alias("key")))])
 
+    def _live(self) -> DataFrame:
+        """All live postings as `_segment` takes them."""
+        return self.postings()
+
     def compact(self) -> None:
         """One segment of all live postings."""
         version, _ = self._state()
-        self._publish(version + 1, [self._segment(self.postings(), version + 1)])
+        self._publish(version + 1, [self._segment(self._live(), version + 1)])
 
     def search(self, query: str, limit: int | None = 20, key: str = "cve_id") -> DataFrame:
         """(key, score) of the live documents that match, best first; keys break ties."""

@@ -112,3 +112,26 @@ def test_vendor_search_makes_the_slug_tables_once(spark, monkeypatch):
     once = sum(f(t).count() for f in (identity.product_cpe_vendor, identity.cve_cpe_vendor))
     assert catalogue_more._vendor_by_grams(t.replaced(**slugs), "slug_3").count() > 0
     assert made.value == once
+
+
+def test_lists_of_slices_and_pieces_equal_the_trigrams_of_each_text(monkeypatch):
+    import pyarrow as pa
+
+    from tarnwork.plans import substring_index as si
+
+    texts = ["", "ab", "abc", "a\0\0\0b", "😀😁 ü", "abcdefghij" * 7, "aaaaaaa", "abc\0"]
+    want = {(t, k) for k, x in enumerate(texts) for t in ["", *(x[i : i + 3] for i in range(len(x) - 2))]}
+    for piece, size in ((1 << 20, 1 << 22), (4, 9), (1, 1), (4, 1 << 22)):
+        monkeypatch.setattr(si, "PIECE", piece)
+        monkeypatch.setattr(si, "SLICE", size)
+        out = list(si.lists([pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["key", "text"])]))
+        got = [(r["term"], k) for b in out for r in b.to_pylist() for k in r["keys"]]
+        assert set(got) == want and sum(t == "" for t, _ in got) == len(texts)
+
+
+def test_stored_rows_are_lists_of_keys(spark, tmp_path):
+    i = SubstringIndex(spark, f"file://{tmp_path}/lists", "bigint")
+    i.update(spark.range(0, 1000, 1, 2).selectExpr("id", "'same words in all of them' AS body"), "id", "body")
+    stored = spark.read.parquet(i._state()[1][0]["postings"]).count()
+    trigrams = len(needed("same words in all of them")) + 1
+    assert stored <= 2 * trigrams and i.postings().count() == 1000 * trigrams
