@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from .lineage import stored
 from .tables import AXES, Tables
 
 VIEWS: dict[str, Callable[..., DataFrame]] = {}
@@ -178,20 +179,46 @@ def vendor_role_mix(t: Tables, low=None, high=None, n: int = 100) -> DataFrame:
     return top(mix, n, "total", "vendor_name").drop("total")
 
 
+MEMBERS = 512  # vendors of a record that are paired in one task; records with more are dealt out by pairs of such blocks
+MAX_NAMES = 500_000  # vendors whose names are broadcast
+
+
+def _vendor_pairs(edges: DataFrame) -> DataFrame:
+    """(ia, ib), ia < ib: a row for each record of edges(cve_id, vendor_id) and two of its vendors."""
+    listed = edges.groupBy("cve_id").agg(F.sort_array(F.collect_set("vendor_id")).alias("ids")).withColumn("n", F.size("ids"))
+    listed = stored(listed.where("n > 1"), "vendor-lists")
+    few = listed.where(F.col("n") <= MEMBERS).select(F.col("ids").alias("l"), F.col("ids").alias("r"))
+    blocks = F.transform(F.sequence(F.lit(0), F.col("n") - 1, F.lit(MEMBERS)), lambda i: F.slice("ids", i + 1, MEMBERS))
+    many = listed.where(F.col("n") > MEMBERS).select("cve_id", blocks.alias("blocks")).select("cve_id", "blocks", F.posexplode("blocks").alias("p", "l"))
+    many = many.select("cve_id", "p", "l", F.posexplode("blocks").alias("q", "r")).where("p <= q").repartition("cve_id", "p", "q").select("l", "r")
+    rows = few.unionAll(many).select(F.explode("l").alias("ia"), "r")
+    return rows.select("ia", F.explode(F.filter("r", lambda x: x > F.col("ia"))).alias("ib"))
+
+
 @view
-def cooccurrence_pairs(t: Tables, low=None, high=None, top_k: int = 28, max_pairs: int = 2000) -> DataFrame:
-    """Pairs among the top_k vendors only, so the self-join is bounded by top_k rows per record."""
-    chosen = top_vendor_ids(t, low, high, top_k).select("vendor_id")
-    e = vendor_edges(t, low, high).join(chosen, "vendor_id", "left_semi").select("cve_id", "vendor_id", "vendor_name").distinct()
-    a, b = e.toDF("cve_id", "ia", "vendor_a"), e.toDF("cve_id", "ib", "vendor_b")
-    pairs = a.join(b, (a["cve_id"] == b["cve_id"]) & (F.col("ia") < F.col("ib"))).groupBy("ia", "ib", "vendor_a", "vendor_b").agg(n_rows("shared_cves"))
-    return top(pairs, max_pairs, "shared_cves", "vendor_a", "vendor_b").select("vendor_a", "vendor_b", "shared_cves")
+def cooccurrence_pairs(t: Tables, low=None, high=None, top_k: int | None = None, max_pairs: int | None = None) -> DataFrame:
+    """All pairs of named vendors with a record in common, or those among the top_k vendors; the max_pairs most frequent, if given.
+
+    A record's vendors are paired where its rows were dealt, those of a large one in blocks dealt out anew. Only ids are shuffled and counted; names follow."""
+    names = named_vendors(t).select("vendor_id", F.col("name").alias("vendor_name")).distinct()
+    if names.limit(MAX_NAMES + 1).count() <= MAX_NAMES:
+        names = F.broadcast(names)
+    e = of_published(t, "cve_vendor", low, high).select("cve_id", "vendor_id").join(names, "vendor_id", "left_semi")
+    if top_k is not None:
+        e = e.join(top_vendor_ids(t, low, high, top_k).select("vendor_id"), "vendor_id", "left_semi")
+    pairs = _vendor_pairs(e).groupBy("ia", "ib").agg(n_rows("shared_cves"))
+    pairs = pairs.join(names.toDF("ia", "vendor_a"), "ia").join(names.toDF("ib", "vendor_b"), "ib").select("vendor_a", "vendor_b", "shared_cves")
+    pairs = pairs.orderBy(F.desc("shared_cves"), "vendor_a", "vendor_b")
+    return pairs if max_pairs is None else pairs.limit(max_pairs)
+
+
+MAX_PAIRS = 2000  # of the matrix and the graph
 
 
 @view
 def cooccurrence_cells(t: Tables, low=None, high=None, top_k: int = 28) -> DataFrame:
     """The symmetric matrix as cells; absent cells are 0."""
-    p = cooccurrence_pairs(t, low, high, top_k)
+    p = cooccurrence_pairs(t, low, high, top_k, MAX_PAIRS)
     return p.unionAll(p.select(F.col("vendor_b").alias("vendor_a"), F.col("vendor_a").alias("vendor_b"), "shared_cves"))
 
 
@@ -205,7 +232,7 @@ def cooccurrence_matrix(t: Tables, low=None, high=None, top_k: int = 12) -> Data
 def cooccurrence_graph(t: Tables, low=None, high=None, node_cap: int = 28) -> DataFrame:
     """Nodes and edges in one table: kind, source, target, weight, size."""
     nodes = top_vendor_ids(t, low, high, node_cap).select(F.lit("node").alias("kind"), F.col("vendor_name").alias("source"), F.lit(None).cast("string").alias("target"), F.col("cve_count").alias("weight"), F.least(8 + F.sqrt("cve_count"), F.lit(40.0)).alias("size"))
-    edges = cooccurrence_pairs(t, low, high, node_cap).select(F.lit("edge"), "vendor_a", "vendor_b", "shared_cves", F.lit(None).cast("double"))
+    edges = cooccurrence_pairs(t, low, high, node_cap, MAX_PAIRS).select(F.lit("edge"), "vendor_a", "vendor_b", "shared_cves", F.lit(None).cast("double"))
     return nodes.unionAll(edges)
 
 

@@ -140,7 +140,8 @@ def _views() -> None:
     # F graph
     pairs = "SELECT a.vendor_name AS vendor_a, b.vendor_name AS vendor_b, count(*) AS shared_cves FROM e a JOIN e b ON a.cve_id = b.cve_id AND a.vendor_id < b.vendor_id GROUP BY a.vendor_id, b.vendor_id, 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 2000"
     edges = "(SELECT DISTINCT cve_id, vendor_id, vendor_name FROM ve WHERE vendor_id IN (SELECT vendor_id FROM (SELECT vendor_id, count(DISTINCT cve_id) AS c FROM ve GROUP BY 1 ORDER BY c DESC, vendor_id LIMIT 28)))"
-    on_model("cooccurrence_pairs", V.cooccurrence_pairs, f"SELECT * FROM (WITH e AS {edges} {pairs})")
+    every = "(SELECT DISTINCT cve_id, vendor_id, vendor_name FROM ve)"
+    on_model("cooccurrence_pairs", V.cooccurrence_pairs, f"SELECT * FROM (WITH e AS {every} {pairs.removesuffix(' LIMIT 2000')})")
     on_model("cooccurrence_matrix", V.cooccurrence_cells, f"SELECT vendor_a, vendor_b, shared_cves FROM (WITH e AS {edges} {pairs}) UNION ALL SELECT vendor_b, vendor_a, shared_cves FROM (WITH e AS {edges} {pairs})")
     on_model("cooccurrence_graph", V.cooccurrence_graph, f"""SELECT 'node' AS kind, vendor_name AS source, CAST(NULL AS VARCHAR) AS target, cve_count AS weight, round(least(8 + sqrt(cve_count), 40), 6) AS size FROM (SELECT vendor_id, vendor_name, count(DISTINCT cve_id) AS cve_count FROM ve GROUP BY 1, 2 ORDER BY cve_count DESC, vendor_id LIMIT 28)
       UNION ALL SELECT 'edge', vendor_a, vendor_b, shared_cves, NULL FROM (WITH e AS {edges} {pairs})""", ("size",))

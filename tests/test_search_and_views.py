@@ -116,3 +116,22 @@ def test_documents_deal_rows_by_record_once_and_to_equal_partitions(spark, monke
     versions = documents.selectExpr("cve_id", "inline(affected)").groupBy().agg(F.count("*"), F.count("product"), F.sum(F.size(F.coalesce("versions", F.array())))).first()
     t = model_tables(spark, "/root/testdata/sf0.001")
     assert tuple(versions) == (t["affected_product"].count(), t["affected_product"].join(t["product"].where("name is not null"), "product_id").count(), t["affected_product"].join(t["version_range"], F.col("affected_product_id") == t["affected_product"]["id"], "left_semi").count())
+
+
+def test_all_vendors_are_paired_and_large_records_in_blocks(spark, monkeypatch):
+    import itertools
+
+    held = {"CVE-1": range(1, 71), "CVE-2": (3, 69), "CVE-4": (3, 70, 99), "CVE-9": (1, 2)}  # 99 has no name, CVE-9 is no record
+    t = model(spark).replaced(
+        vendor=spark.createDataFrame([(i, f"v{i}") for i in range(1, 71)] + [(99, " ")], "vendor_id bigint, name string"),
+        cve_vendor=spark.createDataFrame([(c, v, role) for c, vs in held.items() for v in vs for role in ("primary", "affected")], "cve_id string, vendor_id bigint, role string"),
+    )
+    want = {(f"v{a}", f"v{b}"): 1 for a, b in itertools.combinations(range(1, 71), 2)} | {("v3", "v69"): 2, ("v3", "v70"): 2}
+    for members in (V.MEMBERS, 70, 69, 8, 1):
+        monkeypatch.setattr(V, "MEMBERS", members)
+        rows = V.cooccurrence_pairs(t).collect()
+        assert len(rows) == len(want) == 2415 and {(r.vendor_a, r.vendor_b): r.shared_cves for r in rows} == want
+    assert [tuple(r) for r in rows[:2]] == [("v3", "v69", 2), ("v3", "v70", 2)]
+    monkeypatch.setattr(V, "MAX_NAMES", 0)
+    assert {(r.vendor_a, r.vendor_b): r.shared_cves for r in V.cooccurrence_pairs(t).collect()} == want
+    assert V.cooccurrence_pairs(t, top_k=3).count() == 3 and V.cooccurrence_pairs(t, max_pairs=5).count() == 5
