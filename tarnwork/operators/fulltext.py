@@ -22,6 +22,7 @@ from .lineage import cut
 
 K1, B, IDF_FLOOR = 1.2, 0.75, 1e-6
 WORD = r"[\p{L}\p{N}]+"
+GAP = 10_000_000  # between the positions of text columns
 # Latin letters with marks and their bare forms.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 BARE = "aaaaaaceeeeiiiinooooouuuuyy"
@@ -55,7 +56,7 @@ def postings(docs: DataFrame, key: str, *texts: str, stemmed: bool = True, forms
     for i in range(len(texts)):
         tokens = F.col(f"w{i}")
         tokens = listed_stems(tokens, forms) if forms else _stems(tokens) if stemmed else tokens
-        one = parts.select(key, F.posexplode(tokens).alias("p", "term")).select(key, "term", (F.col("p") + F.lit(i * 10_000_000)).alias("pos"))
+        one = parts.select(key, F.posexplode(tokens).alias("p", "term")).select(key, "term", (F.col("p") + F.lit(i * GAP)).alias("pos"))
         out = one if out is None else out.unionAll(one)
     return out
 

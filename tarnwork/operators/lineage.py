@@ -40,13 +40,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 PART_BYTES = 4 << 20  # of input files for each partition
 
 
-def parts_of(spark: SparkSession, *paths: str) -> int:
-    """Partitions for a shuffle of the rows of paths: as many as their bytes need, so a task's memory does not grow with the input, nor is the session's number undercut."""
+def bytes_of(spark: SparkSession, *paths: str) -> int:
     size = 0
     for path in paths:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         size += at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    return size
+
+
+def parts_of(spark: SparkSession, *paths: str) -> int:
+    """Partitions for a shuffle of the rows of paths: as many as their bytes need, so a task's memory does not grow with the input, nor is the session's number undercut."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-bytes_of(spark, *paths) // PART_BYTES))
 
 
 def parts_of_rows(df: DataFrame) -> int:

@@ -95,9 +95,6 @@ def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class SubstringIndex(TextIndex):
     """Documents by key, one text each. With values as their own keys (`update_values`) it is an index of distinct strings."""
 
-    def _once(self, postings: DataFrame) -> DataFrame:
-        return postings.where(F.col("term") == "")
-
     def _stored(self, path: str, keep=None) -> DataFrame:
         part = self.spark.read.schema(f"term string, keys array<{self.key_type}>").parquet(path)
         part = part if keep is None else part.where(keep)

@@ -78,3 +78,39 @@ def test_lengths_without_a_row_per_word(spark):
     assert sorted(lengths.collect()) == sorted(index.groupBy("id").count().collect())
     assert "Generate" not in lengths._jdf.queryExecution().toString()
     assert scores(fulltext.search(index, "rockets run", "id", None, lengths)) == scores(fulltext.search(index, "rockets run", "id", None)) != []
+
+
+def test_words_are_listed_by_slices_not_a_row_for_each_word(spark, index, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from tarnwork.plans import text_index
+
+    texts = {"k": ["the", "of", "the"], "l": [], "m": ["of"], "n": ["thes", "the", "of", "x"]}
+    more = {"k": ["of"], "l": [], "m": [], "n": ["x"]}
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values()), pa.list_(pa.string())), pa.array(list(more.values()), pa.list_(pa.string()))], names=["key", "a", "b"])
+    want, gap = {}, fulltext.GAP
+    for k in texts:
+        for p, w in [*enumerate(texts[k]), *((gap + p, w) for p, w in enumerate(more[k]))]:
+            want.setdefault(("the" if w == "thes" else w, k), []).append(p)
+    for size in (text_index.SLICE, 3, 1):
+        monkeypatch.setattr(text_index, "SLICE", size)
+        rows = [r for b in text_index.lists(lambda w: "the" if w == "thes" else w)(iter([batch])) for r in b.to_pylist()]
+        got = {(r["term"], k): r["positions"][a:b] for r in rows if r["term"] for k, a, b in zip(r["keys"], [0, *r["ends"]], r["ends"])}
+        assert got == want
+        assert {k: n for r in rows if not r["term"] for k, n in zip(r["keys"], r["dls"])} == {"k": 4, "m": 1, "n": 5}
+    monkeypatch.undo()
+    listed = index._listed(spark.createDataFrame([d for d in DOCS if d[0]], SCHEMA).coalesce(1).toDF("key", "text0", "text1"), ["text0", "text1"])
+    assert listed.groupBy("term").count().where("count > 1").isEmpty() and "Exchange" not in listed._jdf.queryExecution().toString()
+    assert "EqualTo(term,)" in index._documents()._jdf.queryExecution().toString(), "documents are listed without reading the postings"
+    assert index._documents().count() == 4 and index.postings(F.col("term") == "rocket").count() == 3
+
+
+def test_rows_of_equal_keys_count_as_one_document(spark, tmp_path):
+    docs = [*DOCS, ("b", "rockets again", "run"), ("d", None, "a car"), ("g", "run", ""), ("g", None, "")]
+    i = TextIndex(spark, f"file://{tmp_path}/text")
+    for _ in range(2):
+        i.update(spark.createDataFrame(docs, SCHEMA), "id", "title", "body")
+        assert all(scores(i.search(q, None, "id")) == anew(spark, docs, q) != [] for q in ("rockets run", "fuel OR car", '"again"', "run NOT fast"))
+        i.compact()
+        assert all(scores(i.search(q, None, "id")) == anew(spark, docs, q) != [] for q in ("rockets run", '"rockets again"', "fuel OR car"))
