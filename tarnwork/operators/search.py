@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from .lineage import cut, parts_of
+from .lineage import cut, parts_of, stored
 from .tables import CVE_CHILDREN, Tables
 from .views import ROW_COUNT_TABLES, n_rows  # noqa: F401
 
@@ -138,17 +138,34 @@ def _nested(df: DataFrame, alias: str, order: str, *columns: str) -> DataFrame:
 MAX_VENDORS = 500_000  # vendors whose names are broadcast; more meet their rows in shuffled joins
 
 
+MAX_CODED = 50_000  # distinct combinations of columns that travel as codes
+
+
+def _coded(df: DataFrame, deal: Callable[[DataFrame], DataFrame], *columns: str) -> DataFrame:
+    """deal(df), where columns travel as a code, if they have few combinations: these are listed, and broadcast to put the columns back."""
+    code = F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))]).alias("__code")
+    if df.agg(F.approx_count_distinct(code)).first()[0] > MAX_CODED:
+        return deal(df)
+    known = stored(df.select(code, *columns).distinct(), "codes")
+    if known.count() > min(2 * MAX_CODED, known.select("__code").distinct().count()):  # more than estimated, or two of one code
+        return deal(df)
+    dealt = deal(df.select(*[c for c in df.columns if c not in columns], code))
+    return dealt.join(F.broadcast(known), "__code").select(*df.columns)
+
+
 def documents(t: Tables, ids: DataFrame | None = None) -> DataFrame:
     """One nested document per record: every child table as a sorted array of structs.
 
     Rows are dealt by record once, as they are, all tables to as many partitions as the largest needs; there they are nested and joined
-    without another shuffle. Links and weaknesses come dealt by record where they were made distinct, so the plan deals them if need be.
+    without another shuffle. Texts of scores and platforms travel as codes, if they have few combinations. Links and weaknesses come dealt by record where they were made distinct, so the plan deals them if need be.
     Affected products meet their ranges and products on the way; vendors' names are broadcast, if they are few."""
     parts = max(parts_of(t.spark, *t[x].inputFiles()) for x in ("cve", *CVE_CHILDREN))
     pick = (lambda df: df.join(ids, "cve_id", "left_semi")) if ids is not None else (lambda df: df)
     deal = lambda df: df.repartition(parts, "cve_id")
     rows = lambda name, *columns: deal(pick(t[name]).select("cve_id", *columns))
     others = lambda name: [x for x in t[name].columns if x != "cve_id"]
+    coded = lambda name, own, *columns: rows(name, *own, *columns) if ids is not None else _coded(t[name].select("cve_id", *own, *columns), deal, *columns)
+    texts = [f.name for f in t["cvss"].schema if f.name != "cve_id" and f.dataType.typeName() == "string"]
     c = deal(pick(t["cve"])).withColumns({d: X.blank_to_null(d) for d in ("published", "modified", "discovered")})
     ranges = t["version_range"].groupBy("affected_product_id").agg(F.array_sort(F.collect_list(F.struct("id", "start_including", "start_excluding", "end_including", "end_excluding", "fixed_version", "raw_text"))).alias("versions")).withColumnRenamed("affected_product_id", "id")
     v = t["vendor"].select("vendor_id", F.col("name").alias("vendor"))
@@ -166,8 +183,8 @@ def documents(t: Tables, ids: DataFrame | None = None) -> DataFrame:
         _nested(pick(t["cve_vendor"]).join(v, "vendor_id", "left"), "vendors", "role", "role", "vendor", "vendor_id"),
         _nested(affected, "affected", "id", "vendor", "product", "product_type", "affected", "notes", "source", "versions"),
         _nested(pick(t["cve_cwe"]).join(t["cwe"], "cwe_id", "left"), "cwes", "cwe_id", "cwe_id", "name"),
-        _nested(rows("cvss", *others("cvss")), "cvss", "id", *[x for x in others("cvss") if x != "id"]),
-        _nested(rows("cpe_match", "id", "criteria", "match_criteria_id", "vulnerable"), "cpes", "id", "criteria", "match_criteria_id", "vulnerable"),
+        _nested(coded("cvss", [x for x in others("cvss") if x not in texts], *texts), "cvss", "id", *[x for x in others("cvss") if x != "id"]),
+        _nested(coded("cpe_match", ["id"], "criteria", "match_criteria_id", "vulnerable"), "cpes", "id", "criteria", "match_criteria_id", "vulnerable"),
         _nested(deal(pick(t["reference"]).select("cve_id", "id", "url", "source", "title", "trust").join(tags, "id", "left")), "references", "id", "url", "source", "title", "trust", "tags"),
         _nested(deal(pick(t["cve_tag"]).join(t["tag"], F.col("tag_id") == F.col("id"), "left").select("cve_id", "name")), "tags", "name", "name"),
         _nested(rows("intel_string_list", "id", "kind", "value"), "intel_lists", "id", "kind", "value"),

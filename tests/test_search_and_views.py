@@ -135,3 +135,18 @@ def test_all_vendors_are_paired_and_large_records_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(V, "MAX_NAMES", 0)
     assert {(r.vendor_a, r.vendor_b): r.shared_cves for r in V.cooccurrence_pairs(t).collect()} == want
     assert V.cooccurrence_pairs(t, top_k=3).count() == 3 and V.cooccurrence_pairs(t, max_pairs=5).count() == 5
+
+
+def test_documents_are_the_same_whether_texts_travel_as_codes(spark, monkeypatch):
+    from tarnwork.plans.model_map import model_tables
+
+    t = model_tables(spark, "/root/testdata/sf0.001")
+    odd = t["cvss"].where("id % 3 = 0").withColumn("scope", F.when(F.col("id") % 2 == 0, F.col("attack_vector"))).withColumn("attack_vector", F.when(F.col("id") % 2 == 1, F.col("attack_vector")))
+    t = t.replaced(cvss=odd)  # the same text now in one column, now in the next, the other null
+    coded = S.documents(t).select("cve_id", "cvss", "cpes")
+    assert "__code" in coded._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.cve_id: (r.cvss, r.cpes) for r in coded.collect()}
+    monkeypatch.setattr(S, "MAX_CODED", 0)
+    plain = S.documents(t).select("cve_id", "cvss", "cpes")
+    assert "__code" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert got == {r.cve_id: (r.cvss, r.cpes) for r in plain.collect()} and sum(len(c or []) for c, _ in got.values()) == odd.count() > 0
